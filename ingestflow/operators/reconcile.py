@@ -67,6 +67,14 @@ def per_key_summary(pending: DataFrame, history_window: DataFrame, now_ms: int)
             .where(F.col("n_pending") > 0))
 
 
+def first_wins_age(pending: DataFrame, now) -> DataFrame:
+    """(pipe, file) → number of pending rows and the age of the first of them."""
+    now_ms = epoch_ms(now)
+    return keyed(pending).groupBy("pipe", "file").agg(
+        F.count(F.lit(1)).alias("n_pending"),
+        F.min_by(queue_age("queued_ms", now_ms), F.col("arrival_seq")).alias("first_age"))
+
+
 def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int, now,
                   ts_col: str = "event_ts", prune_pipes: bool = True,
                   **skew_kw) -> DataFrame:
