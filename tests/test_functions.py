@@ -1,0 +1,109 @@
+"""Column functions: stage command goldens, response codes, wildcards, templates, ages."""
+
+import gzip
+import bz2
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ingestflow.functions import (detect_compression, glob_regex, queue_age, resolve_template,
+                                  response_code, stage_command)
+from ingestflow.functions.compression import target_compression
+
+BASE = "PUT file:///home/account/dir/some_file @database.schema.my_internal_stage"
+
+# (auto_compress, source_compression, parallel, expected) — the reference's own goldens.
+GOLDEN = [
+    ("default", "default", 4, BASE),
+    ("true", "default", 4, BASE + " AUTO_COMPRESS = true"),
+    ("false", "default", 4, BASE + " AUTO_COMPRESS = false"),
+    ("default", "default", 10, BASE + " PARALLEL = 10"),
+    ("default", "default", 4, BASE),
+    ("default", "AUTO_DETECT", 4, BASE + " SOURCE_COMPRESSION = AUTO_DETECT"),
+    ("default", "RAW_DEFLATE", 4, BASE + " SOURCE_COMPRESSION = RAW_DEFLATE"),
+    ("default", "DEFLATE", 4, BASE + " SOURCE_COMPRESSION = DEFLATE"),
+    ("default", "ZSTD", 4, BASE + " SOURCE_COMPRESSION = ZSTD"),
+    ("default", "BROTLI", 4, BASE + " SOURCE_COMPRESSION = BROTLI"),
+    ("default", "BZ2", 4, BASE + " SOURCE_COMPRESSION = BZ2"),
+    ("default", "GZIP", 4, BASE + " SOURCE_COMPRESSION = GZIP"),
+    ("default", "default", 4, BASE),
+    ("default", "NONE", 4, BASE + " SOURCE_COMPRESSION = NONE"),
+    ("default", "default", 4, BASE),
+    ("true", "GZIP", 10, BASE + " AUTO_COMPRESS = true SOURCE_COMPRESSION = GZIP PARALLEL = 10"),
+]
+
+
+def test_stage_command_goldens(spark):
+    rows = [("/home/account/dir", "some_file", "database.schema.my_internal_stage", ac, sc, p, e)
+            for ac, sc, p, e in GOLDEN]
+    df = spark.createDataFrame(rows, "input_directory string, file_name string, "
+                               "internal_stage string, auto_compress string, "
+                               "source_compression string, parallel int, expected string")
+    got = df.select(stage_command().alias("cmd"), "expected").collect()
+    for r in got:
+        assert r.cmd == r.expected
+
+
+def test_response_code(spark):
+    cases = [("HTTP Status: 404", "404"), ("a HTTP Status: 429 b HTTP Status: 1500", "1500"),
+             ("no code", "0"), (None, "0"), ("x\nHTTP Status: 503 y", "503"),
+             ("HTTP Status: 400\nHTTP Status: 500", "400"), ("HTTP Status: abc", "0")]
+    df = spark.createDataFrame(cases, "m string, want string")
+    for r in df.select(response_code("m").alias("got"), "want").collect():
+        assert r.got == r.want
+
+
+def test_glob_regex(spark):
+    cases = [("d1*.txt", "d12.txt", True), ("d1*.txt", "d1.txt", True),
+             ("d?.txt", "d12.txt", False), ("d??.txt", "d12.txt", True),
+             ("a (b)*.csv", "a (b) 1.csv", True), ("a (b)*.csv", "a b 1.csv", False),
+             ("z w ä*.csv", "z w ä1.csv", True), ("x.csv", "xacsv", False),
+             ("*.csv", "sub/x.csv", False), ("[a].csv", "[a].csv", True),
+             ("a+b$.csv", "a+b$.csv", True)]
+    df = spark.createDataFrame(cases, "p string, n string, want boolean")
+    got = df.select(F.regexp(F.col("n"), glob_regex("p")).alias("got"), "want").collect()
+    for r in got:
+        assert r.got == r.want
+
+
+def test_resolve_template(spark):
+    df = spark.createDataFrame([({"filename": "f.csv", "k": "7"},), ({},), (None,)],
+                               "attributes map<string,string>")
+    out = df.select(resolve_template("${filename}").alias("a"),
+                    resolve_template("in/${k}/${filename}").alias("b"),
+                    resolve_template("${absent}x").alias("c"),
+                    resolve_template("plain").alias("d")).collect()
+    assert [tuple(r) for r in out] == [("f.csv", "in/7/f.csv", "x", "plain"),
+                                       ("", "in//", "x", "plain"), ("", "in//", "x", "plain")]
+
+
+def test_queue_age_truncates_toward_zero(spark):
+    now = 1_000_000_000
+    df = spark.createDataFrame([(str(now - 119_999),), (str(now + 119_999),), ("",), (None,),
+                                ("abc",)], "q string")
+    got = [r.a for r in df.select(queue_age("q", now).alias("a")).collect()]
+    assert got == [1, -1, 0, 0, None]
+
+
+def test_detect_compression(spark):
+    raw = b"hello world, hello world"
+    rows = [("AUTO_DETECT", gzip.compress(raw), "GZIP"),
+            ("default", bz2.compress(raw), "BZ2"),
+            ("AUTO_DETECT", zlib.compress(raw), "DEFLATE"),
+            ("AUTO_DETECT", bytes.fromhex("28b52ffd") + raw, "ZSTD"),
+            ("AUTO_DETECT", raw, "NONE"),
+            ("BROTLI", raw, "BROTLI"),
+            ("RAW_DEFLATE", zlib.compress(raw)[2:], "RAW_DEFLATE"),
+            ("AUTO_DETECT", b"", "NONE")]
+    df = spark.createDataFrame(rows, "declared string, header binary, want string")
+    got = df.select(detect_compression("declared", "header").alias("got"), "want").collect()
+    for r in got:
+        assert r.got == r.want
+
+
+def test_target_compression(spark):
+    df = spark.createDataFrame([("NONE", "true"), ("NONE", "default"), ("NONE", "false"),
+                                ("GZIP", "true")], "s string, ac string")
+    got = [r.t for r in df.select(target_compression("s", "ac").alias("t")).collect()]
+    assert got == ["GZIP", "GZIP", "NONE", "GZIP"]
