@@ -19,11 +19,12 @@ from ingestflow.sources.files import file_digest, list_files
 
 
 def stage_step(raw_requests: DataFrame, manifest: DataFrame, stage_root: str,
-               parallel: int | None = None) -> tuple[DataFrame, DataFrame]:
+               parallel: int | None = None) -> DataFrame:
     """Validate, expand wildcards, skip unchanged files, copy the rest, route.
 
-    Returns (routed rows, manifest rows to append for the newly staged files).
-    Invalid requests go to ``failure`` with their reasons as the error.
+    Invalid requests go to ``failure`` with their reasons as the error.  The
+    copies run when the result is computed; write it once and derive the
+    manifest additions from the written rows (``manifest_additions``).
     """
     v = staging.validate_requests(raw_requests)
     invalid = v.where(F.col("invalid_reason").isNotNull())
@@ -50,14 +51,14 @@ def stage_step(raw_requests: DataFrame, manifest: DataFrame, stage_root: str,
     for c in routed.columns:
         if c not in failed.columns:
             failed = failed.withColumn(c, F.lit(None).cast(routed.schema[c].dataType))
-    routed = routed.unionByName(failed.select(*routed.columns))
-    staged = planned.where(F.col("status") == "UPLOADED").select(
-        "request_id", "stage", "target_name", "md5")
-    ok = results.where(F.col("status") == "UPLOADED").select("request_id", "target_filename")
-    new_manifest = staged.join(ok.withColumnRenamed("target_filename", "target_name"),
-                               on=["request_id", "target_name"], how="left_semi").select(
-        "stage", "target_name", "md5").distinct()
-    return routed, new_manifest
+    return routed.unionByName(failed.select(*routed.columns))
+
+
+def manifest_additions(stage_routes: DataFrame) -> DataFrame:
+    """(stage, name, md5) of the files a stage step actually copied."""
+    return stage_routes.where(F.col("route") == "uploaded").select(
+        F.col("internal_stage").alias("stage"), F.col("target_filename").alias("target_name"),
+        "md5").distinct()
 
 
 def submit_step(requests: DataFrame, known_pipes: Iterable[str]) -> DataFrame:
@@ -91,9 +92,17 @@ def _rx_escape(s: str) -> str:
 
 def run_flow(spark: SparkSession, raw_requests: DataFrame, manifest: DataFrame,
              stage_root: str, spec: load.PipeSpec, stage: str, now, max_age_minutes: int,
-             parallel: int | None = None) -> dict[str, DataFrame]:
-    """The whole pipeline over one batch of stage requests; returns every step's output."""
-    staged, new_manifest = stage_step(raw_requests, manifest, stage_root, parallel)
+             work_dir: str, parallel: int | None = None) -> dict[str, DataFrame]:
+    """The whole pipeline over one batch of stage requests; returns every step's output.
+
+    The stage step copies files, so its result is written to ``work_dir``
+    (a shared folder) exactly once and read back: the load then sees the
+    copied files, and nothing downstream re-evaluates the copy.
+    """
+    work = work_dir.rstrip("/")
+    stage_step(raw_requests, manifest, stage_root, parallel).write.mode("overwrite") \
+        .parquet(f"{work}/stage_routes")
+    staged = spark.read.parquet(f"{work}/stage_routes")
     uploaded = staged.where(F.col("route").isin("uploaded", "skipped")).select(
         "request_id", F.lit(spec.name).alias("pipe"),
         F.col("target_filename").alias("file"))
@@ -109,7 +118,7 @@ def run_flow(spark: SparkSession, raw_requests: DataFrame, manifest: DataFrame,
     awaited = reconcile.await_results(pending, hist, max_age_minutes, now)
     return {
         "stage_routes": staged,
-        "manifest_additions": new_manifest,
+        "manifest_additions": manifest_additions(staged),
         "submit_routes": submitted,
         "target_rows": target_rows,
         "history": hist,

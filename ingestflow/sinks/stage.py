@@ -40,7 +40,8 @@ def _copy_one(src_dir, name, stage_dir, target, compress):
     dst = f"{dst_base.rstrip('/')}/{target}"
     tmp = f"{dst_base.rstrip('/')}/.{target}.{uuid.uuid4().hex}.tmp"
     dst_fs.create_dir(dst_base.rstrip("/"), recursive=True)
-    with src_fs.open_input_stream(src) as fin, dst_fs.open_output_stream(tmp) as raw:
+    with src_fs.open_input_stream(src, compression=None) as fin, \
+            dst_fs.open_output_stream(tmp, compression=None) as raw:
         out = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) if compress else raw
         try:
             while True:
@@ -60,12 +61,15 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
 
     ``plan`` needs request_id, dir, name, size, stage, target_name,
     source_compression, target_compression and status (``UPLOADED`` or
-    ``SKIPPED``).  ``parallel`` is the number of copy tasks (files are spread
-    over them by hash of their target).
+    ``SKIPPED``); an ``md5`` column is passed through.  ``parallel`` is the
+    number of copy tasks (files are spread over them by hash of their target).
+    The copies happen when the result is computed: write it once (as
+    ``run_flow`` does) rather than evaluating it twice.
     """
     cols = ["request_id", "dir", "name", "size", "stage", "target_name", "source_compression",
             "target_compression", "status"]
-    p = plan.select(*cols)
+    p = plan.select(*cols, F.col("md5") if "md5" in plan.columns
+                    else F.lit(None).cast("string").alias("md5"))
     n = parallel or p.sparkSession.sparkContext.defaultParallelism
     root = stage_root.rstrip("/")
 
@@ -83,11 +87,11 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
                         status, message = "FAILED", f"{type(e).__name__}: {e}"
                 rows.append((r.request_id, f"{r.dir.rstrip('/')}/{r.name}", r.target_name,
                              r.size, tsize, r.source_compression, r.target_compression,
-                             status, "NONE", message))
+                             status, "NONE", message, r.md5))
             yield pd.DataFrame(rows, columns=[
                 "request_id", "source_filename", "target_filename", "source_size",
                 "target_size", "source_compression", "target_compression", "status",
-                "encryption", "message"])
+                "encryption", "message", "md5"])
 
     return p.repartition(n, "stage", "target_name").mapInPandas(
-        run, f"request_id string, {RESULT_FIELDS}")
+        run, f"request_id string, {RESULT_FIELDS}, md5 string")

@@ -69,7 +69,7 @@ def _digest_one(dir_: str, name: str) -> tuple[str | None, bytes | None]:
     h = hashlib.md5()
     header = b""
     try:
-        with filesystem.open_input_stream(path) as f:
+        with filesystem.open_input_stream(path, compression=None) as f:
             while True:
                 chunk = f.read(CHUNK_BYTES)
                 if not chunk:
