@@ -98,13 +98,47 @@ def history_for_pending(history: DataFrame, pending: DataFrame, **kw) -> DataFra
     return semi_join(history, keys, ["pipe", "path"], **kw)
 
 
+def pending_profile(pending: DataFrame, now, limit: int = MAX_PIPES_IN_FILTER) -> dict:
+    """One small driver-side action describing the keyed pending rows.
+
+    Groups keyed rows by pipe (a partial aggregate: one row per pipe per map
+    task is shuffled) and fetches at most ``limit + 1`` groups.  Returns the
+    look-back in minutes, the pipe list (``None`` when there are more than
+    ``limit`` pipes) and the number of keyed rows.  Only in that rare
+    many-pipes case are look-back and row count fetched by a second global
+    aggregate.
+    """
+    now_ms = epoch_ms(now)
+    age = minutes_between(now_ms, F.col("lineage_ms"))
+    rows = (keyed(pending).groupBy("pipe")
+            .agg(F.max(age).alias("m"), F.count(F.lit(1)).alias("n"))
+            .limit(limit + 1).collect())
+    if len(rows) > limit:
+        g = keyed(pending).agg(F.max(age).alias("m"), F.count(F.lit(1)).alias("n")).first()
+        oldest, total, pipes = g["m"], g["n"], None
+    else:
+        oldest = max((r["m"] for r in rows if r["m"] is not None), default=None)
+        total, pipes = sum(r["n"] for r in rows), [r["pipe"] for r in rows]
+    lookback = max(1, oldest if oldest is not None else 1)
+    return {"lookback_minutes": lookback, "pipes": pipes, "keyed_rows": total}
+
+
 def history_multi_pipe(history: DataFrame, pending: DataFrame, now,
-                       ts_col: str = "event_ts", prune_pipes: bool = True) -> DataFrame:
-    """History of every pending pipe over the window set by the oldest pending row."""
-    h = in_window(history, lookback_start(pending, now), to_datetime(now), ts_col)
-    pf = pipe_filter(pending) if prune_pipes else None
-    if pf is not None:
-        return h.where(pf)
+                       ts_col: str = "event_ts", prune_pipes: bool = True,
+                       profile: dict | None = None) -> DataFrame:
+    """History of every pending pipe over the window set by the oldest pending row.
+
+    Both window bounds and (for up to ``MAX_PIPES_IN_FILTER`` pipes) the pipe
+    list are literals, so they reach the Parquet scan; beyond that many pipes
+    the restriction is a semi-join on pipe instead.
+    """
+    prof = profile or pending_profile(pending, now)
+    start = to_datetime(now) - _dt.timedelta(minutes=abs(int(prof["lookback_minutes"])))
+    h = in_window(history, start, to_datetime(now), ts_col)
+    if not prune_pipes:
+        return h
+    if prof["pipes"] is not None:
+        return h.where(F.col("pipe").isin(*prof["pipes"]) if prof["pipes"] else F.lit(False))
     return h.join(distinct_pipes(pending), on="pipe", how="left_semi")
 
 

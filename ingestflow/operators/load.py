@@ -87,13 +87,15 @@ def file_stats(parsed: DataFrame, spec: PipeSpec, path_col: str = "path",
 
     One partially-aggregated pass: the first error is ``min_by`` over an
     ordering key that is null on clean lines (``min_by`` skips null keys),
-    so no window or sort over a file's lines is needed.
+    so no window or sort over a file's lines is needed; the value is nulled
+    on clean lines too, which keeps the aggregation rows narrow.
     """
     bad = F.col(CORRUPT).isNotNull()
     agg = parsed.groupBy(path_col).agg(
         F.count(F.lit(1)).alias("rows_parsed"),
         F.count_if(bad).alias("errors_seen"),
-        F.min_by(F.col(raw_col), F.when(bad, F.col(order_col))).alias("__first_bad"))
+        F.min_by(F.when(bad, F.col(raw_col)), F.when(bad, F.col(order_col)))
+        .alias("__first_bad"))
     errors = F.col("errors_seen")
     good = F.col("rows_parsed") - errors
     all_or_nothing = spec.on_error != "CONTINUE"

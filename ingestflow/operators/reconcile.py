@@ -16,10 +16,12 @@ All rows sharing (pipe, file) use the age of the first of them (lowest
 ``seq``) wins.  The look-back window is ``[now - max(1, oldest lineage age in
 minutes), now]`` and only pipes that are pending are scanned.
 
-Plan shape: one partially-aggregated pass over (pending keys ∪ windowed
-history) builds a per-key summary, then one balanced lookup join attaches it
-to every pending row (see ``operators.skew``).  The history window arrives at
-the Parquet scan as a runtime filter from a scalar subquery.
+Plan shape: one small grouped action over the pending rows yields the
+look-back, the pending pipe list and the row count (all become literals: the
+window bounds and pipe list reach the Parquet scan as pushed filters); one
+partially-aggregated pass over (pending keys ∪ windowed history) builds a
+per-key summary; one balanced lookup join attaches it to every pending row
+(see ``operators.skew``).
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestflow.functions.timing import epoch_ms, queue_age, stamp_is_valid, stamp_or_now
-from ingestflow.operators.history import history_multi_pipe, keyed
+from ingestflow.operators.history import history_multi_pipe, keyed, pending_profile
 from ingestflow.operators.skew import lookup_join
 from ingestflow.schemas import ENTRY_FIELDS
 
@@ -85,10 +87,12 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
     ``payload`` is the matched history entry as JSON (null fields omitted).
     """
     now_ms = epoch_ms(now)
-    window = history_multi_pipe(history, pending, now, ts_col, prune_pipes)
+    prof = pending_profile(pending, now)
+    window = history_multi_pipe(history, pending, now, ts_col, prune_pipes, profile=prof)
     summary = per_key_summary(pending, window, now_ms)
     spread = ["arrival_seq"] if "arrival_seq" in pending.columns else None
-    j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread, **skew_kw)
+    j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread,
+                    total=prof["keyed_rows"], **skew_kw)
 
     pipe, file, entry = F.col("pipe"), F.col("file"), F.col("entry")
     status = entry.getField("status")

@@ -32,27 +32,36 @@ DEFAULT_MAX_HOT_KEYS = 1000
 
 
 def hot_threshold(per_key: DataFrame, weight: str, min_hot_rows: int,
-                  max_hot_keys: int) -> Column:
-    """``max(min_hot_rows, sum(weight) / max_hot_keys)`` as a scalar subquery."""
-    total = per_key.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).scalar()
-    return F.greatest(F.lit(min_hot_rows).cast("double"), total.cast("double") / max_hot_keys)
+                  max_hot_keys: int, total: int | None = None) -> Column:
+    """``max(min_hot_rows, sum(weight) / max_hot_keys)``.
+
+    With ``total`` known (the caller already counted the rows) it is a
+    literal; otherwise a scalar subquery over ``per_key``.
+    """
+    if total is not None:
+        return F.lit(float(max(min_hot_rows, total / max_hot_keys)))
+    t = per_key.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("t")).scalar()
+    return F.greatest(F.lit(min_hot_rows).cast("double"), t.cast("double") / max_hot_keys)
 
 
 def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight: str,
                 spread: Sequence[str] | None = None,
                 min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
-                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
+                max_hot_keys: int = DEFAULT_MAX_HOT_KEYS,
+                total: int | None = None) -> DataFrame:
     """Left-join ``rows`` to ``per_key`` (unique on ``keys``), balanced under key skew.
 
     ``per_key[weight]`` is the number of ``rows`` (or of the larger input)
     carrying the key; keys absent from ``per_key`` are treated as cold.
+    ``total`` (the sum of the weights), when the caller knows it, saves the
+    scalar subquery that would otherwise compute it.
     ``spread`` names row columns that vary within a key (default: all row
     columns) and seed the salt of hot and null-key rows.  The result has the
     columns of ``rows`` followed by the value columns of ``per_key``.
     """
     keys = list(keys)
     values = [c for c in per_key.columns if c not in keys]
-    threshold = hot_threshold(per_key, weight, min_hot_rows, max_hot_keys)
+    threshold = hot_threshold(per_key, weight, min_hot_rows, max_hot_keys, total)
     hot = per_key.where(F.col(weight) > threshold)
     cold = per_key.where(~(F.col(weight) > threshold) | F.col(weight).isNull())
 

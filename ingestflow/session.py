@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     # The stateful streaming operator keeps its state in RocksDB on the
     # checkpoint location, not in executor heap.
     "spark.sql.streaming.stateStore.providerClass":
