@@ -179,7 +179,7 @@ def stage_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         (col_epoch_ms(F.col("o_orderdate")) + (F.col("o_orderkey") % 5000) * 7)
         .alias("end_ms"),
         F.when(F.col("o_custkey") % 4 == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("jdbc:snowflake://acct"),
+         .otherwise(F.concat(F.lit("jdbc:warehouse://acct"),
                              (F.col("o_custkey") % 3).cast("string"),
                              F.lit(".example.com"))).alias("url"),
     )

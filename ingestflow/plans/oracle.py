@@ -318,7 +318,7 @@ STAGE_NO_RESULTS = (_STAGE_ROUTES_BODY + "\nselect request_id, route, error from
 AUDIT_EVENTS = f"""with {RESULTS_CTE}
 select request_id, source_filename,
   case when o_custkey % 4 = 0 then 'jdbc://unknown-host'
-       else 'jdbc:snowflake://acct' || (o_custkey % 3) || '.example.com' end as target_url,
+       else 'jdbc:warehouse://acct' || (o_custkey % 3) || '.example.com' end as target_url,
   (o_orderkey % 5000) * 7 as transmission_ms,
   ((o_orderkey % 5000) * 7) // 1000 as duration_s
 from res"""
