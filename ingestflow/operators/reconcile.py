@@ -133,7 +133,7 @@ def waiting_rows(routed: DataFrame, pending_columns) -> DataFrame:
 
 
 def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, nows,
-                 arrival_ms_col: str = "queued_ms", cut_every: int = 0, **kw) -> DataFrame:
+                 arrival_ms_col: str = "queued_ms", **kw) -> DataFrame:
     """Run the await step at each time in ``nows``; waiting rows loop back.
 
     A pending row enters the first round whose ``now`` is at or after its
@@ -141,10 +141,14 @@ def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, n
     are pending again in the next one, with their stamps.  Returns every
     row's final route with the round number that decided it (rows still
     waiting after the last round are reported with that round).
-    ``cut_every`` > 0 checkpoints the carried rows every that many rounds
-    into the shared checkpoint folder, bounding lineage on long loops.
+
+    Each round's routed rows feed three consumers (its decided rows, the
+    next round's input and that round's look-back), so every round but the
+    last is materialised once (``session.materialize``: a checkpoint in the
+    shared folder when one is configured), which also keeps the plan of a
+    long loop from growing round by round.
     """
-    from ingestflow.session import cut_lineage
+    from ingestflow.session import materialize
 
     cols = pending.columns
     arrival = F.col(arrival_ms_col).try_cast("long")
@@ -160,11 +164,11 @@ def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, n
         batch = arrivals if carried is None else carried.unionByName(arrivals)
         routed = await_results(batch, history, max_age_minutes, now, **kw)
         last = i == len(nows)
+        if not last:
+            routed = materialize(routed)
         done = routed if last else routed.where(F.col("route") != "waiting")
         decided.append(done.withColumn("round", F.lit(i)))
         carried = waiting_rows(routed, cols)
-        if cut_every and i % cut_every == 0 and not last:
-            carried = cut_lineage(carried)
         prev_ms = now_ms
     out = decided[0]
     for d in decided[1:]:

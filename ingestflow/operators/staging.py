@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ingestflow.functions.command import stage_command
 from ingestflow.functions.glob import glob_regex, has_wildcard
-from ingestflow.operators.skew import lookup_join
+from ingestflow.operators.skew import (DEFAULT_MAX_HOT_KEYS, DEFAULT_MIN_HOT_ROWS, hot_threshold,
+                                       lookup_join)
 from ingestflow.schemas import AUTO_COMPRESS_VALUES, PARALLEL_DEFAULT, SOURCE_COMPRESSION_VALUES
 
 # Error text for a request whose copy returned no result rows.
@@ -54,34 +55,49 @@ def with_stage_command(requests: DataFrame) -> DataFrame:
 
 def expand_wildcards(requests: DataFrame, files: DataFrame, dir_col: str = "input_directory",
                      pattern_col: str = "file_name",
-                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                     salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                     min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
+                     max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """Left-join each request to the files its pattern matches in its directory.
 
     A request yields one row per matching file (the request's columns are
     repeated on each), or one row with null file columns when nothing
     matches.  Plain names are an equi-join on (dir, name).  Patterns with
-    ``*``/``?`` are an equi-join on the directory with a regex residual;
-    files are spread over ``salt_buckets`` sub-groups of their directory
-    (the pattern side is repeated per sub-group), so a directory holding
-    most files is matched by many tasks, never by one.
+    ``*``/``?`` are an equi-join on the directory with a regex residual, so
+    only files of the same directory are ever compared.  A directory holding
+    more than ``max(min_hot_rows, files / max_hot_keys)`` files is *hot*
+    (fewer than ``max_hot_keys`` can be, so their list is broadcast): its
+    files are spread over ``salt_buckets`` sub-groups and its patterns are
+    repeated once per sub-group, so it is matched by many tasks, never one.
+    Other directories are joined unsalted.
     """
     req = requests.withColumn("__dir", F.col(dir_col)).withColumn("__pat", F.col(pattern_col))
-    fcols = [c for c in files.columns]
-    f = files.select(*[F.col(c).alias(f"f_{c}") if c in ("dir", "name") else F.col(c)
-                       for c in fcols])
-    f = f.withColumnRenamed("f_dir", "__fdir").withColumnRenamed("f_name", "name")
+    f = files.select(*[F.col(c).alias("__fdir") if c == "dir" else F.col(c)
+                       for c in files.columns])
 
     exact = req.where(~has_wildcard("__pat"))
     exact_hits = exact.join(f, (F.col("__dir") == F.col("__fdir"))
                             & (F.col("__pat") == F.col("name")), "inner")
 
-    wild = req.where(has_wildcard("__pat")).withColumn("__rx", glob_regex("__pat"))
-    wild_rep = wild.withColumn("__salt", F.explode(F.sequence(F.lit(0),
-                                                               F.lit(salt_buckets - 1))))
-    f_salted = f.withColumn("__salt", F.pmod(F.xxhash64("name"), F.lit(salt_buckets)))
-    wild_hits = wild_rep.join(
-        f_salted.withColumnRenamed("__salt", "__fsalt"),
-        (F.col("__dir") == F.col("__fdir")) & (F.col("__salt") == F.col("__fsalt"))
+    counts = f.groupBy("__fdir").agg(F.count(F.lit(1)).alias("__n"))
+    threshold = hot_threshold(counts, "__n", min_hot_rows, max_hot_keys)
+    # Size bound: fewer than max_hot_keys directories (see operators.skew).
+    hot = F.broadcast(counts.where(F.col("__n") > threshold)
+                      .select(F.col("__fdir").alias("__hdir"), F.lit(True).alias("__hot")))
+    f_salted = (f.join(hot, F.col("__fdir") == F.col("__hdir"), "left")
+                .withColumn("__fsalt", F.when(F.col("__hot"),
+                                              F.pmod(F.xxhash64("name"), F.lit(salt_buckets)))
+                            .otherwise(F.lit(0).cast("long")))
+                .drop("__hdir", "__hot"))
+    wild = (req.where(has_wildcard("__pat")).withColumn("__rx", glob_regex("__pat"))
+            .join(hot, F.col("__dir") == F.col("__hdir"), "left")
+            .withColumn("__salt", F.explode(
+                F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"),
+                                                  F.lit(salt_buckets - 1).cast("long")))
+                 .otherwise(F.array(F.lit(0).cast("long")))))
+            .drop("__hdir", "__hot"))
+    wild_hits = wild.join(
+        f_salted, (F.col("__dir") == F.col("__fdir")) & (F.col("__salt") == F.col("__fsalt"))
         & F.regexp(F.col("name"), F.col("__rx")), "inner").drop("__rx", "__salt", "__fsalt")
 
     hits = exact_hits.unionByName(wild_hits)

@@ -77,6 +77,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several consumers.
+
+    With ``spark.checkpoint.dir`` configured (the cluster's shared folder)
+    this is a reliable checkpoint: the result survives lost executors and
+    the plan restarts from it.  Without one it is ``persist`` (memory, then
+    disk), which Spark rebuilds from lineage if blocks are lost.
+    """
+    spark = df.sparkSession
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if conf_dir:
+        return cut_lineage(df)
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def local_session_for_tests(tmp_root: str, cpus: int | str = "*",
                             shuffle_partitions: int = 8) -> SparkSession:
     """Local session used by tests and the bench; sets a checkpoint folder only if unset."""

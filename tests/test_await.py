@@ -117,6 +117,6 @@ def test_rounds_loop_back(spark, tmpdir_path):
     hist = spark.createDataFrame(
         [("p", "later", "LOADED", 1, 1, None, None, NOW + dt.timedelta(minutes=5), 1)], HISTORY)
     nows = [NOW, NOW + dt.timedelta(minutes=6), NOW + dt.timedelta(minutes=30)]
-    out = {r.request_id: r for r in await_rounds(pend, hist, 10, nows, cut_every=1).collect()}
+    out = {r.request_id: r for r in await_rounds(pend, hist, 10, nows).collect()}
     assert (out["r0"].route, out["r0"]["round"]) == ("loaded", 2)
     assert (out["r1"].route, out["r1"]["round"]) == ("unmatched", 3)

@@ -67,7 +67,8 @@ def test_wildcard_join_hot_directory(spark):
                                  ("c", "/d1", "*.csv"), ("d", "/big", "f3.csv"),
                                  ("e", "/none", "*")],
                                 "request_id string, dir string, pattern string")
-    got = expand_wildcards(req, files, dir_col="dir", pattern_col="pattern")
+    got = expand_wildcards(req, files, dir_col="dir", pattern_col="pattern", min_hot_rows=0,
+                           max_hot_keys=5, salt_buckets=8)
     counts = {r.request_id: r.n for r in got.groupBy("request_id").agg(
         F.count("name").alias("n")).collect()}
     import fnmatch
