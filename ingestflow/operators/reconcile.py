@@ -165,7 +165,7 @@ def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, n
         routed = await_results(batch, history, max_age_minutes, now, **kw)
         last = i == len(nows)
         if not last:
-            routed = materialize(routed)
+            routed = materialize(routed, f"await-round-{i}")
         done = routed if last else routed.where(F.col("route") != "waiting")
         decided.append(done.withColumn("round", F.lit(i)))
         carried = waiting_rows(routed, cols)

@@ -61,6 +61,10 @@ def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight
     """
     keys = list(keys)
     values = [c for c in per_key.columns if c not in keys]
+    if total is not None and total <= min_hot_rows:
+        # No key can exceed the threshold, and no task can receive more than
+        # ``min_hot_rows`` rows of one key: a plain join has the same bound.
+        return rows.join(per_key, on=keys, how="left").select(*rows.columns, *values)
     threshold = hot_threshold(per_key, weight, min_hot_rows, max_hot_keys, total)
     hot = per_key.where(F.col(weight) > threshold)
     cold = per_key.where(~(F.col(weight) > threshold) | F.col(weight).isNull())

@@ -77,18 +77,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once for several consumers.
 
     With ``spark.checkpoint.dir`` configured (the cluster's shared folder)
-    this is a reliable checkpoint: the result survives lost executors and
-    the plan restarts from it.  Without one it is ``persist`` (memory, then
-    disk), which Spark rebuilds from lineage if blocks are lost.
+    the rows are written there as a Parquet table and read back: one
+    computation, durable across lost executors, and the plan restarts from
+    the files.  (An eager ``checkpoint()`` would compute the rows twice:
+    once for its count, once to write.)  Without a shared folder it is
+    ``persist`` (memory, then disk), rebuilt from lineage if blocks are lost.
     """
+    import uuid
+
     spark = df.sparkSession
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
-        return cut_lineage(df)
+        path = f"{conf_dir.rstrip('/')}/ingestflow/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
     from pyspark import StorageLevel
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
