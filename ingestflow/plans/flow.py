@@ -15,7 +15,7 @@ from ingestflow.functions.compression import detect_compression, target_compress
 from ingestflow.functions.timing import epoch_ms
 from ingestflow.operators import audit, load, reconcile, staging, submit
 from ingestflow.sinks.stage import copy_to_stage, target_name
-from ingestflow.sources.files import file_digest, list_files
+from ingestflow.sources.files import file_digest, file_header, list_files
 
 
 def stage_step(raw_requests: DataFrame, manifest: DataFrame, stage_root: str,
@@ -36,13 +36,26 @@ def stage_step(raw_requests: DataFrame, manifest: DataFrame, stage_root: str,
         "request_id", F.col("input_directory").alias("dir"), "name",
         F.col("file_size").alias("size"), F.col("internal_stage").alias("stage"),
         "auto_compress", F.col("source_compression").alias("declared_compression"))
-    digested = file_digest(matched)
+    # Only the first bytes are needed to name the target (compression sniffing).
+    headed = file_header(matched)
     src_comp = detect_compression("declared_compression", "header")
-    tagged = (digested.withColumn("source_compression", src_comp)
+    tagged = (headed.withColumn("source_compression", src_comp)
               .withColumn("target_compression",
                           target_compression("source_compression", "auto_compress"))
-              .withColumn("target_name", target_name()))
-    planned = staging.plan_staging(tagged, manifest)
+              .withColumn("target_name", target_name())
+              .drop("header"))
+    # Only files whose target name the stage already holds need their MD5
+    # before copying (to decide SKIPPED); new names are hashed during the copy,
+    # so a new file is read once.
+    names = (manifest.select("stage", "target_name").distinct()
+             .withColumn("__known", F.lit(True)))
+    marked = tagged.join(names, on=["stage", "target_name"], how="left")
+    known = file_digest(marked.where(F.col("__known")).drop("__known")).drop("header")
+    fresh = (marked.where(F.col("__known").isNull()).drop("__known")
+             .withColumn("md5", F.lit(None).cast("string"))
+             .withColumn("status", F.lit("UPLOADED")))
+    planned = staging.plan_staging(known, manifest).unionByName(
+        fresh.select(*known.columns, "status"))
     results = copy_to_stage(planned, stage_root, parallel)
     routed = staging.route_stage(valid, results)
     failed = (staging.with_stage_command(invalid)

@@ -12,6 +12,7 @@ the same file again.  A failure is reported on that file's row (status
 from __future__ import annotations
 
 import gzip
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -40,6 +41,7 @@ def _copy_one(src_dir, name, stage_dir, target, compress):
     dst = f"{dst_base.rstrip('/')}/{target}"
     tmp = f"{dst_base.rstrip('/')}/.{target}.{uuid.uuid4().hex}.tmp"
     dst_fs.create_dir(dst_base.rstrip("/"), recursive=True)
+    h = hashlib.md5()
     with src_fs.open_input_stream(src, compression=None) as fin, \
             dst_fs.open_output_stream(tmp, compression=None) as raw:
         out = gzip.GzipFile(fileobj=raw, mode="wb", mtime=0) if compress else raw
@@ -48,12 +50,13 @@ def _copy_one(src_dir, name, stage_dir, target, compress):
                 chunk = fin.read(CHUNK_BYTES)
                 if not chunk:
                     break
+                h.update(chunk)
                 out.write(chunk)
         finally:
             if compress:
                 out.close()
     dst_fs.move(tmp, dst)
-    return dst_fs.get_file_info(dst).size
+    return dst_fs.get_file_info(dst).size, h.hexdigest()
 
 
 def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None) -> DataFrame:
@@ -61,7 +64,8 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
 
     ``plan`` needs request_id, dir, name, size, stage, target_name,
     source_compression, target_compression and status (``UPLOADED`` or
-    ``SKIPPED``); an ``md5`` column is passed through.  ``parallel`` is the
+    ``SKIPPED``); ``md5`` (when present) is passed through, and for copied
+    files it is the MD5 of the source bytes, computed during the copy.  ``parallel`` is the
     number of copy tasks (files are spread over them by hash of their target).
     The copies happen when the result is computed: write it once (as
     ``run_flow`` does) rather than evaluating it twice.
@@ -77,17 +81,17 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                status, message, tsize = r.status, "", None
+                status, message, tsize, md5 = r.status, "", None, r.md5
                 compress = r.target_compression == "GZIP" and r.source_compression == "NONE"
                 if status == "UPLOADED":
                     try:
-                        tsize = _copy_one(r.dir, r.name, f"{root}/{r.stage}", r.target_name,
-                                          compress)
+                        tsize, md5 = _copy_one(r.dir, r.name, f"{root}/{r.stage}",
+                                               r.target_name, compress)
                     except Exception as e:  # per-file failure, reported on its row
                         status, message = "FAILED", f"{type(e).__name__}: {e}"
                 rows.append((r.request_id, f"{r.dir.rstrip('/')}/{r.name}", r.target_name,
                              r.size, tsize, r.source_compression, r.target_compression,
-                             status, "NONE", message, r.md5))
+                             status, "NONE", message, md5))
             yield pd.DataFrame(rows, columns=[
                 "request_id", "source_filename", "target_filename", "source_size",
                 "target_size", "source_compression", "target_compression", "status",

@@ -8,10 +8,11 @@ so neither the directory list nor the file list passes through the driver.
   per regular file, zero-length files included; a missing directory yields
   no rows.  Rows are emitted in bounded chunks, so a directory with millions
   of entries never becomes one large frame.
-* ``file_digest`` — MD5 of the whole content plus its first bytes (for
-  compression sniffing), read in fixed-size chunks; files are spread over
-  tasks by hash of their path, so one large directory is hashed by many
-  tasks.
+* ``file_header`` — only the first bytes (for compression sniffing);
+* ``file_digest`` — MD5 of the whole content plus its first bytes, read in
+  fixed-size chunks.
+  Both spread files over tasks by hash of their path, so one large directory
+  is read by many tasks.
 """
 
 from __future__ import annotations
@@ -82,19 +83,37 @@ def _digest_one(dir_: str, name: str) -> tuple[str | None, bytes | None]:
     return h.hexdigest(), header
 
 
-def file_digest(files: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Add ``md5`` (hex, whole content) and ``header`` (first bytes) to (dir, name) rows."""
+def _header_one(dir_: str, name: str) -> bytes | None:
+    filesystem, base = _filesystem(dir_)
+    try:
+        with filesystem.open_input_stream(f"{base.rstrip('/')}/{name}", compression=None) as f:
+            return f.read(HEADER_BYTES)
+    except (FileNotFoundError, OSError):
+        return None
+
+
+def _with_columns(files: DataFrame, fields: str, fn, partitions: int | None) -> DataFrame:
     cols = files.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    out_schema = f"{schema}, {DIGEST_FIELDS}"
+    names = [x.split()[0] for x in fields.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            res = [_digest_one(d, n) for d, n in zip(pdf["dir"], pdf["name"])]
+            res = [fn(d, n) for d, n in zip(pdf["dir"], pdf["name"])]
             pdf = pdf.copy()
-            pdf["md5"] = [r[0] for r in res]
-            pdf["header"] = [r[1] for r in res]
-            yield pdf[cols + ["md5", "header"]]
+            for i, c in enumerate(names):
+                pdf[c] = [r[i] for r in res]
+            yield pdf[cols + names]
 
     n = partitions or files.sparkSession.sparkContext.defaultParallelism
-    return files.repartition(n, "dir", "name").mapInPandas(run, out_schema)
+    return files.repartition(n, "dir", "name").mapInPandas(run, f"{schema}, {fields}")
+
+
+def file_header(files: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Add ``header`` (the first bytes of each file) to (dir, name) rows."""
+    return _with_columns(files, "header binary", lambda d, n: (_header_one(d, n),), partitions)
+
+
+def file_digest(files: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Add ``md5`` (hex, whole content) and ``header`` (first bytes) to (dir, name) rows."""
+    return _with_columns(files, DIGEST_FIELDS, _digest_one, partitions)

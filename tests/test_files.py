@@ -102,4 +102,6 @@ def test_stage_step_copies_and_skips(spark, tmpdir_path):
     with open(os.path.join(stage_root, "st", "c.gz"), "rb") as f:
         assert f.read() == files["c.gz"]        # already compressed: copied as is
     assert not [n for n in os.listdir(os.path.join(stage_root, "st")) if n.endswith(".tmp")]
-    assert sorted(r.target_name for r in new_man.collect()) == ["a1.csv.gz", "c.gz"]
+    assert sorted((r.target_name, r.md5) for r in new_man.collect()) == [
+        ("a1.csv.gz", hashlib.md5(b"1,2,3\n").hexdigest()),
+        ("c.gz", hashlib.md5(files["c.gz"]).hexdigest())]
