@@ -100,10 +100,12 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def local_session_for_tests(tmp_root: str, cpus: int | str = "*",
-                            shuffle_partitions: int = 8) -> SparkSession:
+                            shuffle_partitions: int = 8,
+                            extra: dict[str, str] | None = None) -> SparkSession:
     """Local session used by tests and the bench; sets a checkpoint folder only if unset."""
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=shuffle_partitions,
                           extra={"spark.driver.memory": "8g",
-                                 "spark.python.unix.domain.socket.enabled": "true"})
+                                 "spark.python.unix.domain.socket.enabled": "true",
+                                 **(extra or {})})
     ensure_checkpoint_dir(spark, os.path.join(tmp_root, "checkpoints"))
     return spark
