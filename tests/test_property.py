@@ -92,3 +92,32 @@ def test_await_matches_model(spark, prow, hrow, max_age):
             err = err.rsplit(" ", 1)[1]
         got[r.request_id] = (r.route, r.queued_ms, err)
     assert got == model(pending, history, max_age)
+
+
+def submit_model(kind, message):
+    import re
+    if kind is None:
+        return "success", "200", None
+    if kind == "backoff":
+        return "retry", None, message
+    if kind == "response":
+        m = re.search(r".*HTTP Status: (\d+)", message or "")
+        code = m.group(1) if m else "0"
+        return ("retry" if ("429" in code or "500" in code) else "failure"), code, message
+    return "failure", None, message
+
+
+part = st.sampled_from(["HTTP Status: ", "429", "500", "1500", "404", "x", "\n", " ", "HTTP Status: 4"])
+message = st.lists(part, max_size=6).map("".join)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from([None, "backoff", "response", "other"]), message),
+                min_size=1, max_size=40))
+def test_submit_matches_model(spark, rows):
+    from ingestflow.operators.submit import classify_submission
+    df = spark.createDataFrame([(str(i), k, m) for i, (k, m) in enumerate(rows)],
+                               "request_id string, kind string, message string")
+    got = {r.request_id: (r.route, r.response_code, r.error_message)
+           for r in classify_submission(df).collect()}
+    assert got == {str(i): submit_model(k, m) for i, (k, m) in enumerate(rows)}
