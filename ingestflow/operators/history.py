@@ -125,21 +125,23 @@ def pending_profile(pending: DataFrame, now, limit: int = MAX_PIPES_IN_FILTER) -
 
 def history_multi_pipe(history: DataFrame, pending: DataFrame, now,
                        ts_col: str = "event_ts", prune_pipes: bool = True,
-                       profile: dict | None = None) -> DataFrame:
+                       profile: dict | None = None,
+                       max_pipes: int = MAX_PIPES_IN_FILTER) -> DataFrame:
     """History of every pending pipe over the window set by the oldest pending row.
 
     Both window bounds and (for up to ``MAX_PIPES_IN_FILTER`` pipes) the pipe
     list are literals, so they reach the Parquet scan; beyond that many pipes
-    the restriction is a semi-join on pipe instead.
+    the restriction is a balanced semi-join on pipe instead (a pipe holding
+    most of the history is served by broadcast, not by one task).
     """
-    prof = profile or pending_profile(pending, now)
+    prof = profile or pending_profile(pending, now, max_pipes)
     start = to_datetime(now) - _dt.timedelta(minutes=abs(int(prof["lookback_minutes"])))
     h = in_window(history, start, to_datetime(now), ts_col)
     if not prune_pipes:
         return h
     if prof["pipes"] is not None:
         return h.where(F.col("pipe").isin(*prof["pipes"]) if prof["pipes"] else F.lit(False))
-    return h.join(distinct_pipes(pending), on="pipe", how="left_semi")
+    return semi_join(h, distinct_pipes(pending), ["pipe"])
 
 
 def latest_per_file(history: DataFrame, keys: Sequence[str] = ("pipe", "path"),

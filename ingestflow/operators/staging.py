@@ -75,9 +75,19 @@ def expand_wildcards(requests: DataFrame, files: DataFrame, dir_col: str = "inpu
     f = files.select(*[F.col(c).alias("__fdir") if c == "dir" else F.col(c)
                        for c in files.columns])
 
+    # Plain names: the files table is unique on (dir, name); weighting each
+    # named file by how many requests name it lets lookup_join serve a file
+    # named by most requests from a broadcast instead of one task.
     exact = req.where(~has_wildcard("__pat"))
-    exact_hits = exact.join(f, (F.col("__dir") == F.col("__fdir"))
-                            & (F.col("__pat") == F.col("name")), "inner")
+    named = exact.groupBy("__dir", "__pat").agg(F.count(F.lit(1)).alias("__n"))
+    fcols = [c for c in f.columns if c not in ("__fdir", "name")]
+    per_file = (f.select(F.col("__fdir").alias("__dir"), F.col("name").alias("__pat"),
+                         *fcols, F.lit(True).alias("__found"))
+                .join(named, on=["__dir", "__pat"], how="inner"))
+    exact_hits = (lookup_join(exact, per_file, ["__dir", "__pat"], "__n",
+                              min_hot_rows=min_hot_rows, max_hot_keys=max_hot_keys)
+                  .where(F.col("__found")).drop("__found", "__n")
+                  .withColumn("__fdir", F.col("__dir")).withColumn("name", F.col("__pat")))
 
     counts = f.groupBy("__fdir").agg(F.count(F.lit(1)).alias("__n"))
     threshold = hot_threshold(counts, "__n", min_hot_rows, max_hot_keys)
@@ -100,7 +110,7 @@ def expand_wildcards(requests: DataFrame, files: DataFrame, dir_col: str = "inpu
         f_salted, (F.col("__dir") == F.col("__fdir")) & (F.col("__salt") == F.col("__fsalt"))
         & F.regexp(F.col("name"), F.col("__rx")), "inner").drop("__rx", "__salt", "__fsalt")
 
-    hits = exact_hits.unionByName(wild_hits)
+    hits = exact_hits.unionByName(wild_hits.select(*exact_hits.columns))
     matched_ids = hits.select("request_id").distinct()
     misses = req.join(matched_ids, on="request_id", how="left_anti")
     for c in f.columns:

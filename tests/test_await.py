@@ -120,3 +120,12 @@ def test_rounds_loop_back(spark, tmpdir_path):
     out = {r.request_id: r for r in await_rounds(pend, hist, 10, nows).collect()}
     assert (out["r0"].route, out["r0"]["round"]) == ("loaded", 2)
     assert (out["r1"].route, out["r1"]["round"]) == ("unmatched", 3)
+
+
+def test_many_pipes_fallback_equals_literal_list(spark):
+    d = "/root/testdata/sf0.001"
+    p, h = fx.pending(spark, d), fx.history(spark, d)
+    from ingestflow.operators.history import history_multi_pipe
+    a = sorted(r.seq for r in history_multi_pipe(h, p, fx.NOW).collect())
+    b = sorted(r.seq for r in history_multi_pipe(h, p, fx.NOW, max_pipes=2).collect())
+    assert a == b and len(a) > 0
