@@ -58,6 +58,33 @@ def pending(spark: SparkSession, sf_dir: str, blank_stamps: bool = False) -> Dat
     )
 
 
+def pending_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-PENDING with every third request moved onto one (pipe, file) key."""
+    p = pending(spark, sf_dir)
+    hot = (F.col("arrival_seq") % 3 == 0)
+    return (p.withColumn("pipe", F.when(hot & F.col("pipe").isNotNull(), F.lit("pipe_0"))
+                         .otherwise(F.col("pipe")))
+             .withColumn("file", F.when(hot & F.col("file").isNotNull(), F.lit("f_0.csv"))
+                         .otherwise(F.col("file"))))
+
+
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON-lines record per event, some malformed, spread over 50 files."""
+    ev = read_table(spark, sf_dir, "events")
+    eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
+    s = lambda c: c.cast("string")
+    value = (F.when(eid % 50 == 13, F.concat(F.lit("["), s(eid), F.lit("]")))
+             .when((et == "error") & (eid % 3 == 0), F.concat(F.lit("{broken "), s(eid)))
+             .when((et == "signup") & (eid % 4 == 0),
+                   F.concat(F.lit('{"id": "x'), s(eid), F.lit('", "user": '), s(uid), F.lit("}")))
+             .when((et == "click") & (eid % 5 == 0),
+                   F.concat(F.lit('{"id": '), s(eid), F.lit("}")))
+             .otherwise(F.concat(F.lit('{"id": '), s(eid), F.lit(', "user": '), s(uid),
+                                 F.lit(', "kind": "'), et, F.lit('"}'))))
+    return ev.select(F.concat(F.lit("ev_"), s(eid % 50), F.lit(".json")).alias("path"),
+                     value.alias("value"), eid.alias("pos"))
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-HISTORY: one load-history entry per non-``view`` event."""
     ev = read_table(spark, sf_dir, "events").where(F.col("event_type") != "view")

@@ -20,6 +20,8 @@ from ingestflow.operators import audit, history as hist, load, reconcile, stagin
 
 LINE_SPEC = load.PipeSpec(name=fx.LOAD_PIPE, format="csv",
                           schema_ddl="orderkey BIGINT, partkey BIGINT, quantity INT")
+JSON_SPEC = load.PipeSpec(name="database.schema.events_pipe", format="json",
+                          schema_ddl="id BIGINT, user BIGINT, kind STRING")
 LINE_SPEC_SKIP = load.PipeSpec(name=fx.LOAD_PIPE, format="csv",
                                schema_ddl="orderkey BIGINT, partkey BIGINT, quantity INT",
                                on_error="SKIP_FILE")
@@ -36,6 +38,14 @@ def await_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "error_count", "age_minutes", "status")
 
 
+def await_routes_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship with a third of all requests on one key, hot-key path forced on."""
+    out = reconcile.await_results(fx.pending_skewed(spark, sf_dir), fx.history(spark, sf_dir),
+                                  fx.MAX_AGE_MINUTES, fx.NOW, min_hot_rows=0, max_hot_keys=100)
+    return out.select("arrival_seq", "request_id", "pipe", "file", "route", "queued_ms",
+                      "error", "error_count", "age_minutes", "status")
+
+
 def route_counts(spark, sf_dir):
     return audit.route_counts(_await(spark, sf_dir))
 
@@ -190,6 +200,14 @@ def load_rows_skip_file(spark, sf_dir):
     return load.loaded_rows(parsed, LINE_SPEC_SKIP)
 
 
+def load_history_json(spark, sf_dir):
+    return load.file_stats(load.parse_lines(fx.json_lines(spark, sf_dir), JSON_SPEC), JSON_SPEC)
+
+
+def load_rows_json(spark, sf_dir):
+    return load.loaded_rows(load.parse_lines(fx.json_lines(spark, sf_dir), JSON_SPEC), JSON_SPEC)
+
+
 def await_two_rounds(spark, sf_dir):
     out = reconcile.await_rounds(fx.pending(spark, sf_dir), fx.history(spark, sf_dir),
                                  fx.MAX_AGE_MINUTES, [fx.ROUND1_NOW, fx.NOW])
@@ -227,4 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_rows_skip_file": load_rows_skip_file,
     "load_history_skip_file": load_history_skip_file,
     "await_two_rounds": await_two_rounds,
+    "await_routes_skewed": await_routes_skewed,
+    "load_history_json": load_history_json,
+    "load_rows_json": load_rows_json,
 }

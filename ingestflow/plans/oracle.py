@@ -108,6 +108,20 @@ def _await_sql(select: str, blank: bool = False) -> str:
             f"{await_ctes('pending', fx.NOW, fx.MAX_AGE_MINUTES, 'a')}\n{select}")
 
 
+def _pending_skewed_cte() -> str:
+    base = _pending_cte(name="pending0")
+    return base + """,
+pending as (select request_id,
+    case when arrival_seq % 3 = 0 and pipe is not null then 'pipe_0' else pipe end as pipe,
+    case when arrival_seq % 3 = 0 and file is not null then 'f_0.csv' else file end as file,
+    queued_ms, lineage_ms, arrival_seq from pending0)"""
+
+
+AWAIT_ROUTES_SKEWED = (f"with {_pending_skewed_cte()},\n{HISTORY_CTE},"
+                       f"{await_ctes('pending', fx.NOW, fx.MAX_AGE_MINUTES, 'a')}\n"
+                       "select arrival_seq, request_id, pipe, file, route, queued_ms, error, "
+                       "error_count, age_minutes, status from a_out")
+
 AWAIT_ROUTES = _await_sql("""select arrival_seq, request_id, pipe, file, route, queued_ms,
   error, error_count, age_minutes, status from a_out""")
 
@@ -358,6 +372,40 @@ select path, l_orderkey as orderkey, l_partkey as partkey, quantity from lines
 where path not in (select path from lines where bad)"""
 
 
+JSON_CTE = """jl as (select 'ev_' || (event_id % 50) || '.json' as path, event_id, user_id,
+  event_type,
+  case when event_id % 50 = 13 then 'array'
+       when event_type = 'error' and event_id % 3 = 0 then 'broken'
+       when event_type = 'signup' and event_id % 4 = 0 then 'badtype'
+       when event_type = 'click' and event_id % 5 = 0 then 'short'
+       else 'full' end as shape
+  from events),
+j as (select path, event_id, shape in ('array', 'broken', 'badtype') as bad,
+  case shape when 'array' then '[' || event_id || ']'
+    when 'broken' then '{broken ' || event_id
+    when 'badtype' then '{"id": "x' || event_id || '", "user": ' || user_id || '}'
+    when 'short' then '{"id": ' || event_id || '}'
+    else '{"id": ' || event_id || ', "user": ' || user_id || ', "kind": "' || event_type || '"}'
+  end as value,
+  case when shape in ('short', 'full') then event_id end as id,
+  case when shape = 'full' then user_id end as "user",
+  case when shape = 'full' then event_type end as kind
+  from jl)"""
+
+LOAD_HISTORY_JSON = f"""with {JSON_CTE},
+s as (select path, count(*) as n, count(*) filter (where bad) as e,
+  arg_min(value, event_id) filter (where bad) as first_bad from j group by path)
+select 'database.schema.events_pipe' as pipe, path,
+  case when e = 0 then 'LOADED' when n - e = 0 then 'LOAD_FAILED' else 'PARTIALLY_LOADED' end
+    as status,
+  n as rows_parsed, n - e as rows_loaded, e as errors_seen,
+  case when e > 0 then 'Invalid record: ' || first_bad end as first_error
+from s"""
+
+LOAD_ROWS_JSON = f"""with {JSON_CTE}
+select path, id, "user", kind from j where not bad"""
+
+
 def _two_rounds() -> str:
     r1 = fx.ROUND1_NOW
     r1_ms = epoch_ms(r1)
@@ -409,4 +457,7 @@ ORACLE: dict[str, str] = {
     "load_rows_skip_file": LOAD_ROWS_SKIP_FILE,
     "load_history_skip_file": LOAD_HISTORY_SKIP_FILE,
     "await_two_rounds": AWAIT_TWO_ROUNDS,
+    "await_routes_skewed": AWAIT_ROUTES_SKEWED,
+    "load_history_json": LOAD_HISTORY_JSON,
+    "load_rows_json": LOAD_ROWS_JSON,
 }
