@@ -212,6 +212,13 @@ def stage_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stage_results_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-STAGE-RESULT with every third result reported for request ``1``."""
+    r = stage_results(spark, sf_dir)
+    return r.withColumn("request_id", F.when(F.col("result_seq") % 3 == 0, F.lit("1"))
+                        .otherwise(F.col("request_id")))
+
+
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-FILES: one listed source file per document (md5 over the whole text)."""
     d = read_table(spark, sf_dir, "documents")

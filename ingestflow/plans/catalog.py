@@ -160,12 +160,18 @@ def stage_plan(spark, sf_dir):
         "stage", "dir", "name", "size", "md5", "status")
 
 
-def _stage_routes(spark, sf_dir):
+def _stage_routes(spark, sf_dir, skewed=False, **kw):
     req = staging.validate_requests(fx.stage_requests(spark, sf_dir))
-    res = fx.stage_results(spark, sf_dir).select(
+    res = (fx.stage_results_skewed if skewed else fx.stage_results)(spark, sf_dir).select(
         "request_id", "source_filename", "target_filename", "source_size", "target_size",
         "source_compression", "target_compression", "status", "encryption", "message")
-    return staging.route_stage(req, res)
+    return staging.route_stage(req, res, **kw)
+
+
+def stage_routes_skewed(spark, sf_dir):
+    """Stage routing with a third of all results on one request, hot-key path forced on."""
+    return _stage_routes(spark, sf_dir, skewed=True, min_hot_rows=0, max_hot_keys=100).select(
+        "request_id", "source_filename", "status", "route", "error", "stage_command")
 
 
 def stage_routes(spark, sf_dir):
@@ -248,4 +254,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "await_routes_skewed": await_routes_skewed,
     "load_history_json": load_history_json,
     "load_rows_json": load_rows_json,
+    "stage_routes_skewed": stage_routes_skewed,
 }

@@ -326,6 +326,20 @@ routed as (
 
 STAGE_ROUTES = _STAGE_ROUTES_BODY + "\nselect * from routed"
 
+STAGE_ROUTES_SKEWED = f"""with {REQUEST_CTE}, {RESULTS_CTE.replace("res as (", "res0 as (")},
+res as (select case when o_orderkey % 3 = 0 then '1' else request_id end as request_id,
+  source_filename, status from res0),
+routed as (
+  select r.request_id, r.source_filename, r.status,
+    case r.status when 'UPLOADED' then 'uploaded' when 'SKIPPED' then 'skipped'
+      else 'failure' end as route, cast(null as varchar) as error, c.stage_command
+  from res r left join cmd c on c.request_id = r.request_id
+  union all
+  select c.request_id, null, null, 'failure',
+    'No results received from PUT statement: ' || c.stage_command, c.stage_command
+  from cmd c where not exists (select 1 from res r where r.request_id = c.request_id))
+select * from routed"""
+
 STAGE_NO_RESULTS = (_STAGE_ROUTES_BODY + "\nselect request_id, route, error from routed "
                     "where source_filename is null")
 
@@ -460,4 +474,5 @@ ORACLE: dict[str, str] = {
     "await_routes_skewed": AWAIT_ROUTES_SKEWED,
     "load_history_json": LOAD_HISTORY_JSON,
     "load_rows_json": LOAD_ROWS_JSON,
+    "stage_routes_skewed": STAGE_ROUTES_SKEWED,
 }
