@@ -73,3 +73,26 @@ def test_ticks_advance_time_without_new_requests(spark, tmpdir_path):
         q.stop()
     routes = {r.request_id: r.route for r in read_routes(spark, out).collect()}
     assert routes == {"r1": "unmatched"}
+
+
+def test_scheduled_history_reports(spark, tmpdir_path):
+    from ingestflow.streaming.history_reports import start_history_reports
+    h = spark.createDataFrame(
+        [("p", "a", "LOADED", 1, 1, None, None, NOW + dt.timedelta(minutes=15), 1)], HISTORY)
+    hist = os.path.join(tmpdir_path, "hist")
+    h.write.parquet(hist)
+    out = os.path.join(tmpdir_path, "reports")
+    # Tick i reports [NOW + 10i - 10 min, NOW + 10i]: only tick 2 sees the entry (NOW + 15).
+    q = start_history_reports(spark, lambda s: s.read.parquet(hist), "p", 10, out,
+                              os.path.join(tmpdir_path, "chk"), period="1 second",
+                              clock=lambda b, i: NOW + dt.timedelta(minutes=10 * i))
+    deadline = time.time() + 60
+    try:
+        while time.time() < deadline:
+            time.sleep(1)
+            if q.lastProgress and q.lastProgress["batchId"] >= 4:
+                break
+    finally:
+        q.stop()
+    written = sorted(d for d in os.listdir(out) if d.startswith("batch="))
+    assert written == ["batch=2"]
