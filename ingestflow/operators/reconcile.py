@@ -112,19 +112,19 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
              .when(pipe.isNull(), F.lit(MISSING_ATTRIBUTE_TEXT + "pipe"))
              .when(file.isNull(), F.lit(MISSING_ATTRIBUTE_TEXT + "file"))
              .when(with_errors, entry.getField("first_error")))
-    out = (j.withColumn("route", route)
-           .withColumn("age_minutes", F.coalesce(F.col("first_age"),
-                                                 queue_age("queued_ms", now_ms)))
-           .withColumn("status", status)
-           .withColumn("error", error)
-           .withColumn("error_count",
-                       F.when(with_errors, entry.getField("errors_seen").cast("string")))
-           .withColumn("payload", F.when(has, F.to_json(entry)))
-           .withColumn("queued_ms", F.when(F.col("route") == "unmatched",
-                                           F.lit(None).cast("string"))
-                       .otherwise(F.when(valid, stamp_or_now("queued_ms", now_ms))
-                                  .otherwise(F.col("queued_ms")))))
-    return out.select(*pending.columns, *OUTPUT_EXTRA)
+    stamped = (F.when(route == "unmatched", F.lit(None).cast("string"))
+               .when(valid, stamp_or_now("queued_ms", now_ms))
+               .otherwise(F.col("queued_ms")))
+    extra = {
+        "age_minutes": F.coalesce(F.col("first_age"), queue_age("queued_ms", now_ms)),
+        "route": route,
+        "status": status,
+        "error": error,
+        "error_count": F.when(with_errors, entry.getField("errors_seen").cast("string")),
+        "payload": F.when(has, F.to_json(entry)),
+    }
+    cols = [stamped.alias(c) if c == "queued_ms" else F.col(c) for c in pending.columns]
+    return j.select(*cols, *[extra[c].alias(c) for c in OUTPUT_EXTRA])
 
 
 def waiting_rows(routed: DataFrame, pending_columns) -> DataFrame:
