@@ -59,39 +59,11 @@ def lookback_minutes(pending: DataFrame, now) -> DataFrame:
         .alias("lookback_minutes"))
 
 
-def lookback_start(pending: DataFrame, now) -> _dt.datetime:
-    """``now - |lookback|`` as a driver-side constant.
-
-    The look-back is a one-row aggregate over the pending rows, fetched
-    eagerly so the window start becomes a literal: a literal bound reaches
-    the Parquet scan (row-group min/max skipping, partition pruning on a
-    date-partitioned history), a scalar subquery would only filter after
-    the scan.
-    """
-    mins = lookback_minutes(pending, now).first()[0]
-    return to_datetime(now) - _dt.timedelta(minutes=abs(int(mins)))
-
-
 def distinct_pipes(pending: DataFrame) -> DataFrame:
     """Distinct pipe names of keyed pending rows."""
     return keyed(pending).select("pipe").distinct()
 
 
-def pipe_filter(pending: DataFrame, limit: int = MAX_PIPES_IN_FILTER) -> Column | None:
-    """Literal ``pipe IN (...)`` predicate when the pending pipe set is small.
-
-    The set is fetched with ``limit + 1`` so at most that many names ever
-    reach the driver; a larger set returns ``None`` and the caller relies on
-    the key join instead.
-    """
-    names = [r[0] for r in distinct_pipes(pending).limit(limit + 1).collect()]
-    if len(names) > limit:
-        return None
-    if not names:
-        return F.lit(False)
-    return F.col("pipe").isin(*names)
-
-
 def history_for_pending(history: DataFrame, pending: DataFrame, **kw) -> DataFrame:
     """History entries whose (pipe, path) is a key of some keyed pending row."""
     keys = keyed(pending).select("pipe", F.col("file").alias("path"))
