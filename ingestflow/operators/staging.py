@@ -28,7 +28,9 @@ def validate_requests(raw: DataFrame) -> DataFrame:
     parallel must be an integer (null means 4).  Every failed rule is listed.
     """
     par = F.col("parallel")
-    par_int = par.try_cast("int")
+    # An integer as Integer.parseInt reads it: optional sign, digits, in range
+    # (a cast alone would also accept surrounding blanks).
+    par_int = F.when(par.rlike(r"^[+-]?[0-9]+$"), par.try_cast("int"))
     reasons = [
         F.when(~_non_empty(F.col("input_directory")), F.lit("input_directory is empty")),
         F.when(~_non_empty(F.col("file_name")), F.lit("file_name is empty")),

@@ -283,10 +283,13 @@ r as (select request_id, parallel, concat_ws('; ',
     case when source_compression not in ('AUTO_DETECT', 'GZIP', 'BZ2', 'BROTLI', 'ZSTD',
          'DEFLATE', 'RAW_DEFLATE', 'NONE', 'default')
          then 'source_compression is not an allowed value' end,
-    case when try_cast(parallel as int) is null then 'parallel is not an integer' end) as why
+    case when parallel is not null and (not regexp_full_match(parallel, '[+-]?[0-9]+')
+              or try_cast(parallel as int) is null)
+         then 'parallel is not an integer' end) as why
   from raw)
 select request_id, nullif(why, '') as invalid_reason,
-  coalesce(try_cast(parallel as int), 4) as parallel from r"""
+  coalesce(case when regexp_full_match(parallel, '[+-]?[0-9]+')
+                then try_cast(parallel as int) end, 4) as parallel from r"""
 
 FILES_CTE = """files as (select '/src/' || source as dir, 'd' || doc_id || '.txt' as name,
   n_chars as size, md5(text) as md5, doc_id, text from documents)"""

@@ -105,3 +105,28 @@ def test_stage_step_copies_and_skips(spark, tmpdir_path):
     assert sorted((r.target_name, r.md5) for r in new_man.collect()) == [
         ("a1.csv.gz", hashlib.md5(b"1,2,3\n").hexdigest()),
         ("c.gz", hashlib.md5(files["c.gz"]).hexdigest())]
+
+
+def test_validate_requests_rules(spark):
+    from ingestflow.operators.staging import validate_requests
+    rows = [("ok", "/d", "f", "s", "true", "GZIP", "10"),
+            ("blank", " ", "f", "s", None, None, None),
+            ("empty", "", "", "", "default", "default", "4"),
+            ("values", "/d", "f", "s", "yes", "LZO", " 5"),
+            ("decimal", "/d", "f", "s", "default", "default", "5.0"),
+            ("big", "/d", "f", "s", "default", "default", "99999999999"),
+            ("signed", "/d", "f", "s", "default", "default", "+7")]
+    df = spark.createDataFrame(rows, "request_id string, input_directory string, file_name "
+                               "string, internal_stage string, auto_compress string, "
+                               "source_compression string, parallel string")
+    out = {r.request_id: (r.invalid_reason, r.parallel, r.auto_compress)
+           for r in validate_requests(df).collect()}
+    assert out["ok"] == (None, 10, "true")
+    assert out["blank"] == (None, 4, "default")            # non-empty, not non-blank
+    assert out["empty"][0] == ("input_directory is empty; file_name is empty; "
+                               "internal_stage is empty")
+    assert out["values"][0] == ("auto_compress is not an allowed value; source_compression is "
+                                "not an allowed value; parallel is not an integer")
+    assert out["decimal"][0] == "parallel is not an integer"
+    assert out["big"][0] == "parallel is not an integer"
+    assert out["signed"] == (None, 7, "default")
