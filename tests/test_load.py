@@ -68,3 +68,15 @@ def test_json_lines(spark, tmpdir_path):
     (r,) = stats.collect()
     assert (r.status, r.rows_parsed, r.errors_seen) == ("PARTIALLY_LOADED", 3, 2)
     assert rows.count() == 1
+
+
+def test_parquet_stage(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "pq")
+    spark.range(10).selectExpr("cast(id as int) as a", "cast(id as string) as b") \
+        .repartition(2).write.parquet(d)
+    spec = PipeSpec(name="p", format="parquet", schema_ddl="a INT, b STRING")
+    rows, stats = load_files(spark, spec, d, path_glob="*.parquet")
+    got = [(r.status, r.rows_loaded, r.errors_seen) for r in stats.collect()]
+    assert len(got) == 2 and all(g[0] == "LOADED" and g[2] == 0 for g in got)
+    assert sum(g[1] for g in got) == 10
+    assert rows.count() == 10
