@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_MIN_HOT_ROWS = 1_000_000
 DEFAULT_MAX_HOT_KEYS = 1000
@@ -44,6 +45,17 @@ def hot_threshold(per_key: DataFrame, weight: str, min_hot_rows: int,
     return F.greatest(F.lit(min_hot_rows).cast("double"), t.cast("double") / max_hot_keys)
 
 
+def _hashable(t: T.DataType) -> bool:
+    """Spark's hash functions reject map types (also when nested)."""
+    if isinstance(t, T.MapType):
+        return False
+    if isinstance(t, T.ArrayType):
+        return _hashable(t.elementType)
+    if isinstance(t, T.StructType):
+        return all(_hashable(f.dataType) for f in t.fields)
+    return True
+
+
 def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight: str,
                 spread: Sequence[str] | None = None,
                 min_hot_rows: int = DEFAULT_MIN_HOT_ROWS,
@@ -56,7 +68,8 @@ def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight
     ``total`` (the sum of the weights), when the caller knows it, saves the
     scalar subquery that would otherwise compute it.
     ``spread`` names row columns that vary within a key (default: all row
-    columns) and seed the salt of hot and null-key rows.  The result has the
+    columns Spark can hash, i.e. not maps) and seed the salt of hot and
+    null-key rows.  The result has the
     columns of ``rows`` followed by the value columns of ``per_key``.
     """
     keys = list(keys)
@@ -78,7 +91,8 @@ def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight
     # Size bound: fewer than max_hot_keys rows (see module docstring).
     step = rows.join(F.broadcast(hot_side), on=cond, how="left").drop(*hk.values())
 
-    seed_cols = list(spread) if spread else list(rows.columns)
+    seed_cols = list(spread) if spread else [
+        c for c in rows.columns if _hashable(rows.schema[c].dataType)]
     any_null_key = F.lit(False)
     for k in keys:
         any_null_key = any_null_key | F.col(k).isNull()

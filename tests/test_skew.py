@@ -78,3 +78,10 @@ def test_wildcard_join_hot_directory(spark):
                       ("d", "/big", "f3.csv"), ("e", "/none", "*")]:
         want[rid] = sum(1 for fd, fn in fl if fd == d and fnmatch.fnmatchcase(fn, p))
     assert counts == want
+
+
+def test_lookup_join_with_map_column(spark):
+    rows = _rows(spark, 600).withColumn("attrs", F.create_map(F.lit("k"), F.col("k")))
+    per_key = rows.where(F.col("k").isNotNull()).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = lookup_join(rows, per_key, ["k"], "n", min_hot_rows=0, max_hot_keys=10)
+    assert out.count() == 600
