@@ -129,3 +129,12 @@ def test_many_pipes_fallback_equals_literal_list(spark):
     a = sorted(r.seq for r in history_multi_pipe(h, p, fx.NOW).collect())
     b = sorted(r.seq for r in history_multi_pipe(h, p, fx.NOW, max_pipes=2).collect())
     assert a == b and len(a) > 0
+
+
+def test_empty_pending_gives_empty_result(spark):
+    pend = spark.createDataFrame([], PENDING)
+    hist = _history(spark, [("p", "a", "LOADED", None, None, 1)])
+    out = await_results(pend, hist, 10, NOW)
+    assert out.count() == 0
+    assert out.columns[-6:] == ["age_minutes", "route", "status", "error", "error_count",
+                                "payload"]
