@@ -16,8 +16,11 @@ the work.  ``lookup_join`` splits the keys in two:
   over all shuffle partitions rather than piling into the one their key
   hashes to.  No row is replicated and none is dropped.
 
-AQE may still turn the cold join into a broadcast when it measures the
-summary as small at runtime; that decision is made on observed sizes.
+When the caller knows the total and it is at most ``min_hot_rows``, no key
+can exceed the threshold and no task can receive more than that many rows
+of one key, so a plain join is used.  AQE may still turn the cold join into
+a broadcast when it measures the summary as small at runtime; that decision
+is made on observed sizes.
 """
 
 from __future__ import annotations
