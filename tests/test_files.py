@@ -23,7 +23,7 @@ def _make_src(root):
     return src, files
 
 
-def test_list_and_digest(spark, tmpdir_path):
+def test_list_files(spark, tmpdir_path):
     src, files = _make_src(tmpdir_path)
     dirs = spark.createDataFrame([(src,), (src,), (os.path.join(tmpdir_path, "missing"),)],
                                  "dir string")
@@ -76,7 +76,7 @@ def test_route_stage_no_results_text(spark):
                         "PUT file:///d/g @st SOURCE_COMPRESSION = GZIP PARALLEL = 10")
 
 
-def test_stage_step_copies_and_skips(spark, tmpdir_path):
+def test_stage_files(spark, tmpdir_path):
     src, files = _make_src(tmpdir_path)
     stage_root = os.path.join(tmpdir_path, "stages")
     raw = spark.createDataFrame(

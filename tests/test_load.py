@@ -31,7 +31,7 @@ def _paths(spark, d):
     return spark.createDataFrame([(os.path.join(d, n),) for n in os.listdir(d)], "path string")
 
 
-def test_continue_policy(spark, tmpdir_path):
+def test_load_files(spark, tmpdir_path):
     d = _stage(tmpdir_path)
     rows, stats = load_files(spark, SPEC, d, _paths(spark, d))
     s = {os.path.basename(r.path): (r.status, r.rows_parsed, r.rows_loaded, r.errors_seen,
