@@ -6,8 +6,8 @@
     report  --history H --pipe NAME --trailing-minutes N --out OUT [--now ISO]
     await   --pending P --history H --max-age-minutes N --out OUT [--now ISO]
 
-Inputs ending in ``.json``/``.jsonl`` (or folders of them) are read as JSON
-lines, anything else as Parquet.  Routed outputs are written partitioned by
+Input paths ending in ``.json``/``.jsonl`` are read as JSON lines, anything
+else as Parquet.  Routed outputs are written partitioned by
 route.  ``--now`` defaults to the current UTC time.  The session comes from
 ``spark-submit``/the environment; checkpoints use ``spark.checkpoint.dir``.
 """
@@ -83,6 +83,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spec = PipeSpec(name=args.pipe, format=args.format, schema_ddl=args.schema,
                         on_error=args.on_error)
         rows, stats = load_files(spark, spec, args.stage_dir)
+        # Two outputs, two passes over the stage: cheaper than writing every
+        # parsed line to an intermediate table to share one pass.
         rows.write.mode("append").parquet(args.rows)
         as_history(stats, _now(args.now)).write.mode("append").parquet(args.history)
     elif args.step == "report":
