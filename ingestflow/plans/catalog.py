@@ -179,6 +179,14 @@ def stage_routes(spark, sf_dir):
                                                "route", "error")
 
 
+def stage_route_counts(spark, sf_dir):
+    return audit.route_counts(_stage_routes(spark, sf_dir))
+
+
+def submit_route_counts(spark, sf_dir):
+    return audit.route_counts(submit.classify_submission(fx.outcomes(spark, sf_dir)))
+
+
 def stage_no_results(spark, sf_dir):
     return _stage_routes(spark, sf_dir).where(F.col("source_filename").isNull()).select(
         "request_id", "route", "error")
@@ -255,4 +263,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_history_json": load_history_json,
     "load_rows_json": load_rows_json,
     "stage_routes_skewed": stage_routes_skewed,
+    "stage_route_counts": stage_route_counts,
+    "submit_route_counts": submit_route_counts,
 }

@@ -222,6 +222,9 @@ union all
 select request_id, route, 2 as round, code as response_code, error_message from c2
 where request_id in (select request_id from c1 where route = 'retry')"""
 
+SUBMIT_ROUTE_COUNTS = f"""with {OUTCOME_CTE}, c as ({_CLASSIFY.format(src='outcome')})
+select route, count(*) as n from c group by route"""
+
 RESPONSE_CODE = """select o_orderkey as id, coalesce(nullif(regexp_extract(
   case o_orderkey % 6 when 0 then 'HTTP Status: ' || (o_orderkey % 200 + 400)
     when 1 then 'x HTTP Status: 429 y HTTP Status: 1500'
@@ -343,6 +346,9 @@ routed as (
   from cmd c where not exists (select 1 from res r where r.request_id = c.request_id))
 select * from routed"""
 
+STAGE_ROUTE_COUNTS = (_STAGE_ROUTES_BODY + "\nselect route, count(*) as n from routed "
+                      "group by route")
+
 STAGE_NO_RESULTS = (_STAGE_ROUTES_BODY + "\nselect request_id, route, error from routed "
                     "where source_filename is null")
 
@@ -478,4 +484,6 @@ ORACLE: dict[str, str] = {
     "load_history_json": LOAD_HISTORY_JSON,
     "load_rows_json": LOAD_ROWS_JSON,
     "stage_routes_skewed": STAGE_ROUTES_SKEWED,
+    "stage_route_counts": STAGE_ROUTE_COUNTS,
+    "submit_route_counts": SUBMIT_ROUTE_COUNTS,
 }
