@@ -22,10 +22,6 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # The stateful streaming operator keeps its state in RocksDB on the
-    # checkpoint location, not in executor heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -104,8 +100,6 @@ def local_session_for_tests(tmp_root: str, cpus: int | str = "*",
                             extra: dict[str, str] | None = None) -> SparkSession:
     """Local session used by tests and the bench; sets a checkpoint folder only if unset."""
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=shuffle_partitions,
-                          extra={"spark.driver.memory": "8g",
-                                 "spark.python.unix.domain.socket.enabled": "true",
-                                 **(extra or {})})
+                          extra={"spark.driver.memory": "8g", **(extra or {})})
     ensure_checkpoint_dir(spark, os.path.join(tmp_root, "checkpoints"))
     return spark
