@@ -36,6 +36,18 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _history_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+    """The existing history table, if any (so a re-run skips loaded files).
+
+    The DataFrame lists its files when created, so this run's own append to
+    the same table afterwards does not change what it reads.
+    """
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return spark.read.parquet(path) if fs.exists(hpath) else None
+
+
 def _now(value: str | None) -> _dt.datetime:
     if value:
         return _dt.datetime.fromisoformat(value)
@@ -82,7 +94,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.step == "load":
         spec = PipeSpec(name=args.pipe, format=args.format, schema_ddl=args.schema,
                         on_error=args.on_error)
-        rows, stats = load_files(spark, spec, args.stage_dir)
+        prior = _history_if_exists(spark, args.history)
+        rows, stats = load_files(spark, spec, args.stage_dir, history=prior)
         # Two outputs, two passes over the stage: cheaper than writing every
         # parsed line to an intermediate table to share one pass.
         rows.write.mode("append").parquet(args.rows)

@@ -189,18 +189,37 @@ def read_staged(spark: SparkSession, spec: PipeSpec, location: str,
                      *spec.field_names)
 
 
+def already_loaded(history: DataFrame, spec: PipeSpec) -> DataFrame:
+    """Paths this pipe has loaded (latest entry ``LOADED`` or ``PARTIALLY_LOADED``).
+
+    A pipe does not load the same file twice; a failed load may be retried.
+    """
+    from ingestflow.operators.history import latest_per_file
+    latest = latest_per_file(history.where(F.col("pipe") == F.lit(spec.name)))
+    return latest.where(F.col("status").isin("LOADED", "PARTIALLY_LOADED")).select("path")
+
+
 def load_files(spark: SparkSession, spec: PipeSpec, location: str, files: DataFrame | None = None,
-               path_glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+               path_glob: str | None = None,
+               history: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Load staged files: returns (target rows, per-file statistics).
 
     ``files`` (column ``path``) lists the files to load; it restricts the
     read through a semi-join and supplies zero-length files, which the
     reader yields no lines for and which are reported ``LOADED`` with 0 rows.
+    ``history`` (entries with the same path form) makes the load idempotent:
+    files this pipe already loaded are skipped, so a re-run or a retried job
+    appends nothing twice.
     """
     fmt = spec.format.lower()
     staged = read_staged(spark, spec, location, path_glob)
     if files is not None:
         staged = semi_join(staged, files.select("path"), ["path"])
+    if history is not None:
+        done = already_loaded(history, spec)
+        staged = semi_join(staged, done, ["path"], anti=True)
+        if files is not None:
+            files = semi_join(files.select("path"), done, ["path"], anti=True)
     if fmt in TEXT_FORMATS:
         parsed = parse_lines(staged, spec)
         stats = file_stats(parsed, spec)

@@ -22,6 +22,12 @@ def test_cli_load_then_await_then_report(spark, tmpdir_path):
     h = spark.read.parquet(hist)
     assert sorted((os.path.basename(r.path), r.status) for r in h.collect()) == [
         ("a.csv", "PARTIALLY_LOADED"), ("b.csv", "LOADED")]
+    # A re-run loads nothing twice: both files are already loaded by this pipe.
+    assert main(["load", "--stage-dir", stage, "--pipe", "db.s.p", "--schema", "k INT, v STRING",
+                 "--rows", os.path.join(tmpdir_path, "rows"), "--history", hist, "--now", now],
+                spark) == 0
+    assert spark.read.parquet(hist).count() == 2
+    assert spark.read.parquet(os.path.join(tmpdir_path, "rows")).count() == 2
 
     # Pending requests name the files as the history does (full path here).
     pend = os.path.join(tmpdir_path, "pending.json")

@@ -80,3 +80,14 @@ def test_parquet_stage(spark, tmpdir_path):
     assert len(got) == 2 and all(g[0] == "LOADED" and g[2] == 0 for g in got)
     assert sum(g[1] for g in got) == 10
     assert rows.count() == 10
+
+
+def test_reload_skips_loaded_files(spark, tmpdir_path):
+    d = _stage(tmpdir_path)
+    rows, stats = load_files(spark, SPEC, d, _paths(spark, d))
+    from pyspark.sql import functions as F
+    hist = stats.select("pipe", "path", "status", F.lit(1).cast("long").alias("seq"))
+    again_rows, again_stats = load_files(spark, SPEC, d, _paths(spark, d), history=hist)
+    # Only the file that failed outright may be loaded again.
+    assert sorted(os.path.basename(r.path) for r in again_stats.collect()) == ["allbad.csv"]
+    assert again_rows.count() == 0
