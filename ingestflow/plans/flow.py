@@ -116,12 +116,17 @@ def run_flow(spark: SparkSession, raw_requests: DataFrame, manifest: DataFrame,
     stage_step(raw_requests, manifest, stage_root, parallel).write.mode("overwrite") \
         .parquet(f"{work}/stage_routes")
     staged = spark.read.parquet(f"{work}/stage_routes")
-    uploaded = staged.where(F.col("route").isin("uploaded", "skipped")).select(
+    # Only what this run copied is submitted and loaded; skipped files were
+    # staged (and loaded) before, and other files in the stage are not ours.
+    stage_dir = f"{stage_root.rstrip('/')}/{stage}"
+    uploaded = staged.where((F.col("route") == "uploaded")
+                            & (F.col("internal_stage") == F.lit(stage))).select(
         "request_id", F.lit(spec.name).alias("pipe"),
         F.col("target_filename").alias("file"))
     submitted = submit_step(uploaded, [spec.name])
-    stage_dir = f"{stage_root.rstrip('/')}/{stage}"
-    target_rows, hist = load_step(spark, spec, stage_dir, now)
+    new_files = uploaded.select(
+        F.concat(F.lit(stage_dir.rstrip("/") + "/"), F.col("file")).alias("path")).distinct()
+    target_rows, hist = load_step(spark, spec, stage_dir, now, files=new_files)
     now_ms = epoch_ms(now)
     pending = submitted.where(F.col("route") == "success").select(
         "request_id", "pipe", "file",

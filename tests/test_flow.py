@@ -36,3 +36,17 @@ def test_end_to_end(spark, tmpdir_path):
     assert out["target_rows"].count() == 3
     assert sorted(r.target_name for r in out["manifest_additions"].collect()) == [
         "bad.csv", "good.csv", "mixed.csv"]
+
+    # Second run over the same folders with the updated manifest: one new file only.
+    with open(os.path.join(src, "new.csv"), "w") as f:
+        f.write("9,z\n")
+    man2 = out["manifest_additions"]
+    out2 = run_flow(spark, raw, man2, os.path.join(tmpdir_path, "stages"), spec, "st",
+                    now + dt.timedelta(minutes=5), max_age_minutes=60,
+                    work_dir=os.path.join(tmpdir_path, "work2"))
+    stage2 = sorted((r.target_filename, r.route) for r in out2["stage_routes"].collect()
+                    if r.request_id == "r1")
+    assert stage2 == [("bad.csv", "skipped"), ("good.csv", "skipped"),
+                      ("mixed.csv", "skipped"), ("new.csv", "uploaded")]
+    assert {r.file: r.route for r in out2["await_routes"].collect()} == {"new.csv": "loaded"}
+    assert out2["target_rows"].count() == 1
