@@ -141,6 +141,26 @@ def history_document(entries: DataFrame, order: str = "seq") -> DataFrame:
     return entries.select(F.col(order), F.to_json(F.struct(*cols)).alias("json"))
 
 
+def history_array(entries: DataFrame, order: str = "seq",
+                  max_entries: int = 100_000) -> DataFrame | None:
+    """The report as one JSON array (the original single-document form), size-checked.
+
+    Returns ``None`` for an empty window (no document, as originally).  The
+    entries are counted first; above ``max_entries`` this refuses rather
+    than gather an unbounded list into one task (use the JSON-lines writer).
+    """
+    n = entries.count()
+    if n == 0:
+        return None
+    if n > max_entries:
+        raise ValueError(f"{n} entries exceed max_entries={max_entries}; "
+                         "write the report as JSON lines instead")
+    cols = entries.columns
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("__k"),
+                                                   F.struct(*cols).alias("__e"))))
+    return entries.agg(F.to_json(F.transform(ordered, lambda x: x["__e"])).alias("json"))
+
+
 def write_history_document(entries: DataFrame, path: str, order: str = "seq") -> bool:
     """Write the report (JSON lines) only when the window holds any entry."""
     if entries.isEmpty():

@@ -96,3 +96,18 @@ def test_scheduled_history_reports(spark, tmpdir_path):
         q.stop()
     written = sorted(d for d in os.listdir(out) if d.startswith("batch="))
     assert written == ["batch=2"]
+
+
+def test_history_array_single_document(spark):
+    import pytest
+    from ingestflow.operators.history import history_array
+    h = spark.createDataFrame(
+        [("p", "b", "LOADED", 1, 1, None, None, NOW - dt.timedelta(minutes=1), 2),
+         ("p", "a", "LOADED", 1, 1, None, None, NOW - dt.timedelta(minutes=2), 1)], HISTORY)
+    entries = pipe_history(h, "p", 10, NOW).select("path", "status", "seq")
+    (row,) = history_array(entries).collect()
+    assert json.loads(row.json) == [{"path": "a", "status": "LOADED", "seq": 1},
+                                    {"path": "b", "status": "LOADED", "seq": 2}]
+    assert history_array(pipe_history(h, "zzz", 10, NOW)) is None
+    with pytest.raises(ValueError):
+        history_array(entries, max_entries=1)
