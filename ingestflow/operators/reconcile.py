@@ -85,7 +85,12 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
     ``queued_ms`` comes back stamped with ``now`` where it was absent, and
     cleared on the ``unmatched`` route so the row may wait again later.
     ``payload`` is the matched history entry as JSON (null fields omitted).
+    ``arrival_seq`` (pending) and ``seq`` (history) must be unique: they
+    decide first-wins and last-wins.
     """
+    if pending.isStreaming:
+        raise ValueError("await_results plans from a small action over the pending rows; "
+                         "for a stream use streaming.await_stream.start_await_stream")
     now_ms = epoch_ms(now)
     prof = pending_profile(pending, now)
     window = history_multi_pipe(history, pending, now, ts_col, prune_pipes, profile=prof)
