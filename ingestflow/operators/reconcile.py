@@ -3,6 +3,9 @@
 Every pending row is routed to exactly one of ``loaded``, ``partially_loaded``,
 ``load_failure``, ``waiting`` or ``unmatched``:
 
+0. a queued stamp that is present but not a whole number of ms →
+   ``load_failure`` (``invalid queued timestamp``; the original aborts the
+   whole run instead);
 1. no pipe, or no file name → ``load_failure`` with an explanatory error;
 2. a history entry for (pipe, file) inside the look-back window:
    ``LOADED`` → ``loaded``; ``PARTIALLY_LOADED`` → ``partially_loaded`` and
@@ -149,9 +152,9 @@ def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, n
 
     Each round's routed rows feed three consumers (its decided rows, the
     next round's input and that round's look-back), so every round but the
-    last is materialised once (``session.materialize``: a checkpoint in the
-    shared folder when one is configured), which also keeps the plan of a
-    long loop from growing round by round.
+    last is materialised once (``session.materialize``: a Parquet table in
+    the shared ``spark.checkpoint.dir`` when one is configured), which also
+    keeps the plan of a long loop from growing round by round.
     """
     from ingestflow.session import materialize
 
