@@ -63,16 +63,6 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return chosen
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (reliable checkpoint).
-
-    Used between rounds of the looped operators so plans do not grow without
-    bound and lost executors do not force recomputation from the first round.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Compute ``df`` once for several consumers.
 
