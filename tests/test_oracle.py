@@ -38,3 +38,13 @@ def test_entry_runs(spark):
     df = se.entry(spark)
     assert df.count() > 0
     assert "route" in df.columns
+
+
+@pytest.mark.parametrize("name", ["await_two_rounds", "await_routes_skewed", "stage_routes_skewed",
+                                  "load_history", "history_document", "result_payload"])
+def test_query_is_deterministic(spark, name):
+    runs = []
+    for _ in range(2):
+        df = se.queries()[name](spark, SF_SMALL)
+        runs.append(digest(df.columns, [tuple(r) for r in df.collect()]))
+    assert runs[0] == runs[1]
