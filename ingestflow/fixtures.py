@@ -113,6 +113,14 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def history_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-HISTORY with every third entry moved onto the key (pipe_0, f_0.csv)."""
+    h = history(spark, sf_dir)
+    hot = F.col("seq") % 3 == 0
+    return (h.withColumn("pipe", F.when(hot, F.lit("pipe_0")).otherwise(F.col("pipe")))
+             .withColumn("path", F.when(hot, F.lit("f_0.csv")).otherwise(F.col("path"))))
+
+
 def outcomes(spark: SparkSession, sf_dir: str, round_no: int = 1) -> DataFrame:
     """FX-OUTCOME: one submission outcome per order.
 

@@ -88,6 +88,13 @@ def history_for_pending(spark, sf_dir):
         "seq", "pipe", "path", "status")
 
 
+def history_for_pending_skewed(spark, sf_dir):
+    """Semi-join with a third of all history on one pending key, hot-key path forced on."""
+    return hist.history_for_pending(fx.history_skewed(spark, sf_dir), fx.pending(spark, sf_dir),
+                                    min_hot_rows=0, max_hot_keys=100).select(
+        "seq", "pipe", "path", "status")
+
+
 def history_multi_pipe(spark, sf_dir):
     return hist.history_multi_pipe(fx.history(spark, sf_dir), fx.pending(spark, sf_dir),
                                    fx.NOW).select("seq", "pipe", "path", "status")
@@ -265,4 +272,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_routes_skewed": stage_routes_skewed,
     "stage_route_counts": stage_route_counts,
     "submit_route_counts": submit_route_counts,
+    "history_for_pending_skewed": history_for_pending_skewed,
 }

@@ -161,6 +161,13 @@ HISTORY_FOR_PENDING = f"""with {_pending_cte()},\n{HISTORY_CTE}
 select seq, pipe, path, status from history h
 where exists (select 1 from pending p where p.pipe = h.pipe and p.file = h.path)"""
 
+HISTORY_FOR_PENDING_SKEWED = f"""with {_pending_cte()},
+{HISTORY_CTE.replace("history as (", "history0 as (")},
+history as (select case when seq % 3 = 0 then 'pipe_0' else pipe end as pipe,
+  case when seq % 3 = 0 then 'f_0.csv' else path end as path, status, seq from history0)
+select seq, pipe, path, status from history h
+where exists (select 1 from pending p where p.pipe = h.pipe and p.file = h.path)"""
+
 HISTORY_MULTI_PIPE = f"""with {_pending_cte()},\n{HISTORY_CTE},
 keyed as (select * from pending where pipe is not null and file is not null),
 lb as (select greatest(1, coalesce(max(({fx.NOW_MS} - lineage_ms) // 60000), 1)) as mins
@@ -486,4 +493,5 @@ ORACLE: dict[str, str] = {
     "stage_routes_skewed": STAGE_ROUTES_SKEWED,
     "stage_route_counts": STAGE_ROUTE_COUNTS,
     "submit_route_counts": SUBMIT_ROUTE_COUNTS,
+    "history_for_pending_skewed": HISTORY_FOR_PENDING_SKEWED,
 }
