@@ -47,3 +47,24 @@ def test_cli_load_then_await_then_report(spark, tmpdir_path):
     assert main(["report", "--history", hist, "--pipe", "db.s.p", "--trailing-minutes", "5",
                  "--out", rep, "--now", now], spark) == 0
     assert os.path.isdir(rep)
+
+
+def test_cli_stage(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    for n in ("x1.csv", "x2.csv", "y.txt"):
+        with open(os.path.join(src, n), "w") as f:
+            f.write("1\n")
+    req = os.path.join(tmpdir_path, "requests.json")
+    with open(req, "w") as f:
+        f.write(json.dumps({"request_id": "q1", "input_directory": src, "file_name": "x*.csv",
+                            "internal_stage": "st", "auto_compress": "false",
+                            "source_compression": "default", "parallel": "2"}) + "\n")
+    man = os.path.join(tmpdir_path, "manifest")
+    spark.createDataFrame([], "stage string, target_name string, md5 string").write.parquet(man)
+    out = os.path.join(tmpdir_path, "staged")
+    assert main(["stage", "--requests", req, "--manifest", man, "--stage-root",
+                 os.path.join(tmpdir_path, "stages"), "--out", out], spark) == 0
+    got = sorted(r.target_filename for r in spark.read.parquet(out).collect())
+    assert got == ["x1.csv", "x2.csv"]
+    assert sorted(os.listdir(os.path.join(tmpdir_path, "stages", "st"))) == ["x1.csv", "x2.csv"]
