@@ -8,10 +8,37 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestflow.llm import bpe, decontaminate, lang_id, minhash, secrets
+from ingestflow.llm import (ann, bpe, chat, decontaminate, html_wrappers, lang_id, minhash, secrets,
+                            token_counts, url_rules)
 from ingestflow.llm.common import Workspace, read_table
 
 
+def op1_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    index = ann.build_index(vectors, Workspace(spark, "op1"))
+    return ann.search(index, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    wrappers = html_wrappers.infer(pages, Workspace(spark, "op2"))
+    return html_wrappers.main_text(pages, wrappers).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op3_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation written as a transcript, in a style drawn by its id, and parsed back."""
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    pieced = chat.pieces(rows, Workspace(spark, "op3"))
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(chat.STYLES)))
+    written = chat.write_transcripts(pieced, style)
+    right = F.size(F.filter(F.zip_with("line_roles", "found_roles", lambda a, b: a == b), lambda x: x))
+    return chat.recover(written, chat.learn(rows)).select(
+        "conv_id", "piece", "part", F.size("turns").cast("long").alias("n_turns"),
+        F.size("line_roles").cast("long").alias("n_lines"), right.cast("long").alias("n_right"),
+        F.concat_ws(",", F.transform("turns", lambda t: t["role"])).alias("roles"), "rendered")
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, Workspace(spark, "op4"), percent=85)
@@ -24,6 +51,24 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", lang_id.held_out(docs).alias("held_out"), "lang_pred", "score")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("word_bpe_49k.json")) \
+        .withColumn("over_limit", F.col("n_tokens") > 2048)
+
+
+# The rules of the registered query.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    rules = [url_rules.host_rule(action, rule) for action, rule in URL_RULES]
+    return url_rules.judge(pages, rules + url_rules.SPAM_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     index = decontaminate.build_index(docs, Workspace(spark, "op8"))
@@ -58,8 +103,13 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_graph_search": op1_graph_search,
+    "op2_main_text": op2_main_text,
+    "op3_transcripts": op3_transcripts,
     "op4_minhash": op4_minhash,
     "op5_language": op5_language,
+    "op6_token_counts": op6_token_counts,
+    "op7_url_rules": op7_url_rules,
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,

@@ -60,7 +60,32 @@ FROM w LEFT JOIN hit ON hit.doc_id = w.id LEFT JOIN items ON items.doc_id = w.id
 WHERE w.side = 'd'
 """
 
+OP7 = """
+WITH parts AS (
+  SELECT page_id,
+    coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(rule, rule_host, rule_path, action) AS (VALUES
+  ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'),
+  ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+site AS (
+  SELECT host, path,
+    (SELECT arg_max(struct_pack(rule := r.rule, action := r.action), length(r.rule)) FROM rules r
+     WHERE (host = r.rule_host OR ends_with(host, '.' || r.rule_host))
+       AND starts_with(path, r.rule_path)) AS best
+  FROM (SELECT DISTINCT host, path FROM parts))
+SELECT p.page_id, p.host, p.path, s.best.rule AS rule,
+  coalesce(s.best.action, CASE WHEN regexp_matches(p.host,
+    '(^|[.:-])(casino|pills|spam|porn|viagra|warez|betting|lottery)([.:-]|$)')
+    THEN 'block' ELSE 'allow' END) AS verdict
+FROM parts p JOIN site s ON s.host = p.host AND s.path = p.path
+"""
+
 ORACLE = {
     "op4_minhash": OP4,
+    "op7_url_rules": OP7,
     "op8_decontaminate": OP8,
 }
