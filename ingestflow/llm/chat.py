@@ -39,6 +39,7 @@ ROLES = ("system", "user", "assistant")
 # States: each role beginning a turn, then each role going on with one.
 STATES = [(r, b) for b in (True, False) for r in range(len(ROLES))]
 TRAIN_CONVERSATIONS = 200
+FORM_DOUBT = 0.4
 PIECE_TURNS = 64
 PIECE_ROWS = 512
 
@@ -118,7 +119,10 @@ class Model:
         for s, (_, begins) in enumerate(STATES):
             if not begins:
                 self.first[s] = -math.inf
-        self.seen = [[logs(row) for row in rows] for rows in self.seen]
+        # Line forms differ from source to source: they are trusted less than markers.
+        self.seen = [[logs(row) if k == 0 else
+                      [math.log((1 - FORM_DOUBT) * v / sum(row) + FORM_DOUBT / len(row)) for v in row]
+                      for k, row in enumerate(rows)] for rows in self.seen]
         return self
 
     def viterbi(self, lines: list[str]) -> list[int]:

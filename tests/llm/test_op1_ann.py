@@ -1,0 +1,76 @@
+import numpy as np
+import pytest
+
+from ingestflow.llm import ann
+from ingestflow.llm.common import Workspace, read_table
+from tests.conftest import SF_MID
+
+ROW = "vec_id long, embedding array<float>, query_id string, score string"
+
+
+def brute(vectors, queries, k):
+    out = {}
+    for q in queries:
+        scored = sorted((-float(np.dot(np.float64(x), np.float64(vectors[q]))), v)
+                        for v, x in vectors.items() if v != q and len(x) == len(vectors[q]))
+        out[q] = [(v, -s) for s, v in scored[:k]]
+    return out
+
+
+def test_recall_against_brute_force(spark):
+    table = read_table(spark, SF_MID, "embeddings")
+    vectors = {r.vec_id: np.array(r.embedding, np.float32) for r in table.collect()}
+    got = {}
+    from ingestflow.llm.queries import op1_graph_search
+    for r in op1_graph_search(spark, SF_MID).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    want = brute(vectors, [v for v in vectors if v % 20 == 0], 20)
+    assert set(got) == set(want)
+    hits = 0
+    for q, rows in got.items():
+        rows.sort()
+        assert [r[0] for r in rows] == list(range(1, 21))
+        assert q not in {r[1] for r in rows}
+        for _, v, s in rows:
+            assert s == pytest.approx(float(np.dot(np.float64(vectors[v]), np.float64(vectors[q]))), abs=1e-12)
+        hits += len({v for v, _ in want[q]} & {r[1] for r in rows})
+    assert hits / (20 * len(want)) >= 0.95
+
+
+def test_graph_recall_on_clusters_and_norms():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 16))
+    x = (centres[rng.integers(0, 12, 1500)] + 0.3 * rng.normal(size=(1500, 16))).astype(np.float32)
+    x *= rng.uniform(0.5, 2, (1500, 1)).astype(np.float32)
+    graph = ann.Graph(x).build()
+    assert (graph.edges >= 0).sum(axis=1).max() <= ann.DEGREE
+    q = x[::50]
+    found, _ = graph.search(np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1), ann.SEARCH_BEAM)
+    want = np.argsort(-(q @ x.T), axis=1)[:, :20]
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(found.tolist(), want.tolist())]) > 0.9
+
+
+def test_edge_cases(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(i, [1.0, 0.0], "x", "y") for i in range(40)]          # copies: ties by id
+    rows += [(100, [0.5, 0.5], "x", "y"), (101, [2.0, 0.1], "x", "y"), (101, [2.0, 0.1], "x", "y")]
+    rows += [(200, None, "x", "y"), (201, [0.0, 0.0], "x", "y"), (202, [nan, 1.0], "x", "y"),
+             (203, [inf, 1.0], "x", "y"), (204, [None, 1.0], "x", "y"), (205, [], "x", "y"),
+             (None, [9.0, 9.0], "x", "y"), (300, [1.0, 2.0, 3.0], "x", "y")]
+    df = spark.createDataFrame(rows, ROW)
+    index = ann.build_index(df, Workspace(spark, "t"))
+    got = ann.search(index, df, k=5).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert sorted(by[0]) == [(1, 101, 2.0), (2, 101, 2.0), (3, 1, 1.0), (4, 2, 1.0), (5, 3, 1.0)]
+    assert [v for _, v, _ in sorted(by[100])][2:] == [0, 1, 2]
+    assert len(by[101]) == 10                                       # answered once for each row
+    assert not {200, 201, 202, 203, 204, 205, 300, None} & set(by)
+    assert all(v != q for q, rows in by.items() for _, v, _ in rows)
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], ROW)
+    index = ann.build_index(df, Workspace(spark, "t"))
+    assert ann.search(index, df).collect() == []
