@@ -4,7 +4,8 @@ For each language a suffix automaton is built over a bounded sample of its
 labelled texts.  A text is cut greedily into the longest phrases that occur in
 the sample; the language that needs fewest phrases a character wins.  The
 automaton with its restart rule (a failed match starts the next phrase) is
-tabulated, so many texts are parsed at once, one character a step.
+tabulated, so many texts are parsed at once, one character a step.  A character
+that the sample lacks is a phrase of its own.
 
 Texts are lower-cased; every run of characters that are not letters is one
 blank.  Long texts are parsed in blocks of ``BLOCK`` characters; a phrase ends
@@ -94,19 +95,21 @@ class Model:
         self.letter = self.symbol == 0
         for i, c in enumerate(ranked):
             self.symbol[ord(c)] = i + 2
-        self.tables, self.roots, at = [], [], 0
+        self.tables, self.closed, at = [], [], 0
         for lang in self.langs:
             # An unknown symbol between texts, so that no phrase runs over their border.
             text = [s for t in texts[lang] for s in (*self.symbols(t)[0].tolist(), 0)]
             go = suffix_automaton(text, SYMBOLS)
             go[:, 0] = -1
+            # One more state, where no phrase is open: before a text and after an unknown symbol.
+            closed = len(go)
+            go = np.concatenate([go, np.full((1, SYMBOLS), -1, np.int32)])
             fail = go < 0
-            start = np.where(go[0] >= 0, go[0], 0)
-            start[0] = 0
+            start = np.where(go[0] >= 0, go[0], closed)
             to = np.where(fail, start[None, :], go) + at
             # A step is the next row's place, times two, plus one where a phrase ended.
             self.tables.append((to.astype(np.int64) * SYMBOLS << 1) | fail)
-            self.roots.append(at * SYMBOLS)
+            self.closed.append((at + closed) * SYMBOLS)
             at += len(go)
         self.table = np.concatenate(self.tables).ravel().astype(
             np.int32 if at * SYMBOLS < 1 << 30 else np.int64) if self.tables else None
@@ -128,15 +131,15 @@ class Model:
         out = np.zeros((len(rows), len(self.langs)), np.int64)
         blocks = [(i, r[a:a + BLOCK]) for i, r in enumerate(rows) for a in range(0, len(r), BLOCK)]
         blocks.sort(key=lambda b: -len(b[1]))
-        roots = np.array(self.roots, self.table.dtype)
+        closed = np.array(self.closed, self.table.dtype)
         for at in range(0, len(blocks), LANES):
             part = blocks[at:at + LANES]
             sizes = np.array([len(b) for _, b in part])
             grid = np.zeros((sizes[0], len(part)), self.table.dtype)
             for k, (_, b) in enumerate(part):
                 grid[:len(b), k] = b
-            place = np.tile(roots[:, None], (1, len(part)))
-            count = np.ones((len(roots), len(part)), np.int64)
+            place = np.tile(closed[:, None], (1, len(part)))
+            count = np.zeros((len(closed), len(part)), np.int64)
             active = len(part)
             for t in range(sizes[0]):
                 while sizes[active - 1] <= t:

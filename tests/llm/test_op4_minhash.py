@@ -1,0 +1,144 @@
+import random
+
+import numpy as np
+import pytest
+
+from ingestflow.llm import minhash as mh
+from ingestflow.llm.common import Workspace
+from tests.conftest import SF_SMALL
+
+ROW = "doc_id long, text string, n string, row string, kept string"
+BLANKS = " \t\n\r\x0b\x0c"
+
+
+def word_sets(text):
+    out, word, words = set(), "", []
+    for c in (text or "") + " ":
+        if c in BLANKS:
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c.lower() if "A" <= c <= "Z" else c
+    if not words:
+        return out
+    return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+
+def brute(rows, percent):
+    """Components over all pairs: per row (size, smallest id, kept)."""
+    sets = [word_sets(t) for _, t in rows]
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                label[root(i)] = root(j)
+    out = []
+    for i, (doc, _) in enumerate(rows):
+        ids = [rows[j][0] for j in range(len(rows)) if root(j) == root(i) and rows[j][0] is not None]
+        comp = min(ids) if ids else None
+        out.append((doc, len(sets[i]), comp, doc == comp))
+    return sorted(out, key=str)
+
+
+def near(spark, rows, percent=85):
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in rows], ROW)
+    got = mh.near_duplicates(df, Workspace(spark, "t"), percent)
+    return sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got.collect()), key=str)
+
+
+def corpus(seed, groups=12):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(400)]
+    rows = []
+    for g in range(groups):
+        base = [rng.choice(vocab) for _ in range(rng.choice([3, 40, 120, 300]))]
+        for _ in range(rng.choice([1, 2, 5, 9])):
+            words = list(base)
+            for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
+                words[rng.randrange(len(words))] = rng.choice(vocab)
+            rows.append((rng.randrange(10_000), " ".join(words)))
+    ids = {}
+    return [(ids.setdefault(i, len(ids) * 7 % 1009), t) for i, t in rows]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("percent", [80, 85])
+def test_components_equal_brute_force(spark, seed, percent):
+    rows = corpus(seed)
+    assert near(spark, rows, percent) == brute(rows, percent)
+
+
+def test_chains_of_near_copies(spark):
+    """Neighbours in a chain are alike, its ends are not; every step must be found."""
+    words = [f"c{i}" for i in range(200)]
+    rows = []
+    for k in range(30):
+        rows.append((500 - k, " ".join(words)))
+        words[6 * k] = f"new{k}"
+    assert near(spark, rows) == brute(rows, 85)
+    assert {r[2] for r in near(spark, rows)} == {471}
+
+
+def test_edge_cases(spark):
+    long = " ".join(f"u{i}" for i in range(40_000))
+    rows = [(1, None), (2, None), (3, ""), (4, " \n\t "), (5, "A b"), (6, "a B"), (7, "a b c"),
+            (8, long), (9, long + " tail"), (10, "x " * 100), (11, "x " * 50), (12, "é\xa0b c d e f"),
+            (13, "same text of six words here"), (13, "same text of six words here"),
+            (None, "same text of six words here"), (None, "nobody has this text but me")]
+    got = near(spark, rows)
+    assert len(got) == len(rows)
+    by = {r[0]: r for r in got if r[0] is not None}
+    assert by[1] == (1, 0, 1, True) and by[3] == (3, 0, 3, True) and by[4] == (4, 0, 4, True)
+    assert by[5][2] == by[6][2] == 5 and by[7][2] == 7
+    assert by[9][2] == 8 and not by[9][3]
+    assert by[10] == (10, 1, 10, True) and by[11] == (11, 1, 10, False)
+    assert by[12][1] == 1
+    assert (None, 2, 13, False) in got and (None, 2, None, True) in got
+    assert [r for r in got if r[0] == 13] == [(13, 2, 13, True)] * 2
+
+
+def test_empty_table(spark):
+    assert near(spark, []) == []
+
+
+def test_keep_one(spark):
+    rows = [(2, "a b c d e f g"), (1, "a b c d e f g"), (1, "a b c d e f g"), (3, None), (None, "a b c d e f g"),
+            (None, "q r s t u v w")]
+    df = spark.createDataFrame([(i, t, "x", "y", "z") for i, t in rows], ROW)
+    got = mh.keep_one(df, Workspace(spark, "t"))
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == \
+        sorted([(1, "a b c d e f g"), (3, None), (None, "q r s t u v w")], key=str)
+
+
+def test_one_order_shifted_gives_all_coordinates():
+    items = mh.shingles(" ".join(f"v{i}" for i in range(900)))
+    sig = mh.signature(items)
+    scattered = mh.scramble(items * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1))
+    for k in (0, 1, 77, mh.COORDINATES - 1):
+        assert sig[k] == mh.scramble(scattered + np.uint64(k)).min()
+
+
+def test_signature_estimates_similarity():
+    rng = random.Random(0)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(600)]
+    for cut in (60, 150, 300):
+        a, b = mh.shingles(" ".join(base)), mh.shingles(" ".join(base[cut:]))
+        true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+        assert abs((mh.signature(a) == mh.signature(b)).mean() - true) < 0.15
+
+
+def test_query_equals_brute_force(spark):
+    from ingestflow.llm.common import read_table
+    from ingestflow.llm.queries import op4_minhash
+    rows = [(r.doc_id, r.text) for r in read_table(spark, SF_SMALL, "documents").collect()]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op4_minhash(spark, SF_SMALL).collect()),
+                 key=str)
+    assert got == brute(rows, 85)
