@@ -2,7 +2,8 @@
 
     stage   --requests R --manifest M --stage-root DIR --out OUT
     load    --stage-dir DIR --pipe NAME --format csv|json|parquet --schema DDL
-            [--on-error CONTINUE|SKIP_FILE|ABORT_STATEMENT] --rows OUT --history OUT
+            [--on-error CONTINUE|SKIP_FILE|ABORT_STATEMENT] [--option NAME=VALUE ...]
+            --rows OUT --history OUT
     report  --history H --pipe NAME --trailing-minutes N --out OUT [--now ISO]
     await   --pending P --history H --max-age-minutes N --out OUT [--now ISO]
 
@@ -21,9 +22,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ingestflow.operators.history import pipe_history, write_history_document
-from ingestflow.operators.load import PipeSpec, as_history, load_files
+from ingestflow.operators.load import PipeSpec, as_history, load_files, next_run
 from ingestflow.operators.reconcile import await_results
-from ingestflow.plans.flow import stage_step
+from ingestflow.plans.flow import manifest_additions, stage_step
 from ingestflow.schemas import HISTORY, MANIFEST, PENDING, STAGE_REQUEST_RAW
 from ingestflow.session import build_session
 from ingestflow.sinks.routes import write_routes
@@ -69,6 +70,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     ld.add_argument("--format", default="csv")
     ld.add_argument("--schema", required=True)
     ld.add_argument("--on-error", default="CONTINUE")
+    ld.add_argument("--option", action="append", default=[], metavar="NAME=VALUE",
+                    help="format option, such as header=true or multiLine=true")
     ld.add_argument("--rows", required=True)
     ld.add_argument("--history", required=True)
     ld.add_argument("--now")
@@ -91,15 +94,22 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         routed = stage_step(_read(spark, args.requests, STAGE_REQUEST_RAW),
                             _read(spark, args.manifest, MANIFEST), args.stage_root, args.parallel)
         write_routes(routed, args.out, mode="overwrite")
+        added = manifest_additions(spark.read.parquet(args.out))
+        if args.manifest.rstrip("/").endswith((".json", ".jsonl")):
+            added.write.mode("append").json(args.manifest)
+        else:
+            added.write.mode("append").parquet(args.manifest)
     elif args.step == "load":
         spec = PipeSpec(name=args.pipe, format=args.format, schema_ddl=args.schema,
-                        on_error=args.on_error)
+                        on_error=args.on_error, options=dict(o.split("=", 1) for o in args.option))
         prior = _history_if_exists(spark, args.history)
+        run = next_run(prior)
         rows, stats = load_files(spark, spec, args.stage_dir, history=prior)
-        # Two outputs, two passes over the stage: cheaper than writing every
-        # parsed line to an intermediate table to share one pass.
-        rows.write.mode("append").parquet(args.rows)
-        as_history(stats, _now(args.now)).write.mode("append").parquet(args.history)
+        # Two outputs, two passes over the chosen files.  The rows go to the run's own folder
+        # and the history, written last, ends the run: a run that was cut short has no entries,
+        # gets the same number again, and replaces its rows.
+        rows.write.mode("overwrite").parquet(f"{args.rows.rstrip('/')}/run={run}")
+        as_history(stats, _now(args.now), run).write.mode("append").parquet(args.history)
     elif args.step == "report":
         entries = pipe_history(_read(spark, args.history, HISTORY), args.pipe,
                                args.trailing_minutes, _now(args.now))

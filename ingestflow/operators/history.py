@@ -11,12 +11,6 @@ from pyspark.sql import functions as F
 from ingestflow.functions.timing import epoch_ms, minutes_between, to_datetime, ts_literal
 from ingestflow.operators.skew import semi_join
 
-# Above this many distinct pending pipes the pipe filter is left to the join;
-# below it the pipe list becomes a literal IN predicate that reaches the scan
-# (and prunes directories of a history table partitioned by pipe).
-MAX_PIPES_IN_FILTER = 10_000
-
-
 def _ts_col(history: DataFrame, ts_col: str):
     return history.schema[ts_col].dataType
 
@@ -70,50 +64,33 @@ def history_for_pending(history: DataFrame, pending: DataFrame, **kw) -> DataFra
     return semi_join(history, keys, ["pipe", "path"], **kw)
 
 
-def pending_profile(pending: DataFrame, now, limit: int = MAX_PIPES_IN_FILTER) -> dict:
-    """One small driver-side action describing the keyed pending rows.
+def pending_profile(pending: DataFrame, now) -> dict:
+    """One row about the pending rows: look-back in minutes, and number of rows.
 
-    Groups keyed rows by pipe (a partial aggregate: one row per pipe per map
-    task is shuffled) and fetches at most ``limit + 1`` groups.  Returns the
-    look-back in minutes, the pipe list (``None`` when there are more than
-    ``limit`` pipes) and the number of keyed rows.  Only in that rare
-    many-pipes case are look-back and row count fetched by a second global
-    aggregate.
+    A global partial aggregate; the look-back becomes a literal, so that the
+    window reaches the history scan as a pushed filter.
     """
-    now_ms = epoch_ms(now)
-    age = minutes_between(now_ms, F.col("lineage_ms"))
-    rows = (keyed(pending).groupBy("pipe")
-            .agg(F.max(age).alias("m"), F.count(F.lit(1)).alias("n"))
-            .limit(limit + 1).collect())
-    if len(rows) > limit:
-        g = keyed(pending).agg(F.max(age).alias("m"), F.count(F.lit(1)).alias("n")).first()
-        oldest, total, pipes = g["m"], g["n"], None
-    else:
-        oldest = max((r["m"] for r in rows if r["m"] is not None), default=None)
-        total, pipes = sum(r["n"] for r in rows), [r["pipe"] for r in rows]
-    lookback = max(1, oldest if oldest is not None else 1)
-    return {"lookback_minutes": lookback, "pipes": pipes, "keyed_rows": total}
+    age = minutes_between(epoch_ms(now), F.col("lineage_ms"))
+    has_key = F.col("pipe").isNotNull() & F.col("file").isNotNull()
+    g = pending.agg(F.max(F.when(has_key, age)).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    return {"lookback_minutes": max(1, g["m"] if g["m"] is not None else 1), "rows": g["n"]}
 
 
 def history_multi_pipe(history: DataFrame, pending: DataFrame, now,
                        ts_col: str = "event_ts", prune_pipes: bool = True,
-                       profile: dict | None = None,
-                       max_pipes: int = MAX_PIPES_IN_FILTER) -> DataFrame:
+                       profile: dict | None = None) -> DataFrame:
     """History of every pending pipe over the window set by the oldest pending row.
 
-    Both window bounds and (for up to ``MAX_PIPES_IN_FILTER`` pipes) the pipe
-    list are literals, so they reach the Parquet scan; beyond that many pipes
-    the restriction is a balanced semi-join on pipe instead (a pipe holding
-    most of the history is served by broadcast, not by one task).
+    The window bounds are literals, so they reach the Parquet scan; the pipes
+    are a semi-join with the distinct pending ones, whose build side Spark
+    broadcasts only when it measures it as small, and whose skewed partitions
+    (a pipe with most of the history) it splits otherwise.
     """
-    prof = profile or pending_profile(pending, now, max_pipes)
+    prof = profile or pending_profile(pending, now)
     start = to_datetime(now) - _dt.timedelta(minutes=abs(int(prof["lookback_minutes"])))
     h = in_window(history, start, to_datetime(now), ts_col)
-    if not prune_pipes:
-        return h
-    if prof["pipes"] is not None:
-        return h.where(F.col("pipe").isin(*prof["pipes"]) if prof["pipes"] else F.lit(False))
-    return semi_join(h, distinct_pipes(pending), ["pipe"])
+    return h.join(distinct_pipes(pending), "pipe", "left_semi").select(*history.columns) \
+        if prune_pipes else h
 
 
 def latest_per_file(history: DataFrame, keys: Sequence[str] = ("pipe", "path"),
@@ -141,26 +118,6 @@ def history_document(entries: DataFrame, order: str = "seq") -> DataFrame:
     return entries.select(F.col(order), F.to_json(F.struct(*cols)).alias("json"))
 
 
-def history_array(entries: DataFrame, order: str = "seq",
-                  max_entries: int = 100_000) -> DataFrame | None:
-    """The report as one JSON array (the original single-document form), size-checked.
-
-    Returns ``None`` for an empty window (no document, as originally).  The
-    entries are counted first; above ``max_entries`` this refuses rather
-    than gather an unbounded list into one task (use the JSON-lines writer).
-    """
-    n = entries.count()
-    if n == 0:
-        return None
-    if n > max_entries:
-        raise ValueError(f"{n} entries exceed max_entries={max_entries}; "
-                         "write the report as JSON lines instead")
-    cols = entries.columns
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(order).alias("__k"),
-                                                   F.struct(*cols).alias("__e"))))
-    return entries.agg(F.to_json(F.transform(ordered, lambda x: x["__e"])).alias("json"))
-
-
 def write_history_document(entries: DataFrame, path: str, order: str = "seq") -> bool:
     """Write the report (JSON lines) only when the window holds any entry."""
     if entries.isEmpty():

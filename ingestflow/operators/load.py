@@ -9,27 +9,36 @@ columnar format), the schema of the target table and an error policy:
   nothing and is ``LOAD_FAILED``.
 
 A file with errors only is ``LOAD_FAILED`` under every policy; a file without
-errors (including an empty one) is ``LOADED``.
+errors (including an empty one) is ``LOADED``.  A file that is not there, or
+of which nothing can be read, is ``LOAD_FAILED`` on its own row.
 
 Text formats are read as lines and parsed with ``from_csv`` / ``from_json``
 in PERMISSIVE mode with a corrupt-record column: counting bad records on the
 parsed line, rather than through the CSV reader, keeps the count independent
-of which columns a query happens to read.
+of which columns a query happens to read.  Records that are not single lines
+(``multiLine``) and files with a ``header`` go through the format's own reader
+with column pruning off, for the same reason.
+
+Files are chosen before anything is read: the listing is joined with the
+wanted paths and the load history, and only the files that remain are opened.
 """
 
 from __future__ import annotations
 
 import dataclasses
-import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestflow.functions.timing import ts_literal
-from ingestflow.operators.skew import lookup_join, semi_join
+from ingestflow.sources.files import file_sizes
 
 CORRUPT = "_corrupt_record"
+BLANK = "_blank_line"
+MISSING_FILE_TEXT = "File not found"
+UNREADABLE_FILE_TEXT = "File cannot be read"
 # Prefix of the first-error text.
 FIRST_ERROR_PREFIX = "Invalid record: "
 TEXT_FORMATS = ("csv", "json")
@@ -60,23 +69,37 @@ class PipeSpec:
         return [f.name for f in self.schema.fields]
 
 
-def parse_lines(lines: DataFrame, spec: PipeSpec, value_col: str = "value") -> DataFrame:
+def _uses_reader(spec: PipeSpec) -> bool:
+    """Whether records are not simply the lines of the files."""
+    on = {k.lower(): str(v).lower() for k, v in spec.options.items()}
+    return "true" in (on.get("header"), on.get("multiline"))
+
+
+def parse_lines(lines: DataFrame, spec: PipeSpec, value_col: str = "value",
+                keep_blank: bool = False) -> DataFrame:
     """Parse each text line into the pipe's schema; adds the fields and ``_corrupt_record``.
 
-    Blank lines carry no record and are dropped first (they would otherwise
-    parse as all-null rows that are not flagged as bad).
+    Blank lines carry no record (they would otherwise parse as all-null rows
+    that are not flagged as bad): they are dropped, or, with ``keep_blank``,
+    flagged in ``_blank_line`` so that a file of blank lines is still seen.
     """
     fmt = spec.format.lower()
     if fmt not in TEXT_FORMATS:
         raise ValueError(f"parse_lines handles {TEXT_FORMATS}, not {spec.format}")
+    if _uses_reader(spec):
+        raise ValueError("header and multiLine cannot be honoured on single lines; use load_files")
     schema = T.StructType(spec.schema.fields + [T.StructField(CORRUPT, T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **spec.options}
     v = F.col(value_col)
-    nonblank = lines.where(v.isNotNull() & (F.length(F.trim(v)) > 0))
+    record = v.isNotNull() & (F.length(F.trim(v)) > 0)
     parsed = (F.from_csv(v, f"{spec.schema_ddl}, {CORRUPT} STRING", opts)
               if fmt == "csv" else F.from_json(v, schema, opts))
-    out = nonblank.withColumn("__rec", parsed)
-    return out.select(*[c for c in lines.columns],
+    if keep_blank:
+        out = lines.withColumn("__rec", F.when(record, parsed))
+        extra = [(~record).alias(BLANK)]
+    else:
+        out, extra = lines.where(record).withColumn("__rec", parsed), []
+    return out.select(*[c for c in lines.columns], *extra,
                       *[F.col("__rec").getField(n).alias(n) for n in spec.field_names],
                       F.col("__rec").getField(CORRUPT).alias(CORRUPT))
 
@@ -108,8 +131,9 @@ def file_stats(parsed: DataFrame, spec: PipeSpec, path_col: str = "path",
     cluster scale the second scan costs more than it saves.
     """
     bad = F.col(CORRUPT).isNotNull()
+    records = F.count_if(~F.col(BLANK)) if BLANK in parsed.columns else F.count(F.lit(1))
     agg = parsed.groupBy(path_col).agg(
-        F.count(F.lit(1)).alias("rows_parsed"),
+        records.alias("rows_parsed"),
         F.count_if(bad).alias("errors_seen"),
         F.min_by(F.when(bad, F.col(raw_col)), F.when(bad, F.col(order_col)))
         .alias("__first_bad"))
@@ -133,60 +157,100 @@ def file_stats(parsed: DataFrame, spec: PipeSpec, path_col: str = "path",
 
 
 def loaded_rows(parsed: DataFrame, spec: PipeSpec, path_col: str = "path",
-                stats: DataFrame | None = None, **skew_kw) -> DataFrame:
+                stats: DataFrame | None = None) -> DataFrame:
     """The records that reach the target table under the pipe's error policy.
 
     ``CONTINUE`` keeps every clean record.  Under the all-or-nothing
-    policies a clean record is kept only when its file had no error: the
-    per-file statistics (``stats``, computed here if not given) are joined
-    back with the balanced lookup join, weighted by each file's line count,
-    so one file holding most lines is still spread over many tasks.
+    policies a clean record is kept only when its file had no error: an
+    anti-join with the files that had one, which is the smaller list; Spark
+    broadcasts it when it measures it as small, and splits the partition of a
+    file with most of the lines otherwise.
     """
-    kept = _parse_barrier(parsed.select(path_col, *spec.field_names, CORRUPT))
+    extra = [BLANK] if BLANK in parsed.columns else []
+    kept = _parse_barrier(parsed.select(path_col, *extra, *spec.field_names, CORRUPT))
     good = kept.where(F.col(CORRUPT).isNull())
+    if extra:
+        good = good.where(~F.col(BLANK))
     if spec.on_error != "CONTINUE":
         st = stats if stats is not None else file_stats(parsed, spec, path_col)
-        per_file = st.select(F.col("path").alias(path_col), "rows_parsed", "errors_seen")
-        good = lookup_join(good, per_file, [path_col], "rows_parsed", **skew_kw) \
-            .where(F.col("errors_seen") == 0)
+        failed = st.where(F.col("errors_seen") > 0).select(F.col("path").alias(path_col))
+        good = good.join(failed, path_col, "left_anti")
     return good.select(F.col(path_col).alias("path"), *spec.field_names)
 
 
-def as_history(stats: DataFrame, loaded_at, seq_base: int = 0) -> DataFrame:
-    """Stamp per-file statistics as history entries (event time and sequence)."""
-    ts = ts_literal(loaded_at if loaded_at is not None else _dt.datetime.utcnow())
-    return (stats.withColumn("event_ts", ts)
-                 .withColumn("seq", F.lit(seq_base) + F.monotonically_increasing_id()))
+def next_run(history: DataFrame | None) -> int:
+    """The number of the next load run: one more than any entry has."""
+    last = history.agg(F.max("seq")).first()[0] if history is not None else None
+    return 1 if last is None else last + 1
+
+
+def as_history(stats: DataFrame, loaded_at, run: int = 1) -> DataFrame:
+    """Stamp per-file statistics as history entries of one load run.
+
+    ``seq`` is the run's number: it grows from run to run (``next_run``)
+    whatever the clock says, and a run has one entry per (pipe, path), so the
+    latest entry of a file is well defined.
+    """
+    return stats.withColumns({"event_ts": ts_literal(loaded_at), "seq": F.lit(run).cast("long")})
+
+
+def normalise_path(c, encoded: bool = False):
+    """One spelling of a file's path, whichever way it was written.
+
+    ``file:/x``, ``file:///x`` and ``/x`` are ``/x``; other schemes keep scheme
+    and authority; repeated slashes are one.  ``encoded`` is for the file paths
+    of Spark's metadata column, which are percent-encoded.
+    """
+    if encoded:
+        c = F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
+    local = F.regexp_replace(c, r"^file:(//(localhost)?(?=/))?", "")
+    return F.regexp_replace(local, r"(?<![:/])/{2,}|(?<=^)/{2,}", "/")
+
+
+def list_staged(spark: SparkSession, location: str, path_glob: str | None = None) -> DataFrame:
+    """``path, raw, length`` of the files under ``location`` that are not empty.
+
+    Spark's own listing: the content column is not asked for, so nothing is read.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)
+    return reader.load(location).select(normalise_path(F.col("path")).alias("path"),
+                                        F.col("path").alias("raw"), "length")
 
 
-def _normalise_path(c):
-    # _metadata.file_path is a URI: percent-encoded and with a scheme.
-    plain = F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
-    return F.regexp_replace(plain, r"^file:(//)?", "")
+def _literal_path(path: str) -> str:
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
-def read_staged(spark: SparkSession, spec: PipeSpec, location: str,
-                path_glob: str | None = None) -> DataFrame:
-    """Read every staged file under ``location`` as (path, value, pos) lines.
+def read_staged(spark: SparkSession, spec: PipeSpec, paths: list[str]) -> DataFrame:
+    """Read the given files: (path, value, pos) lines of text formats, else (path, fields).
 
     ``pos`` orders lines within a file: the split's start offset, then the
     row's position inside the split (which is read sequentially).
     Compressed text files (gzip, bzip2, …) are decoded by the reader.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
+    path = normalise_path(F.col("_metadata.file_path"), encoded=True).alias("path")
+    pos = F.struct(F.col("_metadata.file_block_start").alias("block"),
+                   F.monotonically_increasing_id().alias("row")).alias("pos")
     fmt = spec.format.lower()
-    if fmt in TEXT_FORMATS:
-        df = reader.text(location)
-        return df.select(
-            _normalise_path(F.col("_metadata.file_path")).alias("path"),
-            F.col("value"),
-            F.struct(F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row")).alias("pos"))
-    df = reader.schema(spec.schema).format(fmt).load(location)
-    return df.select(_normalise_path(F.col("_metadata.file_path")).alias("path"),
-                     *spec.field_names)
+    literal = [_literal_path(p) for p in paths]
+    # A file that cannot be read gives no rows, and fails on its own row (see ``file_outcomes``).
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    if fmt in TEXT_FORMATS and not _uses_reader(spec):
+        if not literal:
+            return spark.createDataFrame([], "path string, value string, pos struct<block: long, row: long>")
+        return reader.text(literal).select(path, F.col("value"), pos)
+    corrupt = [T.StructField(CORRUPT, T.StringType())] if fmt in TEXT_FORMATS else []
+    schema = T.StructType(spec.schema.fields + corrupt)
+    if not literal:
+        extra = "pos struct<block: long, row: long>, " if corrupt else ""
+        return spark.createDataFrame([], f"path string, {extra}{schema.simpleString()[7:-1]}")
+    if corrupt:
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT,
+                                columnPruning="false", **spec.options)
+    df = reader.schema(schema).format(fmt).load(literal)
+    return df.select(path, *([pos] if corrupt else []), *schema.names)
 
 
 def already_loaded(history: DataFrame, spec: PipeSpec) -> DataFrame:
@@ -195,48 +259,93 @@ def already_loaded(history: DataFrame, spec: PipeSpec) -> DataFrame:
     A pipe does not load the same file twice; a failed load may be retried.
     """
     from ingestflow.operators.history import latest_per_file
-    latest = latest_per_file(history.where(F.col("pipe") == F.lit(spec.name)))
+    mine = history.where(F.col("pipe") == F.lit(spec.name)) \
+        .withColumn("path", normalise_path(F.col("path")))
+    latest = latest_per_file(mine)
     return latest.where(F.col("status").isin("LOADED", "PARTIALLY_LOADED")).select("path")
 
 
+def file_outcomes(files: DataFrame, stats: DataFrame, spec: PipeSpec) -> DataFrame:
+    """Statistics of every wanted file: ``stats`` where something was read, else by ``size``.
+
+    ``files`` has ``path`` and ``size`` (null: not there).  An empty file is
+    ``LOADED`` with no rows; one that is not there, or gave nothing although it
+    is not empty, is ``LOAD_FAILED`` with an error.
+    """
+    silent = files.select("path", "size").dropDuplicates(["path"]).join(
+        stats.select("path"), "path", "left_anti")
+    empty = F.col("size") == 0
+    zero = [F.lit(0).cast("long").alias(c) for c in ("rows_parsed", "rows_loaded")]
+    return stats.unionByName(silent.select(
+        F.lit(spec.name).alias("pipe"), "path",
+        F.when(empty, "LOADED").otherwise("LOAD_FAILED").alias("status"), *zero,
+        F.when(empty, 0).otherwise(1).cast("long").alias("errors_seen"),
+        F.when(empty, F.lit(None)).when(F.col("size").isNull(), MISSING_FILE_TEXT)
+         .otherwise(UNREADABLE_FILE_TEXT).alias("first_error")))
+
+
 def load_files(spark: SparkSession, spec: PipeSpec, location: str, files: DataFrame | None = None,
                path_glob: str | None = None,
                history: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Load staged files: returns (target rows, per-file statistics).
 
-    ``files`` (column ``path``) lists the files to load; it restricts the
-    read through a semi-join and supplies zero-length files, which the
-    reader yields no lines for and which are reported ``LOADED`` with 0 rows.
-    ``history`` (entries with the same path form) makes the load idempotent:
-    files this pipe already loaded are skipped, so a re-run or a retried job
-    appends nothing twice.
+    ``files`` (column ``path``) lists the files to load, all under
+    ``location`` without it.  ``history`` makes the load skip files that this
+    pipe already loaded.  Lists are joined with the listing, never lines: only
+    the chosen files are opened.  Their paths come to the driver, which holds
+    the same list as the file index of the scan.
     """
-    fmt = spec.format.lower()
-    staged = read_staged(spark, spec, location, path_glob)
-    if files is not None:
-        staged = semi_join(staged, files.select("path"), ["path"])
+    staged = list_staged(spark, location, path_glob)
+    if files is None:
+        wanted = staged.select("path")
+    else:
+        wanted = files.select(normalise_path(F.col("path")).alias("path")).distinct()
     if history is not None:
-        done = already_loaded(history, spec)
-        staged = semi_join(staged, done, ["path"], anti=True)
-        if files is not None:
-            files = semi_join(files.select("path"), done, ["path"], anti=True)
+        wanted = wanted.join(already_loaded(history, spec), "path", "left_anti")
+    paths = [r.raw for r in staged.join(wanted, "path", "left_semi").select("raw").toLocalIterator()]
+    records = read_staged(spark, spec, paths)
+    fmt = spec.format.lower()
     if fmt in TEXT_FORMATS:
-        parsed = parse_lines(staged, spec)
-        stats = file_stats(parsed, spec)
+        if _uses_reader(spec):
+            # The readers refuse to be asked for the corrupt-record column alone.
+            parsed = _parse_barrier(records)
+            stats = file_stats(parsed, spec, raw_col=CORRUPT)
+            # A file of a header alone gives no record; its lines show that it can be read.
+            lines = read_staged(spark, PipeSpec(spec.name), paths).select("path").distinct()
+            stats = _seen_without_records(lines, stats, spec)
+        else:
+            parsed = parse_lines(records, spec, keep_blank=True)
+            stats = file_stats(parsed, spec)
         rows = loaded_rows(parsed, spec, stats=stats)
     else:
-        rows = staged
-        stats = staged.groupBy("path").agg(F.count(F.lit(1)).alias("rows_parsed")).select(
+        rows = records
+        stats = records.groupBy("path").agg(F.count(F.lit(1)).alias("rows_parsed")).select(
             F.lit(spec.name).alias("pipe"), "path", F.lit("LOADED").alias("status"),
             F.col("rows_parsed").cast("long").alias("rows_parsed"),
             F.col("rows_parsed").cast("long").alias("rows_loaded"),
             F.lit(0).cast("long").alias("errors_seen"),
             F.lit(None).cast("string").alias("first_error"))
-    if files is not None:
-        empty = files.select("path").distinct().join(stats.select("path"), "path", "left_anti")
-        stats = stats.unionByName(empty.select(
-            F.lit(spec.name).alias("pipe"), "path", F.lit("LOADED").alias("status"),
-            *[F.lit(0).cast("long").alias(c) for c in ("rows_parsed", "rows_loaded",
-                                                       "errors_seen")],
-            F.lit(None).cast("string").alias("first_error")))
+    # Files that the listing lacks are empty or not there; those few are looked at one by one.
+    listed = wanted.join(staged.select("path", F.col("length").alias("size")), "path")
+    others = file_sizes(wanted.join(staged.select("path"), "path", "left_anti"))
+    return rows, file_outcomes(listed.unionByName(others), stats, spec)
+
+
+def _seen_without_records(lines: DataFrame, stats: DataFrame, spec: PipeSpec) -> DataFrame:
+    return file_outcomes(lines.withColumn("size", F.lit(0).cast("long")), stats, spec)
+
+
+def load_through_pipes(spark: SparkSession, specs: list[PipeSpec], requests: DataFrame, location: str,
+                       history: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Load (pipe, path) requests, each through its own pipe: (rows by pipe, statistics of all).
+
+    ``specs`` are the pipe definitions; one scan for each pipe reads its files
+    alone.  Requests for a pipe that is not defined load nothing and have no
+    statistics (their submission failed).
+    """
+    rows, stats = {}, None
+    for spec in specs:
+        wanted = requests.where(F.col("pipe") == F.lit(spec.name)).select("path")
+        rows[spec.name], part = load_files(spark, spec, location, wanted, history=history)
+        stats = part if stats is None else stats.unionByName(part)
     return rows, stats

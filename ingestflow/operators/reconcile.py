@@ -15,13 +15,14 @@ Every pending row is routed to exactly one of ``loaded``, ``partially_loaded``,
    queued stamp is cleared; otherwise ``waiting``.
 
 All rows sharing (pipe, file) use the age of the first of them (lowest
-``arrival_seq``); when several entries exist for a file the latest (highest
-``seq``) wins.  The look-back window is ``[now - max(1, oldest lineage age in
+``arrival_seq``; rows without one come last, rows with an invalid stamp take no
+part); when several entries exist for a file the latest (highest ``seq``, a
+null one lowest) wins.  The look-back window is ``[now - max(1, oldest lineage age in
 minutes), now]`` and only pipes that are pending are scanned.
 
-Plan shape: one small grouped action over the pending rows yields the
-look-back, the pending pipe list and the row count (all become literals: the
-window bounds and pipe list reach the Parquet scan as pushed filters); one
+Plan shape: one small aggregate over the pending rows yields the look-back and
+the row count (the window bounds become literals that reach the Parquet scan as
+pushed filters); history is restricted to pending pipes by a semi-join; one
 partially-aggregated pass over (pending keys ∪ windowed history) builds a
 per-key summary; one balanced lookup join attaches it to every pending row
 (see ``operators.skew``).
@@ -54,30 +55,43 @@ def per_key_summary(pending: DataFrame, history_window: DataFrame, now_ms: int)
     """(pipe, file) → pending row count, first-wins age, latest history entry.
 
     Pending keys and windowed history go through one aggregate: ``min_by`` and
-    ``max_by`` ignore rows whose ordering column is null, so each side only
+    ``max_by`` ignore rows whose ordering value is null, so each side only
     feeds its own result, and keys never pending drop out at the end.
     """
     etype = _entry_type(history_window)
     entry = F.struct(*[F.col(c) for c in ENTRY_FIELDS])
+    first = _first_order().alias("first")
+    last = F.struct(F.col("seq").isNotNull().alias("has"), F.col("seq").cast("long").alias("seq"))
     pend = keyed(pending).select(
-        "pipe", "file", queue_age("queued_ms", now_ms).alias("age"), "arrival_seq",
-        F.lit(None).cast(etype).alias("entry"), F.lit(None).cast("long").alias("seq"))
+        "pipe", "file", F.lit(1).alias("is_pending"),
+        queue_age("queued_ms", now_ms).alias("age"), first)
     hist = history_window.select(
-        "pipe", F.col("path").alias("file"), F.lit(None).cast("long").alias("age"),
-        F.lit(None).cast("long").alias("arrival_seq"), entry.alias("entry"), "seq")
-    return (pend.unionByName(hist).groupBy("pipe", "file")
-            .agg(F.count("arrival_seq").alias("n_pending"),
-                 F.min_by("age", "arrival_seq").alias("first_age"),
-                 F.max_by("entry", "seq").alias("entry"))
+        "pipe", F.col("path").alias("file"), F.lit(0).alias("is_pending"), entry.alias("entry"),
+        last.alias("last"))
+    both = pend.withColumns({"entry": F.lit(None).cast(etype),
+                             "last": F.lit(None).cast(hist.schema["last"].dataType)}).unionByName(
+        hist.withColumns({"age": F.lit(None).cast("long"),
+                          "first": F.lit(None).cast(pend.schema["first"].dataType)}))
+    return (both.groupBy("pipe", "file")
+            .agg(F.sum("is_pending").alias("n_pending"),
+                 F.min_by("age", "first").alias("first_age"),
+                 F.max_by("entry", "last").alias("entry"))
             .where(F.col("n_pending") > 0))
 
 
+def _first_order():
+    """Order of pending rows for first-wins; null (takes no part) with an invalid stamp."""
+    seq = F.col("arrival_seq").cast("long")
+    return F.when(stamp_is_valid("queued_ms"),
+                  F.struct(seq.isNull().alias("none"), seq.alias("seq")))
+
+
 def first_wins_age(pending: DataFrame, now) -> DataFrame:
-    """(pipe, file) → number of pending rows and the age of the first of them."""
+    """(pipe, file) → number of pending rows and the age of the first with a valid stamp."""
     now_ms = epoch_ms(now)
     return keyed(pending).groupBy("pipe", "file").agg(
         F.count(F.lit(1)).alias("n_pending"),
-        F.min_by(queue_age("queued_ms", now_ms), F.col("arrival_seq")).alias("first_age"))
+        F.min_by(queue_age("queued_ms", now_ms), _first_order()).alias("first_age"))
 
 
 def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int, now,
@@ -88,8 +102,8 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
     ``queued_ms`` comes back stamped with ``now`` where it was absent, and
     cleared on the ``unmatched`` route so the row may wait again later.
     ``payload`` is the matched history entry as JSON (null fields omitted).
-    ``arrival_seq`` (pending) and ``seq`` (history) must be unique: they
-    decide first-wins and last-wins.
+    ``arrival_seq`` (pending) and ``seq`` (history) decide first-wins and
+    last-wins, so they should differ within a (pipe, file).
     """
     if pending.isStreaming:
         raise ValueError("await_results plans from a small action over the pending rows; "
@@ -100,7 +114,7 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
     summary = per_key_summary(pending, window, now_ms)
     spread = ["arrival_seq"] if "arrival_seq" in pending.columns else None
     j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread,
-                    total=prof["keyed_rows"], **skew_kw)
+                    total=prof["rows"], **skew_kw)
 
     pipe, file, entry = F.col("pipe"), F.col("file"), F.col("entry")
     status = entry.getField("status")
@@ -147,14 +161,14 @@ def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, n
     A pending row enters the first round whose ``now`` is at or after its
     arrival (``arrival_ms_col``, epoch ms); rows still waiting after a round
     are pending again in the next one, with their stamps.  Returns every
-    row's final route with the round number that decided it (rows still
-    waiting after the last round are reported with that round).
+    row's final route with the round number that decided it; rows still
+    waiting after the last round are reported with that round, and so are rows
+    that arrive after it (``waiting``, with neither an age nor an entry).
 
     Each round's routed rows feed three consumers (its decided rows, the
     next round's input and that round's look-back), so every round but the
-    last is materialised once (``session.materialize``: a Parquet table in
-    the shared ``spark.checkpoint.dir`` when one is configured), which also
-    keeps the plan of a long loop from growing round by round.
+    last is written once (``session.materialize``), which also keeps the plan
+    of a long loop from growing round by round.
     """
     from ingestflow.session import materialize
 
@@ -178,7 +192,10 @@ def await_rounds(pending: DataFrame, history: DataFrame, max_age_minutes: int, n
         decided.append(done.withColumn("round", F.lit(i)))
         carried = waiting_rows(routed, cols)
         prev_ms = now_ms
-    out = decided[0]
-    for d in decided[1:]:
+    late = pending.where(arrival > prev_ms).select(
+        *cols, *[(F.lit("waiting") if c == "route" else F.lit(None).cast(routed.schema[c].dataType))
+                 .alias(c) for c in OUTPUT_EXTRA]).withColumn("round", F.lit(len(nows)))
+    out = late
+    for d in decided:
         out = out.unionByName(d)
     return out

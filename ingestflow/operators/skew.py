@@ -16,9 +16,10 @@ the work.  ``lookup_join`` splits the keys in two:
   over all shuffle partitions rather than piling into the one their key
   hashes to.  No row is replicated and none is dropped.
 
-When the caller knows the total and it is at most ``min_hot_rows``, no key
-can exceed the threshold and no task can receive more than that many rows
-of one key, so a plain join is used.  AQE may still turn the cold join into
+When the caller knows the total, rows with null keys included, and it is at
+most ``min_hot_rows``, no key can exceed the threshold and no task can receive
+more than that many rows of one key (or of the null keys), so a plain join is
+used.  AQE may still turn the cold join into
 a broadcast when it measures the summary as small at runtime; that decision
 is made on observed sizes.
 """
@@ -68,8 +69,9 @@ def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight
 
     ``per_key[weight]`` is the number of ``rows`` (or of the larger input)
     carrying the key; keys absent from ``per_key`` are treated as cold.
-    ``total`` (the sum of the weights), when the caller knows it, saves the
-    scalar subquery that would otherwise compute it.
+    ``total`` (the number of all ``rows``, those with null keys included),
+    when the caller knows it, saves the scalar subquery that would otherwise
+    sum the weights.
     ``spread`` names row columns that vary within a key (default: all row
     columns Spark can hash, i.e. not maps) and seed the salt of hot and
     null-key rows.  The result has the

@@ -62,64 +62,46 @@ def expand_wildcards(requests: DataFrame, files: DataFrame, dir_col: str = "inpu
                      max_hot_keys: int = DEFAULT_MAX_HOT_KEYS) -> DataFrame:
     """Left-join each request to the files its pattern matches in its directory.
 
-    A request yields one row per matching file (the request's columns are
+    A request row yields one row per matching file (the request's columns are
     repeated on each), or one row with null file columns when nothing
-    matches.  Plain names are an equi-join on (dir, name).  Patterns with
-    ``*``/``?`` are an equi-join on the directory with a regex residual, so
-    only files of the same directory are ever compared.  A directory holding
-    more than ``max(min_hot_rows, files / max_hot_keys)`` files is *hot*
-    (fewer than ``max_hot_keys`` can be, so their list is broadcast): its
-    files are spread over ``salt_buckets`` sub-groups and its patterns are
-    repeated once per sub-group, so it is matched by many tasks, never one.
-    Other directories are joined unsalted.
+    matches; equal or missing request ids do not matter.
+
+    Each distinct (directory, pattern) is matched once, however many requests
+    ask for it, and one left join attaches the matches to the requests (Spark
+    splits the partition of a pair that many requests share).  Plain names are
+    an equi-join on (directory, name).  Patterns with ``*``/``?`` are an
+    equi-join on the directory with a regex residual, so only files of the same
+    directory are ever compared.  A directory holding more than
+    ``max(min_hot_rows, files / max_hot_keys)`` files is *hot* (fewer than
+    ``max_hot_keys`` can be, so their list is broadcast): its files are spread
+    over ``salt_buckets`` sub-groups and its patterns are repeated once per
+    sub-group, so it is matched by many tasks, never one.
     """
-    req = requests.withColumn("__dir", F.col(dir_col)).withColumn("__pat", F.col(pattern_col))
-    f = files.select(*[F.col(c).alias("__fdir") if c == "dir" else F.col(c)
-                       for c in files.columns])
-
-    # Plain names: the files table is unique on (dir, name); weighting each
-    # named file by how many requests name it lets lookup_join serve a file
-    # named by most requests from a broadcast instead of one task.
-    exact = req.where(~has_wildcard("__pat"))
-    named = exact.groupBy("__dir", "__pat").agg(F.count(F.lit(1)).alias("__n"))
-    fcols = [c for c in f.columns if c not in ("__fdir", "name")]
-    per_file = (f.select(F.col("__fdir").alias("__dir"), F.col("name").alias("__pat"),
-                         *fcols, F.lit(True).alias("__found"))
-                .join(named, on=["__dir", "__pat"], how="inner"))
-    exact_hits = (lookup_join(exact, per_file, ["__dir", "__pat"], "__n",
-                              min_hot_rows=min_hot_rows, max_hot_keys=max_hot_keys)
-                  .where(F.col("__found")).drop("__found", "__n")
-                  .withColumn("__fdir", F.col("__dir")).withColumn("name", F.col("__pat")))
-
-    counts = f.groupBy("__fdir").agg(F.count(F.lit(1)).alias("__n"))
+    req = requests.withColumns({"__dir": F.col(dir_col), "__pat": F.col(pattern_col)})
+    f = files.withColumnRenamed("dir", "__dir")
+    fcols = [c for c in f.columns if c != "__dir"]
+    pairs = req.where(F.col("__dir").isNotNull() & F.col("__pat").isNotNull()) \
+        .select("__dir", "__pat").distinct()
+    exact = pairs.where(~has_wildcard("__pat")).join(
+        f.withColumn("__pat", F.col("name")), ["__dir", "__pat"])
+
+    counts = f.groupBy("__dir").agg(F.count(F.lit(1)).alias("__n"))
     threshold = hot_threshold(counts, "__n", min_hot_rows, max_hot_keys)
     # Size bound: fewer than max_hot_keys directories (see operators.skew).
     hot = F.broadcast(counts.where(F.col("__n") > threshold)
-                      .select(F.col("__fdir").alias("__hdir"), F.lit(True).alias("__hot")))
-    f_salted = (f.join(hot, F.col("__fdir") == F.col("__hdir"), "left")
-                .withColumn("__fsalt", F.when(F.col("__hot"),
-                                              F.pmod(F.xxhash64("name"), F.lit(salt_buckets)))
-                            .otherwise(F.lit(0).cast("long")))
-                .drop("__hdir", "__hot"))
-    wild = (req.where(has_wildcard("__pat")).withColumn("__rx", glob_regex("__pat"))
-            .join(hot, F.col("__dir") == F.col("__hdir"), "left")
-            .withColumn("__salt", F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0).cast("long"),
-                                                  F.lit(salt_buckets - 1).cast("long")))
-                 .otherwise(F.array(F.lit(0).cast("long")))))
-            .drop("__hdir", "__hot"))
-    wild_hits = wild.join(
-        f_salted, (F.col("__dir") == F.col("__fdir")) & (F.col("__salt") == F.col("__fsalt"))
-        & F.regexp(F.col("name"), F.col("__rx")), "inner").drop("__rx", "__salt", "__fsalt")
-
-    hits = exact_hits.unionByName(wild_hits.select(*exact_hits.columns))
-    matched_ids = hits.select("request_id").distinct()
-    misses = req.join(matched_ids, on="request_id", how="left_anti")
-    for c in f.columns:
-        if c not in misses.columns:
-            misses = misses.withColumn(c, F.lit(None).cast(f.schema[c].dataType))
-    out = hits.unionByName(misses.select(*hits.columns))
-    return out.drop("__dir", "__pat", "__fdir")
+                      .select("__dir", F.lit(True).alias("__hot")))
+    zero = F.lit(0).cast("long")
+    salted = f.join(hot, "__dir", "left").withColumn(
+        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64("name"), F.lit(salt_buckets)))
+        .otherwise(zero)).drop("__hot")
+    wild = pairs.where(has_wildcard("__pat")).join(hot, "__dir", "left").withColumn(
+        "__salt", F.explode(F.when(F.col("__hot"), F.sequence(zero, F.lit(salt_buckets - 1).cast("long")))
+                            .otherwise(F.array(zero)))) \
+        .select("__dir", "__pat", "__salt", glob_regex("__pat").alias("__rx"))
+    matched = wild.join(salted, ["__dir", "__salt"]).where(F.regexp(F.col("name"), F.col("__rx")))
+    matches = exact.select("__dir", "__pat", *fcols).unionByName(
+        matched.select("__dir", "__pat", *fcols))
+    return req.join(matches, ["__dir", "__pat"], "left").select(*requests.columns, *fcols)
 
 
 def plan_staging(files: DataFrame, manifest: DataFrame, stage: str = "stage",
@@ -154,7 +136,8 @@ def route_stage(requests: DataFrame, results: DataFrame, **skew_kw) -> DataFrame
         req = req.withColumnRenamed(c, f"request_{c}")
     rcols = [c for c in req.columns if c != "request_id"]
     counts = results.groupBy("request_id").agg(F.count(F.lit(1)).alias("__n"))
-    per_req = req.join(counts, on="request_id", how="left")
+    # Ids of results without a request count too: such a key may be the hot one.
+    per_req = req.withColumn("__asked", F.lit(True)).join(counts, on="request_id", how="full_outer")
     res = results.select(*results.columns)
     joined = lookup_join(res, per_req.select("request_id", "__n", *rcols), ["request_id"],
                          "__n", **skew_kw).drop("__n")
@@ -162,7 +145,7 @@ def route_stage(requests: DataFrame, results: DataFrame, **skew_kw) -> DataFrame
         "route", F.when(F.col("status") == "UPLOADED", "uploaded")
                   .when(F.col("status") == "SKIPPED", "skipped").otherwise("failure")
     ).withColumn("error", F.lit(None).cast("string"))
-    empty = per_req.where(F.col("__n").isNull()).drop("__n")
+    empty = per_req.where(F.col("__asked") & F.col("__n").isNull()).drop("__n", "__asked")
     for c in results.columns:
         if c not in empty.columns:
             empty = empty.withColumn(c, F.lit(None).cast(results.schema[c].dataType))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_S, _L, _I = T.StringType(), T.LongType(), T.IntegerType()
+_S, _L = T.StringType(), T.LongType()
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
@@ -23,19 +23,6 @@ STAGE_REQUEST_RAW = _struct(
     ("internal_stage", _S), ("auto_compress", _S), ("source_compression", _S),
     ("parallel", _S))
 
-# Same request after validation: parallel is an int.
-STAGE_REQUEST = _struct(
-    ("request_id", _S), ("input_directory", _S), ("file_name", _S),
-    ("internal_stage", _S), ("auto_compress", _S), ("source_compression", _S),
-    ("parallel", _I))
-
-# One row per staged file as reported by the copy step (positions 1..9 of the
-# stage command's result, sizes typed as longs).
-STAGE_RESULT = _struct(
-    ("request_id", _S), ("source_filename", _S), ("target_filename", _S),
-    ("source_size", _L), ("target_size", _L), ("source_compression", _S),
-    ("target_compression", _S), ("status", _S), ("encryption", _S), ("message", _S))
-
 # A queued load request waiting for its result.
 PENDING = _struct(
     ("request_id", _S), ("pipe", _S), ("file", _S), ("attributes", ATTRIBUTES),
@@ -67,8 +54,6 @@ AUTO_COMPRESS_VALUES = ("true", "false", "default")
 SOURCE_COMPRESSION_VALUES = ("AUTO_DETECT", "GZIP", "BZ2", "BROTLI", "ZSTD", "DEFLATE",
                              "RAW_DEFLATE", "NONE", "default")
 PARALLEL_DEFAULT = 4
-STAGE_STATUSES = ("UPLOADED", "SKIPPED", "FAILED")
-LOAD_STATUSES = ("LOADED", "PARTIALLY_LOADED", "LOAD_FAILED", "LOAD_IN_PROGRESS")
 
 # Route names (one output relationship per name).
 STAGE_ROUTES = ("uploaded", "skipped", "failure")

@@ -9,10 +9,3 @@ def write_routes(routed: DataFrame, path: str, route: str = "route", fmt: str =
                  mode: str = "append") -> None:
     """Write rows partitioned by route (``<path>/route=<name>/``), one output per route."""
     routed.write.mode(mode).partitionBy(route).format(fmt).save(path)
-
-
-def write_routes_for_batch(routed: DataFrame, path: str, batch_id: int,
-                           route: str = "route", fmt: str = "parquet") -> None:
-    """Idempotent per-micro-batch write: a replayed batch overwrites its own folder."""
-    (routed.write.mode("overwrite").partitionBy(route).format(fmt)
-     .save(f"{path.rstrip('/')}/batch={batch_id}"))

@@ -18,6 +18,7 @@ so neither the directory list nor the file list passes through the driver.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,9 +34,9 @@ ROWS_PER_CHUNK = 10_000
 
 def _filesystem(path: str):
     from pyarrow import fs as pafs
-    if "://" in path and not path.startswith("file://"):
+    if "://" in path and not path.startswith("file:"):
         return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path.removeprefix("file://")
+    return pafs.LocalFileSystem(), re.sub("^file:(//)?", "", path)
 
 
 def _list_dirs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -117,3 +118,19 @@ def file_header(files: DataFrame, partitions: int | None = None) -> DataFrame:
 def file_digest(files: DataFrame, partitions: int | None = None) -> DataFrame:
     """Add ``md5`` (hex, whole content) and ``header`` (first bytes) to (dir, name) rows."""
     return _with_columns(files, DIGEST_FIELDS, _digest_one, partitions)
+
+
+def file_sizes(paths: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``path, size`` of single files; the size is null where there is no such file."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+        for pdf in batches:
+            sizes = []
+            for p in pdf["path"]:
+                filesystem, base = _filesystem(p)
+                info = filesystem.get_file_info(base)
+                sizes.append(info.size if info.type == pafs.FileType.File else None)
+            yield pd.DataFrame({"path": pdf["path"], "size": pd.array(sizes, dtype="Int64")})
+
+    n = partitions or paths.sparkSession.sparkContext.defaultParallelism
+    return paths.select("path").repartition(n, "path").mapInPandas(run, "path string, size bigint")

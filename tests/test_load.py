@@ -1,9 +1,14 @@
 """Loading staged files: per-file statistics and loaded rows under both error policies."""
 
+import datetime as dt
 import gzip
 import os
 
-from ingestflow.operators.load import PipeSpec, load_files
+import pytest
+
+from ingestflow.operators.history import latest_per_file
+from ingestflow.operators.load import (PipeSpec, as_history, load_files, load_through_pipes, next_run,
+                                       parse_lines)
 
 SPEC = PipeSpec(name="db.s.pipe", format="csv", schema_ddl="a INT, b STRING")
 
@@ -91,3 +96,95 @@ def test_reload_skips_loaded_files(spark, tmpdir_path):
     # Only the file that failed outright may be loaded again.
     assert sorted(os.path.basename(r.path) for r in again_stats.collect()) == ["allbad.csv"]
     assert again_rows.count() == 0
+
+
+def _write(d, **files):
+    os.makedirs(d, exist_ok=True)
+    for n, t in files.items():
+        with open(os.path.join(d, n.replace("_csv", ".csv")), "w") as f:
+            f.write(t)
+
+
+def _stats(stats):
+    return {os.path.basename(r.path): (r.status, r.rows_loaded, r.first_error) for r in stats.collect()}
+
+
+def test_files_that_are_not_there_fail_on_their_own_row(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, a_csv="1,x\n", blank_csv="\n \n", empty_csv="")
+    names = ["a.csv", "blank.csv", "empty.csv", "gone.csv"]
+    files = spark.createDataFrame([(os.path.join(d, n),) for n in names], "path string")
+    rows, stats = load_files(spark, SPEC, d, files)
+    assert _stats(stats) == {"a.csv": ("LOADED", 1, None), "blank.csv": ("LOADED", 0, None),
+                             "empty.csv": ("LOADED", 0, None), "gone.csv": ("LOAD_FAILED", 0, "File not found")}
+    assert rows.count() == 1
+
+
+def test_an_unreadable_file_fails_on_its_own_row(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "pq")
+    spark.range(4).selectExpr("cast(id as int) as a", "cast(id as string) as b").coalesce(1).write.parquet(d)
+    with open(os.path.join(d, "broken.parquet"), "wb") as f:
+        f.write(b"not parquet at all")
+    spec = PipeSpec(name="p", format="parquet", schema_ddl="a INT, b STRING")
+    rows, stats = load_files(spark, spec, d, path_glob="*.parquet")
+    got = sorted((r.status, r.rows_loaded, r.first_error) for r in stats.collect())
+    assert got == [("LOADED", 4, None), ("LOAD_FAILED", 0, "File cannot be read")]
+    assert rows.count() == 4
+
+
+def test_every_spelling_of_a_path(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s t")
+    _write(d, a_csv="1,x\n", b_csv="2,y\n", c_csv="3,z\n")
+    _write(os.path.join(d, "x[1]"), d_csv="4,w\n")
+    files = spark.createDataFrame(
+        [(f"file://{d}/a.csv",), (f"file:{d}/b.csv",), (f"{d}//c.csv",), (f"{d}/x[1]/d.csv",)], "path string")
+    rows, stats = load_files(spark, SPEC, f"file://{d}", files)
+    assert {s[0] for s in _stats(stats).values()} == {"LOADED"} and len(_stats(stats)) == 4
+    assert sorted(r.a for r in rows.collect()) == [1, 2, 3, 4]
+    assert {os.path.dirname(r.path) for r in stats.collect()} == {d, f"{d}/x[1]"}
+
+
+def test_header_and_records_of_several_lines(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, a_csv='a,b\n1,x\n2,"y\nz"\nq,w\n', only_csv="a,b\n")
+    spec = PipeSpec(name="p", schema_ddl="a INT, b STRING", options={"header": "true", "multiLine": "true"})
+    rows, stats = load_files(spark, spec, d)
+    assert sorted(tuple(r)[1:] for r in rows.collect()) == [(1, "x"), (2, "y\nz")]
+    got = _stats(stats)
+    assert got["a.csv"] == ("PARTIALLY_LOADED", 2, "Invalid record: q,w")
+    assert got["only.csv"] == ("LOADED", 0, None)
+    with pytest.raises(ValueError):
+        parse_lines(spark.createDataFrame([("1,x",)], "value string"), spec)
+
+
+def test_a_later_run_wins_whatever_the_clock_says(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, **{f"f{i}_csv": "bad,x\n" for i in range(8)})
+    _, stats = load_files(spark, SPEC, d)
+    day1 = spark.createDataFrame(as_history(stats, dt.datetime(2024, 1, 2), next_run(None)).collect(),
+                                 as_history(stats, dt.datetime(2024, 1, 2)).schema)
+    _write(d, **{f"f{i}_csv": "1,x\n" for i in range(8)})
+    _, stats = load_files(spark, SPEC, d, history=day1)
+    day2 = as_history(stats, dt.datetime(2024, 1, 1), next_run(day1))
+    latest = latest_per_file(day1.unionByName(day2)).collect()
+    assert len(latest) == 8 and {r.status for r in latest} == {"LOADED"} and {r.seq for r in latest} == {2}
+
+
+def test_only_chosen_files_are_opened_and_no_line_is_shuffled(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, a_csv="1,x\n", b_csv="2,y\n")
+    files = spark.createDataFrame([(os.path.join(d, "a.csv"),)], "path string")
+    rows, _ = load_files(spark, SPEC, d, files)
+    assert [os.path.basename(f) for f in rows.inputFiles()] == ["a.csv"]
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_two_pipes_in_one_load(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, a_csv="1,x\n", b_csv='{"a": 5}\n')
+    req = spark.createDataFrame([("c", f"{d}/a.csv"), ("j", f"{d}/b.csv"), ("none", f"{d}/a.csv")],
+                                "pipe string, path string")
+    rows, stats = load_through_pipes(
+        spark, [PipeSpec("c", schema_ddl="a INT, b STRING"), PipeSpec("j", "json", "a INT")], req, d)
+    assert {p: [r.a for r in x.collect()] for p, x in rows.items()} == {"c": [1], "j": [5]}
+    assert sorted((r.pipe, r.status) for r in stats.collect()) == [("c", "LOADED"), ("j", "LOADED")]
