@@ -42,8 +42,12 @@ class StageFiles:
     parallel: str = "4"
 
     def requests(self, events: DataFrame, id_col: str = "request_id") -> DataFrame:
-        """One raw stage request per event, every property resolved from its attributes."""
+        """One raw stage request per event, every property resolved from its attributes.
+
+        The attributes go along: every result of the step inherits them.
+        """
         return events.select(
+            "attributes",
             F.col(id_col).cast("string").alias("request_id"),
             _prop(self.input_directory).alias("input_directory"),
             _prop(self.file_name).alias("file_name"),
@@ -54,7 +58,7 @@ class StageFiles:
 
     def run(self, events: DataFrame, manifest: DataFrame, stage_root: str,
             parallel: int | None = None) -> DataFrame:
-        """Routed stage results (copies happen when computed: write the result once)."""
+        """Routed stage results; the files are copied when this is called."""
         return flow.stage_step(self.requests(events), manifest, stage_root, parallel)
 
 

@@ -22,11 +22,13 @@ NOW_MS = epoch_ms(NOW)
 MAX_AGE_MINUTES = 14400
 LINEAGE_FLOOR = _dt.datetime(2024, 1, 11)
 ROUND1_NOW = _dt.datetime(2024, 1, 21)
+EARLY_ROUNDS = (_dt.datetime(2024, 1, 6), _dt.datetime(2024, 1, 12))
 REPORT_PIPE = "pipe_2"
 REPORT_TRAIL_MINUTES = -2880
 DOC_STAGE = "database.schema.docs"
 LOAD_PIPE = "database.schema.lineitem_pipe"
-WILDCARD_PATTERNS = ("d1*.txt", "d?.txt", "d??.txt", "none*")
+WILDCARD_PATTERNS = ("d1*.txt", "d?.txt", "d??.txt", "none*", "d1*.txt")
+ABSENT_NAME = "absent.txt"
 ATTR_TEMPLATES = ("${filename}", "in/${k}/${filename}", "${absent}x")
 
 
@@ -58,6 +60,22 @@ def pending(spark: SparkSession, sf_dir: str, blank_stamps: bool = False) -> Dat
     )
 
 
+def pending_bad_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-PENDING over all events, every fifth stamp invalid, every seventh order number missing."""
+    ev = read_table(spark, sf_dir, "events")
+    eid, grp = F.col("event_id"), F.expr("event_id div 3")
+    ms = col_epoch_ms(F.col("ts")).cast("string")
+    stamp = (F.when(eid % 5 == 1, F.concat(F.lit(" "), ms)).when(eid % 10 == 6, F.lit("soon"))
+             .otherwise(ms))
+    return ev.select(
+        F.concat(F.lit("r"), eid.cast("string")).alias("request_id"),
+        _pipe_of(grp).alias("pipe"),
+        F.concat(F.lit("f_"), grp.cast("string"), F.lit(".csv")).alias("file"),
+        F.create_map().cast("map<string,string>").alias("attributes"),
+        stamp.alias("queued_ms"), col_epoch_ms(F.col("ts")).alias("lineage_ms"),
+        F.when(eid % 7 != 0, eid).alias("arrival_seq"))
+
+
 def pending_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-PENDING with every third request moved onto one (pipe, file) key."""
     p = pending(spark, sf_dir)
@@ -162,6 +180,18 @@ def error_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(k.alias("id"), msg.alias("message"))
 
 
+def stage_requests_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage requests of customers and of suppliers; the latter have no orders, so no results."""
+    key = F.col("s_suppkey").cast("string")
+    return stage_requests(spark, sf_dir).unionByName(read_table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("s"), key).alias("request_id"), F.lit("/home/supplier").alias("input_directory"),
+        F.concat(F.lit("s_"), key, F.lit("_*.csv")).alias("file_name"),
+        F.concat(F.lit("database.schema.stage_"), (F.col("s_nationkey") % 5).cast("string"))
+         .alias("internal_stage"),
+        F.lit("default").alias("auto_compress"), F.lit("NONE").alias("source_compression"),
+        F.lit("4").alias("parallel")))
+
+
 def stage_requests(spark: SparkSession, sf_dir: str, with_invalid: bool = False) -> DataFrame:
     """Stage requests, one per customer (all fields as received, strings)."""
     c = read_table(spark, sf_dir, "customer")
@@ -190,8 +220,8 @@ def stage_requests(spark: SparkSession, sf_dir: str, with_invalid: bool = False)
 
 
 def stage_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX-STAGE-RESULT: copy results per request (orders of most customers)."""
-    o = read_table(spark, sf_dir, "orders").where(F.col("o_custkey") % 10 != 0)
+    """FX-STAGE-RESULT: one copy result per order."""
+    o = read_table(spark, sf_dir, "orders")
     src = F.concat(F.lit("c_"), F.col("o_custkey").cast("string"), F.lit("_"),
                    F.col("o_orderkey").cast("string"), F.lit(".csv"))
     status = (F.when(F.col("o_orderstatus") == "F", "UPLOADED")
@@ -250,13 +280,75 @@ def stage_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wildcard_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four file-name patterns per source directory."""
+    """Per source directory: patterns (one twice) and a plain name that is absent; per file: its name."""
+    d = read_table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("/src/"), F.col("source")).alias("dir"), "doc_id")
+    pats = F.array(*[F.lit(p) for p in (*WILDCARD_PATTERNS, ABSENT_NAME)])
+    asked = d.select("dir").distinct().select("dir", F.posexplode(pats).alias("n", "pattern"))
+    named = d.select("dir", F.lit(-1).alias("n"),
+                     F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("pattern"))
+    return asked.unionByName(named).select(
+        F.concat_ws("|", "dir", F.col("n").cast("string"), "pattern").alias("request_id"), "dir", "pattern")
+
+
+def wildcard_requests_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per document, a third of them the same pattern of one directory; ids repeat."""
+    d = read_table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    hot = k % 3 == 0
+    return d.select(
+        F.when(k % 11 != 0, (k % 100).cast("string")).alias("request_id"),
+        F.when(hot, F.lit("/src/src0")).otherwise(F.concat(F.lit("/src/"), F.col("source"))).alias("dir"),
+        F.when(hot, F.lit("d1?.txt")).when(k % 3 == 1, F.lit(ABSENT_NAME))
+         .otherwise(F.concat(F.lit("d"), (k % 10).cast("string"), F.lit("?.txt"))).alias("pattern"))
+
+
+def header_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per page and document with its first bytes, declared and wished compression."""
+    p = read_table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("file"), F.col("page_id").alias("k"),
+        F.encode(F.substring("html", 1, 16), "UTF-8").alias("text"))
     d = read_table(spark, sf_dir, "documents").select(
-        F.concat(F.lit("/src/"), F.col("source")).alias("dir")).distinct()
-    pats = F.array(*[F.lit(p) for p in WILDCARD_PATTERNS])
-    return d.select("dir", F.explode(pats).alias("pattern")).select(
-        F.concat(F.col("dir"), F.lit("|"), F.col("pattern")).alias("request_id"),
-        "dir", "pattern")
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file"), F.col("doc_id").alias("k"),
+        F.encode(F.substring("text", 1, 16), "UTF-8").alias("text"))
+    kinds = ["1F8B0800", "425A6839", "28B52FFD04", "789C4B4C", "78014B04", "785E4B4C80"]
+    magic = F.element_at(F.array(*[F.lit(x) for x in kinds]), (F.col("k") % 6 + 1).cast("int"))
+    header = (F.when(F.col("k") % 8 < 6, F.unhex(magic))
+              .when(F.col("k") % 8 == 6, F.encode(F.lit("x^2 + y^2 = z^2"), "UTF-8")).otherwise(F.col("text")))
+    declared = F.element_at(F.array(*[F.lit(v) for v in ("AUTO_DETECT", "default", "NONE", "BROTLI", "GZIP")]),
+                            (F.col("k") % 5 + 1).cast("int"))
+    wish = F.element_at(F.array(*[F.lit(v) for v in ("default", "true", "false")]), (F.col("k") % 3 + 1).cast("int"))
+    return p.unionByName(d).select("file", header.alias("header"), declared.alias("declared"),
+                                   F.when(F.col("k") % 4 != 3, wish).alias("auto_compress"))
+
+
+def stage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per customer whose attributes name what to stage."""
+    c = read_table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    return c.select(key.alias("request_id"), F.create_map(
+        F.lit("segment"), F.lower("c_mktsegment"), F.lit("key"), key,
+        F.lit("nation"), F.col("c_nationkey").cast("string"),
+        F.lit("zip"), F.when(F.col("c_custkey") % 2 == 0, "true").otherwise("false")).alias("attributes"))
+
+
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of FX-LINES and others: a size where there is a file, 0 where it is empty, else null."""
+    li = read_table(spark, sf_dir, "lineitem")
+    n = F.col("l_orderkey") % 200
+    there = li.groupBy(n.alias("n")).agg(F.count("*").alias("size")).select(
+        F.concat(F.lit("part_"), F.col("n").cast("string"), F.lit(".csv")).alias("path"), "size")
+    others = read_table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 30).alias("m")).distinct().select(
+        F.concat(F.lit("other_"), F.col("m").cast("string"), F.lit(".csv")).alias("path"),
+        F.when(F.col("m") % 3 == 0, 0).when(F.col("m") % 3 == 1, 7).cast("long").alias("size"))
+    return there.unionByName(others)
+
+
+def lines_mended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-LINES as a second run finds them: the bad quantities of even files are mended."""
+    even = F.regexp_extract("path", "part_([0-9]+)", 1).cast("int") % 2 == 0
+    return lines(spark, sf_dir).withColumn("value", F.when(
+        even, F.regexp_replace("value", "bad$", "1")).otherwise(F.col("value")))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

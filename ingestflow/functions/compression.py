@@ -20,6 +20,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _is_text(header: Column) -> Column:
+    """Leading bytes that are all printable ASCII or blanks: a text that starts like zlib data."""
+    return ~F.hex(header).rlike("^(..)*(0[0-8BCEF]|1.|[89A-F].|7F)")
+
+
 def sniff_compression(header: Column | str) -> Column:
     """Compression recognised from a file's leading bytes (``NONE`` if none)."""
     h = F.hex(F.substring(_c(header), 1, 4))
@@ -27,7 +32,8 @@ def sniff_compression(header: Column | str) -> Column:
             .when(h.startswith(BZ2_MAGIC), F.lit("BZ2"))
             .when(h.startswith(ZSTD_MAGIC), F.lit("ZSTD"))
             .when(h.startswith(ZLIB_FIRST_BYTE)
-                  & F.substring(h, 3, 2).isin(*ZLIB_SECOND_BYTES), F.lit("DEFLATE"))
+                  & F.substring(h, 3, 2).isin(*ZLIB_SECOND_BYTES) & ~_is_text(_c(header)),
+                  F.lit("DEFLATE"))
             .otherwise(F.lit("NONE")))
 
 

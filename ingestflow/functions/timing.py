@@ -61,7 +61,9 @@ def minutes_between(now_ms: int | Column, ms: Column) -> Column:
 def stamp_is_valid(queued_ms: Column | str) -> Column:
     """True when the queued stamp is absent/blank or a whole number of ms."""
     q = F.col(queued_ms) if isinstance(queued_ms, str) else queued_ms
-    return (F.coalesce(q, F.lit("")) == "") | q.try_cast("long").isNotNull()
+    # Digits alone: a cast would also accept surrounding blanks.
+    whole = F.when(q.rlike(r"^[+-]?[0-9]+$"), q.try_cast("long")).isNotNull()
+    return (F.coalesce(q, F.lit("")) == "") | whole
 
 
 def queue_age(queued_ms: Column | str, now_ms: int) -> Column:

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestflow import fixtures as fx
+from ingestflow.api import StageFiles
 from ingestflow.functions.codes import response_code
+from ingestflow.functions.compression import detect_compression, target_compression
 from ingestflow.functions.template import resolve_template
-from ingestflow.functions.timing import queue_age
+from ingestflow.functions.timing import int_div, queue_age
 from ingestflow.operators import audit, history as hist, load, reconcile, staging, submit
 
 LINE_SPEC = load.PipeSpec(name=fx.LOAD_PIPE, format="csv",
@@ -168,7 +170,7 @@ def stage_plan(spark, sf_dir):
 
 
 def _stage_routes(spark, sf_dir, skewed=False, **kw):
-    req = staging.validate_requests(fx.stage_requests(spark, sf_dir))
+    req = staging.validate_requests(fx.stage_requests_all(spark, sf_dir))
     res = (fx.stage_results_skewed if skewed else fx.stage_results)(spark, sf_dir).select(
         "request_id", "source_filename", "target_filename", "source_size", "target_size",
         "source_compression", "target_compression", "status", "encryption", "message")
@@ -235,6 +237,100 @@ def await_two_rounds(spark, sf_dir):
     return out.select("arrival_seq", "route", "round", "queued_ms", "error")
 
 
+def await_routes_bad_stamps(spark, sf_dir):
+    """Invalid stamps and missing order numbers change no other row."""
+    out = reconcile.await_results(fx.pending_bad_stamps(spark, sf_dir), fx.history(spark, sf_dir),
+                                  fx.MAX_AGE_MINUTES, fx.NOW)
+    return out.select("request_id", "pipe", "file", "route", "queued_ms", "error", "age_minutes",
+                      "status")
+
+
+def first_wins_bad_stamps(spark, sf_dir):
+    return reconcile.first_wins_age(fx.pending_bad_stamps(spark, sf_dir), fx.NOW)
+
+
+def await_rounds_late(spark, sf_dir):
+    """Two early rounds: most requests arrive after the last one and are reported as waiting."""
+    out = reconcile.await_rounds(fx.pending(spark, sf_dir), fx.history(spark, sf_dir),
+                                 fx.MAX_AGE_MINUTES, list(fx.EARLY_ROUNDS))
+    return out.select("arrival_seq", "route", "round", "queued_ms", "error")
+
+
+def wildcard_match_skewed(spark, sf_dir):
+    """A hot directory and a hot pattern, repeated and missing request ids, hot paths forced on."""
+    req = fx.wildcard_requests_skewed(spark, sf_dir)
+    files = fx.source_files(spark, sf_dir).select("dir", "name", "size")
+    return staging.expand_wildcards(req, files, dir_col="dir", pattern_col="pattern", salt_buckets=4,
+                                    min_hot_rows=0, max_hot_keys=10).select(
+        "request_id", "dir", "pattern", "name", "size")
+
+
+def detect_compression_q(spark, sf_dir):
+    f = fx.header_files(spark, sf_dir)
+    source = detect_compression("declared", "header")
+    return f.select("file", source.alias("source_compression"),
+                    target_compression(source, "auto_compress").alias("target_compression"))
+
+
+def stage_results_named(spark, sf_dir):
+    """All nine result columns, the duration and the transmission of every routed result."""
+    req = staging.validate_requests(fx.stage_requests_all(spark, sf_dir))
+    out = staging.route_stage(req, fx.stage_results(spark, sf_dir))
+    elapsed = F.col("end_ms") - F.col("start_ms")
+    return out.select("request_id", "source_filename", "target_filename", "source_size", "target_size",
+                      F.col("source_compression").alias("source_compression"), "target_compression",
+                      "status", "encryption", "message", "route",
+                      elapsed.alias("transmission_ms"), int_div(elapsed, 1000).alias("duration_s"))
+
+
+def stage_requests_q(spark, sf_dir):
+    """Stage requests resolved from events' attributes, which go along."""
+    step = StageFiles("/home/account/${segment}", "c_${key}_*.csv", "database.schema.stage_${nation}",
+                      auto_compress="${zip}", parallel="${absent}9")
+    return staging.validate_requests(step.requests(fx.stage_events(spark, sf_dir))).select(
+        "request_id", "input_directory", "file_name", "internal_stage", "auto_compress",
+        "source_compression", "parallel", "invalid_reason",
+        F.col("attributes")["segment"].alias("segment"))
+
+
+def stage_step_tables(spark, sf_dir):
+    """The stage step's tables joined: results with their event's attributes, duration and audit."""
+    step = StageFiles("/home/account/${segment}", "c_${key}_*.csv", "database.schema.stage_${nation}")
+    req = staging.validate_requests(step.requests(fx.stage_events(spark, sf_dir)))
+    res = fx.stage_results(spark, sf_dir).where(F.col("status") != "FAILED")
+    routed = staging.route_stage(req, res).where(F.col("source_filename").isNotNull())
+    sent = audit.audit_events(res).withColumnRenamed("source_filename", "sent_file").drop("request_id")
+    return routed.join(sent, F.col("source_filename") == F.col("sent_file")).select(
+        "request_id", "source_filename", "route", "target_url", "transmission_ms", "duration_s",
+        F.col("attributes")["nation"].alias("nation"), "stage_command")
+
+
+def load_history_reload(spark, sf_dir):
+    """The same files loaded in two runs; the later run's entry of a file wins."""
+    first = load.file_stats(load.parse_lines(fx.lines(spark, sf_dir), LINE_SPEC_SKIP), LINE_SPEC_SKIP)
+    again = load.file_stats(load.parse_lines(fx.lines_mended(spark, sf_dir), LINE_SPEC_SKIP), LINE_SPEC_SKIP)
+    # The second run's clock is behind: runs count, not clocks.
+    entries = load.as_history(first, fx.NOW, run=1).unionByName(
+        load.as_history(again, fx.ROUND1_NOW, run=2))
+    return hist.latest_per_file(entries).select(
+        "pipe", "path", "status", "rows_parsed", "rows_loaded", "errors_seen", "first_error", "seq")
+
+
+def load_history_missing(spark, sf_dir):
+    """Every wanted file has an outcome: read, empty, not there, or not readable."""
+    stats = load.file_stats(load.parse_lines(fx.lines(spark, sf_dir), LINE_SPEC), LINE_SPEC)
+    return load.file_outcomes(fx.listed_files(spark, sf_dir), stats, LINE_SPEC)
+
+
+def load_history_two_pipes(spark, sf_dir):
+    """Files of two pipes and formats; the same load request names its pipe."""
+    csv = load.file_stats(load.parse_lines(fx.lines(spark, sf_dir), LINE_SPEC_SKIP), LINE_SPEC_SKIP)
+    jsn = load.file_stats(load.parse_lines(fx.json_lines(spark, sf_dir), JSON_SPEC), JSON_SPEC)
+    return csv.unionByName(jsn).groupBy("pipe", "status").agg(
+        F.count("*").alias("files"), F.sum("rows_loaded").alias("rows_loaded"),
+        F.sum("errors_seen").alias("errors_seen"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "await_routes": await_routes,
     "route_counts": route_counts,
@@ -273,4 +369,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_route_counts": stage_route_counts,
     "submit_route_counts": submit_route_counts,
     "history_for_pending_skewed": history_for_pending_skewed,
+    "await_routes_bad_stamps": await_routes_bad_stamps,
+    "first_wins_bad_stamps": first_wins_bad_stamps,
+    "await_rounds_late": await_rounds_late,
+    "wildcard_match_skewed": wildcard_match_skewed,
+    "detect_compression": detect_compression_q,
+    "stage_results_named": stage_results_named,
+    "stage_requests": stage_requests_q,
+    "stage_step_tables": stage_step_tables,
+    "load_history_reload": load_history_reload,
+    "load_history_missing": load_history_missing,
+    "load_history_two_pipes": load_history_two_pipes,
 }

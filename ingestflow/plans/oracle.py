@@ -63,13 +63,13 @@ def await_ctes(src: str, now: _dt.datetime, max_age: int, p: str) -> str:
     and h.pipe in (select pipe from {p}_keyed)),
 {p}_latest as (select * from (select *, row_number() over (partition by pipe, path
   order by seq desc) as rn from {p}_win) where rn = 1),
-{p}_aged as (select s.*, try_cast(queued_ms as bigint) is null and coalesce(queued_ms, '') <> ''
-    as bad_stamp,
+{p}_aged as (select s.*, coalesce(queued_ms, '') <> ''
+    and not regexp_full_match(queued_ms, '[+-]?[0-9]{{1,18}}') as bad_stamp,
   case when coalesce(queued_ms, '') = '' then 0
        else ({now_ms} - try_cast(queued_ms as bigint)) // 60000 end as age from {src} s),
 {p}_first as (select pipe, file, age as first_age from (select pipe, file, age,
-  row_number() over (partition by pipe, file order by arrival_seq) as rn
-  from {p}_aged where pipe is not null and file is not null) where rn = 1),
+  row_number() over (partition by pipe, file order by arrival_seq nulls last) as rn
+  from {p}_aged where pipe is not null and file is not null and not bad_stamp) where rn = 1),
 {p}_j as (select a.*, f.first_age, l.path is not null as has, l.path as h_path,
     l.status as h_status, l.rows_parsed as h_rows_parsed, l.rows_loaded as h_rows_loaded,
     l.errors_seen as h_errors, l.first_error as h_first_error
@@ -306,8 +306,10 @@ FILES_CTE = """files as (select '/src/' || source as dir, 'd' || doc_id || '.txt
 
 WILDCARD_MATCH = f"""with {FILES_CTE},
 dirs as (select distinct dir from files),
-pats as (select * from (values ('d1*.txt'), ('d?.txt'), ('d??.txt'), ('none*')) t(pattern)),
-req as (select dir || '|' || pattern as request_id, dir, pattern from dirs, pats)
+pats as (select * from (values (0, 'd1*.txt'), (1, 'd?.txt'), (2, 'd??.txt'), (3, 'none*'),
+  (4, 'd1*.txt'), (5, 'absent.txt')) t(n, pattern)),
+req as (select dir || '|' || n || '|' || pattern as request_id, dir, pattern from dirs, pats
+  union all select dir || '|-1|' || name, dir, name from files)
 select r.request_id, r.dir, r.pattern, f.name, f.size
 from req r left join files f on f.dir = r.dir and f.name glob r.pattern"""
 
@@ -320,13 +322,20 @@ select '{fx.DOC_STAGE}' as stage, dir, name, size, md5,
        then 'SKIPPED' else 'UPLOADED' end as status
 from files f"""
 
+REQUEST_ALL_CTE = REQUEST_CTE.replace("""
+  from customer),""", """
+  from customer
+  union all
+  select 's' || s_suppkey, '/home/supplier', 's_' || s_suppkey || '_*.csv',
+    'database.schema.stage_' || (s_nationkey % 5), 'default', 'NONE', '4' from supplier),""")
+
 RESULTS_CTE = """res as (select cast(o_custkey as varchar) as request_id,
   'c_' || o_custkey || '_' || o_orderkey || '.csv' as source_filename,
   case o_orderstatus when 'F' then 'UPLOADED' when 'P' then 'SKIPPED' else 'FAILED' end as status,
   cast(floor(o_totalprice) as bigint) as source_size, o_orderdate, o_orderkey, o_custkey
-  from orders where o_custkey % 10 <> 0)"""
+  from orders)"""
 
-_STAGE_ROUTES_BODY = f"""with {REQUEST_CTE}, {RESULTS_CTE},
+_STAGE_ROUTES_BODY = f"""with {REQUEST_ALL_CTE}, {RESULTS_CTE},
 routed as (
   select r.request_id, r.source_filename, r.status,
     case r.status when 'UPLOADED' then 'uploaded' when 'SKIPPED' then 'skipped'
@@ -339,7 +348,7 @@ routed as (
 
 STAGE_ROUTES = _STAGE_ROUTES_BODY + "\nselect * from routed"
 
-STAGE_ROUTES_SKEWED = f"""with {REQUEST_CTE}, {RESULTS_CTE.replace("res as (", "res0 as (")},
+STAGE_ROUTES_SKEWED = f"""with {REQUEST_ALL_CTE}, {RESULTS_CTE.replace("res as (", "res0 as (")},
 res as (select case when o_orderkey % 3 = 0 then '1' else request_id end as request_id,
   source_filename, status from res0),
 routed as (
@@ -456,6 +465,129 @@ select arrival_seq, route, 2 as round, queued_ms, error from y_out"""
 
 AWAIT_TWO_ROUNDS = _two_rounds()
 
+
+def _rounds_late() -> str:
+    """Two early rounds over the same rows; who arrives later waits."""
+    one, two = fx.EARLY_ROUNDS
+    ms1, ms2 = epoch_ms(one), epoch_ms(two)
+    cols = "request_id, pipe, file, queued_ms, lineage_ms, arrival_seq"
+    return f"""with {_pending_cte()},\n{HISTORY_CTE},
+p1 as (select * from pending where cast(queued_ms as bigint) <= {ms1}),
+{await_ctes('p1', one, fx.MAX_AGE_MINUTES, 'x')},
+p2 as (select {cols} from x_out where route = 'waiting'
+       union all select {cols} from pending
+       where cast(queued_ms as bigint) > {ms1} and cast(queued_ms as bigint) <= {ms2}),
+{await_ctes('p2', two, fx.MAX_AGE_MINUTES, 'y')}
+select arrival_seq, route, 1 as round, queued_ms, error from x_out where route <> 'waiting'
+union all select arrival_seq, route, 2 as round, queued_ms, error from y_out
+union all select arrival_seq, 'waiting' as route, 2 as round, queued_ms, null as error
+from pending where cast(queued_ms as bigint) > {ms2}"""
+
+
+_PENDING_BAD = """pending as (
+  select 'r' || event_id as request_id, 'pipe_' || ((event_id // 3) % 5) as pipe,
+    'f_' || (event_id // 3) || '.csv' as file,
+    case when event_id % 5 = 1 then ' ' || (epoch_us(ts) // 1000)
+         when event_id % 10 = 6 then 'soon' else cast(epoch_us(ts) // 1000 as varchar) end as queued_ms,
+    epoch_us(ts) // 1000 as lineage_ms,
+    case when event_id % 7 <> 0 then event_id end as arrival_seq, ts, event_id
+  from events)"""
+
+AWAIT_ROUTES_BAD_STAMPS = f"""with {_PENDING_BAD},\n{HISTORY_CTE},
+{await_ctes('pending', fx.NOW, fx.MAX_AGE_MINUTES, 'a')}
+select request_id, pipe, file, route, queued_ms, error, age_minutes, status from a_out"""
+
+FIRST_WINS_BAD_STAMPS = f"""with {_PENDING_BAD},
+good as (select pipe, file, arg_min(({fx.NOW_MS} - epoch_us(ts) // 1000) // 60000,
+    coalesce(arrival_seq, 9000000000000000 + event_id)) as first_age
+  from pending where event_id % 5 <> 1 and event_id % 10 <> 6 group by pipe, file)
+select p.pipe, p.file, p.n as n_pending, g.first_age
+from (select pipe, file, count(*) as n from pending group by pipe, file) p
+left join good g on g.pipe = p.pipe and g.file = p.file"""
+
+WILDCARD_MATCH_SKEWED = f"""with {FILES_CTE},
+req as (select case when doc_id % 11 <> 0 then cast(doc_id % 100 as varchar) end as request_id,
+  case when doc_id % 3 = 0 then '/src/src0' else '/src/' || source end as dir,
+  case doc_id % 3 when 0 then 'd1?.txt' when 1 then 'absent.txt'
+    else 'd' || (doc_id % 10) || '?.txt' end as pattern from documents)
+select r.request_id, r.dir, r.pattern, f.name, f.size
+from req r left join files f on f.dir = r.dir and f.name glob r.pattern"""
+
+DETECT_COMPRESSION = """with f as (
+  select 'p' || page_id as file, page_id as k, encode(substring(html, 1, 16)) as t from pages
+  union all select 'd' || doc_id, doc_id, encode(substring(text, 1, 16)) from documents),
+s as (select file, k, case k % 5 when 0 then 'AUTO_DETECT' when 1 then 'default' when 2 then 'NONE'
+    when 3 then 'BROTLI' else 'GZIP' end as declared,
+  case when k % 8 >= 6 then 'NONE'
+    else case k % 6 when 0 then 'GZIP' when 1 then 'BZ2' when 2 then 'ZSTD' else 'DEFLATE' end end as sniffed,
+  case when k % 4 <> 3 then case k % 3 when 0 then 'default' when 1 then 'true' else 'false' end end as wish
+  from f),
+c as (select file, wish, case when declared in ('AUTO_DETECT', 'default') then sniffed else declared end
+  as source_compression from s)
+select file, source_compression,
+  case when source_compression = 'NONE' and coalesce(wish, 'default') <> 'false' then 'GZIP'
+       else source_compression end as target_compression
+from c"""
+
+STAGE_RESULTS_NAMED = f"""with {REQUEST_ALL_CTE}
+select cast(o_custkey as varchar) as request_id, 'c_' || o_custkey || '_' || o_orderkey || '.csv' as source_filename,
+  'c_' || o_custkey || '_' || o_orderkey || '.csv.gz' as target_filename,
+  cast(floor(o_totalprice) as bigint) as source_size, cast(floor(o_totalprice) as bigint) // 3 as target_size,
+  'NONE' as source_compression, 'GZIP' as target_compression,
+  case o_orderstatus when 'F' then 'UPLOADED' when 'P' then 'SKIPPED' else 'FAILED' end as status,
+  'ENCRYPTED' as encryption,
+  case when o_orderstatus in ('F', 'P') then ''
+       else 'upload failed for c_' || o_custkey || '_' || o_orderkey || '.csv' end as message,
+  case o_orderstatus when 'F' then 'uploaded' when 'P' then 'skipped' else 'failure' end as route,
+  (o_orderkey % 5000) * 7 as transmission_ms, ((o_orderkey % 5000) * 7) // 1000 as duration_s
+from orders
+union all
+select request_id, null, null, null, null, null, null, null, null, null, 'failure', null, null from req
+where request_id not in (select cast(o_custkey as varchar) from orders)"""
+
+STAGE_REQUESTS = """select cast(c_custkey as varchar) as request_id,
+  '/home/account/' || lower(c_mktsegment) as input_directory, 'c_' || c_custkey || '_*.csv' as file_name,
+  'database.schema.stage_' || c_nationkey as internal_stage,
+  case when c_custkey % 2 = 0 then 'true' else 'false' end as auto_compress,
+  'default' as source_compression, 9 as parallel, cast(null as varchar) as invalid_reason,
+  lower(c_mktsegment) as segment
+from customer"""
+
+STAGE_STEP_TABLES = """select cast(o_custkey as varchar) as request_id,
+  'c_' || o_custkey || '_' || o_orderkey || '.csv' as source_filename,
+  case o_orderstatus when 'F' then 'uploaded' else 'skipped' end as route,
+  case when o_custkey % 4 = 0 then 'jdbc://unknown-host'
+       else 'jdbc:warehouse://acct' || (o_custkey % 3) || '.example.com' end as target_url,
+  (o_orderkey % 5000) * 7 as transmission_ms, ((o_orderkey % 5000) * 7) // 1000 as duration_s,
+  cast(c_nationkey as varchar) as nation,
+  'PUT file:///home/account/' || lower(c_mktsegment) || '/c_' || c_custkey || '_*.csv @database.schema.stage_'
+    || c_nationkey as stage_command
+from orders left join customer on c_custkey = o_custkey where o_orderstatus in ('F', 'P')"""
+
+LOAD_HISTORY_RELOAD = f"""with {LINES_CTE},
+s as (select path, regexp_extract(path, '[0-9]+')::int % 2 = 0 as mended, count(*) as n,
+  count(*) filter (where bad) as e, arg_min(value, line_no) filter (where bad) as first_bad
+  from lines group by path)
+select '{fx.LOAD_PIPE}' as pipe, path,
+  case when mended or e = 0 then 'LOADED' else 'LOAD_FAILED' end as status, n as rows_parsed,
+  case when mended or e = 0 then n else 0 end as rows_loaded,
+  case when mended then 0 else e end as errors_seen,
+  case when not mended and e > 0 then 'Invalid record: ' || first_bad end as first_error, 2 as seq
+from s"""
+
+LOAD_HISTORY_MISSING = f"""{LOAD_HISTORY}
+union all
+select '{fx.LOAD_PIPE}', 'other_' || m || '.csv', case when m % 3 = 0 then 'LOADED' else 'LOAD_FAILED' end,
+  0, 0, case when m % 3 = 0 then 0 else 1 end,
+  case m % 3 when 1 then 'File cannot be read' when 2 then 'File not found' end
+from (select distinct o_orderkey % 30 as m from orders)"""
+
+LOAD_HISTORY_TWO_PIPES = f"""select pipe, status, count(*) as files,
+  cast(sum(rows_loaded) as bigint) as rows_loaded, cast(sum(errors_seen) as bigint) as errors_seen
+from (select pipe, status, rows_loaded, errors_seen from ({LOAD_HISTORY_SKIP_FILE})
+      union all select pipe, status, rows_loaded, errors_seen from ({LOAD_HISTORY_JSON}))
+group by pipe, status"""
+
 ORACLE: dict[str, str] = {
     "await_routes": AWAIT_ROUTES,
     "route_counts": ROUTE_COUNTS,
@@ -494,4 +626,15 @@ ORACLE: dict[str, str] = {
     "stage_route_counts": STAGE_ROUTE_COUNTS,
     "submit_route_counts": SUBMIT_ROUTE_COUNTS,
     "history_for_pending_skewed": HISTORY_FOR_PENDING_SKEWED,
+    "await_routes_bad_stamps": AWAIT_ROUTES_BAD_STAMPS,
+    "first_wins_bad_stamps": FIRST_WINS_BAD_STAMPS,
+    "await_rounds_late": _rounds_late(),
+    "wildcard_match_skewed": WILDCARD_MATCH_SKEWED,
+    "detect_compression": DETECT_COMPRESSION,
+    "stage_results_named": STAGE_RESULTS_NAMED,
+    "stage_requests": STAGE_REQUESTS,
+    "stage_step_tables": STAGE_STEP_TABLES,
+    "load_history_reload": LOAD_HISTORY_RELOAD,
+    "load_history_missing": LOAD_HISTORY_MISSING,
+    "load_history_two_pipes": LOAD_HISTORY_TWO_PIPES,
 }

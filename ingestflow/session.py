@@ -8,6 +8,8 @@ runs set that value themselves, and only when it is unset.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,26 +65,37 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return chosen
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The checkpoint folder; a local session without one gets a folder of its own.
+
+    Anywhere else an unset ``spark.checkpoint.dir`` is an error: a folder of
+    one machine would not be seen by the others.
+    """
+    local = spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
+        return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="ingestflow-"))
+    return ensure_checkpoint_dir(spark)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Compute ``df`` once for several consumers.
-
-    With ``spark.checkpoint.dir`` configured (the cluster's shared folder)
-    the rows are written there as a Parquet table and read back: one
-    computation, durable across lost executors, and the plan restarts from
-    the files.  (An eager ``checkpoint()`` would compute the rows twice:
-    once for its count, once to write.)  Without a shared folder it is
-    ``persist`` (memory, then disk), rebuilt from lineage if blocks are lost.
+    """Compute ``df`` once for several consumers: a Parquet table in the shared folder.
+
+    One computation, durable across lost executors; plans built on the result
+    start from the files.  (An eager ``checkpoint()`` would compute the rows
+    twice: once for its count, once to write.)
     """
-    import uuid
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/ingestflow/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
 
+def drop_table(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialize` wrote and nothing reads any more."""
     spark = df.sparkSession
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        path = f"{conf_dir.rstrip('/')}/ingestflow/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-    from pyspark import StorageLevel
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    for uri in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_session_for_tests(tmp_root: str, cpus: int | str = "*",

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -25,6 +26,7 @@ from ingestflow.sources.files import CHUNK_BYTES, _filesystem
 RESULT_FIELDS = ("source_filename string, target_filename string, source_size bigint, "
                  "target_size bigint, source_compression string, target_compression string, "
                  "status string, encryption string, message string")
+TIMING_FIELDS = "url string, start_ms bigint, end_ms bigint"
 
 
 def target_name(name_col: str = "name", target_compression: str = "target_compression",
@@ -67,13 +69,16 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
     ``SKIPPED``); ``md5`` (when present) is passed through, and for copied
     files it is the MD5 of the source bytes, computed during the copy.  ``parallel`` is the
     number of copy tasks (files are spread over them by hash of their target).
-    The copies happen when the result is computed: write it once (as
-    ``run_flow`` does) rather than evaluating it twice.
+    Each result says where the file went and from when to when it was copied
+    (``url, start_ms, end_ms``).  A row of another status (``message`` says
+    why) is passed through.  The copies happen when the result is computed:
+    write it once (as ``stage_step`` does) and use the written rows.
     """
     cols = ["request_id", "dir", "name", "size", "stage", "target_name", "source_compression",
             "target_compression", "status"]
-    p = plan.select(*cols, F.col("md5") if "md5" in plan.columns
-                    else F.lit(None).cast("string").alias("md5"))
+    optional = [F.col(c) if c in plan.columns else F.lit(None).cast("string").alias(c)
+                for c in ("md5", "message")]
+    p = plan.select(*cols, *optional)
     n = parallel or p.sparkSession.sparkContext.defaultParallelism
     root = stage_root.rstrip("/")
 
@@ -81,7 +86,8 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                status, message, tsize, md5 = r.status, "", None, r.md5
+                status, message, tsize, md5 = r.status, r.message or "", None, r.md5
+                started = time.time_ns() // 1_000_000
                 compress = r.target_compression == "GZIP" and r.source_compression == "NONE"
                 if status == "UPLOADED":
                     try:
@@ -91,11 +97,12 @@ def copy_to_stage(plan: DataFrame, stage_root: str, parallel: int | None = None)
                         status, message = "FAILED", f"{type(e).__name__}: {e}"
                 rows.append((r.request_id, f"{r.dir.rstrip('/')}/{r.name}", r.target_name,
                              r.size, tsize, r.source_compression, r.target_compression,
-                             status, "NONE", message, md5))
+                             status, "NONE", message, md5, f"{root}/{r.stage}", started,
+                             time.time_ns() // 1_000_000))
             yield pd.DataFrame(rows, columns=[
                 "request_id", "source_filename", "target_filename", "source_size",
                 "target_size", "source_compression", "target_compression", "status",
-                "encryption", "message", "md5"])
+                "encryption", "message", "md5", "url", "start_ms", "end_ms"])
 
     return p.repartition(n, "stage", "target_name").mapInPandas(
-        run, f"request_id string, {RESULT_FIELDS}, md5 string")
+        run, f"request_id string, {RESULT_FIELDS}, md5 string, {TIMING_FIELDS}")

@@ -33,7 +33,7 @@ class ReportBatches:
         spark = ticks.sparkSession
         now = self.clock(ticks, batch_id)
         entries = pipe_history(self.history(spark), self.pipe, self.trailing, now)
-        write_history_document(entries.drop("event_ts"), f"{self.out_dir}/batch={batch_id}")
+        write_history_document(entries, f"{self.out_dir}/batch={batch_id}")
 
 
 def start_history_reports(spark: SparkSession, history: Callable[[SparkSession], DataFrame],

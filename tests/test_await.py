@@ -122,13 +122,30 @@ def test_rounds_loop_back(spark, tmpdir_path):
     assert (out["r1"].route, out["r1"]["round"]) == ("unmatched", 3)
 
 
-def test_many_pipes_fallback_equals_literal_list(spark):
-    d = "/root/testdata/sf0.001"
-    p, h = fx.pending(spark, d), fx.history(spark, d)
-    from ingestflow.operators.history import history_multi_pipe
-    a = sorted(r.seq for r in history_multi_pipe(h, p, fx.NOW).collect())
-    b = sorted(r.seq for r in history_multi_pipe(h, p, fx.NOW, max_pipes=2).collect())
-    assert a == b and len(a) > 0
+def test_rows_that_arrive_after_the_last_round_are_reported(spark):
+    pend = _pending(spark, [("p", "a", str(NOW_MS - MIN)), ("p", "b", str(NOW_MS + 90 * MIN)),
+                            ("p", "a", str(NOW_MS + 91 * MIN))])
+    hist = spark.createDataFrame([], HISTORY)
+    nows = [NOW, NOW + dt.timedelta(minutes=30)]
+    out = await_rounds(pend, hist, 10, nows).collect()
+    assert sorted((r.request_id, r.route, r["round"]) for r in out) == [
+        ("r0", "unmatched", 2), ("r1", "waiting", 2), ("r2", "waiting", 2)]
+
+
+def test_a_bad_stamp_changes_no_other_row(spark):
+    pend = _pending(spark, [("p", "a", "soon"), ("p", "a", str(NOW_MS - 90 * MIN)), ("p", "a", str(NOW_MS))])
+    out = {r.request_id: (r.route, r.age_minutes) for r in
+           await_results(pend, spark.createDataFrame([], HISTORY), 60, NOW).collect()}
+    assert out == {"r0": ("load_failure", 90), "r1": ("unmatched", 90), "r2": ("unmatched", 90)}
+
+
+def test_missing_order_numbers_keep_the_match(spark):
+    pend = _pending(spark, [("p", "a", str(NOW_MS - MIN))]).withColumn(
+        "arrival_seq", F.lit(None).cast("long"))
+    hist = spark.createDataFrame(
+        [("p", "a", "LOADED", 1, 1, None, None, NOW - dt.timedelta(seconds=9), None)], HISTORY)
+    (r,) = await_results(pend, hist, 60, NOW).collect()
+    assert (r.route, r.age_minutes) == ("loaded", 1)
 
 
 def test_empty_pending_gives_empty_result(spark):

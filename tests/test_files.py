@@ -130,3 +130,64 @@ def test_validate_requests_rules(spark):
     assert out["decimal"][0] == "parallel is not an integer"
     assert out["big"][0] == "parallel is not an integer"
     assert out["signed"] == (None, 7, "default")
+
+
+RAW = ("request_id string, input_directory string, file_name string, internal_stage string, "
+       "auto_compress string, source_compression string, parallel string")
+
+
+def test_each_file_is_copied_once(spark, tmpdir_path, monkeypatch):
+    """However many requests name a file, and however often the routes are read."""
+    src = os.path.join(tmpdir_path, "src")
+    os.makedirs(src)
+    for n in ("a.csv", "b.csv"):
+        with open(os.path.join(src, n), "w") as f:
+            f.write("1\n")
+    raw = spark.createDataFrame([("r1", src, "*.csv", "st", "false", "default", "2"),
+                                 ("r2", src, "a.csv", "st", "false", "default", "1")], RAW)
+    man = spark.createDataFrame([], "stage string, target_name string, md5 string")
+    root = os.path.join(tmpdir_path, "stages")
+    routed = stage_step(raw, man, root)
+    stamp = {n: os.stat(os.path.join(root, "st", n)).st_mtime_ns for n in ("a.csv", "b.csv")}
+    assert routed.count() == 3 and routed.where("route = 'uploaded'").count() == 3
+    got = routed.collect()
+    assert stamp == {n: os.stat(os.path.join(root, "st", n)).st_mtime_ns for n in stamp}
+    assert {(r.request_id, r.target_filename) for r in got} == {("r1", "a.csv"), ("r1", "b.csv"),
+                                                              ("r2", "a.csv")}
+    assert len({(r.target_filename, r.start_ms, r.end_ms) for r in got}) == 2     # one copy per file
+    assert all(r.url == f"{root}/st" and r.duration_s == r.transmission_ms // 1000 for r in got)
+
+
+def test_two_sources_of_one_target_name(spark, tmpdir_path):
+    for d in ("x", "y"):
+        os.makedirs(os.path.join(tmpdir_path, d))
+        with open(os.path.join(tmpdir_path, d, "same.csv"), "w") as f:
+            f.write(d)
+    raw = spark.createDataFrame([(d, os.path.join(tmpdir_path, d), "same.csv", "st", "false", "default", "2")
+                                 for d in ("x", "y")], RAW)
+    man = spark.createDataFrame([], "stage string, target_name string, md5 string")
+    root = os.path.join(tmpdir_path, "stages")
+    got = {r.request_id: (r.route, r.message) for r in stage_step(raw, man, root).collect()}
+    assert got["x"] == ("uploaded", "")
+    assert got["y"] == ("failure", f"target name is taken by {tmpdir_path}/x/same.csv")
+    with open(os.path.join(root, "st", "same.csv")) as f:
+        assert f.read() == "x"
+
+
+def test_wildcards_with_missing_and_equal_request_ids(spark):
+    req = spark.createDataFrame([(None, "/d", "a*"), ("1", "/d", "a*"), ("1", "/d", "none*"), ("2", "/d", "b.csv"),
+                                 ("3", None, "a*")], "request_id string, input_directory string, file_name string")
+    files = spark.createDataFrame([("/d", "a1"), ("/d", "b.csv"), ("/e", "a2")], "dir string, name string")
+    out = expand_wildcards(req, files)
+    got = sorted(((r.request_id, r.file_name, r.name) for r in out.collect()), key=str)
+    assert got == sorted([(None, "a*", "a1"), ("1", "a*", "a1"), ("1", "none*", None), ("2", "b.csv", "b.csv"),
+                          ("3", "a*", None)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+
+
+def test_text_that_starts_like_zlib_data(spark):
+    from ingestflow.functions.compression import sniff_compression
+    df = spark.createDataFrame([(bytearray(b"x^2 + y^2"),), (bytearray(b"x\x9cKL"),), (bytearray(b"x^KL\x04"),)],
+                               "h binary")
+    assert [r.c for r in df.select(sniff_compression("h").alias("c")).collect()] == ["NONE", "DEFLATE", "DEFLATE"]

@@ -11,32 +11,22 @@ from ingestflow.functions import (detect_compression, glob_regex, queue_age, res
                                   response_code, stage_command)
 from ingestflow.functions.compression import target_compression
 
-BASE = "PUT file:///home/account/dir/some_file @database.schema.my_internal_stage"
-
-# (auto_compress, source_compression, parallel, expected) — the reference's own goldens.
-GOLDEN = [
-    ("default", "default", 4, BASE),
-    ("true", "default", 4, BASE + " AUTO_COMPRESS = true"),
-    ("false", "default", 4, BASE + " AUTO_COMPRESS = false"),
-    ("default", "default", 10, BASE + " PARALLEL = 10"),
-    ("default", "default", 4, BASE),
-    ("default", "AUTO_DETECT", 4, BASE + " SOURCE_COMPRESSION = AUTO_DETECT"),
-    ("default", "RAW_DEFLATE", 4, BASE + " SOURCE_COMPRESSION = RAW_DEFLATE"),
-    ("default", "DEFLATE", 4, BASE + " SOURCE_COMPRESSION = DEFLATE"),
-    ("default", "ZSTD", 4, BASE + " SOURCE_COMPRESSION = ZSTD"),
-    ("default", "BROTLI", 4, BASE + " SOURCE_COMPRESSION = BROTLI"),
-    ("default", "BZ2", 4, BASE + " SOURCE_COMPRESSION = BZ2"),
-    ("default", "GZIP", 4, BASE + " SOURCE_COMPRESSION = GZIP"),
-    ("default", "default", 4, BASE),
-    ("default", "NONE", 4, BASE + " SOURCE_COMPRESSION = NONE"),
-    ("default", "default", 4, BASE),
-    ("true", "GZIP", 10, BASE + " AUTO_COMPRESS = true SOURCE_COMPRESSION = GZIP PARALLEL = 10"),
+# Command texts, which must match the reference's form.
+COMMANDS = [
+    (("/data/in", "orders_*.csv", "shop.raw.landing", "default", "default", 4),
+     "PUT file:///data/in/orders_*.csv @shop.raw.landing"),
+    (("/data/in", "o.csv", "shop.raw.landing", "true", "default", 4),
+     "PUT file:///data/in/o.csv @shop.raw.landing AUTO_COMPRESS = true"),
+    (("/data/in", "o.gz", "shop.raw.landing", "false", "GZIP", 4),
+     "PUT file:///data/in/o.gz @shop.raw.landing AUTO_COMPRESS = false SOURCE_COMPRESSION = GZIP"),
+    (("/x y", "?.txt", "s", "default", "AUTO_DETECT", 99),
+     "PUT file:///x y/?.txt @s SOURCE_COMPRESSION = AUTO_DETECT PARALLEL = 99"),
+    (("/x y", "z", "s", "default", "NONE", 1), "PUT file:///x y/z @s SOURCE_COMPRESSION = NONE PARALLEL = 1"),
 ]
 
 
 def test_stage_command_goldens(spark):
-    rows = [("/home/account/dir", "some_file", "database.schema.my_internal_stage", ac, sc, p, e)
-            for ac, sc, p, e in GOLDEN]
+    rows = [(*request, text) for request, text in COMMANDS]
     df = spark.createDataFrame(rows, "input_directory string, file_name string, "
                                "internal_stage string, auto_compress string, "
                                "source_compression string, parallel int, expected string")

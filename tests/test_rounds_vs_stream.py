@@ -42,7 +42,7 @@ def test_rounds_equal_stream(spark, tmpdir_path):
     out = os.path.join(tmpdir_path, "out")
     q = start_await_stream(stream, lambda s: s.read.parquet(hist_path), fx.MAX_AGE_MINUTES, out,
                            os.path.join(tmpdir_path, "chk"), trigger={"availableNow": True},
-                           clock=lambda b, i: NOWS[i])
+                           clock=lambda b, i: NOWS[i], ticks=False)
     q.awaitTermination(600)
     streamed = {r.request_id: r.route for r in read_routes(spark, out).collect()}
     assert streamed == batch

@@ -11,7 +11,7 @@ from ingestflow.functions.timing import epoch_ms
 from ingestflow.operators.history import pipe_history, write_history_document
 from ingestflow.schemas import HISTORY, PENDING
 from ingestflow.sinks.routes import write_routes
-from ingestflow.streaming.await_stream import read_routes, start_await_stream, with_ticks
+from ingestflow.streaming.await_stream import read_routes, start_await_stream
 
 NOW = dt.datetime(2024, 2, 1)
 
@@ -22,7 +22,7 @@ def test_history_document_written_only_when_non_empty(spark, tmpdir_path):
          ("p", "b", "LOAD_FAILED", 1, 0, 1, "e", NOW - dt.timedelta(minutes=3), 1),
          ("q", "c", "LOADED", 1, 1, None, None, NOW - dt.timedelta(minutes=1), 3)], HISTORY)
     out = os.path.join(tmpdir_path, "doc")
-    assert write_history_document(pipe_history(h, "p", -10, NOW).drop("event_ts"), out)
+    assert write_history_document(pipe_history(h, "p", -10, NOW), out)
     lines = []
     for n in sorted(os.listdir(out)):
         if n.startswith("part-"):
@@ -54,20 +54,21 @@ def test_ticks_advance_time_without_new_requests(spark, tmpdir_path):
                             "queued_ms": str(t0), "lineage_ms": t0, "arrival_seq": 1}) + "\n")
     hist = os.path.join(tmpdir_path, "hist")
     spark.createDataFrame([], HISTORY).write.parquet(hist)
-    stream = with_ticks(spark.readStream.schema(PENDING).json(src), every_seconds=1)
+    stream = spark.readStream.schema(PENDING).json(src)
     out = os.path.join(tmpdir_path, "out")
     # Each batch advances the clock by 10 minutes; max age is 25 minutes.
     q = start_await_stream(stream, lambda s: s.read.parquet(hist), 25, out,
                            os.path.join(tmpdir_path, "chk"),
-                           trigger={"processingTime": "1 second"},
+                           trigger={"processingTime": "1 second"}, every_seconds=1,
                            clock=lambda b, i: NOW + dt.timedelta(minutes=10 * i))
     deadline = time.time() + 60
     try:
         while time.time() < deadline:
             time.sleep(2)
-            if os.path.exists(out) and any(
-                    os.path.exists(os.path.join(out, d, "route=unmatched"))
-                    for d in os.listdir(out)):
+            routes = os.path.join(out, "routes")
+            if os.path.exists(routes) and any(
+                    os.path.exists(os.path.join(routes, d, "route=unmatched"))
+                    for d in os.listdir(routes)):
                 break
     finally:
         q.stop()
@@ -98,16 +99,10 @@ def test_scheduled_history_reports(spark, tmpdir_path):
     assert written == ["batch=2"]
 
 
-def test_history_array_single_document(spark):
-    import pytest
-    from ingestflow.operators.history import history_array
+def test_reports_keep_the_event_time(spark, tmpdir_path):
+    from ingestflow.streaming.history_reports import ReportBatches
     h = spark.createDataFrame(
-        [("p", "b", "LOADED", 1, 1, None, None, NOW - dt.timedelta(minutes=1), 2),
-         ("p", "a", "LOADED", 1, 1, None, None, NOW - dt.timedelta(minutes=2), 1)], HISTORY)
-    entries = pipe_history(h, "p", 10, NOW).select("path", "status", "seq")
-    (row,) = history_array(entries).collect()
-    assert json.loads(row.json) == [{"path": "a", "status": "LOADED", "seq": 1},
-                                    {"path": "b", "status": "LOADED", "seq": 2}]
-    assert history_array(pipe_history(h, "zzz", 10, NOW)) is None
-    with pytest.raises(ValueError):
-        history_array(entries, max_entries=1)
+        [("p", "a", "LOADED", 1, 1, None, None, NOW - dt.timedelta(minutes=5), 1)], HISTORY)
+    ReportBatches(lambda s: h, "p", 10, tmpdir_path, lambda b, i: NOW)(spark.range(1), 0)
+    (line,) = spark.read.json(os.path.join(tmpdir_path, "batch=0")).collect()
+    assert line.event_ts.startswith("2024-01-31T23:55")
