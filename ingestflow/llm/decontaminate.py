@@ -40,7 +40,6 @@ from ingestflow.llm.common import Workspace
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 SEGMENT_WORDS = 1 << 17
 BLOCK_WORDS = 1 << 20
-VOCABULARY = 1 << 20
 
 INDEX = ("segment long, doc_ids array<{id}>, doc_starts array<int>, terms array<string>, "
          "term_starts array<int>, steps array<int>")
@@ -97,13 +96,11 @@ def build_index(docs: DataFrame, ws: Workspace, id_col: str = "doc_id",
             return out
 
         for batch in batches:
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                found = words(text)
+            for i, text in enumerate(batch.column(1)):
+                found = words(text.as_py())
                 if ids and held + len(found) > SEGMENT_WORDS:
                     yield segment()
-                    ids, lengths, parts, held = [], [], [], 0
-                    if len(numbers) > VOCABULARY:
-                        numbers = _Numbers()
+                    ids, lengths, parts, held, numbers = [], [], [], 0, _Numbers()
                 ids.append(batch.column(0).slice(i, 1))
                 lengths.append(len(found))
                 parts.append(np.fromiter(map(numbers.__getitem__, found), np.int64, len(found)))
