@@ -99,7 +99,8 @@ class AwaitBatches:
         """Rows of the folders of batches ``first`` to ``upto - 1``."""
         paths = [p for p in (f"{self.out_dir}/{kind}/batch={i}" for i in range(first, upto))
                  if _path_exists(spark, p)]
-        return spark.read.schema(schema).parquet(*paths) if paths else None
+        reader = spark.read.schema(schema).option("recursiveFileLookup", "true")
+        return reader.parquet(*paths) if paths else None
 
     def still_waiting(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """The rows that wait when batch ``batch_id`` begins."""
