@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ingestflow.session import ensure_checkpoint_dir
 
@@ -46,3 +47,32 @@ class Workspace:
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(keys: DataFrame) -> DataFrame:
+    """A written table of narrow keys, to be broadcast if it has ``BROADCAST_ROWS`` at most.
+
+    Beyond that it is joined like any other table, by a shuffle.
+    """
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def hash_sample(rows: DataFrame, group: str, size: int, hash_col: str, *order: str) -> DataFrame:
+    """At most ``size`` rows of each ``group``: those with the smallest hashes.
+
+    The groups are counted first; then only rows below a hash that lets about
+    four times ``size`` through leave their tasks, so what is shuffled does not
+    grow with the table.  ``group`` must have few values (one count of each
+    comes to the driver); hashes must be spread over all 64-bit integers.
+    """
+    counts = {r[0]: r[1] for r in rows.groupBy(group).agg(F.count("*")).collect()}
+    below = F.lit(False)
+    for value, n in counts.items():
+        limit = min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * min(1.0, 4 * size / n)))
+        below = below | (F.col(group).eqNullSafe(F.lit(value)) & (F.col(hash_col) <= F.lit(limit)))
+    first = Window.partitionBy(group).orderBy(hash_col, *order)
+    return rows.where(below).withColumn("__n", F.row_number().over(first)) \
+        .where(F.col("__n") <= size).drop("__n")

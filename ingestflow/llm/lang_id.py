@@ -13,7 +13,7 @@ where its block does, which adds at most one phrase per block, alike for every
 language.  All blocks of a text count.
 
 The sample is bounded: ``SAMPLE_DOCS`` documents a language (those with the
-smallest hash of id and text, so rows repeated under one id count once) and
+smallest hash of the id) and
 ``SAMPLE_CHARS`` characters of them.  The model's size therefore depends on
 the number of languages only.
 
@@ -27,13 +27,12 @@ from __future__ import annotations
 
 import functools
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ingestflow.llm.common import hash_sample
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 24_000
@@ -179,18 +178,12 @@ def _model(samples: tuple) -> Model:
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
           id_col: str = "doc_id") -> tuple:
-    """The bounded sample of every language, as the model's parameter.
-
-    ``row_number <= n`` keeps ``SAMPLE_DOCS`` rows a language in every task
-    before the shuffle, so no language's rows meet in one task.
-    """
+    """The bounded sample of every language, as the model's parameter."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
-        .select(F.col(lang_col).cast("string").alias("lang"),
-                F.col(text_col).cast("string").alias("text"),
-                F.xxhash64(F.col(id_col).cast("string"), text_col).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h", "text")
-    kept = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_DOCS) \
-        .select("lang", "n", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
+        .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
+                F.xxhash64(F.col(id_col).cast("string")).alias("h"))
+    kept = hash_sample(rows, "lang", SAMPLE_DOCS, "h", "text") \
+        .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
     out: dict[str, list[str]] = {}
     # Texts are dealt in equal shares, shortest first, so one long text cannot fill the sample.
     for lang in sorted({r.lang for r in kept}):

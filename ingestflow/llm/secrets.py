@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ingestflow.llm.common import hash_sample
+
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
                     r"""([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -349,14 +351,13 @@ def learn(docs: DataFrame, text_col: str = "text") -> Field:
         | text.rlike("AKIA[A-Z0-9]{16}") | text.rlike("[0-9a-f]{24}")
     rows = docs.select(text.alias("text")).where("text is not null") \
         .select("text", F.xxhash64("text").alias("h"), marked.alias("marked"))
-    sample = []
-    for has in (True, False):
-        kept = rows.where(F.col("marked") == has).orderBy("h", "text").limit(TRAIN_DOCS)
-        # Only the part around the first span travels to the driver.
-        at = F.greatest(F.lit(1), F.regexp_instr(
-            "text", F.lit(r"""[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i)(password|passwd|secret|token|api_?key)["']? *[:=]"""))
-            - 1000)
-        sample += [r.t for r in kept.select(F.substr("text", at, F.lit(3000)).alias("t")).collect()]
+    # Only the part around the first span travels.
+    at = F.greatest(F.lit(1), F.regexp_instr(
+        "text", F.lit(r"""[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i)(password|passwd|secret|token|api_?key)["']? *[:=]"""))
+        - 1000)
+    kept = hash_sample(rows, "marked", TRAIN_DOCS, "h") \
+        .select("marked", "h", F.substr("text", at, F.lit(3000)).alias("t")).collect()
+    sample = [r.t for r in sorted(kept, key=lambda r: (not r.marked, r.h))]
     return fit(sample)
 
 
