@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestflow.llm import bpe, decontaminate, lang_id, minhash, secrets
-from ingestflow.llm.common import Workspace, read_table
+from ingestflow.llm.common import Workspace, broadcast_if_small, read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     numbered = ws.write(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     index = decontaminate.build_index(numbered, ws, id_col="__row")
     hits = decontaminate.document_hits(index, decontaminate.find_windows(index, benchmark), "__row")
-    return numbered.join(hits.where("contaminated").select("__row"), "__row", "left_anti").drop("__row")
+    gone = ws.write(hits.where("contaminated").select("__row"), "gone")
+    ws.drop("index")
+    return numbered.join(broadcast_if_small(gone), "__row", "left_anti").drop("__row")
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +55,7 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, path))
 
 
 STAGES = [

@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ ID_BITS = 20
 CACHE_ENTRIES = 250_000
 CACHE_TOKEN_BYTES = 256
 # Bytes of text per output batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -189,17 +190,18 @@ def _id_field(df: DataFrame, id_col: str) -> T.StructField:
     return T.StructField(id_col, df.schema[id_col].dataType)
 
 
-def _chunks(ids: pa.Array, texts: list, size) -> Iterator[tuple[pa.Array, list]]:
-    """Slices of one Arrow batch of at most ``BATCH_BYTES``, or one row."""
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list]]:
+    """Ids and values of slices of a batch, of at most ``BATCH_BYTES`` or one row."""
+    ids, values = batch.column(0), batch.column(1)
     start = used = 0
-    for i, t in enumerate(texts):
-        n = size(t)
-        if i > start and used + n > BATCH_BYTES:
-            yield ids.slice(start, i - start), texts[start:i]
+    for i, n in enumerate(pc.binary_length(values).to_pylist() if pa.types.is_string(values.type)
+                          else pc.multiply(pc.list_value_length(values), 4).to_pylist()):
+        if i > start and used + (n or 0) > BATCH_BYTES:
+            yield ids.slice(start, i - start), values.slice(start, i - start).to_pylist()
             start, used = i, 0
-        used += n
-    if start < len(texts):
-        yield ids.slice(start), texts[start:]
+        used += n or 0
+    if start < len(values):
+        yield ids.slice(start), values.slice(start).to_pylist()
 
 
 def _list_array(rows: list[np.ndarray]) -> pa.ListArray:
@@ -216,8 +218,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            for ids, texts in _chunks(batch.column(0), batch.column(1).to_pylist(),
-                                      lambda t: len(t) if t else 0):
+            for ids, texts in _slices(batch):
                 yield pa.RecordBatch.from_arrays(
                     [ids, _list_array([bpe.encode(t) for t in texts])], [id_col, "ids"])
 
@@ -234,17 +235,36 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
         for batch in batches:
-            rows = [r.values.to_numpy(zero_copy_only=False) if r.is_valid else np.empty(0, np.int32)
-                    for r in batch.column(1)]
-            for ids, part in _chunks(batch.column(0), rows, lambda r: 4 * len(r)):
+            for ids, part in _slices(batch):
+                rows = [np.array(r or [], np.int32) for r in part]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, _list_array(part),
-                     pa.array([bpe.decode(r.tolist()) for r in part], pa.string())],
+                    [ids, _list_array(rows),
+                     pa.array([bpe.decode(r or []) for r in part], pa.string())],
                     [id_col, "ids", "decoded"])
 
     return encoded.select(id_col, F.col(ids_col).cast("array<int>")).mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``id, ids, decoded``: :func:`encode` and :func:`decode` in one pass of the Python workers."""
+    schema = T.StructType([_id_field(docs, id_col),
+                           T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("decoded", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = load(path)
+        for batch in batches:
+            for ids, texts in _slices(batch):
+                rows = [bpe.encode(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [ids, _list_array(rows),
+                     pa.array([bpe.decode(r.tolist()) for r in rows], pa.string())],
+                    [id_col, "ids", "decoded"])
+
+    return docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema)
+
+
 def digests(coded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` of the rows of :func:`decode`."""
     return coded.select(

@@ -79,7 +79,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, path))
 
 
 def span_digests(found: DataFrame) -> DataFrame:

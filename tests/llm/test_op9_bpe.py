@@ -81,6 +81,7 @@ def test_edge_cases(spark):
             (4, "ab" * 100_000, "a"), (5, "word " * 50_000, "a")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")
     got = bpe.decode(bpe.encode(df, PATH), PATH).collect()
+    assert got == bpe.round_trip(df, PATH).collect()
     assert [r.doc_id for r in got] == [r[0] for r in rows]
     assert [r.decoded for r in got] == [r[1] or "" for r in rows]
     assert got[0].ids == got[1].ids == []
@@ -88,5 +89,6 @@ def test_edge_cases(spark):
     assert got[5].ids == lib.encode("ab" * 100_000, add_special_tokens=False).ids
     empty = df.limit(0)
     assert bpe.digests(bpe.decode(bpe.encode(empty, PATH), PATH)).collect() == []
+    assert bpe.round_trip(empty, PATH).collect() == []
     nulls = spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")
     assert bpe.decode(nulls, PATH).collect()[0].decoded == ""
