@@ -12,13 +12,16 @@ sets decides them, and linked documents form components:
     classes, so copies never meet in one task.
 2.  In each band bucket every class is compared with one centre, not with
     every other class.
-3.  Buckets that still hold several components compare one member of each
-    component with the centre's.
+3.  For the members of buckets that still hold several components, the
+    shingles that no other such member has are counted.  They bound every
+    similarity exactly: what one set has alone, the other lacks.  In each of
+    these buckets the member with fewest of them, the middle of the group, is
+    compared with the members of other components that can reach the threshold.
 4.  What is still apart in a bucket is compared in full: the members outside
     the bucket's largest component with the members of other components,
-    where set sizes and one-bit signatures allow the threshold.  A component
-    is therefore never compared with itself, and no link that the bands
-    propose is lost.
+    where that bound and one-bit signatures allow the threshold.  A component
+    is therefore never compared with itself, copies with many changes of their
+    own are compared with nothing, and no link that the bands propose is lost.
 
 With ``BANDS`` bands of ``ROWS`` coordinates a pair at similarity 0.80 misses
 all bands with probability 1e-7, one at 0.85 with 2e-10.  In step 4 the
@@ -45,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingestflow.llm.common import Workspace
+from ingestflow.llm.common import Workspace, broadcast_if_small
 
 SHINGLE = 5
 BANDS, ROWS = 30, 4
@@ -158,10 +161,17 @@ def sketch(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str
     return ws.write(docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema), "sketch")
 
 
-def _verify(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
-    """Those of the class pairs ``a, b`` with 100 * intersection >= percent * union."""
-    of = {side: sketched.select(F.col("row").alias(side), F.col("n").alias(f"n_{side}"),
-                                F.col("text").alias(f"text_{side}")) for side in "ab"}
+def _verify(pairs: DataFrame, sketched: DataFrame, ws: Workspace, percent: int, name: str) -> DataFrame:
+    """Write those of the class pairs ``a, b`` with 100 * intersection >= percent * union.
+
+    Only the texts of classes in a pair are shuffled.
+    """
+    pairs = ws.write(pairs, f"{name}-pairs")
+    named = ws.write(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(),
+                     f"{name}-named")
+    texts = sketched.select("row", "n", "text").join(broadcast_if_small(named), "row", "left_semi")
+    of = {side: texts.select(F.col("row").alias(side), F.col("n").alias(f"n_{side}"),
+                             F.col("text").alias(f"text_{side}")) for side in "ab"}
     joined = pairs.join(of["b"], "b").join(of["a"], "a").where(_alike(percent, "n_a", "n_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +191,9 @@ def _verify(pairs: DataFrame, sketched: DataFrame, percent: int) -> DataFrame:
                 [pa.array([a[i] for i in ok], pa.int64()), pa.array([b[i] for i in ok], pa.int64())],
                 ["a", "b"])
 
-    return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    links = ws.write(joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), name)
+    ws.drop(f"{name}-pairs", f"{name}-named")
+    return links
 
 
 def components(links: DataFrame, ws: Workspace, name: str) -> DataFrame:
@@ -219,6 +231,12 @@ def _alike(percent: int, n_a: str, n_b: str) -> Column:
     return 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
 
 
+def _reachable(percent: int, n_a: str, own_a: str, n_b: str, own_b: str) -> Column:
+    """Whether two sets can reach the threshold: what one has alone, the other lacks."""
+    most = F.least(F.col(n_a) - F.col(own_a), F.col(n_b) - F.col(own_b))
+    return 100 * most >= percent * (F.col(n_a) + F.col(n_b) - most)
+
+
 def _shared(a: str, b: str) -> Column:
     differ = sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(1, SIGN_WORDS)),
                  F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
@@ -241,52 +259,76 @@ def link_classes(sketched: DataFrame, classes: DataFrame, ws: Workspace, percent
         return rows.where("a != b").groupBy("a", "b").agg(F.count("*").alias("bands")) \
             .select("a", "b")
 
-    links = ws.write(_verify(pairs(members.select(F.col("centre").alias("a"), F.col("row").alias("b"))),
-                             sketched, percent), "links-1")
+    links = _verify(pairs(members.select(F.col("centre").alias("a"), F.col("row").alias("b"))),
+                    sketched, ws, percent, "links-1")
     joined = components(links, ws, "star")
 
-    def labelled(comps: DataFrame) -> DataFrame:
-        return members.join(comps.select(F.col("node").alias("row"), "comp"), "row", "left") \
-            .withColumn("comp", F.coalesce("comp", "row"))
-
-    # One member of each component of a bucket, against that of another component.
-    reps = ws.write(labelled(joined).groupBy("band", "key", "comp").agg(
-        F.count("*").alias("held"),
-        F.min(F.struct(F.xxhash64("row", "band").alias("h"), "row")).alias("rep")), "reps")
-    mixed = ws.write(reps.groupBy("band", "key").agg(
-        F.count("*").alias("comps"), F.max(F.struct("held", "comp", "rep.row")).alias("main"))
-        .where("comps > 1").select("band", "key", "main"), "mixed")
-    more = ws.write(_verify(pairs(
-        reps.join(mixed, ["band", "key"]).where("comp != main.comp")
-        .select(F.col("main.row").alias("a"), F.col("rep.row").alias("b"))),
-        sketched, percent), "links-2")
+    def mixed_members(comps: DataFrame, of: DataFrame, name: str) -> DataFrame:
+        """Write the members of the buckets that hold several components, with the largest as ``main``."""
+        now = ws.write(of.join(comps.select(F.col("node").alias("row"), "comp"), "row", "left")
+                       .withColumn("comp", F.coalesce("comp", "row")), f"{name}-now")
+        held = now.groupBy("band", "key", "comp").agg(F.count("*").alias("held"))
+        main = ws.write(held.groupBy("band", "key").agg(
+            F.count("*").alias("comps"), F.max(F.struct("held", "comp"))["comp"].alias("main"))
+            .where("comps > 1").select("band", "key", "main"), f"{name}-main")
+        out = ws.write(now.join(main, ["band", "key"]), name)
+        ws.drop(f"{name}-now", f"{name}-main")
+        return out
+
+    # The member with the fewest shingles of its own, against the other components of its bucket.
+    mixed = mixed_members(joined, members.select("band", "key", "row", "n", "signs"), "mixed")
+    own = own_shingles(sketched, mixed, ws)
+    mixed = ws.write(mixed.join(own, "row", "left").withColumn(
+        "own", F.coalesce("own", F.lit(0).cast("long"))), "owned")
+    ws.drop("own")
+    middle = ws.write(mixed.groupBy("band", "key").agg(F.min(F.struct("own", "row", "n", "comp")).alias("c"))
+                      .select("band", "key", F.col("c.row").alias("a"), F.col("c.own").alias("own_a"),
+                              F.col("c.n").alias("n_a"), F.col("c.comp").alias("comp_a")), "middle")
+    spokes = mixed.join(middle, ["band", "key"]).where(
+        (F.col("comp") != F.col("comp_a")) & _reachable(percent, "n", "own", "n_a", "own_a"))
+    more = _verify(pairs(spokes.select("a", F.col("row").alias("b"))), sketched, ws, percent, "links-2")
     links = links.union(more)
     joined = components(links, ws, "second")
 
     # The rest in full: members outside the bucket's main component, with all of other components.
-    now = ws.write(labelled(joined).join(mixed.select("band", "key"), ["band", "key"]), "now")
-    counts = now.groupBy("band", "key", "comp").agg(F.count("*").alias("held"))
-    main = ws.write(counts.groupBy("band", "key").agg(
-        F.count("*").alias("comps"), F.max(F.struct("held", "comp"))["comp"].alias("main"))
-        .where("comps > 1").select("band", "key", "main"), "main")
-    apart = ws.write(now.join(main, ["band", "key"]), "apart")
-    x = apart.where("comp != main").select("band", "key", *(F.col(c).alias(f"{c}_x")
-                                                            for c in ("row", "n", "signs", "comp")))
-    y = apart.select("band", "key", "main", *(F.col(c).alias(f"{c}_y")
-                                              for c in ("row", "n", "signs", "comp")))
+    apart = mixed_members(joined, mixed.drop("comp", "main"), "apart")
+    x = apart.where("comp != main").select("band", "key", *(
+        F.col(c).alias(f"{c}_x") for c in ("row", "n", "own", "signs", "comp")))
+    y = apart.select("band", "key", "main", *(
+        F.col(c).alias(f"{c}_y") for c in ("row", "n", "own", "signs", "comp")))
     rest = x.join(y, ["band", "key"]).where(
         (F.col("comp_x") != F.col("comp_y"))
         & ((F.col("comp_y") == F.col("main")) | (F.col("row_x") < F.col("row_y")))
-        & _alike(percent, "n_x", "n_y") & _shared("signs_x", "signs_y"))
-    rest = rest.groupBy(F.least("row_x", "row_y").alias("a"), F.greatest("row_x", "row_y").alias("b")) \
-        .agg(F.count("*").alias("bands")).select("a", "b")
-    last = ws.write(_verify(rest, sketched, percent), "links-3")
+        & _reachable(percent, "n_x", "own_x", "n_y", "own_y") & _shared("signs_x", "signs_y"))
+    rest = pairs(rest.select(F.least("row_x", "row_y").alias("a"), F.greatest("row_x", "row_y").alias("b")))
+    last = _verify(rest, sketched, ws, percent, "links-3")
     if not last.isEmpty():
         joined = components(links.union(last), ws, "third")
-    ws.drop("buckets", "members", "reps", "mixed", "now", "main", "apart")
+    ws.drop("buckets", "members", "mixed", "owned", "middle", "apart")
     return joined
 
 
+def own_shingles(sketched: DataFrame, members: DataFrame, ws: Workspace) -> DataFrame:
+    """Write ``row, own``: how many shingles no other class among ``members`` has."""
+    rows = ws.write(members.select("row").distinct(), "own-rows")
+    texts = sketched.select("row", "text").join(broadcast_if_small(rows), "row", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                part = batch.slice(at, 200)
+                sets = [shingles(t.as_py()).view(np.int64) for t in part.column(1)]
+                rows = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(rows)],
+                                                 ["shingle", "row"])
+
+    found = texts.mapInArrow(run, "shingle long, row long")
+    single = found.groupBy("shingle").agg(F.count("*").alias("n"), F.min("row").alias("row")).where("n = 1")
+    out = ws.write(single.groupBy("row").agg(F.count("*").alias("own")), "own")
+    ws.drop("own-rows")
+    return out
+
+
 def near_duplicates(docs: DataFrame, ws: Workspace, percent: int = 85, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id, kept`` for every row."""
@@ -312,5 +354,7 @@ def keep_one(docs: DataFrame, ws: Workspace, percent: int = 80, id_col: str = "d
     numbered = ws.write(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     keyed = numbered.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
                                      F.col("__row").alias("row")).alias("key"), text_col)
-    keep = near_duplicates(keyed, ws, percent, "key", text_col).where("kept")
-    return numbered.join(keep.select(F.col("key.row").alias("__row")), "__row", "left_semi").drop("__row")
+    gone = ws.write(near_duplicates(keyed, ws, percent, "key", text_col).where("not kept")
+                    .select(F.col("key.row").alias("__row")), "gone")
+    ws.drop("sketch")
+    return numbered.join(broadcast_if_small(gone), "__row", "left_anti").drop("__row")
