@@ -291,20 +291,23 @@ def link_classes(sketched: DataFrame, classes: DataFrame, ws: Workspace, percent
     joined = components(links, ws, "second")
 
     # The rest in full: members outside the bucket's main component, with all of other components.
-    apart = mixed_members(joined, mixed.drop("comp", "main"), "apart")
-    x = apart.where("comp != main").select("band", "key", *(
-        F.col(c).alias(f"{c}_x") for c in ("row", "n", "own", "signs", "comp")))
-    y = apart.select("band", "key", "main", *(
-        F.col(c).alias(f"{c}_y") for c in ("row", "n", "own", "signs", "comp")))
+    apart = ws.write(mixed_members(joined, mixed.drop("comp", "main"), "apart").join(
+        sketched.select("row", "bands"), "row"), "apart-bands")
+    cols = ("row", "n", "own", "signs", "bands", "comp")
+    x = apart.where("comp != main").select("band", "key", *(F.col(c).alias(f"{c}_x") for c in cols))
+    y = apart.select("band", "key", "main", *(F.col(c).alias(f"{c}_y") for c in cols))
     rest = x.join(y, ["band", "key"]).where(
         (F.col("comp_x") != F.col("comp_y"))
         & ((F.col("comp_y") == F.col("main")) | (F.col("row_x") < F.col("row_y")))
-        & _reachable(percent, "n_x", "own_x", "n_y", "own_y") & _shared("signs_x", "signs_y"))
+        & _reachable(percent, "n_x", "own_x", "n_y", "own_y") & _shared("signs_x", "signs_y")
+        # A pair that shares several buckets is proposed by the first of them alone.
+        & (F.array_position(F.zip_with("bands_x", "bands_y", lambda a, b: a == b), True)
+           == F.col("band") + 1))
     rest = pairs(rest.select(F.least("row_x", "row_y").alias("a"), F.greatest("row_x", "row_y").alias("b")))
     last = _verify(rest, sketched, ws, percent, "links-3")
     if not last.isEmpty():
         joined = components(links.union(last), ws, "third")
-    ws.drop("buckets", "members", "mixed", "owned", "middle", "apart")
+    ws.drop("buckets", "members", "mixed", "owned", "middle", "apart", "apart-bands")
     return joined
 
 
