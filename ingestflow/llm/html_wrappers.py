@@ -14,10 +14,12 @@ a host and then across them, and the text statistics of the slots are sums, so
 a host with a third of all pages costs no task more than its different trees.
 
 The wrapper's slots are then judged once for the host: boilerplate by element,
-role, class and id; the article or main element with most text where there is
-one; otherwise blocks that are neither mostly links nor the same on all
-pages.  Extraction aligns each page with its host's wrapper and joins the text
-of the slots that were kept.
+role, class and id; every content region (article, main, or a content class),
+in an order of preference; and blocks that are neither mostly links nor the
+same on all pages.  Extraction aligns each page with its host's wrapper and
+joins the text of one region: of those that the page has, and that hold at
+least half as much text as its largest, the first in the host's order.  A page
+with no region gives the blocks.
 
 Block texts: character references decoded, runs of white space one space,
 trimmed, empty ones left out, joined in page order by ``\\n``.
@@ -267,7 +269,12 @@ def is_content(label: str) -> bool:
 
 
 def judge(wrapper: list, stats: dict[str, tuple], pages: int) -> list:
-    """The wrapper with 1 for kept and 0 for left out in place of each element's marks.
+    """The wrapper with what to keep in place of each element's marks.
+
+    The first mark is 0 for left out, 1 for kept in a content region and 2 for
+    kept by the block rule too; the second is 0, or the content region that the
+    element is, numbered in the host's order of preference.  Elements of one
+    tag under one path are one region, whatever else their classes say.
 
     ``stats``: by path, the texts' characters, characters in links, pages, and
     whether all pages have the same text there.
@@ -280,57 +287,75 @@ def judge(wrapper: list, stats: dict[str, tuple], pages: int) -> list:
         inside = inside or is_content(node[0])
         return own[0] - own[1] + sum(volume(c, here, inside) for c in node[3] if c[0] != "#")
 
-    def regions(node: list, path: str) -> Iterator[tuple[float, int, str]]:
+    volumes: dict[tuple[str, str], float] = {}
+
+    def regions(node: list, path: str) -> None:
         here = f"{path}/{node[0]}" if node[0] else ""
         if node[0] and is_boilerplate(node[0]):
             return
         if node[0] and is_content(node[0]):
-            yield volume(node, path, False), node[0].split()[0] == "article", here
+            of = path, node[0].split()[0]
+            volumes[of] = volumes.get(of, 0) + volume(node, path, False)
         for c in node[3]:
             if c[0] != "#":
-                yield from regions(c, here)
-
-    found = [r for r in regions(wrapper, "") if r[0] > 0]
-    most = max((v for v, _, _ in found), default=0)
-    # The innermost of the regions that hold nearly all there is; articles before others.
-    best = max((r for r in found if r[0] >= 0.8 * most), key=lambda r: (r[1], len(r[2])), default=None)
-    region = best[2] if best else None
+                regions(c, here)
+
+    regions(wrapper, "")
+    # The innermost of the regions that hold nearly as much as the largest; articles before others.
+    order: dict[tuple[str, str], int] = {}
+    left = sorted((r for r in volumes if volumes[r] > 0), key=lambda r: (-volumes[r], r))
+    while left:
+        n = sum(volumes[r] >= 0.8 * volumes[left[0]] for r in left)
+        for r in sorted(left[:n], key=lambda r: (r[1] == "article", len(r[0])), reverse=True):
+            order[r] = len(order) + 1
+        left = left[n:]
 
     def mark(node: list, path: str, inside: bool, dropped: bool) -> list:
         here = f"{path}/{node[0]}" if node[0] else ""
         tag = node[0].split()[0] if node[0] else ""
-        inside = inside or (region is not None and here == region)
-        dropped = dropped or bool(node[0]) and is_boilerplate(node[0]) or tag == "header" and not inside
-        keep = not dropped and (inside or region is None)
-        if keep and region is None:
-            chars, links, seen, same = stats.get(here, (0, 0, 0, 0))
-            keep = not (chars and links > 0.5 * chars) and not (same and seen >= 3 and pages >= 3)
-        return [node[0], int(keep), 0, [mark(c, here, inside, dropped) for c in node[3] if c[0] != "#"]]
+        dropped = dropped or bool(node[0]) and is_boilerplate(node[0])
+        region = order.get((path, tag), 0) if node[0] and is_content(node[0]) and not dropped else 0
+        inside = inside or region > 0
+        dropped = dropped or tag == "header" and not inside
+        chars, links, seen, same = stats.get(here, (0, 0, 0, 0))
+        block = not (chars and links > 0.5 * chars) and not (same and seen >= 3 and pages >= 3)
+        keep = 0 if dropped else 1 + block
+        return [node[0], keep, region, [mark(c, here, inside, dropped) for c in node[3] if c[0] != "#"]]
 
     return mark(wrapper, "", False, False)
 
 
 def extract(root: Node, judged: list) -> str:
     """The kept texts of a page, found by aligning it with its host's judged wrapper."""
-    out: list[str] = []
+    found: list[tuple[str, int, int, tuple[int, ...]]] = []
 
-    def walk(node: Node, shape: list, groups: list, wrapper: list) -> None:
+    def walk(node: Node, shape: list, groups: list, wrapper: list, inside: tuple[int, ...]) -> None:
         elements = [k for k, s in enumerate(shape[3]) if s[0] != "#"]
         to = {elements[i]: j for i, j in _matches([shape[3][k] for k in elements], wrapper[3])}
         by_label = {w[0]: w for w in reversed(wrapper[3])}
+        if wrapper[2]:
+            inside = (*inside, wrapper[2])
         for k, group in enumerate(groups):
             for part in group:
                 if not isinstance(part, Node):
                     if wrapper[1]:
-                        out.append(part[0])
+                        found.append((part[0], len(part[0]) - part[1], wrapper[1], inside))
                     continue
                 of = wrapper[3][to[k]] if k in to else by_label.get(part.label, [part.label, 0, 0, []])
                 inner, inner_groups = fold(part)
-                walk(part, inner, inner_groups, of)
+                walk(part, inner, inner_groups, of, inside)
 
     shape, groups = fold(root)
-    walk(root, shape, groups, judged)
-    return "\n".join(out)
+    walk(root, shape, groups, judged, ())
+    held: dict[int, int] = {}
+    for _, size, _, inside in found:
+        for region in inside:
+            held[region] = held.get(region, 0) + size
+    if not held:
+        return "\n".join(text for text, _, keep, _ in found if keep == 2)
+    most = max(held.values())
+    chosen = min(region for region, size in held.items() if size >= 0.5 * most)
+    return "\n".join(text for text, _, _, inside in found if chosen in inside)
 
 
 SLOT = "array<struct<path: string, chars: long, links: long, text: long>>"

@@ -93,3 +93,25 @@ def test_wide_hosts_join_without_a_broadcast(spark, monkeypatch):
     monkeypatch.setattr(hw, "BROADCAST_BYTES", 0)
     got = texts(spark, [(n, f"http://a.example/{n}", PAGE.format(n=n)) for n in range(3)])
     assert got[0].startswith("Title 0\n")
+
+
+def test_every_template_of_a_host_keeps_its_text(spark):
+    page = "<body><p><a href=1>Home</a></p>{}<p>Imprint</p></body>"
+    forms = ["<article><p>Long article {n} of the host.</p></article>", "<div class='post'><p>Post {n}.</p></div>",
+             "<div class='post category-news'><p>News {n}.</p></div>",
+             "<div class='post category-sport'><p>Sport {n}.</p></div>", "<p>Plain {n}.</p>"]
+    wants = ["Long article {n} of the host.", "Post {n}.", "News {n}.", "Sport {n}.", "Plain {n}."]
+    for url in ("http://a.example/", None):
+        got = texts(spark, [(10 * k + n, url, page.format(form.format(n=n)))
+                            for k, form in enumerate(forms) for n in range(3)])
+        for k, want in enumerate(wants):
+            for n in range(3):
+                assert want.format(n=n) in got[10 * k + n]
+                assert k == 4 or got[10 * k + n] == want.format(n=n)
+
+
+def test_sibling_articles_of_several_classes_stay_together(spark):
+    page = ("<body><main><article class='post news'><p>One {n}.</p></article>"
+            "<article class='post sport'><p>Two {n}.</p></article></main></body>")
+    got = texts(spark, [(n, "http://a.example/", page.format(n=n)) for n in range(3)])
+    assert got[1] == "One 1.\nTwo 1."
