@@ -14,7 +14,8 @@ a host and then across them, and the text statistics of the slots are sums, so
 a host with a third of all pages costs no task more than its different trees.
 
 The wrapper's slots are then judged once for the host: boilerplate by element,
-role, class and id; every content region (article, main, or a content class),
+role, class and id, where class and id words do not leave out what holds most of
+the text (see ``spared``); every content region (article, main, or a content class),
 in an order of preference; and blocks that are neither mostly links nor the
 same on all pages.  Extraction aligns each page with its host's wrapper and
 joins the text of one region: of those that the page has, and that hold at
@@ -80,6 +81,11 @@ BOILERPLATE_WORDS = set(
     "widgets login search toolbar copyright disclaimer hidden skip tagcloud".split())
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form",
                      "dialog", "alert", "menu", "menubar", "toolbar"}
+# Such words tell what readers wrote, however much it is.
+DISCUSSION_WORDS = {"comment", "comments", "commentlist", "reply", "replies", "respond", "discussion",
+                    "disqus"}
+# "has-sidebar" says nothing of what the element is.
+COMPOUNDS = {"has", "no", "with", "without"}
 CONTENT_WORDS = {"article", "articlebody", "post", "entry", "story", "content", "main", "maincontent"}
 
 
@@ -93,15 +99,22 @@ class Node:
         self.parts: list = []  # Node, or [text, characters in links]
 
 
+def _words(token: str) -> list[str]:
+    """The words of a class; what it has, has not or comes with is one word with that."""
+    words = [w for w in re.split(r"[^a-z]+", token) if w]
+    at = next((i for i, w in enumerate(words[:-1]) if w in COMPOUNDS), len(words))
+    return words[:at] + ["-".join(words[at:])] * (at < len(words))
+
+
 def _label(tag: str, attributes: str) -> str:
     """The element with what its attributes say of its purpose; digits of ids do not tell pages apart."""
     words = set()
     for name, *values in ATTRIBUTE.findall(attributes):
-        value = re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()
+        value = re.sub(r"([a-z])([A-Z])", r"\1-\2", "".join(values)).lower()
         if name.lower() == "hidden":
             words.add("hidden")
         else:
-            found = {w for w in re.split(r"[^a-z]+", value) if w}
+            found = {w for t in value.split() for w in _words(t)}
             if name.lower() == "role":
                 found = {f"role:{w}" for w in found}
             elif name.lower() != "class":  # ids may differ from page to page
@@ -257,10 +270,77 @@ def slots(node: Node, path: str = "") -> Iterator[tuple[str, str, int]]:
             yield path, part[0], part[1]
 
 
-def is_boilerplate(label: str) -> bool:
+def is_firm(label: str) -> bool:
+    """Boilerplate by element or role."""
     tag, *words = label.split()
     return tag in BOILERPLATE_TAGS or any(
-        w in BOILERPLATE_WORDS or w.removeprefix("role:") in BOILERPLATE_ROLES and ":" in w for w in words)
+        w.removeprefix("role:") in BOILERPLATE_ROLES and ":" in w for w in words)
+
+
+def is_boilerplate(label: str) -> bool:
+    return is_firm(label) or any(w in BOILERPLATE_WORDS for w in label.split()[1:])
+
+
+def is_article(label: str) -> bool:
+    tag, *words = label.split()
+    return tag in ("article", "main") or "role:main" in words
+
+
+def page_slots(root: Node) -> dict[str, list]:
+    """By path of a page's texts: characters, those in links, and a hash of the texts.
+
+    Each has also the characters outside links of the whole page, and of its
+    articles, without what is boilerplate by element or role.
+    """
+    by: dict[str, list] = {}
+    for path, text, linked in slots(root):
+        s = by.setdefault(path, [0, 0, xxhash.xxh64()])
+        s[0] += len(text)
+        s[1] += linked
+        s[2].update(text + "\n")
+    whole = article = 0
+    for path, (chars, linked, _) in by.items():
+        labels = path.split("/")[1:]
+        if not any(map(is_firm, labels)):
+            whole += chars - linked
+            article += (chars - linked) * any(map(is_article, labels))
+    return {p: [c, k, h.intdigest() - (1 << 63), whole, article] for p, (c, k, h) in by.items()}
+
+
+def spared(wrapper: list, stats: dict[str, tuple]) -> set[str]:
+    """Paths of elements whose class says boilerplate but which hold what their pages are about.
+
+    That is: body and html; what holds most of the text of the pages that have
+    it, where they have no article beside it; and what holds most of their
+    articles' text and a fifth of all.  Readers' comments in an article are
+    never that.
+    """
+    out: set[str] = set()
+
+    def weigh(node: list, path: str, inside: bool, clean: bool) -> tuple[float, float, float, float]:
+        here = f"{path}/{node[0]}" if node[0] else ""
+        if node[0] and is_firm(node[0]):
+            return 0, 0, 0, 0
+        soft = bool(node[0]) and is_boilerplate(node[0])
+        of_article = inside or bool(node[0]) and is_article(node[0])
+        chars, links, _, _, whole, article = stats.get(here, (0,) * 6)
+        own = held = chars - links
+        held *= of_article
+        for c in node[3]:
+            if c[0] != "#":
+                v, w, a, b = weigh(c, here, of_article, clean or bool(node[0]) and not soft and is_content(node[0]))
+                own, whole, held, article = own + v, max(whole, w), held + a, max(article, b)
+        if soft:
+            tag, *words = node[0].split()
+            most = own > 0.5 * whole and article - held < 0.25 * own
+            articles = not inside and held > 0.5 * article and own > 0.2 * whole
+            told = clean and bool(DISCUSSION_WORDS & set(words))
+            if tag in ("html", "body") or own and (most or articles) and not told:
+                out.add(here)
+        return own, whole, held, article
+
+    weigh(wrapper, "", False, False)
+    return out
 
 
 def is_content(label: str) -> bool:
@@ -276,14 +356,20 @@ def judge(wrapper: list, stats: dict[str, tuple], pages: int) -> list:
     element is, numbered in the host's order of preference.  Elements of one
     tag under one path are one region, whatever else their classes say.
 
-    ``stats``: by path, the texts' characters, characters in links, pages, and
-    whether all pages have the same text there.
+    ``stats``: by path, the texts' characters, characters in links, pages,
+    whether all pages have the same text there, and the characters outside
+    links of those pages and of their articles.
     """
+    held = spared(wrapper, stats)
+
+    def drops(label: str, here: str) -> bool:
+        return bool(label) and is_boilerplate(label) and here not in held
+
     def volume(node: list, path: str, inside: bool) -> float:
         here = f"{path}/{node[0]}"
-        if is_boilerplate(node[0]) or (node[0].split()[0] == "header" and not inside):
+        if drops(node[0], here) or (node[0].split()[0] == "header" and not inside):
             return 0
-        own = stats.get(here, (0, 0, 0, 0))
+        own = stats.get(here, (0,) * 6)
         inside = inside or is_content(node[0])
         return own[0] - own[1] + sum(volume(c, here, inside) for c in node[3] if c[0] != "#")
 
@@ -291,7 +377,7 @@ def judge(wrapper: list, stats: dict[str, tuple], pages: int) -> list:
 
     def regions(node: list, path: str) -> None:
         here = f"{path}/{node[0]}" if node[0] else ""
-        if node[0] and is_boilerplate(node[0]):
+        if drops(node[0], here):
             return
         if node[0] and is_content(node[0]):
             of = path, node[0].split()[0]
@@ -313,11 +399,11 @@ def judge(wrapper: list, stats: dict[str, tuple], pages: int) -> list:
     def mark(node: list, path: str, inside: bool, dropped: bool) -> list:
         here = f"{path}/{node[0]}" if node[0] else ""
         tag = node[0].split()[0] if node[0] else ""
-        dropped = dropped or bool(node[0]) and is_boilerplate(node[0])
+        dropped = dropped or drops(node[0], here)
         region = order.get((path, tag), 0) if node[0] and is_content(node[0]) and not dropped else 0
         inside = inside or region > 0
         dropped = dropped or tag == "header" and not inside
-        chars, links, seen, same = stats.get(here, (0, 0, 0, 0))
+        chars, links, seen, same, _, _ = stats.get(here, (0,) * 6)
         block = not (chars and links > 0.5 * chars) and not (same and seen >= 3 and pages >= 3)
         keep = 0 if dropped else 1 + block
         return [node[0], keep, region, [mark(c, here, inside, dropped) for c in node[3] if c[0] != "#"]]
@@ -358,27 +444,22 @@ def extract(root: Node, judged: list) -> str:
     return "\n".join(text for text, _, _, inside in found if chosen in inside)
 
 
-SLOT = "array<struct<path: string, chars: long, links: long, text: long>>"
+SLOT = ("array<struct<path: string, chars: long, links: long, text: long, whole: long, "
+        "article: long>>")
 
 
 def shapes(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``host, tree, page, slots`` of every page: its folded tree and text statistics."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("path", pa.string()), ("chars", pa.int64()), ("links", pa.int64()),
-                                   ("text", pa.int64())]))
+                                   ("text", pa.int64()), ("whole", pa.int64()), ("article", pa.int64())]))
         for batch in batches:
             trees, digests, found = [], [], []
             for page in batch.column(1).to_pylist():
                 root = parse(page)
                 trees.append(json.dumps(fold(root)[0]))
-                by: dict[str, list] = {}
-                for path, text, linked in slots(root):
-                    s = by.setdefault(path, [0, 0, xxhash.xxh64()])
-                    s[0] += len(text)
-                    s[1] += linked
-                    s[2].update(text + "\n")
-                found.append([{"path": p, "chars": c, "links": k, "text": h.intdigest() - (1 << 63)}
-                              for p, (c, k, h) in by.items()])
+                found.append([{"path": p, "chars": c, "links": k, "text": h, "whole": w, "article": a}
+                              for p, (c, k, h, w, a) in page_slots(root).items()])
                 digests.append(xxhash.xxh64_intdigest(page or "") - (1 << 63))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(trees, pa.string()), pa.array(digests, pa.int64()),
@@ -410,18 +491,18 @@ def infer(pages: DataFrame, ws: Workspace, url_col: str = "url", html_col: str =
     paths = shaped.select("host", "page", F.explode("slots").alias("s")) \
         .groupBy("host", "s.path").agg(
             F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links"),
-            F.count("*").alias("seen"),
+            F.count("*").alias("seen"), F.sum("s.whole").alias("whole"), F.sum("s.article").alias("article"),
             ((F.min("s.text") == F.max("s.text")) & ~one_page).alias("same"))
     counted = trees.groupBy("host").agg(F.sum("pages").alias("pages"))
-    stats = paths.groupBy("host").agg(F.collect_list(F.struct("path", "chars", "links", "seen", "same"))
-                                      .alias("stats")).join(counted, "host")
+    stats = paths.groupBy("host").agg(F.collect_list(F.struct("path", "chars", "links", "seen", "same",
+                                                             "whole", "article")).alias("stats")).join(counted, "host")
     parts = ws.write(grouped, "parts").groupBy("host").agg(F.collect_list("tree").alias("trees"))
 
     @F.pandas_udf("string")
     def judged(trees: pd.Series, stats: pd.Series, pages: pd.Series) -> pd.Series:
         out = []
         for t, s, n in zip(trees, stats, pages, strict=True):
-            by = {x["path"]: (x["chars"], x["links"], x["seen"], x["same"])
+            by = {x["path"]: (x["chars"], x["links"], x["seen"], x["same"], x["whole"], x["article"])
                   for x in (s if s is not None else [])}
             out.append(json.dumps(judge(json.loads(_merge(t)), by, int(n))))
         return pd.Series(out)

@@ -115,3 +115,28 @@ def test_sibling_articles_of_several_classes_stay_together(spark):
             "<article class='post sport'><p>Two {n}.</p></article></main></body>")
     got = texts(spark, [(n, "http://a.example/", page.format(n=n)) for n in range(3)])
     assert got[1] == "One 1.\nTwo 1."
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><article><p>Story {n}.</p></article></body>",
+    "<body class='blog sidebar'><div class='post'><p>Story {n}.</p></div></body>",
+    "<body><div class='content no-sidebar'><p>Story {n}.</p></div></body>",
+    "<body><main class='with-nav'><p>Story {n}.</p></main></body>",
+    "<body><article class='post related'><p>Story {n}.</p></article></body>",
+    "<body><div class='widget related'><article><p>Story {n}.</p></article></div><p>Imprint</p></body>",
+    "<body><div class='pageNoSidebar'><p>Story {n}.</p></div></body>"])
+def test_class_words_do_not_drop_what_holds_the_article(spark, page):
+    other = "<body><article><p>Another template {n}, and more of it than of the first.</p></article></body>"
+    rows = [(n, "http://a.example/", page.format(n=n)) for n in range(3)] \
+        + [(n, "http://a.example/", other.format(n=n)) for n in range(10, 20)]
+    got = texts(spark, rows)
+    for n in range(3):
+        assert got[n] == f"Story {n}."
+
+
+def test_class_words_still_drop_what_lies_beside_the_article(spark):
+    page = ("<body class='with-sidebar'><div class='sidebar'><article><p>Teaser {n} of the week</p></article></div>"
+            "<article class='post'><p>The story {n} itself.</p><div class='comments'><p>{noise}</p></div></article>"
+            "<div class='related'><p>{noise}</p></div></body>")
+    got = texts(spark, [(n, "http://a.example/", page.format(n=n, noise=f"Noise {n}. " * 9)) for n in range(3)])
+    assert got[1] == "The story 1 itself."
