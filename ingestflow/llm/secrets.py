@@ -4,13 +4,15 @@ Three fixed patterns give the base spans.  A conditional random field adds
 spans that the patterns miss: it tags every token of a text as beginning a
 secret, inside one, or outside, from the token's shape, the words next to it
 and features of the whole text; the best tags are found by Viterbi.  Base
-spans always stay; a field's span that overlaps one is left out.
+spans always stay; of a field's span that overlaps one only the rest is added.
 
 The field is trained here, by gradient ascent on the conditional likelihood,
 from at most ``TRAIN_DOCS`` documents with base spans and as many without
 (those with the smallest hash of the text), cut to ``TRAIN_TOKENS`` tokens
-around a span; the base spans are its labels, and each sample is used once
-more with a value of mixed letters and digits in the secret's place.  Without any base span in the
+around a span; the base spans are its labels (a secret's first token begins
+it, its further tokens are inside), and each sample is used twice more, with a
+value of mixed letters and digits in the secret's place: one of one token, and
+one of several.  Without any base span in the
 sample there is nothing to learn from and it adds no spans.
 
 Tokens are runs of ``[A-Za-z0-9+/_.=-]`` (split after a run's ``=`` or ``:``)
@@ -74,6 +76,15 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
     return out
 
 
+def values(text: str, spans: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
+    """The spans' secrets: of an assignment only the value is the secret."""
+    out = []
+    for a, kind, b in spans:
+        m = ASSIGN.match(text, a) if kind == "assign" else None
+        out.append((m.start(2) if m else a, kind, b))
+    return out
+
+
 def _classes() -> np.ndarray:
     of = np.full(0x110000, _OTHER, np.uint8)
     for c in (*range(9, 14), 32, 0x85, 0xA0, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x3000):
@@ -101,6 +112,7 @@ class Tokens:
     """The tokens of one text and their features, as arrays."""
 
     def __init__(self, text: str):
+        self.text = text
         codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
         kind = _CLASS[codes]
         filled = kind != _BLANK
@@ -114,9 +126,10 @@ class Tokens:
         n = len(self.start)
         if not n:
             self.shapes, self.words = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            self.file = np.zeros(FILE_FEATURES)
+            self.file, self.gap = np.zeros(FILE_FEATURES), np.zeros(0, np.int64)
             return
         size = self.end - self.start
+        self.gap = np.append(1, self.start[1:] > self.end[:-1]).astype(np.int64)
         # Blanks weigh nothing in either table, so sums may run up to the next token.
         counts = np.add.reduceat(_COUNTS[codes], self.start)
         digits, upper, lower = (counts >> s & _FIELD for s in (0, 21, 42))
@@ -139,13 +152,21 @@ class Tokens:
         self.file = np.array([1.0, (total & _FIELD) / len(codes), (total >> 21 & _FIELD) / len(codes),
                               min(np.log10(len(codes)), 8.0) / 8])
 
+    def filled(self, a: int, b: int) -> bool:
+        """Whether a letter or digit is in a part of the text."""
+        return any(c.isalnum() for c in self.text[a:b])
+
     def labels(self, spans: list[tuple[int, str, int]]) -> np.ndarray:
-        """Tags of the spans; of an assignment only the value is the secret."""
+        """Tags of values: the first token begins a secret, the others are inside it."""
         y = np.zeros(len(self.start), np.int64)
-        for a, _, b in spans:
-            t = np.flatnonzero((self.start < b) & (self.end > a))
+        upto = 0
+        for a, _, b in sorted(spans):
+            t = np.flatnonzero((self.start < b) & (self.end > max(a, upto)))
             if len(t):
-                y[t[-1]] = BEGIN
+                y[t] = INSIDE
+                if a >= upto:
+                    y[t[0]] = BEGIN
+            upto = max(upto, b)
         return y
 
 
@@ -159,13 +180,14 @@ class Field:
         self.after = w.get("after", np.zeros(((1 << WORD_BITS) + 1, 3)))
         self.shape_before = w.get("shape_before", np.zeros((sum(SHAPES), 3)))
         self.file = w.get("file", np.zeros((FILE_FEATURES, 3)))
+        self.gap = w.get("gap", np.zeros((2, 3)))  # whether a blank is before the token
         self.step = w.get("step", np.zeros((3, 3)))
         self.trained = bool(weights)
         self.tables = None
 
     def parts(self) -> dict[str, np.ndarray]:
         return {k: getattr(self, k) for k in
-                ("shape", "before", "after", "shape_before", "file", "step")}
+                ("shape", "before", "after", "shape_before", "file", "gap", "step")}
 
     def emissions(self, tokens: Tokens) -> np.ndarray:
         if self.tables is None:  # the sum of a token's features, for every shape there is
@@ -173,7 +195,7 @@ class Field:
             self.tables = (self.shape[at].sum(axis=1), self.shape_before[at].sum(axis=1))
         own, before = self.tables
         none = [1 << WORD_BITS]
-        out = own[tokens.shapes] + tokens.file @ self.file
+        out = own[tokens.shapes] + tokens.file @ self.file + self.gap[tokens.gap]
         out += self.before[np.concatenate([none, tokens.words[:-1]])]
         out += self.after[np.concatenate([tokens.words[1:], none])]
         out[1:] += before[tokens.shapes[:-1]]
@@ -198,7 +220,14 @@ class Field:
             while end < len(y) and y[end] == INSIDE:
                 end += 1
             a, b = int(tokens.start[t]), int(tokens.end[end - 1])
-            if b - a >= LEAST_CHARS and not any(a < q and p < b for p, _, q in taken):
+            if b - a < LEAST_CHARS:
+                continue
+            # What a pattern has found of the secret is its span; the rest is the field's.
+            for p, _, q in sorted(s for s in taken if a < s[2] and s[0] < b):
+                if tokens.filled(a, p):
+                    out.append((a, "crf", p))
+                a = max(a, q)
+            if tokens.filled(a, b):
                 out.append((a, "crf", b))
         return out
 
@@ -250,36 +279,47 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-_VALUE = re.compile(r"[A-Za-z0-9+/_.-]*$")
 _ALPHABET = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_"))
+_JOINTS = np.array(list(":@$!#%&*^~"))
 
 
-def _varied(text: str, spans: list[tuple[int, str, int]]) -> tuple[str, list[tuple[int, str, int]]]:
+def _varied(text: str, spans: list[tuple[int, str, int]],
+            several: bool = False) -> tuple[str, list[tuple[int, str, int]]]:
     """The text with its first secret's value replaced by one of mixed letters and digits.
 
     The patterns know few kinds of value; this keeps the field from learning
-    those alone.
+    those alone.  With ``several``, the value is one of several tokens.
     """
-    _, kind, end = spans[0]
-    start = end - len(_VALUE.search(text[:end]).group())
-    draw = np.random.default_rng([len(text), start])
+    start, kind, end = spans[0]
+    draw = np.random.default_rng([len(text), start, several])
     value = "".join(draw.choice(_ALPHABET, draw.integers(20, 44)))
-    return text[:start] + value + text[end:], [(start, kind, start + len(value))]
+    if several:
+        cuts = np.sort(draw.choice(np.arange(3, len(value) - 2), draw.integers(1, 5), replace=False))
+        parts = [value[a:b] for a, b in zip([0, *cuts], [*cuts, len(value)], strict=True)]
+        value = parts[0] + "".join(str(draw.choice(_JOINTS)) + part for part in parts[1:])
+        value += "=" * int(draw.choice([0, 0, 1, 2]))
+    more = len(value) - (end - start)
+    others = [(a + more * (a >= end), k, b + more * (a >= end)) for a, k, b in spans[1:]
+              if a >= end or b <= start]
+    return text[:start] + value + text[end:], [(start, kind, start + len(value)), *others]
 
 
 def fit(texts: list[str]) -> Field:
     """Train a field on texts whose base spans are its labels."""
     cuts = []
-    samples = [(text, base_spans(text)) for text in texts]
-    for text, spans in samples + [_varied(t, s) for t, s in samples if s]:
+    samples = [(text, values(text, base_spans(text))) for text in texts]
+    varied = [_varied(t, s, several) for several in (False, True) for t, s in samples if s]
+    for text, spans in samples + varied:
         tokens = Tokens(text)
         if not len(tokens.start):
             continue
         y = tokens.labels(spans)
-        marked = np.flatnonzero(y)
+        marked = np.flatnonzero(y == BEGIN)
         middles = marked if len(marked) else [min(len(y) // 2, TRAIN_TOKENS // 2)]
         for m in middles[:4]:
             a = max(0, int(m) - TRAIN_TOKENS // 2)
+            while y[a] == INSIDE:  # of a secret that begins before the cut
+                a += 1
             cuts.append((tokens, y, a, min(len(y), a + TRAIN_TOKENS)))
     field = Field()
     if not any((y[a:b] != OUT).any() for _, y, a, b in cuts):
@@ -291,6 +331,7 @@ def fit(texts: list[str]) -> Field:
     has_before, live = np.zeros((n, width, 1)), np.zeros((n, width), bool)
     before, after = (np.full((n, width), none) for _ in range(2))
     file, gold = np.zeros((n, FILE_FEATURES)), np.zeros((n, width), np.int64)
+    gap = np.zeros((n, width), np.int64)
     for i, (tokens, y, a, b) in enumerate(cuts):
         at = _features(tokens.shapes)
         words = np.concatenate([[none], tokens.words, [none]])
@@ -299,6 +340,7 @@ def fit(texts: list[str]) -> Field:
         first = int(a == 0)
         shape_before[i, first:m] = at[a - 1 + first:b - 1]
         has_before[i, first:m] = 1
+        gap[i, :m] = tokens.gap[a:b]
         file[i], gold[i, :m], live[i, :m] = tokens.file, y[a:b], True
     one = np.eye(3)[gold] * live[..., None]
     pair = np.zeros((3, 3))
@@ -310,7 +352,7 @@ def fit(texts: list[str]) -> Field:
     for epoch in range(1, EPOCHS + 1):
         e = (weights["shape"][shape].sum(axis=2)
              + weights["shape_before"][shape_before].sum(axis=2) * has_before
-             + weights["before"][before] + weights["after"][after]
+             + weights["before"][before] + weights["after"][after] + weights["gap"][gap]
              + (file @ weights["file"])[:, None])
         step = weights["step"] + closed
         alpha, beta = np.zeros_like(e), np.zeros_like(e)
@@ -332,6 +374,7 @@ def fit(texts: list[str]) -> Field:
             np.add.at(grad["shape_before"], shape_before[..., f], off * has_before)
         np.add.at(grad["before"], before, off)
         np.add.at(grad["after"], after, off)
+        np.add.at(grad["gap"], gap, off)
         grad["file"] += file.T @ off.sum(axis=1)
         grad["step"] += np.where(_ALLOWED, pair - both.sum(axis=(0, 1)), 0)
         for k, w in weights.items():  # Adam, with a Gaussian prior

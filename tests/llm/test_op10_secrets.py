@@ -129,3 +129,27 @@ def test_untrained_field_adds_nothing(spark):
     plain = sc.learn(df)
     assert not plain.trained
     assert sc.scan_text(f"x {HEX}", plain) == [(2, "hex", 42)]
+
+
+def test_further_tokens_of_a_value_are_inside():
+    text = "of token = 'abcdef12==' was"
+    tokens = sc.Tokens(text)
+    y = tokens.labels(sc.values(text, sc.base_spans(text)))
+    assert [text[a:b] for a, b in zip(tokens.start[y == sc.BEGIN], tokens.end[y == sc.BEGIN])] == ["abcdef12="]
+    assert [text[a:b] for a, b in zip(tokens.start[y == sc.INSIDE], tokens.end[y == sc.INSIDE])] == ["="]
+
+
+def test_the_field_finds_values_of_several_tokens_whole(field):
+    rng = np.random.default_rng(5)
+    hits, masked = 0, 0
+    for n in range(50):
+        part = ["".join(rng.choice(list("abcdefghijKLMNOPQRSTUVWXYZ0123456789"), rng.integers(5, 10))) for _ in range(3)]
+        value = part[0] + "$:@!"[n % 4] + part[1] + "@!:$"[n % 4] + part[2] + ("", "==")[n % 2]
+        text = f'the stone. key = "{value}" over the thing'
+        hits += [text[a:b] for a, _, b in sc.scan_text(text, field)] == [value]
+        # the pattern takes the first part, the field the rest
+        text = f'the stone. token = "{value}" over the thing'
+        left = sc.mask_text(text, sc.scan_text(text, field))
+        masked += not any(p in left for p in part)
+        assert left.endswith(" over the thing")
+    assert hits >= 40 and masked >= 45
