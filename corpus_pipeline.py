@@ -5,8 +5,9 @@ columns of ``documents``; the last returns ids.  Nulls, empty and very long
 texts, repeated rows, empty tables and extra columns are handled as the
 operators' docstrings say:
 
-1. language: documents without a language (null or empty text, or no letter)
-   go; the model learns from the labelled documents of the stage's input.
+1. language: documents without a language (null or empty text, no letter, or
+   characters of which no learned language knows two in a row) go; the model
+   learns from the labelled documents of the stage's input.
 2. near_duplicates: of each group of near copies, at 0.8 or more, the document
    with the smallest id stays.
 3. decontaminate: documents that hold a window of a benchmark item go.
@@ -27,8 +28,7 @@ from ingestflow.llm.common import Workspace, broadcast_if_small, read_table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = lang_id.identify(docs, lang_id.learn(lang_id.training_rows(docs)))
-    return found.where(F.col("lang_pred") != lang_id.UNKNOWN).select(*docs.columns)
+    return lang_id.of_known_language(docs, lang_id.learn(lang_id.training_rows(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

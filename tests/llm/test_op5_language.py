@@ -92,3 +92,43 @@ def test_other_columns_stay(spark):
     df = spark.createDataFrame([(1, "the dog", "zz", "s", "p")], ROW).withColumnRenamed("lang", "extra")
     got = lang_id.identify(df, lang_id.learn(spark.createDataFrame(TRAIN, ROW)))
     assert got.columns == ["doc_id", "text", "extra", "lang_pred", "score"]
+
+
+def scripts():
+    """Texts of five scripts, more letters than the table has, with the first language's letters the most."""
+    rng = np.random.default_rng(9)
+    starts = {"el": 0x3B1, "ja": 0x3042, "ko": 0xAC00, "ru": 0x430, "zh": 0x4E00}
+    sizes = {"el": 17, "ja": 80, "ko": 400, "ru": 32, "zh": 600}
+    words = {k: ["".join(chr(starts[k] + c) for c in rng.integers(0, sizes[k], 3)) for _ in range(60)] for k in starts}
+    return {k: [" ".join(rng.choice(w, 40)) for _ in range(12)] for k, w in words.items()}
+
+
+def test_every_script_is_told_apart_whatever_its_letters():
+    texts = scripts()
+    model = lang_id.Model(tuple((k, tuple(t[:8])) for k, t in sorted(texts.items())))
+    assert model.rare > 300
+    for k, parts in texts.items():
+        langs, scores = model.predict(parts[8:])
+        assert langs == [k] * 4 and min(scores) > 0.5
+
+
+def test_rare_letters_are_parsed_as_by_substring_search():
+    texts = scripts()
+    samples = tuple((k, tuple(t[:8])) for k, t in sorted(texts.items()))
+    model = lang_id.Model(samples)
+    mixed = [t[9] + " " + u[10] for t in texts.values() for u in texts.values()] + ["漢 qq " + texts["zh"][9]]
+    rows = [model.symbols(t)[0] for t in mixed]
+    got = model.phrases(rows)
+    for k, (_, parts) in enumerate(samples):
+        whole = "#".join(parts)
+        for t, n in zip(mixed, got[:, k], strict=True):
+            assert n == phrases_by_hand("".join(c if c in whole else "?" for c in lang_id._letters(t)), whole)
+
+
+def test_pipeline_stage_rejects_texts_of_no_learned_language(spark):
+    import corpus_pipeline
+    rows = [(n, t, k, "x", "y") for k, parts in scripts().items() for n, t in enumerate(parts)]
+    rows += [(100, "the quick brown fox", None, "", ""), (101, "12 %", None, "", ""), (102, None, None, "", "")]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, ROW), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(n for n, *_ in rows if n < 100)
+    assert kept[0].score == "x" and kept[0].lang_pred == "y"
