@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ingestflow.session import ensure_checkpoint_dir
@@ -60,19 +61,31 @@ def broadcast_if_small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def hash_sample(rows: DataFrame, group: str, size: int, hash_col: str, *order: str) -> DataFrame:
-    """At most ``size`` rows of each ``group``: those with the smallest hashes.
+def hash_sample(rows: DataFrame, group: str, size: int, hash_col: str) -> list[Row]:
+    """Of each ``group``, the rows with the ``size`` smallest hashes, one row a hash.
 
-    The groups are counted first; then only rows below a hash that lets about
-    four times ``size`` through leave their tasks, so what is shuffled does not
-    grow with the table.  ``group`` must have few values (one count of each
-    comes to the driver); hashes must be spread over all 64-bit integers.
+    Different hashes are counted first; then only rows below a hash that lets
+    about four times ``size`` of them through leave their tasks, one row a hash
+    and task, so what is shuffled does not grow with the table, whatever its
+    copies.  A group of which too few came through is drawn again below a
+    higher hash.  ``group`` must have few values (one count of each comes to
+    the driver); hashes must be spread over all 64-bit integers.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(group).agg(F.count("*")).collect()}
-    below = F.lit(False)
-    for value, n in counts.items():
-        limit = min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * min(1.0, 4 * size / n)))
-        below = below | (F.col(group).eqNullSafe(F.lit(value)) & (F.col(hash_col) <= F.lit(limit)))
-    first = Window.partitionBy(group).orderBy(hash_col, *order)
-    return rows.where(below).withColumn("__n", F.row_number().over(first)) \
-        .where(F.col("__n") <= size).drop("__n")
+    counts = rows.groupBy(group).agg(F.approx_count_distinct(hash_col)).collect()
+    shares = {value: min(1.0, 4 * size / max(1, n)) for value, n in counts}
+    others = [c for c in rows.columns if c not in (group, hash_col)]
+    first = Window.partitionBy(group).orderBy(hash_col)
+    out: list[Row] = []
+    while shares:
+        below = F.lit(False)
+        for value, share in shares.items():
+            limit = min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * share))
+            below = below | (F.col(group).eqNullSafe(F.lit(value)) & (F.col(hash_col) <= F.lit(limit)))
+        kept = rows.where(below).groupBy(group, hash_col).agg(F.min(F.struct(*others)).alias("__row")) \
+            .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= size) \
+            .select(group, hash_col, "__row.*").collect()
+        found = Counter(r[group] for r in kept)
+        shares = {value: min(1.0, 8 * share) for value, share in shares.items()
+                  if share < 1 and found[value] < size}
+        out += [r for r in kept if r[group] not in shares]
+    return out

@@ -13,8 +13,8 @@ blank.  Long texts are parsed in blocks of ``BLOCK`` characters; a phrase ends
 where its block does, which adds at most one phrase per block, alike for every
 language.  All blocks of a text count.
 
-The sample is bounded: ``SAMPLE_DOCS`` documents a language (those with the
-smallest hash of the id) and
+The sample is bounded: ``SAMPLE_DOCS`` different texts a language (those with the
+smallest hash, whatever their ids) and
 ``SAMPLE_CHARS`` characters of them.  The model's size therefore depends on
 the number of languages only.
 
@@ -224,14 +224,13 @@ def _model(samples: tuple) -> Model:
     return Model(samples)
 
 
-def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-          id_col: str = "doc_id") -> tuple:
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple:
     """The bounded sample of every language, as the model's parameter."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()) \
         .select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
-                F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    kept = hash_sample(rows, "lang", SAMPLE_DOCS, "h", "text") \
-        .select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
+                F.xxhash64(F.col(text_col).cast("string")).alias("h")) \
+        .withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
+    kept = hash_sample(rows, "lang", SAMPLE_DOCS, "h")
     out: dict[str, list[str]] = {}
     # Texts are dealt in equal shares, shortest first, so one long text cannot fill the sample.
     for lang in sorted({r.lang for r in kept}):

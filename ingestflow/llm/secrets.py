@@ -7,8 +7,8 @@ and features of the whole text; the best tags are found by Viterbi.  Base
 spans always stay; of a field's span that overlaps one only the rest is added.
 
 The field is trained here, by gradient ascent on the conditional likelihood,
-from at most ``TRAIN_DOCS`` documents with base spans and as many without
-(those with the smallest hash of the text), cut to ``TRAIN_TOKENS`` tokens
+from at most ``TRAIN_DOCS`` different texts with base spans and as many without
+(those with the smallest hash), cut to ``TRAIN_TOKENS`` tokens
 around a span; the base spans are its labels (a secret's first token begins
 it, its further tokens are inside), and each sample is used twice more, with a
 value of mixed letters and digits in the secret's place: one of one token, and
@@ -392,15 +392,13 @@ def learn(docs: DataFrame, text_col: str = "text") -> Field:
     # The patterns in the engine's own dialect choose the sample; labels are the patterns above.
     marked = text.rlike(r"""(?i)(password|passwd|secret|token|api_?key)["']? *[:=] *["']?[a-z0-9+/_.=-]{6}""") \
         | text.rlike("AKIA[A-Z0-9]{16}") | text.rlike("[0-9a-f]{24}")
-    rows = docs.select(text.alias("text")).where("text is not null") \
-        .select("text", F.xxhash64("text").alias("h"), marked.alias("marked"))
     # Only the part around the first span travels.
     at = F.greatest(F.lit(1), F.regexp_instr(
         "text", F.lit(r"""[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i)(password|passwd|secret|token|api_?key)["']? *[:=]"""))
         - 1000)
-    kept = hash_sample(rows, "marked", TRAIN_DOCS, "h") \
-        .select("marked", "h", F.substr("text", at, F.lit(3000)).alias("t")).collect()
-    sample = [r.t for r in sorted(kept, key=lambda r: (not r.marked, r.h))]
+    rows = docs.select(text.alias("text")).where("text is not null") \
+        .select(marked.alias("marked"), F.xxhash64("text").alias("h"), F.substr("text", at, F.lit(3000)).alias("t"))
+    sample = [r.t for r in sorted(hash_sample(rows, "marked", TRAIN_DOCS, "h"), key=lambda r: (not r.marked, r.h))]
     return fit(sample)
 
 

@@ -153,3 +153,24 @@ def test_the_field_finds_values_of_several_tokens_whole(field):
         masked += not any(p in left for p in part)
         assert left.endswith(" over the thing")
     assert hits >= 40 and masked >= 45
+
+
+def test_samples_are_of_different_texts_whatever_their_copies(spark):
+    from pyspark.sql import functions as F
+
+    from ingestflow.llm.common import hash_sample
+    rows = spark.range(20000).select((F.col("id") % 2).alias("g"), F.xxhash64(F.col("id") % 40).alias("h"),
+                                     (F.col("id") % 40).alias("v"))
+    want = {g: sorted((r.h, r.v) for r in rows.distinct().collect() if r.g == g)[:5] for g in (0, 1)}
+    got = hash_sample(rows, "g", 5, "h")
+    assert {g: sorted((r.h, r.v) for r in got if r.g == g) for g in (0, 1)} == want
+    # so few hashes lie low that a first draw misses them
+    high = rows.where("h > 0")
+    assert len(hash_sample(high.where("g = 0"), "g", 3, "h")) == 3
+
+
+def test_a_field_is_trained_on_copies(spark):
+    from pyspark.sql import functions as F
+    text = F.format_string("the stone was token = \"%040x\" over the thing", F.col("id") % 3)
+    docs = spark.range(6000).select("id", F.when(F.col("id") % 2 == 0, text).otherwise("the thing").alias("text"))
+    assert sc.learn(docs).trained

@@ -132,3 +132,12 @@ def test_pipeline_stage_rejects_texts_of_no_learned_language(spark):
     kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, ROW), "").collect()
     assert sorted(r.doc_id for r in kept) == sorted(n for n, *_ in rows if n < 100)
     assert kept[0].score == "x" and kept[0].lang_pred == "y"
+
+
+def test_a_language_without_ids_or_of_copies_is_learned(spark):
+    rows = [(None, f"the quick brown fox {chr(97 + n % 26)}{chr(97 + n // 26)} jumps", "en", "", "")
+            for n in range(600)]
+    rows += [(n, ("el zorro salta", "un perro duerme")[n == 0], "es", "", "") for n in range(3000)]
+    samples = dict(lang_id.learn(spark.createDataFrame(rows, ROW)))
+    assert len(samples["en"]) == lang_id.SAMPLE_DOCS
+    assert sorted(samples["es"]) == ["el zorro salta", "un perro duerme"]
