@@ -9,7 +9,8 @@ index covers all words of all documents and holds no text.
 segment a window's terms are ordered by the length of their posting lists
 there, and the lists are intersected, offset by the terms' places in the
 window, from the rarest term on.  ``find_near`` instead asks for the rarest
-terms of a window within a span of words, in any order.  The benchmark is read
+terms of a window within a span of words, in any order: the smallest window of
+the document around each place of the rarest one.  The benchmark is read
 in blocks of ``BLOCK_WORDS`` words, one pass over the index for each, so what
 is sent to the executors has a size bound whatever the benchmark's size.
 
@@ -40,6 +41,8 @@ from ingestflow.llm.common import Workspace
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 SEGMENT_WORDS = 1 << 17
 BLOCK_WORDS = 1 << 20
+# Beyond any place in a segment.
+FAR = 1 << 40
 
 INDEX = ("segment long, doc_ids array<{id}>, doc_starts array<int>, terms array<string>, "
          "term_starts array<int>, steps array<int>")
@@ -188,15 +191,23 @@ def _near(terms: int, span: int):
                 chosen = chosen[np.argsort(seg.counts[chosen], kind="stable")][:terms]
                 at = seg.postings(chosen[0])
                 doc = np.searchsorted(doc_starts, at, "right") - 1
-                low, high, ok = at.copy(), at + 1, np.ones(len(at), bool)
-                for t in chosen[1:]:  # the occurrence nearest to the rarest term's
+                # A window around the rarest term's place holds a term if it reaches the
+                # term's last place before or its first one after, in the document.
+                start, end = doc_starts[doc], doc_starts[doc + 1]
+                before = np.full((len(chosen), len(at)), -FAR)
+                after = np.full((len(chosen), len(at)), FAR)
+                before[0] = after[0] = at
+                for k, t in enumerate(chosen[1:], 1):
                     listed = seg.postings(t)
                     j = np.searchsorted(listed, at)
-                    left = listed[np.maximum(j - 1, 0)]
-                    right = listed[np.minimum(j, len(listed) - 1)]
-                    near = np.where(np.abs(left - at) <= np.abs(right - at), left, right)
-                    low, high = np.minimum(low, near), np.maximum(high, near + 1)
-                ok &= (high - low <= span) & (low >= doc_starts[doc]) & (high <= doc_starts[doc + 1])
+                    left, right = listed[np.maximum(j - 1, 0)], listed[np.minimum(j, len(listed) - 1)]
+                    before[k] = np.where((j > 0) & (left >= start), left, -FAR)
+                    after[k] = np.where((j < len(listed)) & (right < end), right, FAR)
+                # The smallest window begins at one of the places before; what it misses is after.
+                upto = np.where(before[None] < before[:, None], after[None], at).max(axis=1) + 1
+                best, all_at = (upto - before).argmin(axis=0), np.arange(len(at))
+                low, high = before[best, all_at], upto[best, all_at]
+                ok = high - low <= span
                 for i in np.flatnonzero(ok).tolist():
                     yield names[w], int(doc[i]), int(low[i]), int(high[i])
     return search

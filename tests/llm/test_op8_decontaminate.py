@@ -89,3 +89,44 @@ def test_proximity(spark):
         dc.document_hits(index, dc.find_windows(index, b)).limit(0).select(), how="left")
     rows = {(r.ordinal, r.start, r.end) for r in got.collect()}
     assert len(rows) == 2 and {(s, e) for _, s, e in rows} == {(0, 7), (0, 4)}
+
+
+def near_by_hand(text, chosen, rarest, span):
+    """Words in any window of at most ``span`` words, around the rarest term, that no smaller one of its place beats."""
+    w, out = words(text), set()
+    for x in (i for i, word in enumerate(w) if word == rarest):
+        fits = [(b - a, a, b) for a in range(x + 1) for b in range(x + 1, len(w) + 1) if chosen <= set(w[a:b])]
+        if fits and min(fits)[0] <= span:
+            out.add((x, min(fits)[0]))
+    return out
+
+
+@pytest.mark.parametrize("span", [4, 6, 9])
+def test_proximity_with_repeated_terms_equals_brute_force(spark, span):
+    rng = random.Random(span)
+    texts = [" ".join(rng.choice("abcdxyz") for _ in range(rng.randint(0, 25))) for _ in range(80)]
+    texts.append("x " * 92 + "b " + "x " * 7 + "a " + "x " * 8 + "b x x x c d")
+    d = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts)], DOC).coalesce(1)
+    index = dc.build_index(d, Workspace(spark, "t"))
+    counts = {c: sum(t.split().count(c) for t in texts) for c in "abcd"}
+    rarest = min("abcd", key=lambda c: counts[c])
+    assert sorted(counts.values())[0] < sorted(counts.values())[1]
+    found = {}
+    for r in dc.find_near(index, spark.createDataFrame([(7, "a b c d", "")], ITEM), terms=4, span=span).collect():
+        found.setdefault(r.ordinal, []).append((r.start, r.end))
+    for i, text in enumerate(texts):
+        want = near_by_hand(text, set("abcd"), rarest, span)
+        assert bool(want) == (i in found), text
+        for a, b in found.get(i, []):
+            assert set("abcd") <= set(words(text)[a:b])
+        for x, _ in want:
+            assert any(a <= x < b for a, b in found[i])
+
+
+def test_proximity_of_one_place_takes_the_smallest_window(spark):
+    text = " ".join({92: "t", 100: "r", 109: "t", 113: "u"}.get(i, "x") for i in range(120))
+    other = "t u x u t"  # more of the others, in the next document
+    d = spark.createDataFrame([(1, text, "", ""), (2, other, "", "")], DOC).coalesce(1)
+    got = dc.find_near(dc.build_index(d, Workspace(spark, "t")),
+                       spark.createDataFrame([(7, "r t u", "")], ITEM), terms=3, span=20).collect()
+    assert [(r.ordinal, r.start, r.end) for r in got] == [(0, 100, 114)]
