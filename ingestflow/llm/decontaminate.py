@@ -11,8 +11,11 @@ there, and the lists are intersected, offset by the terms' places in the
 window, from the rarest term on.  ``find_near`` instead asks for the rarest
 terms of a window within a span of words, in any order: the smallest window of
 the document around each place of the rarest one.  The benchmark is read
-in blocks of ``BLOCK_WORDS`` words, one pass over the index for each, so what
-is sent to the executors has a size bound whatever the benchmark's size.
+in blocks of ``BLOCK_WORDS`` words, one pass over the index for each, and the
+matches of a block are written before the next is read; so what is sent to the
+executors, and the windows that the driver holds, have a size bound whatever the
+benchmark's size.  Items come to the driver one partition of the benchmark at a
+time.
 
 Words are runs of digits, a-z (A-Z lower-cased) and characters beyond ASCII.
 
@@ -252,23 +255,24 @@ def _search(index: DataFrame, benchmark: DataFrame, size: int, how, item_col: st
                             strict=True)], ["segment", "ordinal", "item_id", "start", "end"])
         return run
 
-    def add(block: list) -> None:
-        nonlocal out
-        part = index.select("segment", "doc_starts", "terms", "term_starts", "steps") \
+    def matches(block: list) -> DataFrame:
+        return index.select("segment", "doc_starts", "terms", "term_starts", "steps") \
             .mapInArrow(over(Windows(block, size)), schema)
-        out = part if out is None else out.union(part)
 
-    block, held = [], 0
+    # Matches of a block are written before the next is read, so the driver holds one at a time.
+    ws = Workspace(index.sparkSession, "matches")
+    block, held, blocks = [], 0, 0
     for name, text in items.toLocalIterator():  # a block at a time
         item = words(text)
         if block and held + len(item) > BLOCK_WORDS:
-            add(block)
-            block, held = [], 0
+            written = ws.write(matches(block), f"block{blocks}")
+            out = written if out is None else out.union(written)
+            block, held, blocks = [], 0, blocks + 1
         if item:
             block.append((name, item))
             held += len(item)
-    add(block)
-    return out
+    last = matches(block)
+    return last if out is None else out.union(last)
 
 
 def find_windows(index: DataFrame, benchmark: DataFrame, size: int = 10,

@@ -130,3 +130,16 @@ def test_proximity_of_one_place_takes_the_smallest_window(spark):
     got = dc.find_near(dc.build_index(d, Workspace(spark, "t")),
                        spark.createDataFrame([(7, "r t u", "")], ITEM), terms=3, span=20).collect()
     assert [(r.ordinal, r.start, r.end) for r in got] == [(0, 100, 114)]
+
+
+def test_the_driver_holds_one_block_of_windows(spark, monkeypatch):
+    import gc
+    monkeypatch.setattr(dc, "BLOCK_WORDS", 4)
+    held = {id(x) for x in gc.get_objects() if isinstance(x, dc.Windows)}
+    docs = [(n, f"a b c d{n} e") for n in range(9)]
+    items = [(n, f"c d{n} e") for n in range(6)]
+    index = dc.build_index(spark.createDataFrame([(i, t, "", "") for i, t in docs], DOC), Workspace(spark, "t"))
+    found = dc.find_windows(index, spark.createDataFrame([(i, t, "") for i, t in items], ITEM), 3)
+    gc.collect()
+    assert sum(isinstance(x, dc.Windows) and id(x) not in held for x in gc.get_objects()) <= 1
+    assert sorted(r.item_id for r in found.collect()) == [str(n) for n in range(6)]
