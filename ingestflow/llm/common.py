@@ -80,7 +80,8 @@ def hash_sample(rows: DataFrame, group: str, size: int, hash_col: str) -> list[R
         below = F.lit(False)
         for value, share in shares.items():
             limit = min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * share))
-            below = below | (F.col(group).eqNullSafe(F.lit(value)) & (F.col(hash_col) <= F.lit(limit)))
+            # The hash first: the group may be costly to tell.
+            below = below | ((F.col(hash_col) <= F.lit(limit)) & F.col(group).eqNullSafe(F.lit(value)))
         kept = rows.where(below).groupBy(group, hash_col).agg(F.min(F.struct(*others)).alias("__row")) \
             .withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= size) \
             .select(group, hash_col, "__row.*").collect()
