@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestflow.llm import (ann, bpe, chat, decontaminate, html_wrappers, lang_id, minhash, secrets,
-                            token_counts, url_rules)
+from ingestflow.llm import (ann, bpe, chat, decontaminate, hard_negatives, html_wrappers, lang_id, minhash,
+                            quality_ranking, secrets, token_alignment, token_counts, url_rules)
 from ingestflow.llm.common import Workspace, read_table
 
 
@@ -102,6 +103,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_digests(secrets.scan(docs, secrets.learn(docs)))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        Workspace(spark, "op11"), shown=lambda groups: hashlib.sha256(groups.encode()).hexdigest()) \
+        .withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality").where(quality_ranking.learns())
+    scored = quality_ranking.score(docs, quality_ranking.learn(docs, labels))
+    return scored.select("doc_id", quality_ranking.held_out().alias("held_out"), "score", "predicted")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 100; ids divisible by 7 take the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.integer_rows(read_table(spark, sf_dir, "embeddings"), Workspace(spark, "op13"),
+                                       label=label)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, Workspace(spark, "op13"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_graph_search": op1_graph_search,
     "op2_main_text": op2_main_text,
@@ -113,4 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_bpe": op9_bpe,
     "op10_secrets": op10_secrets,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_quality": op12_quality,
+    "op13_hard_negatives": op13_hard_negatives,
 }
