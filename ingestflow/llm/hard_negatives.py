@@ -42,11 +42,12 @@ from pyspark.sql import functions as F
 
 from ingestflow.llm.common import Workspace
 
-SEGMENTS = (2, 8, 32)
+SEGMENTS = (2, 8)
 BLOCK_ROWS = 131_072
 MIN_BLOCKS = 12
-# Anchors bounded at once against a block.
-LANES = 64
+# Pairs of anchors and rows bounded at once, and the share of them beyond which all are computed.
+PAIRS = 1 << 18
+DENSE = 1 / 8
 LIMIT = 1 << 26
 
 
@@ -61,33 +62,61 @@ class Block:
         self.levels = [summary(self.floats, n) for n in SEGMENTS]
         self.largest = np.abs(self.floats).sum(axis=1).max(initial=0)
 
-    def scores(self, anchor: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        return self.x[rows] @ anchor
-
-    def bounds(self, level: int, lanes: list[tuple[np.ndarray, np.ndarray]],
-               slack: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower and upper bounds of every anchor's score with every row."""
-        means, spreads = lanes[level]
-        mean, spread = self.levels[level]
-        middle, away = means @ mean.T, spreads @ spread.T + slack[:, None]
-        return middle - away, middle + away
-
-    def bound_rows(self, level: int, means: np.ndarray, spreads: np.ndarray, slack: float,
-                   rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        mean, spread = self.levels[level]
-        middle, away = mean[rows] @ means, spread[rows] @ spreads + slack
-        return middle - away, middle + away
-
-    def refine(self, lanes: list, at: int, slack: float, rows: np.ndarray, low: np.ndarray,
-               high: np.ndarray, keep: Callable) -> np.ndarray:
-        """The rows that no level's bounds rule out; ``keep(rows, low, high)`` marks them."""
-        for level in range(len(SEGMENTS)):
-            if level:
-                a, b = self.bound_rows(level, lanes[level][0][at], lanes[level][1][at], slack, rows)
-                low, high = np.maximum(low, a), np.minimum(high, b)
-            kept = keep(low, high)
-            rows, low, high = rows[kept], low[kept], high[kept]
-        return rows
+    def refine(self, anchors: np.ndarray, alive: np.ndarray, keep: Callable) -> np.ndarray:
+        """The (anchor, row) pairs that no level's bounds rule out.
+
+        ``keep(alive, low, high)`` gives, from bounds of all pairs' scores, the
+        pairs that may still be among the results.
+        """
+        floats = anchors.astype(np.float64)
+        # what rounding may move a bound by
+        slack = (0.5 + 1e-12 * np.abs(floats).max(axis=1, initial=0) * self.largest)[:, None]
+        low, high = np.full(alive.shape, -np.inf), np.full(alive.shape, np.inf)
+        for level, segments in enumerate(SEGMENTS):
+            mean, spread = self.levels[level]
+            means, spreads = summary(floats, segments)
+            if alive.mean() > DENSE:
+                middle, away = means @ mean.T, spreads @ spread.T + slack
+                low, high = np.maximum(low, middle - away), np.minimum(high, middle + away)
+            else:
+                for i in range(len(anchors)):
+                    rows = np.flatnonzero(alive[i])
+                    middle, away = mean[rows] @ means[i], spread[rows] @ spreads[i] + slack[i]
+                    low[i, rows] = np.maximum(low[i, rows], middle - away)
+                    high[i, rows] = np.minimum(high[i, rows], middle + away)
+            alive = keep(alive, low, high)
+        return alive
+
+    def scores(self, anchors: np.ndarray, alive: np.ndarray) -> np.ndarray:
+        """The exact scores of the pairs that are alive; others are anything."""
+        if np.abs(anchors).max(initial=0) * self.largest >= 1 << 53:
+            return anchors @ self.x.T
+        floats = anchors.astype(np.float64)
+        if alive.mean() > DENSE:
+            return (floats @ self.floats.T).astype(np.int64)
+        out = np.zeros(alive.shape, np.int64)
+        for i in range(len(anchors)):
+            rows = np.flatnonzero(alive[i])
+            out[i, rows] = self.floats[rows] @ floats[i]
+        return out
+
+
+def kth_highest(values: np.ndarray, among: np.ndarray, k: int) -> np.ndarray:
+    """Of each anchor, the ``k``-th highest value among the marked ones; -inf if there are fewer."""
+    n = values.shape[1]
+    if n < k:
+        return np.full((len(values), 1), -np.inf)
+    return np.partition(np.where(among, values, -np.inf), n - k, axis=1)[:, [n - k]]
+
+
+def first(scores: np.ndarray, among: np.ndarray, k: int) -> Iterator[tuple[int, int]]:
+    """(anchor, row) of each anchor's ``k`` highest marked scores; rows are in the order of their ids."""
+    least = kth_highest(scores.astype(np.float64), among, k)
+    near = among & (scores >= least - 0.5 - 1e-9 * np.abs(np.where(np.isfinite(least), least, 0)))
+    for i in range(len(scores)):
+        rows = np.flatnonzero(near[i])
+        for r in rows[np.argsort(-scores[i, rows], kind="stable")[:k]].tolist():
+            yield i, r
 
 
 def summary(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,23 +132,6 @@ def summary(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     return np.stack(means, axis=1), np.stack(spreads, axis=1)
 
 
-def first(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` highest scores, ties to the smaller id."""
-    if len(scores) > 4 * k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = np.flatnonzero(scores >= least)
-        return near[np.lexsort((ids[near], -scores[near]))[:k]]
-    return np.lexsort((ids, -scores))[:k]
-
-
-def at_least(low: np.ndarray, high: np.ndarray, inside: np.ndarray, k: int) -> np.ndarray:
-    """Rows whose upper bound reaches the ``k``-th highest lower bound of the rows surely inside."""
-    sure = low[inside]
-    if len(sure) <= k:
-        return np.ones(len(low), bool)
-    return high >= np.partition(sure, len(sure) - k)[len(sure) - k]
-
-
 def usable(embedding: Column, label: Column) -> Column:
     finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return label.isNotNull() & F.coalesce(finite, F.lit(False))
@@ -152,7 +164,8 @@ def _streamed(rows: DataFrame, anchors: DataFrame, extra: list[str], answer: Cal
     columns = ["dim", "block", "anchor", "vec_id", "label", "vector", *extra]
     both = rows.select("dim", "block", F.lit(-1).cast("long").alias("anchor"), "vec_id", "label", "vector") \
         .unionByName(sent.select(*columns), allowMissingColumns=True).select(*columns)
-    dealt = both.repartition(max(1, blocks.count()), "dim", "block") \
+    # Blocks of one length are dealt one by one, so tasks are even.
+    dealt = both.repartitionById(max(1, blocks.count()), F.col("block") + F.col("dim")) \
         .sortWithinPartitions("dim", "block", "anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,36 +191,24 @@ def _streamed(rows: DataFrame, anchors: DataFrame, extra: list[str], answer: Cal
                 if block is None:
                     block = Block(*(np.concatenate(c) for c in zip(*held, strict=True)))
                     held = []
-                for c in range(0, len(part), LANES):
-                    lane = part.slice(c, LANES)
+                lanes = max(1, PAIRS // len(block.ids))
+                for c in range(0, len(part), lanes):
+                    lane = part.slice(c, lanes)
                     yield from answer(block, lane, vectors(lane, keys[a][0]).astype(np.int64))
 
     return dealt.mapInArrow(run, schema)
 
 
-def _lanes(block: Block, x: np.ndarray) -> tuple[list, np.ndarray]:
-    """The anchors' summaries, and what rounding may move a bound by."""
-    floats = x.astype(np.float64)
-    most = np.abs(floats).max(axis=1, initial=0)
-    return [summary(floats, n) for n in SEGMENTS], 0.5 + 1e-12 * most * block.largest
-
-
 def positives(rows: DataFrame, anchors: DataFrame, k: int = 5) -> DataFrame:
     """``anchor, anchor_id, positive_id, positive_score`` of the first ``k`` of the anchor's label."""
     def answer(block: Block, lane: pa.RecordBatch, x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        lanes, slack = _lanes(block, x)
-        low, high = block.bounds(0, lanes, slack)
         ids, labels = lane.column("vec_id").to_numpy(), lane.column("label").to_numpy()
         numbers = lane.column("anchor").to_numpy()
-        out: list[tuple] = []
-        for i in range(len(lane)):
-            same = np.flatnonzero((block.labels == labels[i]) & (block.ids != ids[i]))
-            kept = block.refine(lanes, i, slack[i], same, low[i, same], high[i, same],
-                                lambda a, b: at_least(a, b, np.ones(len(a), bool), k))
-            scores = block.scores(x[i], kept)
-            out += [(numbers[i], ids[i], block.ids[kept[j]], scores[j])
-                    for j in first(scores, block.ids[kept], k)]
-        yield _batch(out, ["anchor", "anchor_id", "positive_id", "positive_score"])
+        same = (block.labels == labels[:, None]) & (block.ids != ids[:, None])
+        alive = block.refine(x, same, lambda alive, low, high: alive & (high >= kth_highest(low, alive, k)))
+        scores = block.scores(x, alive)
+        yield _batch([(numbers[i], ids[i], block.ids[r], scores[i, r]) for i, r in first(scores, alive, k)],
+                     ["anchor", "anchor_id", "positive_id", "positive_score"])
 
     found = _streamed(rows, anchors, [], answer,
                       "anchor long, anchor_id long, positive_id long, positive_score long")
@@ -228,33 +229,31 @@ def negatives(rows: DataFrame, anchors: DataFrame, k: int = 10, least: int = 30,
     names = ["anchor", "place", "anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"]
 
     def answer(block: Block, lane: pa.RecordBatch, x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        lanes, slack = _lanes(block, x)
-        low, high = block.bounds(0, lanes, slack)
         ids, labels = lane.column("vec_id").to_numpy(), lane.column("label").to_numpy()
         numbers, found = lane.column("anchor").to_numpy(), lane.column("positives").to_pylist()
-        out: list[tuple] = []
-        for i in range(len(lane)):
-            other = np.flatnonzero((block.labels != labels[i]) & (block.ids != ids[i]))
-            exact: dict[int, int] = {}
-            for positive in found[i]:
-                p = positive["positive_score"]
-                # the whole scores n with least * p <= 100 * n <= most * p
-                floor, ceiling = -(-least * p // 100), most * p // 100
-                if floor > ceiling:
-                    continue
-
-                def keep(a: np.ndarray, b: np.ndarray, floor=floor, ceiling=ceiling) -> np.ndarray:
-                    able = (b >= floor) & (a <= ceiling)
-                    return able & at_least(a, b, (a >= floor) & (b <= ceiling), k)
-
-                kept = block.refine(lanes, i, slack[i], other, low[i, other], high[i, other], keep)
-                new = np.array([r for r in kept.tolist() if r not in exact], np.int64)
-                exact.update(zip(new.tolist(), block.scores(x[i], new).tolist(), strict=True))
-                scores = np.array([exact[r] for r in kept.tolist()], np.int64)
-                inside = (scores >= floor) & (scores <= ceiling)
-                kept, scores = kept[inside], scores[inside]
-                out += [(numbers[i], positive["place"], ids[i], positive["positive_id"], p,
-                         block.ids[kept[j]], scores[j]) for j in first(scores, block.ids[kept], k)]
+        # Of each anchor's n-th positive, the whole scores s with least * p <= 100 * s <= most * p.
+        bands = []
+        for n in range(max(map(len, found), default=0)):
+            p = [f[n]["positive_score"] if n < len(f) else None for f in found]
+            bands.append(tuple(np.array(b, np.int64)[:, None] for b in (
+                [0 if v is None else -(-least * v // 100) for v in p],
+                [-1 if v is None else most * v // 100 for v in p])))
+
+        def keep(alive: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            kept = np.zeros(alive.shape, bool)
+            for floor, ceiling in bands:
+                sure = alive & (low >= floor) & (high <= ceiling)
+                able = (high >= floor) & (low <= ceiling) & (floor <= ceiling)
+                kept |= alive & able & (high >= kth_highest(low, sure, k))
+            return kept
+
+        alive = block.refine(x, (block.labels != labels[:, None]) & (block.ids != ids[:, None]), keep)
+        scores = block.scores(x, alive)
+        out = []
+        for n, (floor, ceiling) in enumerate(bands):
+            inside = alive & (scores >= floor) & (scores <= ceiling)
+            out += [(numbers[i], found[i][n]["place"], ids[i], found[i][n]["positive_id"],
+                     found[i][n]["positive_score"], block.ids[r], scores[i, r]) for i, r in first(scores, inside, k)]
         yield _batch(out, names)
 
     asked = _streamed(rows, anchors, ["positives"], answer, ", ".join(f"{n} long" for n in names))

@@ -99,32 +99,32 @@ def test_large_components_do_not_overflow(spark):
 
 
 @pytest.mark.parametrize("segments", [(1,), (2, 8), (64,)])
-def test_bounds_hold(segments, monkeypatch):
+@pytest.mark.parametrize("dense", [0, 1])
+def test_bounds_hold(segments, dense, monkeypatch):
     monkeypatch.setattr(hn, "SEGMENTS", segments)
+    monkeypatch.setattr(hn, "DENSE", dense)
     rng = np.random.default_rng(8)
     x = rng.integers(-300, 300, (200, 24))
-    block = hn.Block(np.arange(200), np.zeros(200, int), x)
-    lanes, slack = hn._lanes(block, x[:50])
-    exact = x[:50] @ x.T
-    for level in range(len(segments)):
-        low, high = block.bounds(level, lanes, slack)
+    block, exact = hn.Block(np.arange(200), np.zeros(200, int), x), x[:50] @ x.T
+
+    def holds(alive, low, high):
         assert (low <= exact).all() and (exact <= high).all()
+        return alive
+
+    alive = block.refine(x[:50], np.ones(exact.shape, bool), holds)
+    assert (block.scores(x[:50], alive) == exact).all()
 
 
-def test_summaries_spare_exact_scores(monkeypatch):
+def test_summaries_spare_exact_scores():
     """Rows whose components vary slowly are mostly ruled out by the summaries."""
     rng = np.random.default_rng(9)
     x = np.floor(16 * np.cumsum(rng.normal(size=(4000, 64)), axis=1)).astype(int)
-    block = hn.Block(np.arange(4000), rng.integers(4, size=4000), x)
-    lanes, slack = hn._lanes(block, x[:20])
-    low, high = block.bounds(0, lanes, slack)
+    block, exact = hn.Block(np.arange(4000), np.zeros(4000, int), x), x[:20] @ x.T
+    kept = block.refine(x[:20], np.ones(exact.shape, bool),
+                        lambda alive, low, high: alive & (high >= hn.kth_highest(low, alive, 5)))
+    assert kept.mean() < 0.1
     for i in range(20):
-        same = np.flatnonzero(block.labels == block.labels[i])
-        kept = block.refine(lanes, i, slack[i], same, low[i, same], high[i, same],
-                            lambda a, b: hn.at_least(a, b, np.ones(len(a), bool), 5))
-        assert len(kept) < len(same) / 5
-        exact = x[same] @ x[i]
-        assert set(same[np.argsort(-exact, kind="stable")[:5]]) <= set(kept)
+        assert kept[i, np.argsort(-exact[i], kind="stable")[:5]].all()
 
 
 @pytest.mark.parametrize("sf", [SF_SMALL, SF_MID])
