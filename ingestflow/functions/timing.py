@@ -66,7 +66,7 @@ def stamp_is_valid(queued_ms: Column | str) -> Column:
     return (F.coalesce(q, F.lit("")) == "") | whole
 
 
-def queue_age(queued_ms: Column | str, now_ms: int) -> Column:
+def queue_age(queued_ms: Column | str, now_ms: int | Column) -> Column:
     """Minutes since first queued; null/blank stamp gives 0, a bad stamp null."""
     q = F.col(queued_ms) if isinstance(queued_ms, str) else queued_ms
     return F.when(F.coalesce(q, F.lit("")) == "", F.lit(0).cast("long")).otherwise(

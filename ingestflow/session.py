@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # State calls of Python stateful operators go through a socket file, not a port.
+    "spark.python.unix.domain.socket.enabled": "true",
 }
 
 
