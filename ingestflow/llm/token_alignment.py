@@ -21,9 +21,10 @@ documents that hold it linked, over the whole corpus.
   each run streams back one dense array of sums for its documents, and the
   arrays of a run are added up.
 
-Both encoders leave a text whole only where a token may cross a blank; else
-texts are cut at blanks between plain characters, where each encoder starts a
-new token, and the groups of a distinct piece are kept per worker (``Aligner``).
+Where no token of either vocabulary can cross them, texts are cut at blanks
+between plain characters; the distinct pieces of many texts are then encoded in
+a row, and short pieces' groups are kept per worker (``Aligner``).  Otherwise
+texts are encoded whole.
 
 Both files are parameters, readable at the same path on every executor: A a
 ``tokenizers`` JSON file of byte-level BPE, B a ``sentencepiece`` model.
@@ -65,7 +66,7 @@ PLACE_BITS = 20
 TARGET_BYTES = 16 << 20
 FAN_IN = 32
 # Bytes of text handled at once, bytes of kept pieces per generation, longest kept piece.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 22
 CACHE_BYTES = 24 << 20
 CACHE_CHARS = 64
 # Links of one group beyond which its distinct ids are paired, not its tokens.
@@ -99,6 +100,10 @@ class Aligner:
         self.bytes_b = [bytes([int(b.id_to_piece(k)[3:5], 16)]) if b.is_byte(k)
                         else b.id_to_piece(k).replace("▁", " ").encode()
                         for k in range(b.vocab_size())]
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in of]) for of in (self.bytes_a, self.bytes_b))
+        names = [str(k) for k in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        self.plain, self.comma, self.bar, self.semicolon = (
+            np.array([n + sign for n in names], object) for sign in ("", ",", "|", ";"))
         self.shift = max(1, (len(self.bytes_b) - 1).bit_length())
         self.bits = self.shift + max(1, (len(self.bytes_a) - 1).bit_length())
         with open(path_a, encoding="utf-8") as f:
@@ -116,35 +121,96 @@ class Aligner:
         self.older: dict[str, tuple | None] = {}
         self.kept_bytes = 0
 
-    def _piece(self, piece: str, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-        whole = (" " + piece).encode()
-        parts_a = [self.bytes_a[k] for k in ids_a]
-        parts_b = [self.bytes_b[k] for k in ids_b]
-        if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-            return None
-        texts, codes, wide = [], [], []
-        groups = links = i = j = i0 = j0 = 0
-        end_a = end_b = 0
-        while i < len(ids_a) or j < len(ids_b):
-            if end_a <= end_b and i < len(ids_a):
-                end_a += len(parts_a[i])
-                i += 1
-            else:
-                end_b += len(parts_b[j])
-                j += 1
-            if end_a != end_b:
-                continue
-            of_a, of_b = ids_a[i0:i], ids_b[j0:j]
-            i0, j0 = i, j
-            groups += 1
-            links += len(of_a) * len(of_b)
-            texts.append(f"{','.join(map(str, of_a))}|{','.join(map(str, of_b))}")
-            if len(of_a) * len(of_b) > WIDE_GROUP:
-                wide.append((of_a, of_b))
+    def _new(self, pieces: list[str]) -> dict[str, tuple | None]:
+        """The groups of pieces, or None for those that are not given back."""
+        # Pieces that end in a plain character are encoded in a row, as in a text (B is quicker
+        # on many short ones).
+        row, single = [], []
+        for p in pieces:
+            c = p[-1]
+            (row if self.cuts and ("!" <= c <= "~" or c.isalnum()) else single).append(p)
+        out: dict[str, tuple | None] = {}
+        if row:
+            whole = " " + " ".join(row)
+            [a], of_b = self.encode_a([whole]), self.encode_b(row)
+            a, b = np.array(a, np.int64), np.fromiter(itertools.chain.from_iterable(of_b), np.int64)
+            n_b = np.fromiter(map(len, of_b), np.int64)
+            ends = np.cumsum([len(p.encode()) + 1 for p in row])
+            n_a = self._counts(a, self.sizes_a, ends)
+            if n_a is None or not n_b.all() or (np.cumsum(self.sizes_b[b])[np.cumsum(n_b) - 1] != ends).any() \
+                    or not self._is(whole, a, b):
+                single += row
             else:
-                codes += [x << self.shift | y for x in of_a for y in of_b]
-        sums = len(ids_a) | len(ids_b) << 40 | groups << 80 | links << 120
-        return ";".join(texts), np.array(codes, np.int64).tobytes(), sums, wide
+                out.update(zip(row, self._groups(a, b, n_a, n_b), strict=True))
+        kept: list[tuple[str, list[int], list[int]]] = []
+        if single:
+            encoded = zip(self.encode_a([" " + p for p in single]), self.encode_b(single), strict=True)
+            for p, (a, b) in zip(single, encoded, strict=True):
+                if a and b and self._is(" " + p, a, b):
+                    kept.append((p, a, b))
+                else:
+                    out[p] = None
+        if kept:
+            names, of_a, of_b = zip(*kept, strict=True)
+            a, b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (of_a, of_b))
+            n_a, n_b = (np.fromiter(map(len, x), np.int64) for x in (of_a, of_b))
+            out.update(zip(names, self._groups(a, b, n_a, n_b), strict=True))
+        return out
+
+    @staticmethod
+    def _counts(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Tokens of each piece of a row; None if a token crosses from one to the next."""
+        upto = np.cumsum(sizes[ids])
+        at = np.searchsorted(upto, ends)
+        if at[-1] >= len(ids) or (upto[at] != ends).any():
+            return None
+        return np.diff(at + 1, prepend=0)
+
+    def _is(self, text: str, a, b) -> bool:
+        """Whether the tokens of both encoders join to the text."""
+        a, b = (x.tolist() if isinstance(x, np.ndarray) else x for x in (a, b))
+        whole = text.encode()
+        return b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b))
+
+    def _groups(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[tuple]:
+        """The groups of pieces whose tokens are ``a`` and ``b``, for all of them at once."""
+        # The bytes of a piece are as many on both sides, so offsets run on from piece to piece.
+        end_a, end_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        cuts = end_a[end_b[np.searchsorted(end_b, end_a)] == end_a]
+        of_a, of_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+        held_a, held_b = np.bincount(of_a, minlength=len(cuts)), np.bincount(of_b, minlength=len(cuts))
+        upto_a, upto_b = np.cumsum(held_a), np.cumsum(held_b)
+        links = held_a * held_b
+        last = np.searchsorted(cuts, end_a[np.cumsum(n_a) - 1]) + 1  # groups up to each piece's end
+        groups = np.diff(last, prepend=0)
+        n_links = np.add.reduceat(links, last - groups)
+        # Links of all but wide groups: each A token with every B token of its group.
+        is_wide = links > WIDE_GROUP
+        times = np.where(is_wide, 0, held_b)[of_a]
+        nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        codes = np.repeat(a, times) << self.shift | b[np.repeat((upto_b - held_b)[of_a], times) + nth]
+        link_ends = np.cumsum(np.add.reduceat(np.where(is_wide, 0, links), last - groups)).tolist()
+        wide: dict[int, list] = {}
+        for g in np.flatnonzero(is_wide).tolist():
+            wide.setdefault(int(np.searchsorted(last, g, "right")), []).append(
+                (a[upto_a[g] - held_a[g]:upto_a[g]], b[upto_b[g] - held_b[g]:upto_b[g]]))
+        # A group's text is its A ids, then its B ids; each id brings the sign after it.
+        parts = np.empty(len(a) + len(b), object)
+        ends_a = np.arange(len(a)) == upto_a[of_a] - 1
+        ends_b = np.arange(len(b)) == upto_b[of_b] - 1
+        ends_piece = np.zeros(len(b), bool)
+        ends_piece[np.cumsum(n_b) - 1] = True
+        parts[np.arange(len(a)) + (upto_b - held_b)[of_a]] = np.where(ends_a, self.bar[a], self.comma[a])
+        parts[np.arange(len(b)) + upto_a[of_b]] = np.where(
+            ends_piece, self.plain[b], np.where(ends_b, self.semicolon[b], self.comma[b]))
+        texts, text_ends = parts.tolist(), np.cumsum(n_a + n_b).tolist()
+        sums = [w | x << 40 | y << 80 | z << 120 for w, x, y, z in zip(
+            n_a.tolist(), n_b.tolist(), groups.tolist(), n_links.tolist(), strict=True)]
+        out, i, j = [], 0, 0
+        for k, (x, y, total) in enumerate(zip(text_ends, link_ends, sums, strict=True)):
+            out.append(("".join(texts[i:x]), codes[j:y].tobytes(), total, wide.get(k)))
+            i, j = x, y
+        return out
 
     def pieces(self, text: str) -> list[str]:
         if not self.cuts:
@@ -156,23 +222,18 @@ class Aligner:
         return [first, *(p[1:] for p in rest)]
 
     def known(self, wanted: set[str]) -> dict[str, tuple | None]:
-        out, new = {}, []
-        for p in wanted:
-            if p in self.newer:
-                out[p] = self.newer[p]
-            elif p in self.older:
-                out[p] = self.newer[p] = self.older[p]
-            else:
-                new.append(p)
+        out = {p: self.newer[p] for p in wanted & self.newer.keys()}
+        again = {p: self.older[p] for p in (wanted - out.keys()) & self.older.keys()}
+        new = list(wanted - out.keys() - again.keys())
         if new:
-            for p, a, b in zip(new, self.encode_a([" " + p for p in new]), self.encode_b(new),
-                               strict=True):
-                out[p] = got = self._piece(p, a, b)
-                if len(p) <= CACHE_CHARS:
-                    self.newer[p] = got
-                    self.kept_bytes += 300 + len(p) + (len(got[0]) + len(got[1]) if got else 0)
-            if self.kept_bytes > CACHE_BYTES:
-                self.older, self.newer, self.kept_bytes = self.newer, {}, 0
+            again.update(self._new(new))
+        out.update(again)
+        for p, got in again.items():
+            if len(p) <= CACHE_CHARS:
+                self.newer[p] = got
+                self.kept_bytes += 350 + len(p) + (len(got[0]) + len(got[1]) if got else 0)
+        if self.kept_bytes > CACHE_BYTES:
+            self.older, self.newer, self.kept_bytes = self.newer, {}, 0
         return out
 
     def align(self, texts: list[str | None]) -> Iterator[tuple[str, np.ndarray, list, int]]:
