@@ -24,18 +24,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestflow.llm import bpe, decontaminate, lang_id, minhash, secrets
-from ingestflow.llm.common import Workspace, broadcast_if_small, read_table
+from ingestflow.llm.common import Workspace, broadcast_if_small, read_table, small_batches
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return lang_id.of_known_language(docs, lang_id.learn(lang_id.training_rows(docs)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return minhash.keep_one(docs, Workspace(spark, "pipeline-near"), percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     ws = Workspace(spark, "pipeline-benchmark")
     benchmark = read_table(spark, sf_dir, "benchmark")
     numbered = ws.write(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
@@ -47,6 +50,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     out = secrets.mask(docs.withColumn("__text", F.col("text")), secrets.learn(docs))
     changed = ~F.col("text").eqNullSafe(F.col("__text"))
     return out.withColumn("n_chars", F.when(changed, F.length("text").cast(docs.schema["n_chars"].dataType))
@@ -54,6 +58,7 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(bpe.round_trip(docs, path))
 

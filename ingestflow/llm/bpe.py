@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ingestflow.llm.common import worker_state
+
 # Fixed value: the published split pattern of byte-level BPE vocabularies.
 SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # The same split for texts of Latin characters alone, where the standard module's classes agree
@@ -41,8 +43,10 @@ SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+
 LATIN_PATTERN = r"""'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+"""
 NOT_LATIN = "[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]"
 ID_BITS = 20
-# Encoded pre-tokens kept per Python worker, in each of two generations.
+# Encoded pre-tokens kept per Python worker, in each of two generations: their number and bytes.
 CACHE_ENTRIES = 250_000
+CACHE_BYTES = 32 << 20
+ENTRY_BYTES = 200
 CACHE_TOKEN_BYTES = 256
 # Bytes of text per output batch.
 BATCH_BYTES = 2 << 20
@@ -104,6 +108,7 @@ class ByteBpe:
         # Two generations: what is used again moves to the newer one, the rest is let go.
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.kept_bytes = 0
 
     @functools.cached_property
     def split(self) -> regex.Pattern:
@@ -154,9 +159,10 @@ class ByteBpe:
             got = np.array(self.merge(data), np.int32).tobytes()
             if len(data) > CACHE_TOKEN_BYTES:
                 return got
-        if len(self.newer) >= CACHE_ENTRIES:
-            self.older, self.newer = self.newer, {}
+        if len(self.newer) >= CACHE_ENTRIES or self.kept_bytes >= CACHE_BYTES:
+            self.older, self.newer, self.kept_bytes = self.newer, {}, 0
         self.newer[piece] = got
+        self.kept_bytes += ENTRY_BYTES + len(piece) + len(got)
         return got
 
     def _plain(self, text: str) -> bytes:
@@ -181,9 +187,8 @@ class ByteBpe:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def load(path: str) -> ByteBpe:
-    return ByteBpe(path)
+    return worker_state("byte bpe", path, lambda: ByteBpe(path))
 
 
 def _id_field(df: DataFrame, id_col: str) -> T.StructField:

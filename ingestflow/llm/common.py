@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections import Counter
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -50,6 +54,41 @@ class Workspace:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+Held = TypeVar("Held")
+_held: list = []
+
+
+def worker_state(kind: str, key, make: Callable[[], Held]) -> Held:
+    """The model or cache that a Python worker holds between batches and tasks.
+
+    A worker holds one at a time: workers are used again by later stages, and
+    what an earlier operator left there would add to every later one's.
+    """
+    if not _held or _held[:2] != [kind, key]:
+        _held.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)  # give freed memory back, where the C library can
+        except (AttributeError, OSError):
+            pass
+        _held.extend((kind, key, make()))
+    return _held[2]
+
+
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let Arrow batches hold ``rows`` rows at most; a smaller limit of the session stays.
+
+    Rows of texts are wide, and a batch is held by the JVM and by Python, on
+    its way in and on its way out.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 BROADCAST_ROWS = 1_000_000
 
 

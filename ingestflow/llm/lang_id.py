@@ -26,7 +26,6 @@ and null ids included; other columns are ignored.
 
 from __future__ import annotations
 
-import functools
 from collections import Counter
 
 import numpy as np
@@ -34,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingestflow.llm.common import hash_sample
+from ingestflow.llm.common import hash_sample, worker_state
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 24_000
@@ -219,9 +218,8 @@ def _letters(text: str) -> str:
     return " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
 
 
-@functools.lru_cache(maxsize=2)
 def _model(samples: tuple) -> Model:
-    return Model(samples)
+    return worker_state("language model", samples, lambda: Model(samples))
 
 
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple:

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ingestflow.llm.common import Workspace, broadcast_if_small
+from ingestflow.llm.common import Workspace, broadcast_if_small, worker_state
 
 SHINGLE = 5
 BANDS, ROWS = 30, 4
@@ -56,7 +56,9 @@ COORDINATES = BANDS * ROWS
 SIGN_WORDS = 2  # one-bit signature, in 64-bit words
 # Of the 120 one-bit coordinates a pair at 0.80 shares 108 on average, deviation 3.3.
 LEAST_SHARED = 90
-WORD_CACHE = 500_000
+# Bytes of word hashes kept per Python worker.
+CACHE_BYTES = 32 << 20
+ENTRY_BYTES = 130
 BLOCK = 512  # shingles whose coordinates are computed at once
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -73,16 +75,17 @@ def scramble(x: np.ndarray) -> np.ndarray:
 
 
 class _Hashes(dict):
+    used = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_CACHE:
+        if self.used >= CACHE_BYTES:
             self.clear()
+            self.used = 0
         self[word] = h = xxhash.xxh64_intdigest(word)
+        self.used += ENTRY_BYTES + len(word)
         return h
 
 
-_hashes = _Hashes()
-
-
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     """The distinct shingles of a text, as sorted 64-bit hashes."""
     if not text:
@@ -91,7 +94,8 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, n)
+    hashes = worker_state("word hashes", None, _Hashes)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
     if n < size:
         # Fewer words than a shingle: their number takes part, so no longer text is equal to it.
         powers = np.array([pow(0xD1342543DE82EF95, k + 1, 1 << 64) for k in range(n)], np.uint64)

@@ -98,14 +98,13 @@ def _classes() -> np.ndarray:
 
 
 _CLASS = _classes()
-# Digits, upper and lower case letters counted in one sum, in fields of 21 bits.
-_FIELD = (1 << 21) - 1
-_COUNTS = np.select([_CLASS == k for k in (_DIGIT, _UPPER, _LOWER)],
-                    [np.int64(1), np.int64(1 << 21), np.int64(1 << 42)], np.int64(0))
-_FOLDED = np.arange(0x110000, dtype=np.uint32) + 32 * (_CLASS == _UPPER).astype(np.uint32)
-_WEIGHTS = np.where(_CLASS == _BLANK, 0,
-                    ((_FOLDED + 1) * np.uint32(0x9E3779B1)) ^ ((_FOLDED + 1) * np.uint32(0xC2B2AE35) >> 13)
-                    ).astype(np.uint32)
+
+
+def _weights(codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """A number for every character, the same for both cases of a letter and 0 for blanks."""
+    folded = codes + np.where(kind == _UPPER, np.uint32(33), np.uint32(1))
+    mixed = folded * np.uint32(0x9E3779B1) ^ (folded * np.uint32(0xC2B2AE35) >> np.uint32(13))
+    return np.where(kind == _BLANK, np.uint32(0), mixed)
 
 
 class Tokens:
@@ -131,8 +130,8 @@ class Tokens:
         size = self.end - self.start
         self.gap = np.append(1, self.start[1:] > self.end[:-1]).astype(np.int64)
         # Blanks weigh nothing in either table, so sums may run up to the next token.
-        counts = np.add.reduceat(_COUNTS[codes], self.start)
-        digits, upper, lower = (counts >> s & _FIELD for s in (0, 21, 42))
+        digits, upper, lower = (np.add.reduceat(kind == k, self.start, dtype=np.int64)
+                                for k in (_DIGIT, _UPPER, _LOWER))
         change = np.zeros(len(codes), np.int16)
         change[1:] = (kind[1:] != kind[:-1]) & word[1:] & ~starts[1:]
         changes = np.add.reduceat(change, self.start)
@@ -144,12 +143,12 @@ class Tokens:
             np.searchsorted((1, 2, 4, 8), changes, "right"),
             np.where(first >= _DIGIT, first - _DIGIT + 1, 0)), SHAPES)
         # A word is known by its letters' weights, its first character and its length.
-        h = np.add.reduceat(_WEIGHTS[codes], self.start, dtype=np.uint32) + _WEIGHTS[codes[self.start]] * np.uint32(31) \
+        weights = _weights(codes, kind)
+        h = np.add.reduceat(weights, self.start, dtype=np.uint32) + weights[self.start] * np.uint32(31) \
             + size.astype(np.uint32) * np.uint32(0x85EBCA6B)
         h ^= h >> np.uint32(15)
         self.words = ((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - WORD_BITS)).astype(np.int64)
-        total = int(counts.sum())
-        self.file = np.array([1.0, (total & _FIELD) / len(codes), (total >> 21 & _FIELD) / len(codes),
+        self.file = np.array([1.0, digits.sum() / len(codes), upper.sum() / len(codes),
                               min(np.log10(len(codes)), 8.0) / 8])
 
     def filled(self, a: int, b: int) -> bool:

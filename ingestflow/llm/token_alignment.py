@@ -38,7 +38,6 @@ document's distinct pairs are held in one task, like its text.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import itertools
 import json
@@ -56,7 +55,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestflow.llm.bpe import byte_symbols
-from ingestflow.llm.common import Workspace
+from ingestflow.llm.common import Workspace, worker_state
 
 RADIXES = 64
 # Links and documents of one run, and its place bits.
@@ -254,9 +253,8 @@ class Aligner:
                    sum(map(sums.__getitem__, pieces)))
 
 
-@functools.lru_cache(maxsize=1)
 def load(path_a: str, path_b: str) -> Aligner:
-    return Aligner(path_a, path_b)
+    return worker_state("aligner", (path_a, path_b), lambda: Aligner(path_a, path_b))
 
 
 def pack(*columns: np.ndarray) -> bytes:

@@ -25,7 +25,6 @@ ignored.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 from collections.abc import Iterator
@@ -36,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ingestflow.llm.common import worker_state
+
 BATCH_BYTES = 1 << 18
 CACHE_ENTRIES = 250_000
 CACHE_CHARS = 64
@@ -113,9 +114,8 @@ class Counter:
         return [sum(map(known.__getitem__, pieces)) for pieces in cut]
 
 
-@functools.lru_cache(maxsize=2)
 def load(path: str) -> Counter:
-    return Counter(path)
+    return worker_state("token counts", path, lambda: Counter(path))
 
 
 def _slices(texts: list[str | None], limit: int) -> Iterator[tuple[int, int]]:
