@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestflow.functions.command import stage_command
-from ingestflow.functions.glob import glob_regex, has_wildcard
+from ingestflow.functions.glob import glob_regex, has_wildcard, name_anchors, pattern_anchor
 from ingestflow.operators.skew import (DEFAULT_MAX_HOT_KEYS, DEFAULT_MIN_HOT_ROWS, hot_threshold,
                                        lookup_join)
 from ingestflow.schemas import AUTO_COMPRESS_VALUES, PARALLEL_DEFAULT, SOURCE_COMPRESSION_VALUES
@@ -69,9 +69,9 @@ def expand_wildcards(requests: DataFrame, files: DataFrame, dir_col: str = "inpu
     Each distinct (directory, pattern) is matched once, however many requests
     ask for it, and one left join attaches the matches to the requests (Spark
     splits the partition of a pair that many requests share).  Plain names are
-    an equi-join on (directory, name).  Patterns with ``*``/``?`` are an
-    equi-join on the directory with a regex residual, so only files of the same
-    directory are ever compared.  A directory holding more than
+    an equi-join on (directory, name).  Patterns with ``*``/``?`` are found by an
+    index of their literals (``wildcard_candidates``), and the regular
+    expression runs on the candidates alone.  A directory holding more than
     ``max(min_hot_rows, files / max_hot_keys)`` files is *hot* (fewer than
     ``max_hot_keys`` can be, so their list is broadcast): its files are spread
     over ``salt_buckets`` sub-groups and its patterns are repeated once per
@@ -96,14 +96,32 @@ def expand_wildcards(requests: DataFrame, files: DataFrame, dir_col: str = "inpu
         .otherwise(zero)).drop("__hot")
     wild = pairs.where(has_wildcard("__pat")).join(hot, "__dir", "left").withColumn(
         "__salt", F.explode(F.when(F.col("__hot"), F.sequence(zero, F.lit(salt_buckets - 1).cast("long")))
-                            .otherwise(F.array(zero)))) \
-        .select("__dir", "__pat", "__salt", glob_regex("__pat").alias("__rx"))
-    matched = wild.join(salted, ["__dir", "__salt"]).where(F.regexp(F.col("name"), F.col("__rx")))
+                            .otherwise(F.array(zero)))).drop("__hot")
+    matched = wildcard_candidates(wild, salted).where(F.regexp(F.col("name"), glob_regex("__pat")))
     matches = exact.select("__dir", "__pat", *fcols).unionByName(
         matched.select("__dir", "__pat", *fcols))
     return req.join(matches, ["__dir", "__pat"], "left").select(*requests.columns, *fcols)
 
 
+def wildcard_candidates(wild: DataFrame, files: DataFrame) -> DataFrame:
+    """(pattern, file) pairs of one ``__dir`` and ``__salt`` whose name has the pattern's anchor.
+
+    A pattern is known by one literal of its own: its start, its end, or a
+    piece of its inside (``pattern_anchor``).  A file is listed under its
+    name's parts of the shapes that patterns of its directory have, so an
+    equi-join finds the candidates: pairs grow with what patterns and names
+    share, not with patterns times files.  A pair is found once.
+    """
+    key = ["__dir", "__salt"]
+    keyed = wild.select(*key, "__pat", pattern_anchor("__pat").alias("__anchor"))
+    # At most three kinds times the longest name's length for each directory.
+    shapes = keyed.groupBy(*key).agg(F.collect_set(F.struct(
+        F.col("__anchor.kind").alias("kind"), F.col("__anchor.len").alias("len"))).alias("__shapes"))
+    listed = files.join(shapes, key).withColumn(
+        "__anchor", F.explode(name_anchors("name", F.col("__shapes")))).drop("__shapes")
+    return keyed.join(listed, [*key, "__anchor"]).drop("__anchor")
+
+
 def plan_staging(files: DataFrame, manifest: DataFrame, stage: str = "stage",
                  target: str = "target_name", md5: str = "md5") -> DataFrame:
     """Mark each file ``SKIPPED`` when its stage already holds the same name and MD5.
