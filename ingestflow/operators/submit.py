@@ -49,23 +49,24 @@ def classify_submission(outcomes: DataFrame, kind: str = "kind",
 
 
 def submit_rounds(outcome_rounds: Sequence[DataFrame], key: str = "request_id") -> DataFrame:
-    """Resubmit ``retry`` rows: round i+1 only sees the requests round i retried.
+    """Resubmit ``retry`` rows: a later round only sees the requests that are still retried.
 
-    Each round's outcomes are keyed by ``key`` (unique per round); the result
-    is every request's deciding outcome with its ``round`` (rows still
-    retrying after the last round are reported with that round).
+    Each round's outcomes are keyed by ``key`` (unique per round).  The result
+    is every first-round request's deciding outcome with its ``round``: the
+    earliest one that is not ``retry``, else its last ``retry``.  A retried
+    request that a round has no outcome for is not lost; a later round may
+    answer it.  One aggregate decides all rounds.  Rows without a key cannot be
+    told apart later: their first outcome stands.
     """
-    decided = []
-    carried = None
-    n = len(outcome_rounds)
-    for i, outcomes in enumerate(outcome_rounds, start=1):
-        batch = outcomes if carried is None else outcomes.join(carried, on=key, how="left_semi")
-        routed = classify_submission(batch)
-        last = i == n
-        decided.append((routed if last else routed.where(F.col("route") != "retry"))
-                       .withColumn("round", F.lit(i)))
-        carried = routed.where(F.col("route") == "retry").select(key)
-    out = decided[0]
-    for d in decided[1:]:
-        out = out.unionByName(d)
-    return out
+    routed = [classify_submission(o).withColumn("round", F.lit(i)) for i, o in enumerate(outcome_rounds, 1)]
+    together = routed[0]
+    for r in routed[1:]:
+        together = together.unionByName(r)
+    columns = together.columns
+    rest = F.struct(*[c for c in columns if c != key])
+    final = F.col("route") != "retry"
+    decided = together.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.min("round").alias("__first"),
+        F.coalesce(F.min_by(rest, F.when(final, F.col("round"))), F.max_by(rest, "round")).alias("__out")) \
+        .where(F.col("__first") == 1).select(key, "__out.*").select(*columns)
+    return decided.unionByName(routed[0].where(F.col(key).isNull()))

@@ -34,3 +34,17 @@ def test_load_requests_default_file(spark):
                                "attributes map<string,string>")
     (r,) = load_requests(df, "${p}").collect()
     assert (r.pipe, r.file) == ("db.s.p", "x.csv")
+
+
+def test_a_retried_request_without_an_answer_stays(spark):
+    """No request is lost: unanswered ones stay on retry with the round of their last outcome."""
+    schema = "request_id string, kind string, message string"
+    r1 = spark.createDataFrame([("a", "backoff", "x"), ("b", None, None), ("c", "backoff", "y"),
+                                ("d", "backoff", "z"), ("e", "backoff", "w")], schema)
+    r2 = spark.createDataFrame([("a", None, None), ("d", "response", "HTTP Status: 500")], schema)
+    r3 = spark.createDataFrame([("e", "other", "boom"), ("a", "other", "late"), ("b", "other", "late")], schema)
+    out = submit_rounds([r1, r2, r3]).collect()
+    assert {r.request_id: (r.route, r["round"], r.response_code) for r in out} == {
+        "a": ("success", 2, "200"), "b": ("success", 1, "200"), "c": ("retry", 1, None),
+        "d": ("retry", 2, "500"), "e": ("failure", 3, None)}
+    assert len(out) == 5
