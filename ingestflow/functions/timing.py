@@ -53,9 +53,9 @@ def int_div(num: Column, d: int) -> Column:
 
 
 def minutes_between(now_ms: int | Column, ms: Column) -> Column:
-    """Whole minutes from ``ms`` to ``now_ms``, truncated toward zero."""
+    """Whole minutes from ``ms`` to ``now_ms``, truncated toward zero; null beyond a long."""
     now = F.lit(now_ms).cast("long") if isinstance(now_ms, int) else now_ms
-    return int_div(now - ms, MS_PER_MINUTE)
+    return int_div(F.try_subtract(now, ms.cast("long")), MS_PER_MINUTE)
 
 
 def stamp_is_valid(queued_ms: Column | str) -> Column:

@@ -20,9 +20,9 @@ part); when several entries exist for a file the latest (highest ``seq``, a
 null one lowest) wins.  The look-back window is ``[now - max(1, oldest lineage age in
 minutes), now]`` and only pipes that are pending are scanned.
 
-Plan shape: one small aggregate over the pending rows yields the look-back and
-the row count (the window bounds become literals that reach the Parquet scan as
-pushed filters); history is restricted to pending pipes by a semi-join; one
+Plan shape: one small aggregate over the pending rows, a scalar subquery of the
+plan, yields the look-back (the window bounds reach the Parquet scan as pushed
+filters); history is restricted to pending pipes by a semi-join; one
 partially-aggregated pass over (pending keys ∪ windowed history) builds a
 per-key summary; one balanced lookup join attaches it to every pending row
 (see ``operators.skew``).
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestflow.functions.timing import epoch_ms, queue_age, stamp_is_valid, stamp_or_now
-from ingestflow.operators.history import history_multi_pipe, keyed, pending_profile
+from ingestflow.operators.history import history_multi_pipe, keyed
 from ingestflow.operators.skew import lookup_join
 from ingestflow.schemas import ENTRY_FIELDS
 
@@ -106,15 +106,13 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
     last-wins, so they should differ within a (pipe, file).
     """
     if pending.isStreaming:
-        raise ValueError("await_results plans from a small action over the pending rows; "
+        raise ValueError("await_results reads the pending rows several times; "
                          "for a stream use streaming.await_stream.start_await_stream")
     now_ms = epoch_ms(now)
-    prof = pending_profile(pending, now)
-    window = history_multi_pipe(history, pending, now, ts_col, prune_pipes, profile=prof)
+    window = history_multi_pipe(history, pending, now, ts_col, prune_pipes)
     summary = per_key_summary(pending, window, now_ms)
     spread = ["arrival_seq"] if "arrival_seq" in pending.columns else None
-    j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread,
-                    total=prof["rows"], **skew_kw)
+    j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread, **skew_kw)
 
     pipe, file, entry = F.col("pipe"), F.col("file"), F.col("entry")
     status = entry.getField("status")

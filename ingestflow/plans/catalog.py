@@ -91,9 +91,9 @@ def history_for_pending(spark, sf_dir):
 
 
 def history_for_pending_skewed(spark, sf_dir):
-    """Semi-join with a third of all history on one pending key, hot-key path forced on."""
+    """Semi-join with a third of all history on one pending key, every key split over 16 tasks."""
     return hist.history_for_pending(fx.history_skewed(spark, sf_dir), fx.pending(spark, sf_dir),
-                                    min_hot_rows=0, max_hot_keys=100).select(
+                                    salts=16).select(
         "seq", "pipe", "path", "status")
 
 
