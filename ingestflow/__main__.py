@@ -22,7 +22,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from ingestflow.operators.history import pipe_history, write_history_document
-from ingestflow.operators.load import PipeSpec, as_history, load_files, next_run
+from ingestflow.operators.load import PipeSpec, as_history, claim_run, load_once
 from ingestflow.operators.reconcile import await_results
 from ingestflow.plans.flow import manifest_additions, stage_step
 from ingestflow.schemas import HISTORY, MANIFEST, PENDING, STAGE_REQUEST_RAW
@@ -103,11 +103,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         spec = PipeSpec(name=args.pipe, format=args.format, schema_ddl=args.schema,
                         on_error=args.on_error, options=dict(o.split("=", 1) for o in args.option))
         prior = _history_if_exists(spark, args.history)
-        run = next_run(prior)
-        rows, stats = load_files(spark, spec, args.stage_dir, history=prior)
-        # Two outputs, two passes over the chosen files.  The rows go to the run's own folder
-        # and the history, written last, ends the run: a run that was cut short has no entries,
-        # gets the same number again, and replaces its rows.
+        # Runs at the same time get numbers of their own.  The rows go to the run's own folder and
+        # the history, written last, ends the run: one that was cut short has no entries, so its
+        # rows do not count (``load.rows_of_runs``) and its files are loaded again.
+        run = claim_run(spark, f"{args.rows.rstrip('/')}/_runs", prior)
+        rows, stats = load_once(spark, spec, args.stage_dir, history=prior)
         rows.write.mode("overwrite").parquet(f"{args.rows.rstrip('/')}/run={run}")
         as_history(stats, _now(args.now), run).write.mode("append").parquet(args.history)
     elif args.step == "report":

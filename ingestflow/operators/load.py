@@ -27,18 +27,24 @@ from __future__ import annotations
 
 import dataclasses
 import re
+import uuid
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestflow.functions.timing import ts_literal
-from ingestflow.sources.files import file_sizes
+from ingestflow.sources.files import CHECKED_SUFFIXES, file_damage, file_sizes, visible_copies
 
 CORRUPT = "_corrupt_record"
 BLANK = "_blank_line"
 MISSING_FILE_TEXT = "File not found"
 UNREADABLE_FILE_TEXT = "File cannot be read"
+DAMAGED_FILE_TEXT = "File is damaged: "
+KIND, BAD_TEXT = "_record_kind", "_bad_text"
+READ_ERROR = re.compile(r"FAILED_READ_FILE[^\]]*\] Encountered error while reading file (\S+?)\.\s")
 # Prefix of the first-error text.
 FIRST_ERROR_PREFIX = "Invalid record: "
 TEXT_FORMATS = ("csv", "json")
@@ -137,6 +143,11 @@ def file_stats(parsed: DataFrame, spec: PipeSpec, path_col: str = "path",
         F.count_if(bad).alias("errors_seen"),
         F.min_by(F.when(bad, F.col(raw_col)), F.when(bad, F.col(order_col)))
         .alias("__first_bad"))
+    return _outcome(agg.withColumn("path", F.col(path_col)), spec)
+
+
+def _outcome(agg: DataFrame, spec: PipeSpec) -> DataFrame:
+    """Status and counts of the files whose records and errors were counted."""
     errors = F.col("errors_seen")
     good = F.col("rows_parsed") - errors
     all_or_nothing = spec.on_error != "CONTINUE"
@@ -147,7 +158,7 @@ def file_stats(parsed: DataFrame, spec: PipeSpec, path_col: str = "path",
         F.lit(0).cast("long") if all_or_nothing else good)
     return agg.select(
         F.lit(spec.name).alias("pipe"),
-        F.col(path_col).alias("path"),
+        "path",
         status.alias("status"),
         F.col("rows_parsed").cast("long").alias("rows_parsed"),
         loaded.cast("long").alias("rows_loaded"),
@@ -194,6 +205,27 @@ def as_history(stats: DataFrame, loaded_at, run: int = 1) -> DataFrame:
     return stats.withColumns({"event_ts": ts_literal(loaded_at), "seq": F.lit(run).cast("long")})
 
 
+def claim_run(spark: SparkSession, folder: str, history: DataFrame | None = None) -> int:
+    """The number of a new run that no other run has, however many begin at once.
+
+    A run creates the file of its number in ``folder`` (shared by all runs);
+    only one can, and the others try the next number.
+    """
+    jvm = spark._jvm
+    number = next_run(history)
+    while True:
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/run-{number}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path.getParent())
+        try:
+            if fs.createNewFile(path):
+                return number
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in str(e.java_exception.getClass().getName()):
+                raise
+        number += 1
+
+
 def normalise_path(c, encoded: bool = False):
     """One spelling of a file's path, whichever way it was written.
 
@@ -207,6 +239,35 @@ def normalise_path(c, encoded: bool = False):
     return F.regexp_replace(local, r"(?<![:/])/{2,}|(?<=^)/{2,}", "/")
 
 
+def _plain(path: str) -> str:
+    return re.sub(r"(?<![:/])/{2,}|^/{2,}", "/", re.sub(r"^file:(//(localhost)?(?=/))?", "", path))
+
+
+def rows_of_runs(spark: SparkSession, rows_dir: str, history: DataFrame) -> DataFrame:
+    """The rows below ``rows_dir`` (one folder ``run=<n>`` a run) of the runs that ``history`` has.
+
+    A run that was cut short has rows but no entries; its files are loaded
+    again by a later run.
+    """
+    ended = history.select(F.col("seq").cast("int").alias("run")).distinct()
+    return spark.read.parquet(rows_dir).join(ended, "run", "left_semi")
+
+
+def absolute_path(spark: SparkSession, c, location: str):
+    """The path of a file that is named by a relative path.
+
+    It is taken from the working directory if that lies below ``location``,
+    else from ``location``, as a stage's own names are.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(location)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = _plain(fs.makeQualified(root).toString()).rstrip("/")
+    here = F.concat(F.lit(_plain(fs.getWorkingDirectory().toString()).rstrip("/") + "/"), c)
+    return F.when(c.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|/)"), c) \
+        .when(F.startswith(here, F.lit(base + "/")), here).otherwise(F.concat(F.lit(base + "/"), c))
+
+
 def list_staged(spark: SparkSession, location: str, path_glob: str | None = None) -> DataFrame:
     """``path, raw, length`` of the files under ``location`` that are not empty.
 
@@ -223,20 +284,21 @@ def _literal_path(path: str) -> str:
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
-def read_staged(spark: SparkSession, spec: PipeSpec, paths: list[str]) -> DataFrame:
+def read_staged(spark: SparkSession, spec: PipeSpec, paths: list[str], strict: bool = False) -> DataFrame:
     """Read the given files: (path, value, pos) lines of text formats, else (path, fields).
 
     ``pos`` orders lines within a file: the split's start offset, then the
     row's position inside the split (which is read sequentially).
     Compressed text files (gzip, bzip2, …) are decoded by the reader.
+    ``strict`` makes a file that breaks off an error; otherwise what can be
+    read of it is read.
     """
     path = normalise_path(F.col("_metadata.file_path"), encoded=True).alias("path")
     pos = F.struct(F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("row")).alias("pos")
     fmt = spec.format.lower()
     literal = [_literal_path(p) for p in paths]
-    # A file that cannot be read gives no rows, and fails on its own row (see ``file_outcomes``).
-    reader = spark.read.option("ignoreCorruptFiles", "true").option("ignoreMissingFiles", "true")
+    reader = spark.read.option("ignoreCorruptFiles", str(not strict).lower()).option("ignoreMissingFiles", "true")
     if fmt in TEXT_FORMATS and not _uses_reader(spec):
         if not literal:
             return spark.createDataFrame([], "path string, value string, pos struct<block: long, row: long>")
@@ -284,68 +346,237 @@ def file_outcomes(files: DataFrame, stats: DataFrame, spec: PipeSpec) -> DataFra
          .otherwise(UNREADABLE_FILE_TEXT).alias("first_error")))
 
 
-def load_files(spark: SparkSession, spec: PipeSpec, location: str, files: DataFrame | None = None,
-               path_glob: str | None = None,
-               history: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Load staged files: returns (target rows, per-file statistics).
+@dataclasses.dataclass
+class _Chosen:
+    """The files of a load: ``raw`` paths that Spark reads, and every wanted ``path`` with its size."""
 
-    ``files`` (column ``path``) lists the files to load, all under
-    ``location`` without it.  ``history`` makes the load skip files that this
-    pipe already loaded.  Lists are joined with the listing, never lines: only
-    the chosen files are opened.  Their paths come to the driver, which holds
-    the same list as the file index of the scan.
+    raw: list[str]
+    files: DataFrame
+    copies: DataFrame | None = None
+
+    def read(self, spark: SparkSession, spec: PipeSpec, raw: list[str] | None = None,
+             strict: bool = False) -> DataFrame:
+        """As :func:`read_staged`; lines of a copy carry the path of the file it stands for."""
+        records = read_staged(spark, spec, self.raw if raw is None else raw, strict)
+        if self.copies is None:
+            return records
+        names = self.copies.select(normalise_path(F.col("raw")).alias("path"), F.col("path").alias("__of"))
+        return records.join(names, "path", "left").withColumn("path", F.coalesce("__of", "path")).drop("__of")
+
+
+def _choose(spark: SparkSession, spec: PipeSpec, location: str, files: DataFrame | None,
+            path_glob: str | None, history: DataFrame | None) -> _Chosen:
+    """Decide by lists alone which files a load reads.
+
+    The paths come to the driver, which holds the same list as the file index
+    of the scan.  A wanted file that Spark's listing lacks is looked at by
+    itself: it is empty, not there, or one that the readers pass over for its
+    name (``_x``, ``.x``) and read through a copy.
     """
     staged = list_staged(spark, location, path_glob)
     if files is None:
         wanted = staged.select("path")
     else:
-        wanted = files.select(normalise_path(F.col("path")).alias("path")).distinct()
+        wanted = files.select(normalise_path(absolute_path(spark, F.col("path"), location)).alias("path")).distinct()
     if history is not None:
         wanted = wanted.join(already_loaded(history, spec), "path", "left_anti")
-    paths = [r.raw for r in staged.join(wanted, "path", "left_semi").select("raw").toLocalIterator()]
-    records = read_staged(spark, spec, paths)
+    raw = [r.raw for r in staged.join(wanted, "path", "left_semi").select("raw").toLocalIterator()]
+    listed = wanted.join(staged.select("path", F.col("length").alias("size")), "path")
+    if files is None:
+        return _Chosen(raw, listed)
+    from ingestflow.session import materialize, shared_dir
+    others = materialize(file_sizes(wanted.join(staged.select("path"), "path", "left_anti")), "load-others")
+    there = others.where(F.col("size") > 0)
+    passed_over = F.regexp_extract("path", "[^/]*$", 0).rlike(r"^[_.]|\._COPYING_$")
+    raw += [r.path for r in there.where(~passed_over).select("path").toLocalIterator()]
+    hidden, copies = there.where(passed_over), None
+    if not hidden.isEmpty():
+        folder = f"{shared_dir(spark).rstrip('/')}/ingestflow/copies-{uuid.uuid4().hex}"
+        copies = materialize(visible_copies(hidden, folder), "load-copies")
+        raw += [r.raw for r in copies.select("raw").toLocalIterator()]
+    return _Chosen(raw, listed.unionByName(others), copies)
+
+
+def _parsed(chosen: _Chosen, spark: SparkSession, spec: PipeSpec, raw: list[str] | None = None,
+            strict: bool = False) -> tuple[DataFrame, str]:
+    """Parsed records of a text format, and the column with the text of bad ones."""
+    records = chosen.read(spark, spec, raw, strict)
+    if _uses_reader(spec):
+        # The readers refuse to be asked for the corrupt-record column alone.
+        return _parse_barrier(records), CORRUPT
+    return parse_lines(records, spec, keep_blank=True), "value"
+
+
+def _columnar_stats(records: DataFrame, spec: PipeSpec) -> DataFrame:
+    n = F.count(F.lit(1)).alias("rows_parsed")
+    return records.groupBy("path").agg(n).select(
+        F.lit(spec.name).alias("pipe"), "path", F.lit("LOADED").alias("status"), "rows_parsed",
+        F.col("rows_parsed").alias("rows_loaded"), F.lit(0).cast("long").alias("errors_seen"),
+        F.lit(None).cast("string").alias("first_error"))
+
+
+def _with_damage(stats: DataFrame, damage: DataFrame, spec: PipeSpec) -> DataFrame:
+    """Statistics in which a file that breaks off has one more error and is not ``LOADED``.
+
+    ``CONTINUE`` keeps what could be read of it; the other policies load nothing.
+    """
+    d = damage.select("path", F.col("damage").alias("__why"), F.col("promised").alias("__promised"))
+    short = F.col("__promised") > F.col("rows_parsed")
+    broken = F.coalesce(F.col("__why").isNotNull() | short, F.lit(False))
+    kept = F.lit(0).cast("long") if spec.on_error != "CONTINUE" else F.col("rows_loaded")
+    why = F.coalesce("first_error", F.concat(F.lit(DAMAGED_FILE_TEXT), F.coalesce(
+        F.col("__why"), F.concat(F.col("rows_parsed").cast("string"), F.lit(" of "),
+                                 F.col("__promised").cast("string"), F.lit(" rows")))))
+    return stats.join(d, "path", "left").select(
+        "pipe", "path",
+        F.when(broken, F.when(kept > 0, "PARTIALLY_LOADED").otherwise("LOAD_FAILED"))
+         .otherwise(F.col("status")).alias("status"), "rows_parsed",
+        F.when(broken, kept).otherwise(F.col("rows_loaded")).alias("rows_loaded"),
+        F.when(broken, F.col("errors_seen") + 1).otherwise(F.col("errors_seen")).alias("errors_seen"),
+        F.when(broken, why).otherwise(F.col("first_error")).alias("first_error"))
+
+
+def _damage_of(spark: SparkSession, spec: PipeSpec, chosen: _Chosen) -> DataFrame | None:
+    """What :func:`file_damage` says of the chosen files that can be checked, if any can."""
+    fmt = spec.format.lower()
+    if fmt not in ("parquet", "orc") and not any(p.endswith(CHECKED_SUFFIXES) for p in chosen.raw):
+        return None
+    check = F.lit(True) if fmt in ("parquet", "orc") else \
+        F.lower("path").rlike("(" + "|".join(re.escape(s) for s in CHECKED_SUFFIXES) + ")$")
+    return file_damage(chosen.files.where((F.col("size") > 0) & check), fmt)
+
+
+def load_files(spark: SparkSession, spec: PipeSpec, location: str, files: DataFrame | None = None,
+               path_glob: str | None = None,
+               history: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Load staged files: returns (target rows, per-file statistics), both still to be computed.
+
+    ``files`` (column ``path``) lists the files to load; relative paths are
+    those of the stage at ``location``.  ``history`` makes the load skip files
+    that this pipe already loaded.  Lists are joined with the listing, never
+    lines: only the chosen files are opened.  Rows and statistics read the
+    files each for itself; :func:`load_once` reads them once.  Streams and
+    footers that can be checked are, so a file that breaks off is reported as
+    damaged and not as ``LOADED``.
+    """
+    chosen = _choose(spark, spec, location, files, path_glob, history)
     fmt = spec.format.lower()
     if fmt in TEXT_FORMATS:
+        parsed, raw_col = _parsed(chosen, spark, spec)
+        stats = file_stats(parsed, spec, raw_col=raw_col)
         if _uses_reader(spec):
-            # The readers refuse to be asked for the corrupt-record column alone.
-            parsed = _parse_barrier(records)
-            stats = file_stats(parsed, spec, raw_col=CORRUPT)
             # A file of a header alone gives no record; its lines show that it can be read.
-            lines = read_staged(spark, PipeSpec(spec.name), paths).select("path").distinct()
+            lines = chosen.read(spark, PipeSpec(spec.name)).select("path").distinct()
             stats = _seen_without_records(lines, stats, spec)
-        else:
-            parsed = parse_lines(records, spec, keep_blank=True)
-            stats = file_stats(parsed, spec)
-        rows = loaded_rows(parsed, spec, stats=stats)
     else:
-        rows = records
-        stats = records.groupBy("path").agg(F.count(F.lit(1)).alias("rows_parsed")).select(
-            F.lit(spec.name).alias("pipe"), "path", F.lit("LOADED").alias("status"),
-            F.col("rows_parsed").cast("long").alias("rows_parsed"),
-            F.col("rows_parsed").cast("long").alias("rows_loaded"),
-            F.lit(0).cast("long").alias("errors_seen"),
-            F.lit(None).cast("string").alias("first_error"))
-    # Files that the listing lacks are empty or not there; those few are looked at one by one.
-    listed = wanted.join(staged.select("path", F.col("length").alias("size")), "path")
-    others = file_sizes(wanted.join(staged.select("path"), "path", "left_anti"))
-    return rows, file_outcomes(listed.unionByName(others), stats, spec)
+        parsed = chosen.read(spark, spec)
+        stats = _columnar_stats(parsed, spec)
+    damage = _damage_of(spark, spec, chosen)
+    if damage is not None:
+        stats = _with_damage(stats, damage, spec)
+    rows = loaded_rows(parsed, spec, stats=stats) if fmt in TEXT_FORMATS else parsed
+    if fmt not in TEXT_FORMATS and spec.on_error != "CONTINUE":
+        rows = rows.join(stats.where(F.col("errors_seen") > 0).select("path"), "path", "left_anti")
+    return rows, file_outcomes(chosen.files, stats, spec)
 
 
 def _seen_without_records(lines: DataFrame, stats: DataFrame, spec: PipeSpec) -> DataFrame:
     return file_outcomes(lines.withColumn("size", F.lit(0).cast("long")), stats, spec)
 
 
+def load_once(spark: SparkSession, spec: PipeSpec, location: str, files: DataFrame | None = None,
+              path_glob: str | None = None,
+              history: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """As :func:`load_files`, computed now: every file is opened and parsed once.
+
+    The records are written as one table in the shared folder, apart by
+    whether they are good; rows and statistics are read from it, so neither
+    opens a source file again.  Files are read strictly; if one cannot be read
+    to its end, the damaged ones are found, the others are read strictly again,
+    and what can be read of the damaged ones is read.
+    """
+    from ingestflow.session import materialize
+
+    chosen = _choose(spark, spec, location, files, path_glob, history)
+    chosen.files = materialize(chosen.files, "load-chosen")
+    text = spec.format.lower() in TEXT_FORMATS
+
+    def table(raw: list[str], strict: bool, name: str) -> DataFrame:
+        if not text:
+            return materialize(chosen.read(spark, spec, raw, strict).withColumn(KIND, F.lit("good")), name)
+        parsed, raw_col = _parsed(chosen, spark, spec, raw, strict)
+        bad = F.col(CORRUPT).isNotNull()
+        blank = F.col(BLANK) if BLANK in parsed.columns else F.lit(False)
+        parts = _parse_barrier(parsed).select(
+            "path", *spec.field_names, F.when(bad, F.col(raw_col)).alias(BAD_TEXT), F.when(bad, F.col("pos")).alias("pos"),
+            F.when(bad, "bad").when(blank, "blank").otherwise("good").alias(KIND))
+        return materialize(parts, name, partition_by=[KIND])
+
+    broken: dict[str, str] = {}  # the path of a damaged file, and why
+    while True:
+        good = [p for p in chosen.raw if _plain(p) not in broken]
+        try:
+            held = table(good, True, "load")
+            break
+        except Exception as e:  # noqa: BLE001 - only errors that name a file are taken up
+            named = {_plain(unquote(p)) for p in READ_ERROR.findall(str(e))}
+            found = {} if broken else {_plain(r.raw): r.damage for r in _broken_streams(spark, spec, chosen)}
+            found |= {p: UNREADABLE_FILE_TEXT for p in named - found.keys()}
+            new = {p: w for p, w in found.items() if p in {_plain(g) for g in good}}
+            if not new:
+                raise
+            broken |= new
+    damaged = [p for p in chosen.raw if _plain(p) in broken]
+    if damaged:
+        held = held.unionByName(table(damaged, False, "load-damaged"))
+    records = F.count_if(F.col(KIND) != "blank").alias("rows_parsed")
+    if text:
+        counted = held.groupBy("path").agg(
+            records, F.count_if(F.col(KIND) == "bad").alias("errors_seen"),
+            F.min_by(BAD_TEXT, "pos").alias("__first_bad"))
+        stats = _outcome(counted, spec)
+    else:
+        stats = _columnar_stats(held, spec)
+    failed = spark.createDataFrame(list(broken.items()), "raw string, damage string") if broken else None
+    if failed is not None:
+        of = chosen.copies.select(normalise_path(F.col("raw")).alias("raw"), "path") if chosen.copies is not None \
+            else spark.createDataFrame([], "raw string, path string")
+        failed = failed.join(of, "raw", "left").select(F.coalesce("path", "raw").alias("path"), "damage",
+                                                       F.lit(None).cast("long").alias("promised"))
+        stats = _with_damage(stats, failed, spec)
+    rows = held.where(F.col(KIND) == "good").select("path", *spec.field_names)
+    if spec.on_error != "CONTINUE":
+        rows = rows.join(stats.where(F.col("errors_seen") > 0).select("path"), "path", "left_anti")
+    # What was read strictly and gave no record can be read: it holds none.
+    sizes = chosen.files
+    if failed is not None:
+        sizes = sizes.join(failed.select("path", F.lit(True).alias("__failed")), "path", "left")
+        read = F.col("__failed").isNull() & F.col("size").isNotNull()
+    else:
+        read = F.col("size").isNotNull()
+    return rows, file_outcomes(sizes.select("path", F.when(read, 0).otherwise(F.col("size")).alias("size")), stats, spec)
+
+
+def _broken_streams(spark: SparkSession, spec: PipeSpec, chosen: _Chosen) -> list[Row]:
+    """(raw, damage) of the compressed files that break off: the few a load fails for."""
+    if not any(p.endswith(CHECKED_SUFFIXES) for p in chosen.raw) or spec.format.lower() not in TEXT_FORMATS:
+        return []
+    paths = spark.createDataFrame([(p,) for p in chosen.raw if p.endswith(CHECKED_SUFFIXES)], "path string")
+    return file_damage(paths, spec.format.lower()).where("damage is not null") \
+        .select(F.col("path").alias("raw"), "damage").collect()
+
+
 def load_through_pipes(spark: SparkSession, specs: list[PipeSpec], requests: DataFrame, location: str,
                        history: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Load (pipe, path) requests, each through its own pipe: (rows by pipe, statistics of all).
 
-    ``specs`` are the pipe definitions; one scan for each pipe reads its files
-    alone.  Requests for a pipe that is not defined load nothing and have no
+    ``specs`` are the pipe definitions; one pass for each pipe reads its files
+    alone, each once.  Requests for a pipe that is not defined load nothing and have no
     statistics (their submission failed).
     """
     rows, stats = {}, None
     for spec in specs:
         wanted = requests.where(F.col("pipe") == F.lit(spec.name)).select("path")
-        rows[spec.name], part = load_files(spark, spec, location, wanted, history=history)
+        rows[spec.name], part = load_once(spark, spec, location, wanted, history=history)
         stats = part if stats is None else stats.unionByName(part)
     return rows, stats

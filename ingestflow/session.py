@@ -79,7 +79,7 @@ def shared_dir(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", partition_by: list[str] | None = None) -> DataFrame:
     """Compute ``df`` once for several consumers: a Parquet table in the shared folder.
 
     One computation, durable across lost executors; plans built on the result
@@ -88,7 +88,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/ingestflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -134,3 +135,101 @@ def file_sizes(paths: DataFrame, partitions: int | None = None) -> DataFrame:
 
     n = partitions or paths.sparkSession.sparkContext.defaultParallelism
     return paths.select("path").repartition(n, "path").mapInPandas(run, "path string, size bigint")
+
+
+# Suffixes of compressed streams whose end can be checked.
+CHECKED_SUFFIXES = (".gz", ".bz2", ".deflate", ".zst")
+
+
+def _stream_error(path: str) -> str | None:
+    """Why a compressed stream cannot be read to its end; null where it can, or for other files."""
+    import bz2
+    import zlib
+    if path.endswith(".zst"):
+        try:
+            import zstandard
+        except ImportError:
+            return None
+        make, failures = (lambda: zstandard.ZstdDecompressor().decompressobj()), (zstandard.ZstdError,)
+    elif path.endswith(".bz2"):
+        make, failures = bz2.BZ2Decompressor, (OSError, ValueError)
+    else:
+        make, failures = (lambda: zlib.decompressobj(31 if path.endswith(".gz") else 15)), (zlib.error,)
+    filesystem, base = _filesystem(path)
+    try:
+        with filesystem.open_input_stream(base, compression=None) as f:
+            stream, left, fresh = make(), b"", True
+            while chunk := left + f.read(CHUNK_BYTES >> 3):
+                stream.decompress(chunk)
+                fresh, left = False, b""
+                if stream.eof:  # another member may follow
+                    left, stream, fresh = stream.unused_data, make(), True
+        return None if fresh else "the stream ends too early"
+    except failures as e:
+        return str(e) or type(e).__name__
+    except OSError as e:
+        return str(e)
+
+
+def _rows_promised(path: str, fmt: str) -> int | None:
+    """The rows that a columnar file's footer promises; null where there is none to read."""
+    filesystem, base = _filesystem(path)
+    try:
+        with filesystem.open_input_file(base) as f:
+            if fmt == "parquet":
+                import pyarrow.parquet as pq
+                return pq.read_metadata(f).num_rows
+            import pyarrow.orc as orc
+            return orc.ORCFile(f).nrows
+    except Exception:  # whatever the library says of a damaged footer: the file is judged by what was read
+        return None
+
+
+def file_damage(paths: DataFrame, fmt: str, partitions: int | None = None) -> DataFrame:
+    """``path, damage, promised``: why a compressed stream breaks off, and a footer's rows.
+
+    Streams are read in chunks, spread over tasks by hash of their path.
+    """
+    columnar = fmt in ("parquet", "orc")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({
+                "path": pdf["path"],
+                "damage": pd.Series([_stream_error(p) if p.endswith(CHECKED_SUFFIXES) and not columnar else None
+                                     for p in pdf["path"]], dtype=object),
+                "promised": pd.array([_rows_promised(p, fmt) if columnar else None for p in pdf["path"]],
+                                     dtype="Int64")})
+
+    n = partitions or paths.sparkSession.sparkContext.defaultParallelism
+    return paths.select("path").repartition(n, "path").mapInPandas(
+        run, "path string, damage string, promised bigint")
+
+
+def visible_copies(paths: DataFrame, folder: str, partitions: int | None = None) -> DataFrame:
+    """``path, raw``: copies below ``folder`` of files that Spark's readers pass over for their names.
+
+    A copy's name is the path's digest and the suffixes that name its format; it
+    is written under a temporary name first, so a retry leaves nothing in part.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out_fs, out_base = _filesystem(folder)
+        for pdf in batches:
+            raws = []
+            for p in pdf["path"]:
+                filesystem, base = _filesystem(p)
+                name = base.rsplit("/", 1)[-1].lstrip("._")
+                suffix = name[name.index("."):] if "." in name else ""
+                target = f"{out_base.rstrip('/')}/{hashlib.sha1(p.encode()).hexdigest()}{suffix}"
+                out_fs.create_dir(out_base, recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}._COPYING_"
+                with filesystem.open_input_stream(base, compression=None) as f, \
+                        out_fs.open_output_stream(part, compression=None) as g:
+                    while chunk := f.read(CHUNK_BYTES):
+                        g.write(chunk)
+                out_fs.move(part, target)
+                raws.append(f"{folder.rstrip('/')}/{target.rsplit('/', 1)[-1]}")
+            yield pd.DataFrame({"path": pdf["path"], "raw": raws})
+
+    n = partitions or paths.sparkSession.sparkContext.defaultParallelism
+    return paths.select("path").repartition(n, "path").mapInPandas(run, "path string, raw string")

@@ -7,8 +7,8 @@ import os
 import pytest
 
 from ingestflow.operators.history import latest_per_file
-from ingestflow.operators.load import (PipeSpec, as_history, load_files, load_through_pipes, next_run,
-                                       parse_lines)
+from ingestflow.operators.load import (PipeSpec, as_history, claim_run, load_files, load_once,
+                                       load_through_pipes, next_run, parse_lines, rows_of_runs)
 
 SPEC = PipeSpec(name="db.s.pipe", format="csv", schema_ddl="a INT, b STRING")
 
@@ -188,3 +188,109 @@ def test_two_pipes_in_one_load(spark, tmpdir_path):
         spark, [PipeSpec("c", schema_ddl="a INT, b STRING"), PipeSpec("j", "json", "a INT")], req, d)
     assert {p: [r.a for r in x.collect()] for p, x in rows.items()} == {"c": [1], "j": [5]}
     assert sorted((r.pipe, r.status) for r in stats.collect()) == [("c", "LOADED"), ("j", "LOADED")]
+
+
+def _outcomes(stats):
+    return {os.path.basename(r.path): (r.status, r.rows_parsed, r.rows_loaded, r.errors_seen, r.first_error)
+            for r in stats.collect()}
+
+
+def test_one_pass_equals_two(spark, tmpdir_path):
+    d = _stage(tmpdir_path)
+    with open(os.path.join(d, "blank.csv"), "w") as f:
+        f.write("\n \n")
+    files = _paths(spark, d).union(spark.createDataFrame([(os.path.join(d, "gone.csv"),)], "path string"))
+    for policy in ("CONTINUE", "SKIP_FILE"):
+        spec = PipeSpec(name="p", schema_ddl="a INT, b STRING", on_error=policy)
+        (rows, stats), (rows1, stats1) = (f(spark, spec, d, files) for f in (load_files, load_once))
+        assert sorted(stats1.collect(), key=str) == sorted(stats.collect(), key=str)
+        assert sorted(rows1.collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def test_rows_and_statistics_come_from_one_reading(spark, tmpdir_path):
+    """Neither needs the source files once the load has run."""
+    d = _stage(tmpdir_path)
+    rows, stats = load_once(spark, SPEC, d, _paths(spark, d))
+    for n in os.listdir(d):
+        os.rename(os.path.join(d, n), os.path.join(tmpdir_path, f"moved {n}"))
+    assert rows.count() == 3 + 2 + 1 + 1 + 2
+    assert _outcomes(stats)["mixed.csv"] == ("PARTIALLY_LOADED", 4, 2, 2, "Invalid record: bad,y")
+
+
+def test_one_pass_over_other_formats(spark, tmpdir_path):
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, a_csv='a,b\n1,x\n2,"y\nz"\nq,w\n', only_csv="a,b\n")
+    spec = PipeSpec(name="p", schema_ddl="a INT, b STRING", options={"header": "true", "multiLine": "true"})
+    rows, stats = load_once(spark, spec, d)
+    assert sorted(tuple(r)[1:] for r in rows.collect()) == [(1, "x"), (2, "y\nz")]
+    assert {n: r[0] for n, r in _outcomes(stats).items()} == {"a.csv": "PARTIALLY_LOADED", "only.csv": "LOADED"}
+    pq = os.path.join(tmpdir_path, "pq")
+    spark.range(4).selectExpr("cast(id as int) as a", "cast(id as string) as b").coalesce(1).write.parquet(pq)
+    with open(os.path.join(pq, "broken.parquet"), "wb") as f:
+        f.write(b"not parquet at all")
+    rows, stats = load_once(spark, PipeSpec(name="p", format="parquet", schema_ddl="a INT, b STRING"), pq,
+                            path_glob="*.parquet")
+    assert sorted((r.status, r.rows_loaded, r.first_error) for r in stats.collect()) == [
+        ("LOADED", 4, None), ("LOAD_FAILED", 0, "File cannot be read")]
+    assert rows.count() == 4
+
+
+@pytest.mark.parametrize("load", [load_files, load_once])
+def test_a_stream_that_breaks_off_is_damaged(spark, tmpdir_path, load):
+    """A compressed file cut in half is never ``LOADED``, and loads nothing under SKIP_FILE."""
+    d = os.path.join(tmpdir_path, "s t")
+    os.makedirs(d)
+    whole = gzip.compress("".join(f"{i},x{i}\n" for i in range(200_000)).encode())
+    for name, data in (("cut one.csv.gz", whole[:len(whole) // 2]), ("cut2.csv.gz", whole[:-6]), ("whole.csv.gz", whole),
+                       ("two.csv.gz", gzip.compress(b"1,a\n") + gzip.compress(b"2,b\n")), ("plain.csv", b"5,p\n")):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(data)
+    rows, stats = load(spark, SPEC, d)
+    got = _outcomes(stats)
+    # the last record read may itself be cut
+    assert got["cut one.csv.gz"][0] == "PARTIALLY_LOADED" and 0 < got["cut one.csv.gz"][2] < 200_000
+    assert got["cut2.csv.gz"][0] == "PARTIALLY_LOADED"
+    assert got["cut2.csv.gz"][3] >= 1 and "damaged" in got["cut2.csv.gz"][4]
+    assert {n: r[:4] for n, r in got.items() if not n.startswith("cut")} == {
+        "whole.csv.gz": ("LOADED", 200_000, 200_000, 0), "two.csv.gz": ("LOADED", 2, 2, 0),
+        "plain.csv": ("LOADED", 1, 1, 0)}
+    assert rows.count() == sum(r[2] for r in got.values())
+    skip = PipeSpec(name="p", schema_ddl="a INT, b STRING", on_error="SKIP_FILE")
+    rows, stats = load(spark, skip, d)
+    assert {n: r[0] for n, r in _outcomes(stats).items() if n.startswith("cut")} == {
+        "cut one.csv.gz": "LOAD_FAILED", "cut2.csv.gz": "LOAD_FAILED"}
+    assert {os.path.basename(r.path) for r in rows.select("path").distinct().collect()} == {
+        "whole.csv.gz", "two.csv.gz", "plain.csv"}
+
+
+@pytest.mark.parametrize("load", [load_files, load_once])
+def test_any_file_name(spark, tmpdir_path, monkeypatch, load):
+    """Names that Spark's listing passes over, and paths relative to the stage."""
+    d = os.path.join(tmpdir_path, "s")
+    _write(d, a_csv="1,x\n", _under_csv="2,y\nbad,z\n", **{"_empty": ""})
+    _write(os.path.join(d, "_dir"), in_csv="4,w\n")
+    with open(os.path.join(d, ".dot.csv.gz"), "wb") as f:
+        f.write(gzip.compress(b"3,z\n"))
+    names = ["a.csv", "_under.csv", ".dot.csv.gz", "_dir/in.csv", "_empty", "_gone.csv"]
+    files = spark.createDataFrame([(n,) for n in names], "path string")
+    rows, stats = load(spark, SPEC, d, files)
+    got = _outcomes(stats)
+    assert {n: r[:2] for n, r in got.items()} == {
+        "a.csv": ("LOADED", 1), "_under.csv": ("PARTIALLY_LOADED", 2), ".dot.csv.gz": ("LOADED", 1),
+        "in.csv": ("LOADED", 1), "_empty": ("LOADED", 0), "_gone.csv": ("LOAD_FAILED", 0)}
+    assert got["_gone.csv"][4] == "File not found"
+    assert sorted((r.a, r.path) for r in rows.collect()) == [
+        (1, f"{d}/a.csv"), (2, f"{d}/_under.csv"), (3, f"{d}/.dot.csv.gz"), (4, f"{d}/_dir/in.csv")]
+
+
+def test_runs_at_the_same_time_get_their_own_numbers(spark, tmpdir_path):
+    from concurrent.futures import ThreadPoolExecutor
+    folder = os.path.join(tmpdir_path, "_runs")
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda _: claim_run(spark, folder), range(16)))
+    assert sorted(numbers) == list(range(1, 17))
+    history = spark.createDataFrame([("p", "f", 40), ("p", "g", 1)], "pipe string, path string, seq long")
+    assert claim_run(spark, folder, history) == 41
+    for run in (1, 2):
+        spark.createDataFrame([(run,)], "a int").write.parquet(os.path.join(tmpdir_path, "rows", f"run={run}"))
+    assert [r.a for r in rows_of_runs(spark, os.path.join(tmpdir_path, "rows"), history).collect()] == [1]
