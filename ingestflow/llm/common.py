@@ -10,6 +10,7 @@ from collections import Counter
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,6 +69,7 @@ def worker_state(kind: str, key, make: Callable[[], Held]) -> Held:
         _held.clear()
         gc.collect()
         try:
+            pa.default_memory_pool().release_unused()
             ctypes.CDLL(None).malloc_trim(0)  # give freed memory back, where the C library can
         except (AttributeError, OSError):
             pass
@@ -75,18 +77,21 @@ def worker_state(kind: str, key, make: Callable[[], Held]) -> Held:
     return _held[2]
 
 
-BATCH_ROWS = 1_000
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Let Arrow batches hold ``rows`` rows at most; a smaller limit of the session stays.
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
+    """Let Arrow batches hold ``rows`` rows and ``size`` bytes at most; smaller limits of the session stay.
 
-    Rows of texts are wide, and a batch is held by the JVM and by Python, on
-    its way in and on its way out.
+    Rows of texts are wide, those of an index wider, and a batch is held by the
+    JVM and by Python, on its way in and on its way out.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        name = f"spark.sql.execution.arrow.{name}"
+        held = spark.conf.get(name).rstrip("bB")
+        # A size with a unit was set by hand.
+        if held.lstrip("-").isdigit() and not 0 < int(held) <= most:
+            spark.conf.set(name, str(most))
 
 
 BROADCAST_ROWS = 1_000_000

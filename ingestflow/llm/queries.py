@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ingestflow.llm import (ann, bpe, chat, decontaminate, hard_negatives, html_wrappers, lang_id, minhash,
                             quality_ranking, secrets, token_alignment, token_counts, url_rules)
-from ingestflow.llm.common import Workspace, read_table
+from ingestflow.llm.common import Workspace, read_table, small_batches
 
 
 def op1_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,7 @@ def op3_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, Workspace(spark, "op4"), percent=85)
 
@@ -71,6 +72,7 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     index = decontaminate.build_index(docs, Workspace(spark, "op8"))
     matches = decontaminate.find_windows(index, read_table(spark, sf_dir, "benchmark"), size=10)
