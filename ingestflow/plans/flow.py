@@ -110,10 +110,11 @@ def manifest_additions(stage_routes: DataFrame) -> DataFrame:
 
 
 def load_step(spark: SparkSession, specs: list[load.PipeSpec], stage_root: str, loaded_at,
-              requests: DataFrame, history: DataFrame | None = None
+              requests: DataFrame, history: DataFrame | None = None, run: int | None = None
               ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Load (pipe, file) requests below ``stage_root``: (target rows by pipe, history entries).
 
+    ``run`` numbers the entries; without it, one more than any entry has.
     Paths of rows and entries are relative to the stage root, as requests name them.
     """
     prefix = stage_root.rstrip("/") + "/"
@@ -123,7 +124,8 @@ def load_step(spark: SparkSession, specs: list[load.PipeSpec], stage_root: str,
     start = "^" + re.escape(re.sub("^file:(//)?", "", prefix))
     relative = F.regexp_replace("path", start, "")
     return ({name: r.withColumn("path", relative) for name, r in rows.items()},
-            load.as_history(stats.withColumn("path", relative), loaded_at, load.next_run(history)))
+            load.as_history(stats.withColumn("path", relative), loaded_at,
+                            load.next_run(history) if run is None else run))
 
 
 def run_flow(spark: SparkSession, raw_requests: DataFrame, manifest: DataFrame, stage_root: str,

@@ -15,9 +15,12 @@ What waits is kept in two kinds of folder below ``<out>``:
 
 The rows still waiting are those of the first kind without those of the
 second, so a poll writes the rows whose state changed and nothing else,
-however many rows wait.  Every ``COMPACT_EVERY`` batches the rows still
-waiting are written as one folder that replaces the older ones, and decided
-identities before it are not read again; that bounds what a poll reads.
+however many rows wait.  ``COMPACT_EVERY`` batches after the last time, the rows
+still waiting are written as one folder that replaces the older ones, and
+decided identities before it are not read again; that bounds what a poll reads.
+A mark below ``compacted/`` says which folders do; it is written after the
+folder, so readers need not know how often a stream compacts, and the number
+may change from one start to the next.
 
 * exactly-once: a replayed batch overwrites its own folders;
 * lineage-bounded: every batch starts from files in the shared output folder;
@@ -90,9 +93,22 @@ class AwaitBatches:
         self.compact_every = compact_every
         self.await_kw = await_kw
 
-    def _base(self, batch_id: int) -> int:
-        """The batch whose waiting folder holds everything that waited before it."""
-        return batch_id // self.compact_every * self.compact_every
+    def _marks(self, spark: SparkSession):
+        root = spark._jvm.org.apache.hadoop.fs.Path(f"{self.out_dir}/compacted")
+        return root, root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _base(self, spark: SparkSession, batch_id: int) -> int:
+        """The last batch before ``batch_id`` whose waiting folder holds everything that waited."""
+        root, fs = self._marks(spark)
+        if not fs.exists(root):
+            return 0
+        marked = (int(s.getPath().getName().split("-")[1]) for s in fs.listStatus(root))
+        return max((m for m in marked if m < batch_id), default=0)
+
+    def _mark(self, spark: SparkSession, batch_id: int) -> None:
+        root, fs = self._marks(spark)
+        fs.mkdirs(root)
+        fs.create(spark._jvm.org.apache.hadoop.fs.Path(root, f"batch-{batch_id}"), True).close()
 
     def _since(self, spark: SparkSession, kind: str, first: int, upto: int,
                schema: T.StructType) -> DataFrame | None:
@@ -104,7 +120,7 @@ class AwaitBatches:
 
     def still_waiting(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
         """The rows that wait when batch ``batch_id`` begins."""
-        base = self._base(max(batch_id - 1, 0))
+        base = self._base(spark, batch_id)
         waiting = self._since(spark, "waiting", base, batch_id, STATE_SCHEMA)
         if waiting is None:
             return None
@@ -128,10 +144,12 @@ class AwaitBatches:
         pending = materialize(pending, "await-batch")
         routed = materialize(await_results(pending, self.history(spark), self.max_age_minutes, now,
                                            **self.await_kw), "await-routed")
-        compact = batch_id == self._base(batch_id) and batch_id > 0
+        compact = batch_id - self._base(spark, batch_id) >= self.compact_every
         waits = routed.where(F.col("route") == "waiting")
         (waits if compact else waits.where(F.col("__new"))).select(*STATE).write.mode("overwrite") \
             .parquet(f"{self.out_dir}/waiting/batch={batch_id}")
+        if compact:
+            self._mark(spark, batch_id)
         (routed.where(F.col("route") != "waiting").drop("__new")
          .withColumn("batch_now", F.lit(now.isoformat()))
          .write.mode("overwrite").partitionBy("route")
@@ -162,16 +180,17 @@ def read_decided(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out_dir.rstrip('/')}/routes")
 
 
-def read_routes(spark: SparkSession, out_dir: str, compact_every: int = COMPACT_EVERY) -> DataFrame:
+def read_routes(spark: SparkSession, out_dir: str, compact_every: int | None = None) -> DataFrame:
     """Final routes: the decided rows of every batch, and the rows that still wait.
 
     The latter carry the pending columns alone, with route ``waiting``.
+    ``compact_every`` is not needed: the compacted folders are marked.
     """
     root = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir.rstrip('/')}/routes")
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     last = max((int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(root)
                 if s.getPath().getName().startswith("batch=")), default=-1)
-    reader = AwaitBatches(lambda s: None, 0, out_dir, compact_every=compact_every)
+    reader = AwaitBatches(lambda s: None, 0, out_dir)
     waiting = reader.still_waiting(spark, last + 1)
     parts = []
     if any(_path_exists(spark, f"{out_dir.rstrip('/')}/routes/batch={i}/route={r}")
