@@ -9,11 +9,13 @@ The matching DuckDB derivations live in ``ingestflow.plans.oracle``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestflow.functions.timing import col_epoch_ms, epoch_ms, ts_literal
+from ingestflow.session import shared_dir
 from ingestflow.sources.tables import read_table
 
 # Fixed parameters of the test scenario.
@@ -76,6 +78,17 @@ def pending_bad_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(eid % 7 != 0, eid).alias("arrival_seq"))
 
 
+def pending_extreme(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX-PENDING over all events, some stamps and lineage starts at the ends of what a long holds."""
+    p = pending_bad_stamps(spark, sf_dir)
+    eid = F.regexp_extract("request_id", "[0-9]+", 0).cast("long")
+    return p.withColumns({
+        "queued_ms": F.when(eid % 11 == 3, str(-2 ** 63)).when(eid % 11 == 5, str(2 ** 63 - 1))
+                      .otherwise((eid * 60000).cast("string")),
+        "lineage_ms": F.when(eid % 13 == 4, F.lit(-10 ** 17)).when(eid % 13 == 6, F.lit(-2 ** 63))
+                       .when(eid % 13 == 8, F.lit(2 ** 63 - 1)).otherwise(F.col("lineage_ms"))})
+
+
 def pending_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-PENDING with every third request moved onto one (pipe, file) key."""
     p = pending(spark, sf_dir)
@@ -366,6 +379,23 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                  "l_shipdate").alias("pos"))
 
 
+def staged_files(spark: SparkSession, sf_dir: str) -> str:
+    """FX-LINES and the JSON lines written as files of a stage; returns the stage's folder.
+
+    Each file is a folder ``path=<name>`` with one text file, its lines in order.
+    """
+    root = f"{shared_dir(spark).rstrip('/')}/ingestflow/stage-{uuid.uuid4().hex}"
+    for kind, rows in (("csv", lines(spark, sf_dir)), ("json", json_lines(spark, sf_dir))):
+        rows.repartition("path").sortWithinPartitions("path", "pos").select("value", "path") \
+            .write.partitionBy("path").text(f"{root}/{kind}")
+    return root
+
+
+def staged_name(path="path"):
+    """The name in FX-LINES of a staged file."""
+    return F.regexp_extract(path, "path=([^/]+)/", 1)
+
+
 def attribute_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX-ATTR: events with an attribute map (props plus a file name)."""
     ev = read_table(spark, sf_dir, "events")

@@ -253,16 +253,21 @@ def rows_of_runs(spark: SparkSession, rows_dir: str, history: DataFrame) -> Data
     return spark.read.parquet(rows_dir).join(ended, "run", "left_semi")
 
 
+def normalise_root(spark: SparkSession, location: str) -> str:
+    """The spelling of a folder that the paths of its files begin with."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return _plain(root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString()).rstrip("/")
+
+
 def absolute_path(spark: SparkSession, c, location: str):
     """The path of a file that is named by a relative path.
 
     It is taken from the working directory if that lies below ``location``,
     else from ``location``, as a stage's own names are.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(location)
+    root = spark._jvm.org.apache.hadoop.fs.Path(location)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    base = _plain(fs.makeQualified(root).toString()).rstrip("/")
+    base = normalise_root(spark, location)
     here = F.concat(F.lit(_plain(fs.getWorkingDirectory().toString()).rstrip("/") + "/"), c)
     return F.when(c.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|/)"), c) \
         .when(F.startswith(here, F.lit(base + "/")), here).otherwise(F.concat(F.lit(base + "/"), c))

@@ -7,6 +7,8 @@ column so the DuckDB oracle in ``ingestflow.plans.oracle`` can name them alike.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,9 @@ from ingestflow.functions.compression import detect_compression, target_compress
 from ingestflow.functions.template import resolve_template
 from ingestflow.functions.timing import int_div, queue_age
 from ingestflow.operators import audit, history as hist, load, reconcile, staging, submit
+from ingestflow.session import shared_dir
+from ingestflow.sources import history_store
+from ingestflow.streaming import await_stream, flow_stream
 
 LINE_SPEC = load.PipeSpec(name=fx.LOAD_PIPE, format="csv",
                           schema_ddl="orderkey BIGINT, partkey BIGINT, quantity INT")
@@ -294,13 +299,14 @@ def stage_requests_q(spark, sf_dir):
 
 
 def stage_step_tables(spark, sf_dir):
-    """The stage step's tables joined: results with their event's attributes, duration and audit."""
+    """The stage step's tables joined: all results with their event's attributes, and the sent ones' audit."""
     step = StageFiles("/home/account/${segment}", "c_${key}_*.csv", "database.schema.stage_${nation}")
     req = staging.validate_requests(step.requests(fx.stage_events(spark, sf_dir)))
-    res = fx.stage_results(spark, sf_dir).where(F.col("status") != "FAILED")
-    routed = staging.route_stage(req, res).where(F.col("source_filename").isNotNull())
-    sent = audit.audit_events(res).withColumnRenamed("source_filename", "sent_file").drop("request_id")
-    return routed.join(sent, F.col("source_filename") == F.col("sent_file")).select(
+    res = fx.stage_results(spark, sf_dir)
+    sent = audit.audit_events(res.where(F.col("status") != "FAILED")) \
+        .withColumnRenamed("source_filename", "sent_file").drop("request_id")
+    routed = staging.route_stage(req, res)
+    return routed.join(sent, F.col("source_filename") == F.col("sent_file"), "left").select(
         "request_id", "source_filename", "route", "target_url", "transmission_ms", "duration_s",
         F.col("attributes")["nation"].alias("nation"), "stage_command")
 
@@ -331,6 +337,81 @@ def load_history_two_pipes(spark, sf_dir):
         F.sum("errors_seen").alias("errors_seen"))
 
 
+def await_routes_extreme(spark, sf_dir):
+    """Stamps and lineage starts at the ends of a long abort nothing and change no other row."""
+    out = reconcile.await_results(fx.pending_extreme(spark, sf_dir), fx.history(spark, sf_dir),
+                                  fx.MAX_AGE_MINUTES, fx.NOW)
+    return out.select("request_id", "pipe", "file", "route", "queued_ms", "age_minutes", "status")
+
+
+def submit_rounds_unanswered(spark, sf_dir):
+    """Round 2 has no outcome for a third of the requests; round 3 answers a part of those."""
+    second = fx.outcomes(spark, sf_dir, 2)
+    key = F.col("request_id").cast("long")
+    return submit.submit_rounds([
+        fx.outcomes(spark, sf_dir, 1), second.where(key % 3 != 0), second.where(key % 6 == 0)]).select(
+        "request_id", "route", "round", "response_code", "error_message")
+
+
+def history_store_multi_pipe(spark, sf_dir):
+    """The pending pipes' history from a store kept by pipe and day, pruned while it is read."""
+    entries = fx.history(spark, sf_dir)
+    path = f"{shared_dir(spark).rstrip('/')}/ingestflow/history-{uuid.uuid4().hex}"
+    history_store.append_history(entries.where(F.col("seq") % 2 == 0), path)
+    history_store.append_history(entries.where(F.col("seq") % 2 == 1), path)
+    store = history_store.read_history(spark, path, entries.schema)
+    return history_store.history_multi_pipe(store, path, fx.pending(spark, sf_dir), fx.NOW).select(
+        "seq", "pipe", "path", "status")
+
+
+def latest_upkeep(spark, sf_dir):
+    """Latest entries kept up over three appended runs of history."""
+    path = f"{shared_dir(spark).rstrip('/')}/ingestflow/latest-{uuid.uuid4().hex}"
+    entries = fx.history(spark, sf_dir)
+    for run in range(3):
+        hist.update_latest(entries.where(F.col("seq") % 3 == run), path, buckets=16)
+    return hist.read_latest(spark, path).select(
+        "pipe", "path", "status", "rows_parsed", "rows_loaded", "errors_seen", "first_error", "seq")
+
+
+def _staged_requests(spark, root):
+    """(pipe, path) of every staged file, each through its own pipe, and through one that is not defined."""
+    files = load.list_staged(spark, root, "part-*")
+    own = F.when(F.col("path").contains("/csv/"), LINE_SPEC_SKIP.name).otherwise(JSON_SPEC.name)
+    return files.select(F.explode(F.array(own, F.lit("no.such.pipe"))).alias("pipe"), "path")
+
+
+def load_pipes(spark, sf_dir):
+    """Files of two formats loaded through the pipe that each request names, every file read once."""
+    root = fx.staged_files(spark, sf_dir)
+    rows, stats = load.load_through_pipes(spark, [LINE_SPEC_SKIP, JSON_SPEC], _staged_requests(spark, root), root)
+    loaded = None
+    for pipe, r in rows.items():
+        part = r.groupBy("path").agg(F.count(F.lit(1)).alias("target_rows")).withColumn("pipe", F.lit(pipe))
+        loaded = part if loaded is None else loaded.unionByName(part)
+    return stats.join(loaded, ["pipe", "path"], "left").select(
+        "pipe", fx.staged_name().alias("path"), "status", "rows_parsed", "rows_loaded", "errors_seen", "first_error",
+        F.coalesce("target_rows", F.lit(0).cast("long")).alias("target_rows"))
+
+
+def flow_two_batches(spark, sf_dir):
+    """The whole pipeline over two micro-batches of staged files: submitted, loaded, awaited."""
+    root = fx.staged_files(spark, sf_dir)
+    out = f"{shared_dir(spark).rstrip('/')}/ingestflow/flow-{uuid.uuid4().hex}"
+    prefix = F.lit(load.normalise_root(spark, root) + "/")
+    requests = _staged_requests(spark, root).select(
+        F.concat_ws("|", fx.staged_name(), "pipe").alias("request_id"), "pipe",
+        F.replace(F.col("path"), prefix, F.lit("")).alias("file"),
+        F.create_map().cast("map<string,string>").alias("attributes"))
+    json = F.col("request_id").startswith("ev_")
+    flow = flow_stream.FlowBatches([LINE_SPEC_SKIP, JSON_SPEC], root, fx.MAX_AGE_MINUTES, out,
+                                   lambda batch, i: fx.NOW + i * _dt.timedelta(hours=1))
+    flow(requests.where(~json), 0)
+    flow(requests.where(json), 1)
+    return await_stream.read_routes(spark, f"{out}/await").select(
+        "request_id", "pipe", "route", "status", "error", "error_count", F.col("batch").cast("int").alias("batch"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "await_routes": await_routes,
     "route_counts": route_counts,
@@ -380,4 +461,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_history_reload": load_history_reload,
     "load_history_missing": load_history_missing,
     "load_history_two_pipes": load_history_two_pipes,
+    "await_routes_extreme": await_routes_extreme,
+    "submit_rounds_unanswered": submit_rounds_unanswered,
+    "history_store_multi_pipe": history_store_multi_pipe,
+    "latest_upkeep": latest_upkeep,
+    "load_pipes": load_pipes,
+    "flow_two_batches": flow_two_batches,
 }

@@ -553,16 +553,22 @@ STAGE_REQUESTS = """select cast(c_custkey as varchar) as request_id,
   lower(c_mktsegment) as segment
 from customer"""
 
-STAGE_STEP_TABLES = """select cast(o_custkey as varchar) as request_id,
+_CUSTOMER_COMMAND = """'PUT file:///home/account/' || lower(c_mktsegment) || '/c_' || c_custkey
+    || '_*.csv @database.schema.stage_' || c_nationkey"""
+
+STAGE_STEP_TABLES = f"""select cast(o_custkey as varchar) as request_id,
   'c_' || o_custkey || '_' || o_orderkey || '.csv' as source_filename,
-  case o_orderstatus when 'F' then 'uploaded' else 'skipped' end as route,
-  case when o_custkey % 4 = 0 then 'jdbc://unknown-host'
+  case o_orderstatus when 'F' then 'uploaded' when 'P' then 'skipped' else 'failure' end as route,
+  case when o_orderstatus not in ('F', 'P') then null when o_custkey % 4 = 0 then 'jdbc://unknown-host'
        else 'jdbc:warehouse://acct' || (o_custkey % 3) || '.example.com' end as target_url,
-  (o_orderkey % 5000) * 7 as transmission_ms, ((o_orderkey % 5000) * 7) // 1000 as duration_s,
-  cast(c_nationkey as varchar) as nation,
-  'PUT file:///home/account/' || lower(c_mktsegment) || '/c_' || c_custkey || '_*.csv @database.schema.stage_'
-    || c_nationkey as stage_command
-from orders left join customer on c_custkey = o_custkey where o_orderstatus in ('F', 'P')"""
+  case when o_orderstatus in ('F', 'P') then (o_orderkey % 5000) * 7 end as transmission_ms,
+  case when o_orderstatus in ('F', 'P') then ((o_orderkey % 5000) * 7) // 1000 end as duration_s,
+  cast(c_nationkey as varchar) as nation, {_CUSTOMER_COMMAND} as stage_command
+from orders left join customer on c_custkey = o_custkey
+union all
+select cast(c_custkey as varchar), null, 'failure', null, null, null, cast(c_nationkey as varchar),
+  {_CUSTOMER_COMMAND}
+from customer where c_custkey not in (select o_custkey from orders)"""
 
 LOAD_HISTORY_RELOAD = f"""with {LINES_CTE},
 s as (select path, regexp_extract(path, '[0-9]+')::int % 2 = 0 as mended, count(*) as n,
@@ -588,6 +594,72 @@ from (select pipe, status, rows_loaded, errors_seen from ({LOAD_HISTORY_SKIP_FIL
       union all select pipe, status, rows_loaded, errors_seen from ({LOAD_HISTORY_JSON}))
 group by pipe, status"""
 
+_PENDING_EXTREME = """pending as (
+  select 'r' || event_id as request_id, 'pipe_' || ((event_id // 3) % 5) as pipe,
+    'f_' || (event_id // 3) || '.csv' as file,
+    case event_id % 11 when 3 then '-9223372036854775808' when 5 then '9223372036854775807'
+      else cast(event_id * 60000 as varchar) end as queued_ms,
+    case event_id % 13 when 4 then -100000000000000000::hugeint when 6 then -9223372036854775808::hugeint
+      when 8 then 9223372036854775807::hugeint else (epoch_us(ts) // 1000)::hugeint end as lineage_ms,
+    case when event_id % 7 <> 0 then event_id end as arrival_seq
+  from events)"""
+
+
+def _extreme_sql() -> str:
+    """The await rules with ages in 128 bits; those beyond a long are null, the look-back is bounded."""
+    def minutes(ms: str) -> str:
+        age = f"({fx.NOW_MS}::hugeint - {ms})"
+        return (f"case when {age} between -9223372036854775808::hugeint and 9223372036854775807::hugeint "
+                f"then cast(trunc({age} / 60000.0::decimal(38, 6)) as bigint) end")
+
+    return f"""with {_PENDING_EXTREME},\n{HISTORY_CTE},
+lb as (select least(2147483647, greatest(1, coalesce(max({minutes("lineage_ms")}), 1))) as mins from pending),
+latest as (select pipe, path, arg_max(status, seq) as status from history, lb
+  where event_ts >= {NOW_SQL} - to_minutes(lb.mins) and event_ts <= {NOW_SQL} group by pipe, path),
+aged as (select *, {minutes("queued_ms::hugeint")} as age from pending),
+firsts as (select pipe, file, age as first_age from aged
+  qualify row_number() over (partition by pipe, file order by arrival_seq nulls last) = 1),
+j as (select a.request_id, a.pipe, a.file, a.queued_ms, f.first_age, a.age, l.status
+  from aged a join firsts f using (pipe, file) left join latest l on l.pipe = a.pipe and l.path = a.file),
+r as (select *, case status when 'LOADED' then 'loaded' when 'PARTIALLY_LOADED' then 'partially_loaded'
+    when 'LOAD_FAILED' then 'load_failure' when 'LOAD_IN_PROGRESS' then 'waiting'
+    else case when first_age > {fx.MAX_AGE_MINUTES} then 'unmatched' else 'waiting' end end as route from j)
+select request_id, pipe, file, route, case when route <> 'unmatched' then queued_ms end as queued_ms,
+  coalesce(first_age, age) as age_minutes, status from r"""
+
+
+SUBMIT_ROUNDS_UNANSWERED = f"""with {OUTCOME_CTE},
+c1 as ({_CLASSIFY.format(src='outcome')}),
+again as (select cast(o_orderkey as varchar) as request_id, o_orderkey as k,
+  case when o_orderkey % 2 = 1 then 'backoff' end as kind,
+  case when o_orderkey % 2 = 1 then 'slow down again' end as message from orders),
+second as (select request_id, kind, message from again where k % 3 <> 0),
+third as (select request_id, kind, message from again where k % 6 = 0),
+c2 as ({_CLASSIFY.format(src='second')}),
+c3 as ({_CLASSIFY.format(src='third')}),
+tried as (select request_id, route, 1 as round, code, error_message from c1
+  union all select request_id, route, 2, code, error_message from c2
+    where request_id in (select request_id from c1 where route = 'retry')
+  union all select request_id, route, 3, code, error_message from c3
+    where request_id in (select request_id from c1 where route = 'retry')
+      and request_id not in (select request_id from c2 where route <> 'retry'))
+select request_id, route, round, code as response_code, error_message from tried
+qualify row_number() over (partition by request_id order by route = 'retry',
+  case when route = 'retry' then -round else round end) = 1"""
+
+LOAD_PIPES = f"""select pipe, path, status, rows_parsed, rows_loaded, errors_seen, first_error,
+  rows_loaded as target_rows from ({LOAD_HISTORY_SKIP_FILE})
+union all select pipe, path, status, rows_parsed, rows_loaded, errors_seen, first_error, rows_loaded
+from ({LOAD_HISTORY_JSON})"""
+
+FLOW_TWO_BATCHES = f"""select path || '|' || pipe as request_id, pipe,
+  case status when 'LOADED' then 'loaded' when 'PARTIALLY_LOADED' then 'partially_loaded'
+    else 'load_failure' end as route, status,
+  case when status <> 'LOADED' then first_error end as error,
+  case when status <> 'LOADED' then cast(errors_seen as varchar) end as error_count,
+  case when pipe = '{fx.LOAD_PIPE}' then 0 else 1 end as batch
+from (select * from ({LOAD_HISTORY_SKIP_FILE}) union all by name select * from ({LOAD_HISTORY_JSON}))"""
+
 ORACLE: dict[str, str] = {
     "await_routes": AWAIT_ROUTES,
     "route_counts": ROUTE_COUNTS,
@@ -637,4 +709,10 @@ ORACLE: dict[str, str] = {
     "load_history_reload": LOAD_HISTORY_RELOAD,
     "load_history_missing": LOAD_HISTORY_MISSING,
     "load_history_two_pipes": LOAD_HISTORY_TWO_PIPES,
+    "await_routes_extreme": _extreme_sql(),
+    "submit_rounds_unanswered": SUBMIT_ROUNDS_UNANSWERED,
+    "history_store_multi_pipe": HISTORY_MULTI_PIPE,
+    "latest_upkeep": LATEST_PER_FILE,
+    "load_pipes": LOAD_PIPES,
+    "flow_two_batches": FLOW_TWO_BATCHES,
 }
