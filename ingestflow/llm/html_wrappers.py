@@ -18,16 +18,17 @@ role, class and id, where class and id words do not leave out what holds most of
 the text (see ``spared``); every content region (article, main, or a content class),
 in an order of preference; and blocks that are neither mostly links nor the
 same on all pages.  Extraction aligns each page with its host's wrapper and
-joins the text of one region: of those that the page has, and that hold at
-least half as much text as its largest, the first in the host's order.  A page
-with no region gives the blocks.
+joins the text of its regions: of those that the page has, and that hold at
+least half as much text as its largest, the first in the host's order, and all
+regions beside it (not around or within it), in page order.  A page with no
+region gives the blocks.
 
 Block texts: character references decoded, runs of white space one space,
 trimmed, empty ones left out, joined in page order by ``\\n``.
 
 Defined results: a null or empty page has an empty text; a page without a URL
 or host belongs to the host ``""``; unclosed and stray tags are mended as
-browsers do; every row gives one result row, repeated rows and null ids
+browsers do, and elements nested deeper than ``MAX_DEPTH`` are flat; every row gives one result row, repeated rows and null ids
 included; other columns are ignored.
 """
 
@@ -53,7 +54,13 @@ MERGE_GROUPS = 64
 # Wrappers of all hosts are broadcast up to this size, and joined by host beyond it.
 BROADCAST_BYTES = 16 << 20
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
+# A quoted value may hold a ">".
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|"
+                   r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*)(?:>|$)""", re.S)
+# Elements nested deeper are taken as parts of the one at this depth, as browsers bound their trees.
+MAX_DEPTH = 200
+# Numbers of an alignment's table held at once.
+TABLE_CELLS = 1 << 22
 ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""",
                        re.I)
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp"}
@@ -187,7 +194,10 @@ def parse(page: str | None) -> Node:
                     break
             if tag != "hr":
                 node = Node(tag, _label(tag, m.group(3)))
-                stack[-1].parts.append(node)
+                if len(stack) > MAX_DEPTH:
+                    node.parts = stack[-1].parts
+                else:
+                    stack[-1].parts.append(node)
                 if tag not in VOID and not m.group(3).endswith("/"):
                     stack.append(node)
     flush()
@@ -219,26 +229,54 @@ def _alike(a: list, b: list) -> bool:
 
 
 def _matches(a: list[list], b: list[list]) -> list[tuple[int, int]]:
-    """Pairs of a longest common subsequence of labels, preferring children in common."""
+    """Pairs of a longest common subsequence of labels, preferring children in common.
+
+    The table is computed row by row; of large ones only some rows are kept,
+    and those between are computed again when the pairs are read off.
+    """
     n, m = len(a), len(b)
     if [x[0] for x in a] == [y[0] for y in b]:
         return [(i, i) for i in range(n)]
-    weight = np.zeros((n, m))
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            if x[0] == y[0]:
-                weight[i, j] = 1 + 0.5 * _alike(x, y)
-    best = np.zeros((n + 1, m + 1))
+    if not n or not m:
+        return []
+    # What two elements weigh depends on their labels and their children's labels alone.
+    kinds: dict[tuple, int] = {}
+    of_a, of_b = ([kinds.setdefault((x[0], frozenset(c[0] for c in x[3])), len(kinds)) for x in side]
+                  for side in (a, b))
+    pairs = np.zeros((len(kinds), len(kinds)), np.int32)
+    for (label, held), i in kinds.items():
+        for (other, theirs), j in kinds.items():
+            if label == other:
+                pairs[i, j] = 2 + (not held or not theirs or bool(held & theirs))
+    of_b = np.array(of_b)
+
+    def above(row: np.ndarray, i: int) -> np.ndarray:
+        """The table's row ``i`` from the row ``i + 1``; its last entry is 0."""
+        weight = pairs[of_a[i]][of_b]
+        best = row.copy()
+        np.maximum(best[:-1], np.where(weight, row[1:] + weight, 0), out=best[:-1])
+        return np.maximum.accumulate(best[::-1])[::-1]
+
+    step = max(1, min(n, TABLE_CELLS // (m + 1)), int(n ** 0.5))
+    kept = {n: np.zeros(m + 1, np.int32)}
+    row = kept[n]
     for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            take = best[i + 1, j + 1] + weight[i, j] if weight[i, j] else 0
-            best[i, j] = max(take, best[i + 1, j], best[i, j + 1])
+        row = above(row, i)
+        if i % step == 0:
+            kept[i] = row
     out, i, j = [], 0, 0
+    rows: dict[int, np.ndarray] = {}
     while i < n and j < m:
-        if weight[i, j] and best[i, j] == best[i + 1, j + 1] + weight[i, j]:
+        if i + 1 not in rows or i not in rows:
+            upto = min(n, (i // step + 1) * step)
+            rows, row = {upto: kept[upto]}, kept[upto]
+            for k in range(upto - 1, i // step * step - 1, -1):
+                rows[k] = row = above(row, k)
+        weight = pairs[of_a[i], of_b[j]]
+        if weight and rows[i][j] == rows[i + 1][j + 1] + weight:
             out.append((i, j))
             i, j = i + 1, j + 1
-        elif best[i, j] == best[i + 1, j]:
+        elif rows[i][j] == rows[i + 1][j]:
             i += 1
         else:
             j += 1
@@ -440,8 +478,13 @@ def extract(root: Node, judged: list) -> str:
     if not held:
         return "\n".join(text for text, _, keep, _ in found if keep == 2)
     most = max(held.values())
-    chosen = min(region for region, size in held.items() if size >= 0.5 * most)
-    return "\n".join(text for text, _, _, inside in found if chosen in inside)
+    chosen = {min(region for region, size in held.items() if size >= 0.5 * most)}
+    # Regions beside the chosen one hold content too; those around or within it are the same content.
+    together = {frozenset((x, y)) for _, _, _, inside in found for x in inside for y in inside}
+    for region in sorted(held):
+        if not any(frozenset((region, c)) in together for c in chosen):
+            chosen.add(region)
+    return "\n".join(text for text, _, _, inside in found if not chosen.isdisjoint(inside))
 
 
 SLOT = ("array<struct<path: string, chars: long, links: long, text: long, whole: long, "

@@ -140,3 +140,110 @@ def test_class_words_still_drop_what_lies_beside_the_article(spark):
             "<div class='related'><p>{noise}</p></div></body>")
     got = texts(spark, [(n, "http://a.example/", page.format(n=n, noise=f"Noise {n}. " * 9)) for n in range(3)])
     assert got[1] == "The story 1 itself."
+
+
+def test_deep_nesting_beside_a_good_page(spark):
+    """Thousands of open elements abort nothing, and their text stays in page order."""
+    deep = "<body><article>" + "<div>" * 3000 + "deep one<p>deep two</p>" + "</div>" * 3000 + "<p>after</p></article></body>"
+    rows = [(1, "http://d.example/1", deep), (2, "http://d.example/2", "<body><article><p>good page</p></article></body>"),
+            (3, "http://d.example/3", "<body><div>" * 2000 + "open ended")]
+    got = texts(spark, rows)
+    assert got[1] == "deep one\ndeep two\nafter" and got[2] == "good page" and got[3] == "open ended"
+
+
+def test_content_beside_content_stays(spark):
+    page = ('<body><nav>menu</nav><div class="content"><p>First half {n} of the story.</p></div>'
+            '<div class="ads">buy</div><article><p>Second half {n} of the story, longer.</p></article></body>')
+    got = texts(spark, [(n, f"http://e.example/{n}", page.format(n=n)) for n in range(4)])
+    assert got[1] == "First half 1 of the story.\nSecond half 1 of the story, longer."
+    # around and within are one content: nothing twice
+    page = "<body><main><article><p>Only {n} once.</p></article></main></body>"
+    assert texts(spark, [(n, "http://f.example/", page.format(n=n)) for n in range(3)])[2] == "Only 2 once."
+
+
+def test_quoted_attributes_hold_any_character(spark):
+    pages = ["""<p data-x="a > b">Real text.</p>""", """<p title='x > y' class="lead">Real text.</p>""",
+             """<p data-x=it's>Real text.</p>""", """<p data-x="never closed>Real text.</p>""",
+             """<p a = "1>2" b='3>4'>Real text.</p>"""]
+    got = texts(spark, [(n, f"http://g{n}.example/", f"<body><article>{p}</article></body>")
+                        for n, p in enumerate(pages)])
+    assert set(got.values()) == {"Real text."}
+
+
+def _table_by_hand(a, b):
+    """The pairs of the plain two-dimensional table."""
+    def weight(x, y):
+        alike = x[3] == y[3] or not x[3] or not y[3] or {c[0] for c in x[3]} & {c[0] for c in y[3]}
+        return 1 + 0.5 * bool(alike) if x[0] == y[0] else 0
+    n, m = len(a), len(b)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            w = weight(a[i], b[j])
+            best[i][j] = max(best[i + 1][j + 1] + w if w else 0, best[i + 1][j], best[i][j + 1])
+    out, i, j = [], 0, 0
+    while i < n and j < m:
+        w = weight(a[i], b[j])
+        if w and best[i][j] == best[i + 1][j + 1] + w:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif best[i][j] == best[i + 1][j]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+@pytest.mark.parametrize("cells", [1 << 22, 40, 1])
+def test_alignment_against_the_whole_table(monkeypatch, cells):
+    import random
+    monkeypatch.setattr(hw, "TABLE_CELLS", cells)
+    rng = random.Random(4)
+
+    def some(n):
+        return [[rng.choice("abc"), 0, 0, [[rng.choice("xyz"), 0, 0, []] for _ in range(rng.randint(0, 2))]]
+                for _ in range(n)]
+
+    for _ in range(60):
+        a, b = some(rng.randint(0, 24)), some(rng.randint(0, 24))
+        if [x[0] for x in a] != [y[0] for y in b]:
+            assert hw._matches(a, b) == _table_by_hand(a, b)
+
+
+def test_long_pages_of_pairs_take_no_square_of_time():
+    import time
+    trees = [hw.fold(hw.parse("<body><article>" + "".join(f"<h2>h{i}</h2><p>p{i}</p>" for i in range(n))
+                              + "</article></body>"))[0] for n in (1500, 1400)]
+    start = time.process_time()
+    both = hw.align(*trees)
+    assert time.process_time() - start < 10 and len(both[3][0][3][0][3]) >= 2800
+
+
+def test_random_templates(spark):
+    """Inference on random templates gives back exactly the texts that were put into the article."""
+    import random
+    rng = random.Random(7)
+    rows, expected = [], {}
+    for host in range(6):
+        before = [rng.choice(["<nav><a href=x>Home</a> <a href=y>News</a></nav>", "<header><b>Site</b></header>",
+                              "<div class='sidebar'><p>latest</p></div>", "<div role=search>find</div>"])
+                  for _ in range(rng.randint(0, 3))]
+        after = [rng.choice(["<footer>imprint</footer>", "<section id=comments><p>reader {n}</p></section>",
+                             "<aside><p>more {n}</p></aside>"]) for _ in range(rng.randint(0, 3))]
+        tag = rng.choice(["<article>|</article>", "<main>|</main>", "<div class='post'>|</div>"])
+        optional = [rng.choice(["h2", "ul", "blockquote", "table"]) for _ in range(2)]
+        for n in range(8):
+            page_id, blocks, inner = host * 100 + n, [f"Title {host} {n}"], [f"<h1>Title {host} {n}</h1>"]
+            for k in range(rng.randint(1, 5)):
+                blocks.append(f"par {host} {n} {k} with words")
+                inner.append(f"<p>par {host} {n} {k} <b>with</b> words</p>")
+                for o in optional:
+                    if rng.random() < 0.4:
+                        text = f"{o} {host} {n} {k}"
+                        blocks.append(text)
+                        inner.append({"ul": f"<ul><li>{text}</ul>", "table": f"<table><tr><td>{text}</table>"}.get(
+                            o, f"<{o}>{text}</{o}>"))
+            expected[page_id] = "\n".join(blocks)
+            rows.append((page_id, f"http://h{host}.example/{n}", "<body>" + "".join(before).replace("{n}", str(n))
+                         + tag.replace("|", "".join(inner)) + "".join(after).replace("{n}", str(n)) + "</body>"))
+    assert texts(spark, rows) == expected
