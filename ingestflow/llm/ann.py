@@ -41,9 +41,9 @@ from ingestflow.llm.common import Workspace
 
 DEGREE = 24
 BEAM = 48
-SEARCH_BEAM = 64
+SEARCH_BEAM = 160
 ALPHA = 1.2
-SHARD_ROWS = 50_000
+SHARD_ROWS = 5_000
 MIN_SHARDS = 12
 LANES = 256
 
@@ -212,7 +212,19 @@ def build_index(vectors: DataFrame, ws: Workspace, id_col: str = "vec_id",
             "edges": [graph.edges[k] if f else None for k, f in zip(node, first, strict=True)],
             "entry": first & (node == graph.entry)})
 
-    return ws.write(dealt.groupBy("dim", "shard").applyInPandas(build, INDEX), "index")
+    def graphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            for _, part in batch.groupby(["dim", "shard"], sort=True):
+                if held and tuple(held[0].iloc[0][["dim", "shard"]]) != tuple(part.iloc[0][["dim", "shard"]]):
+                    yield build(pd.concat(held))
+                    held = []
+                held.append(part)
+        if held:
+            yield build(pd.concat(held))
+
+    even = dealt.repartitionById(shards, F.col("shard") + F.col("dim")).sortWithinPartitions("dim", "shard")
+    return ws.write(even.mapInPandas(graphs, INDEX), "index")
 
 
 class Shard:
@@ -265,7 +277,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
                         "embedding", "edges", "entry") \
         .unionByName(asked.join(F.broadcast(shards), "dim"), allowMissingColumns=True)
     count = max(1, shards.count())
-    dealt = both.repartition(count, "dim", "shard").sortWithinPartitions("dim", "shard", "query")
+    # Shards of one length are dealt one by one, so tasks are even.
+    dealt = both.repartitionById(count, F.col("shard") + F.col("dim")).sortWithinPartitions("dim", "shard", "query")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key, shard = [], None, None

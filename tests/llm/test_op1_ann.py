@@ -74,3 +74,19 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], ROW)
     index = ann.build_index(df, Workspace(spark, "t"))
     assert ann.search(index, df).collect() == []
+
+
+@pytest.mark.parametrize("spread", [0.1, 1.0])
+def test_recall_at_the_shipped_shard_size(spark, spread):
+    """A whole shard of vectors like the given ones, and of nearly shapeless ones: 0.9 and more."""
+    rng = np.random.default_rng(11)
+    given = read_table(spark, "/root/testdata/sf0.1", "embeddings").collect()
+    base = np.array([r.embedding for r in given], np.float32)
+    x = base[rng.integers(0, len(base), ann.SHARD_ROWS)] + spread * rng.normal(size=(ann.SHARD_ROWS, base.shape[1])) / 8
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    graph = ann.Graph(x).build()
+    q = x[:: ann.SHARD_ROWS // 100]
+    found, _ = graph.search(np.concatenate([q, np.zeros((len(q), 1), np.float32)], axis=1), ann.SEARCH_BEAM)
+    want = np.argsort(-(q.astype(float) @ x.T.astype(float)), axis=1)[:, :20]
+    hits = [len(set(a[a >= 0].tolist()) & set(b.tolist())) / 20 for a, b in zip(found, want, strict=True)]
+    assert np.mean(hits) >= 0.9
