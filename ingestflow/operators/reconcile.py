@@ -20,8 +20,8 @@ part); when several entries exist for a file the latest (highest ``seq``, a
 null one lowest) wins.  The look-back window is ``[now - max(1, oldest lineage age in
 minutes), now]`` and only pipes that are pending are scanned.
 
-Plan shape: one small aggregate over the pending rows, a scalar subquery of the
-plan, yields the look-back (the window bounds reach the Parquet scan as pushed
+Plan shape: the pending rows are counted; one small aggregate over them, a scalar
+subquery of the plan, yields the look-back (the window bounds reach the Parquet scan as pushed
 filters); history is restricted to pending pipes by a semi-join; one
 partially-aggregated pass over (pending keys ∪ windowed history) builds a
 per-key summary; one balanced lookup join attaches it to every pending row
@@ -112,7 +112,9 @@ def await_results(pending: DataFrame, history: DataFrame, max_age_minutes: int,
     window = history_multi_pipe(history, pending, now, ts_col, prune_pipes)
     summary = per_key_summary(pending, window, now_ms)
     spread = ["arrival_seq"] if "arrival_seq" in pending.columns else None
-    j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread, **skew_kw)
+    # The number of rows decides whether any key can be hot; counting them reads no wide column.
+    j = lookup_join(pending, summary, ["pipe", "file"], "n_pending", spread=spread,
+                    total=pending.count(), **skew_kw)
 
     pipe, file, entry = F.col("pipe"), F.col("file"), F.col("entry")
     status = entry.getField("status")
