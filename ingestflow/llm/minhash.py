@@ -19,13 +19,19 @@ sets decides them, and linked documents form components:
     compared with the members of other components that can reach the threshold.
 4.  What is still apart in a bucket is compared in full: the members outside
     the bucket's largest component with the members of other components,
-    where that bound and eight-bit signatures allow the threshold.  A component
+    where that bound, eight-bit signatures and odd sketches allow the threshold.
+    An odd sketch holds, for each of 1,024 bins, whether an odd number of the
+    set's shingles falls into it: two sets differ in at least as many shingles
+    as their sketches in bins, so copies of one text that each changed it
+    elsewhere are told apart before any text is looked at.  A component
     is therefore never compared with itself, copies with many changes of their
     own are compared with nothing, and no link that the bands propose is lost.
 
 With ``BANDS`` bands of ``ROWS`` coordinates a pair at similarity 0.80 misses
 all bands with probability 1e-7, one at 0.85 with 2e-10.  In step 4 the
-eight-bit signature lets a pair at 0.80 fail with probability below 1e-6.
+eight-bit signature lets a pair at 0.80 fail with probability below 1e-6; the
+odd sketch is exact for sets whose difference is small beside its bins, and
+lets a pair of larger ones fail with probability below 1e-8.
 
 Words are runs of characters other than the six ASCII blanks, A-Z lower-cased;
 a document of fewer than five words is one shingle of them all.
@@ -56,6 +62,9 @@ COORDINATES = BANDS * ROWS
 SIGN_WORDS, SIGN_BITS = 2, 8  # 64-bit words of each bit of the signature
 # Of the 120 eight-bit coordinates a pair at 0.80 shares 96.1 on average, deviation 4.4.
 LEAST_SHARED = 73
+ODD_BITS = 1024
+# The number of bins that differ deviates by 16 at most: half the root of the bins.
+ODD_SLACK = 96
 # Bytes of word hashes kept per Python worker.
 CACHE_BYTES = 32 << 20
 ENTRY_BYTES = 130
@@ -132,13 +141,20 @@ def signs(sig: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.int64).ravel()
 
 
+def odd(items: np.ndarray) -> np.ndarray:
+    """Whether an odd number of the items falls into each of ``ODD_BITS`` bins, packed."""
+    counts = np.bincount((items % np.uint64(ODD_BITS)).astype(np.int64), minlength=ODD_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def sketch(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write, for every row: number, id, set size, 128-bit digest of the set, bands, signs, text."""
+    """Write, for every row: number, id, set size, 128-bit digest of the set, bands, signs, odd sketch, text."""
     schema = T.StructType([
         T.StructField("row", T.LongType()), T.StructField("id", docs.schema[id_col].dataType),
         T.StructField("n", T.LongType()), T.StructField("d1", T.LongType()),
         T.StructField("d2", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
-        T.StructField("signs", T.ArrayType(T.LongType())), T.StructField("text", T.StringType())])
+        T.StructField("signs", T.ArrayType(T.LongType())),
+        T.StructField("odd", T.ArrayType(T.LongType())), T.StructField("text", T.StringType())])
     names = schema.names
     lists = pa.list_(pa.int64())
 
@@ -146,7 +162,7 @@ def sketch(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str
         from pyspark import TaskContext
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            sizes, d1, d2, keys, bits = [], [], [], [], []
+            sizes, d1, d2, keys, bits, odds = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text)
                 sizes.append(len(s))
@@ -156,11 +172,12 @@ def sketch(docs: DataFrame, ws: Workspace, id_col: str = "doc_id", text_col: str
                 sig = signature(s) if len(s) else None
                 keys.append(bands(sig) if len(s) else None)
                 bits.append(signs(sig) if len(s) else None)
+                odds.append(odd(s) if len(s) else None)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + n)), batch.column(0), pa.array(sizes, pa.int64()),
                  pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(keys, lists),
-                 pa.array(bits, lists), batch.column(1)], names)
+                 pa.array(bits, lists), pa.array(odds, lists), batch.column(1)], names)
             row += n
 
     return ws.write(docs.select(id_col, F.col(text_col).cast("string")).mapInArrow(run, schema), "sketch")
@@ -253,6 +270,20 @@ def _shared(a: str, b: str) -> Column:
     return F.lit(COORDINATES) - differ >= LEAST_SHARED
 
 
+def _differ_little(percent: int, n_a: str, odd_a: str, n_b: str, odd_b: str) -> Column:
+    """Whether the odd sketches of two sets allow the threshold.
+
+    Linked sets differ in at most ``most`` shingles, their sketches therefore in
+    no more bins; bins into which several of those fall make them fewer.
+    """
+    bins = F.lit(0)
+    for word in range(ODD_BITS // 64):
+        bins = bins + F.bit_count(F.col(odd_a)[word].bitwiseXOR(F.col(odd_b)[word]))
+    most = (F.col(n_a) + F.col(n_b)) * (100 - percent) / (100 + percent)
+    usual = ODD_BITS / 2 * (1 - F.exp(-2 / ODD_BITS * most)) + ODD_SLACK
+    return bins <= F.least(F.floor(most), usual)
+
+
 def link_classes(sketched: DataFrame, classes: DataFrame, ws: Workspace, percent: int) -> DataFrame:
     """``node, comp`` of the classes that have a link."""
     nodes = sketched.where("n > 0").select("row", "n", "bands") \
@@ -302,14 +333,15 @@ def link_classes(sketched: DataFrame, classes: DataFrame, ws: Workspace, percent
 
     # The rest in full: members outside the bucket's main component, with all of other components.
     apart = ws.write(mixed_members(joined, mixed.drop("comp", "main"), "apart").join(
-        sketched.select("row", "bands", "signs"), "row"), "apart-bands")
-    cols = ("row", "n", "own", "signs", "bands", "comp")
+        sketched.select("row", "bands", "signs", "odd"), "row"), "apart-bands")
+    cols = ("row", "n", "own", "signs", "odd", "bands", "comp")
     x = apart.where("comp != main").select("band", "key", *(F.col(c).alias(f"{c}_x") for c in cols))
     y = apart.select("band", "key", "main", *(F.col(c).alias(f"{c}_y") for c in cols))
     rest = x.join(y, ["band", "key"]).where(
         (F.col("comp_x") != F.col("comp_y"))
         & ((F.col("comp_y") == F.col("main")) | (F.col("row_x") < F.col("row_y")))
         & _reachable(percent, "n_x", "own_x", "n_y", "own_y") & _shared("signs_x", "signs_y")
+        & _differ_little(percent, "n_x", "odd_x", "n_y", "odd_y")
         # A pair that shares several buckets is proposed by the first of them alone.
         & (F.array_position(F.zip_with("bands_x", "bands_y", lambda a, b: a == b), True)
            == F.col("band") + 1))

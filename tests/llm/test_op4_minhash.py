@@ -135,6 +135,44 @@ def test_signature_estimates_similarity():
         assert abs((mh.signature(a) == mh.signature(b)).mean() - true) < 0.15
 
 
+def test_odd_sketch_bounds_the_difference():
+    rng = random.Random(3)
+    for n in (5, 60, 300, 1200):
+        base = [rng.getrandbits(64) for _ in range(n)]
+        for share in (0.0, 0.1, 0.2, 0.5):
+            a = np.array(base, np.uint64)
+            b = np.array(base[int(n * share):] + [rng.getrandbits(64) for _ in range(int(n * share))], np.uint64)
+            bins = sum(int(x).bit_count() for x in mh.odd(a).view(np.uint64) ^ mh.odd(b).view(np.uint64))
+            assert bins <= len(np.setxor1d(a, b)) and (bins > 0) == (share * n >= 1)
+
+
+def test_copies_that_differ_everywhere_are_not_compared_in_pairs(spark, monkeypatch):
+    """Copies of one text, each with changes of its own: few of their pairs reach the texts."""
+    length = 900
+    rng = random.Random(length)
+    base = [f"b{i}" for i in range(length)]
+    rows = []
+    for k in range(150):
+        words = list(base)
+        for at in range(rng.randrange(length // 30), length, length // 3):
+            words[at] = f"own{k}-{at}"
+        for at in rng.sample(range(length), length // 60):
+            words[at] = f"other{rng.randrange(40)}"
+        rows.append((k, " ".join(words)))
+    rows += [(1000 + k, rows[k][1] + " tail") for k in range(0, 150, 30)]
+    compared = {}
+    verify = mh._verify
+
+    def counted(pairs, sketched, ws, percent, name):
+        pairs = ws.write(pairs, f"{name}-counted")
+        compared[name] = pairs.count()
+        return verify(pairs, sketched, ws, percent, name)
+
+    monkeypatch.setattr(mh, "_verify", counted)
+    assert near(spark, rows, 80) == brute(rows, 80)
+    assert compared["links-3"] < 5 * len(rows)
+
+
 def test_query_equals_brute_force(spark):
     from ingestflow.llm.common import read_table
     from ingestflow.llm.queries import op4_minhash
