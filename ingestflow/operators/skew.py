@@ -104,7 +104,9 @@ def lookup_join(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], weight
     salt = F.when(F.col("__is_hot") | any_null_key,
                   F.xxhash64(*[F.col(c) for c in seed_cols])).otherwise(F.lit(0).cast("long"))
     step = step.withColumn("__salt", salt)
-    cold_side = cold.withColumn("__salt", F.lit(0).cast("long"))
+    # Always 0, but not a literal: that would be folded out of the join's keys into a condition,
+    # and the rows of a hot key would meet in one task again.
+    cold_side = cold.withColumn("__salt", F.pmod(F.xxhash64(*keys), F.lit(1).cast("long")))
     joined = step.join(cold_side, on=keys + ["__salt"], how="left")
     merged = [F.coalesce(F.col(hv[v]), F.col(v)).alias(v) for v in values]
     return joined.select(*rows.columns, *merged)

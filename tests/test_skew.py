@@ -47,6 +47,26 @@ def test_hot_rows_spread_over_partitions(spark):
     assert len(sizes) > 1
 
 
+def test_hot_rows_spread_in_the_shuffled_join(spark):
+    """The salt is a key of the shuffled join: a constant one would be folded into a condition."""
+    rows = _rows(spark, 30000)
+    per_key = rows.where(F.col("k").isNotNull()).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        out = lookup_join(rows, per_key, ["k"], "n", min_hot_rows=0, max_hot_keys=10)
+        # The joined column is asked for: a left join that adds nothing would be left out.
+        sizes = [r.rows for r in out.groupBy(F.spark_partition_id()).agg(
+            F.count(F.lit(1)).alias("rows"), F.max("n")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 30000 and max(sizes) < 30000 / 4
+
+
 def test_semi_and_anti_join(spark):
     rows = _rows(spark)
     keys = spark.createDataFrame([("hot",), ("k5",), ("absent",)], "k string")
