@@ -231,12 +231,16 @@ def normalise_path(c, encoded: bool = False):
 
     ``file:/x``, ``file:///x`` and ``/x`` are ``/x``; other schemes keep scheme
     and authority; repeated slashes are one.  ``encoded`` is for the file paths
-    of Spark's metadata column, which are percent-encoded.
+    of Spark's metadata column, which are percent-encoded.  The path of every
+    line goes through here, so the regular expressions are left for the paths
+    that need them; most need none.
     """
     if encoded:
-        c = F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
-    local = F.regexp_replace(c, r"^file:(//(localhost)?(?=/))?", "")
-    return F.regexp_replace(local, r"(?<![:/])/{2,}|(?<=^)/{2,}", "/")
+        c = F.when(F.contains(c, F.lit("%")), F.url_decode(F.regexp_replace(c, r"\+", "%2B"))).otherwise(c)
+    local = F.when(F.startswith(c, F.lit("file:///")), F.substring(c, len("file:///"), 2 ** 31 - 1)) \
+        .when(F.startswith(c, F.lit("file:")), F.regexp_replace(c, r"^file:(//(localhost)?(?=/))?", "")).otherwise(c)
+    repeated = F.contains(F.replace(local, F.lit("://"), F.lit(":")), F.lit("//"))
+    return F.when(repeated, F.regexp_replace(local, r"(?<![:/])/{2,}|(?<=^)/{2,}", "/")).otherwise(local)
 
 
 def _plain(path: str) -> str:
@@ -494,9 +498,11 @@ def load_once(spark: SparkSession, spec: PipeSpec, location: str, files: DataFra
               history: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """As :func:`load_files`, computed now: every file is opened and parsed once.
 
-    The records are written as one table in the shared folder, apart by
-    whether they are good; rows and statistics are read from it, so neither
-    opens a source file again.  Files are read strictly; if one cannot be read
+    The records are written as one table in the shared folder, marked by
+    whether they are good, as they are read (a folder for each kind would sort
+    every task's records first); rows and statistics are read from it, so neither
+    opens a source file again.  The first errors are found among the bad records
+    alone: with them, counting would sort all records by file.  Files are read strictly; if one cannot be read
     to its end, the damaged ones are found, the others are read strictly again,
     and what can be read of the damaged ones is read.
     """
@@ -515,7 +521,7 @@ def load_once(spark: SparkSession, spec: PipeSpec, location: str, files: DataFra
         parts = _parse_barrier(parsed).select(
             "path", *spec.field_names, F.when(bad, F.col(raw_col)).alias(BAD_TEXT), F.when(bad, F.col("pos")).alias("pos"),
             F.when(bad, "bad").when(blank, "blank").otherwise("good").alias(KIND))
-        return materialize(parts, name, partition_by=[KIND])
+        return materialize(parts, name)
 
     broken: dict[str, str] = {}  # the path of a damaged file, and why
     while True:
@@ -536,10 +542,9 @@ def load_once(spark: SparkSession, spec: PipeSpec, location: str, files: DataFra
         held = held.unionByName(table(damaged, False, "load-damaged"))
     records = F.count_if(F.col(KIND) != "blank").alias("rows_parsed")
     if text:
-        counted = held.groupBy("path").agg(
-            records, F.count_if(F.col(KIND) == "bad").alias("errors_seen"),
-            F.min_by(BAD_TEXT, "pos").alias("__first_bad"))
-        stats = _outcome(counted, spec)
+        counted = held.groupBy("path").agg(records, F.count_if(F.col(KIND) == "bad").alias("errors_seen"))
+        firsts = held.where(F.col(KIND) == "bad").groupBy("path").agg(F.min_by(BAD_TEXT, "pos").alias("__first_bad"))
+        stats = _outcome(counted.join(firsts, "path", "left"), spec)
     else:
         stats = _columnar_stats(held, spec)
     failed = spark.createDataFrame(list(broken.items()), "raw string, damage string") if broken else None

@@ -121,8 +121,9 @@ def load_step(spark: SparkSession, specs: list[load.PipeSpec], stage_root: str,
     wanted = requests.select("pipe", F.concat(F.lit(prefix), "file").alias("path"))
     prior = history.withColumn("path", F.concat(F.lit(prefix), "path")) if history is not None else None
     rows, stats = load.load_through_pipes(spark, specs, wanted, stage_root, prior)
-    start = "^" + re.escape(re.sub("^file:(//)?", "", prefix))
-    relative = F.regexp_replace("path", start, "")
+    start = re.sub("^file:(//)?", "", prefix)
+    relative = F.when(F.startswith("path", F.lit(start)), F.substring("path", len(start) + 1, 2 ** 31 - 1)) \
+        .otherwise(F.col("path"))
     return ({name: r.withColumn("path", relative) for name, r in rows.items()},
             load.as_history(stats.withColumn("path", relative), loaded_at,
                             load.next_run(history) if run is None else run))

@@ -5,6 +5,7 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from ingestflow.operators.history import latest_per_file
 from ingestflow.operators.load import (PipeSpec, as_history, claim_run, load_files, load_once,
@@ -294,3 +295,29 @@ def test_runs_at_the_same_time_get_their_own_numbers(spark, tmpdir_path):
     for run in (1, 2):
         spark.createDataFrame([(run,)], "a int").write.parquet(os.path.join(tmpdir_path, "rows", f"run={run}"))
     assert [r.a for r in rows_of_runs(spark, os.path.join(tmpdir_path, "rows"), history).collect()] == [1]
+
+
+def test_paths_without_need_of_regular_expressions_are_spelt_as_those_with(spark):
+    from urllib.parse import unquote
+
+    from ingestflow.operators.load import _plain, normalise_path
+    paths = ["file:///a/b.csv", "file:/a/b.csv", "file://localhost/a/b", "file:////a//b", "file://host/a", "/a/b", "//a/b",
+             "/a//b///c", "s3://k/a/b", "s3://k//a//b", "s3:///k", "file:a", "a+b", "file:///a%20b+c", "/x%2By", "", "file:",
+             "file:///path=a%3Ab/part-0", "hdfs://h:9/a://b", "/a:/b", "/a://b//c", "file:///", "file://"]
+    df = spark.createDataFrame([(p,) for p in [*paths, None]], "p string")
+    got = {r.p: (r.plain, r.decoded) for r in df.select(
+        "p", normalise_path(F.col("p")).alias("plain"), normalise_path(F.col("p"), encoded=True).alias("decoded")).collect()}
+    assert got == {p: (_plain(p), _plain(unquote(p))) for p in paths} | {None: (None, None)}
+
+
+def test_load_once_writes_its_records_unsorted(spark, tmpdir_path):
+    """A folder for each kind of record, or a first error among all records, sorts whole tasks."""
+    spark.createDataFrame([(f"{k},{k}" if k % 7 else f"{k},x",) for k in range(100)], "value string") \
+        .coalesce(2).write.text(f"{tmpdir_path}/in")
+    spec = PipeSpec("p", schema_ddl="a INT, b INT", on_error="CONTINUE")
+    rows, stats = load_once(spark, spec, f"{tmpdir_path}/in")
+    assert not [f for f in rows.inputFiles() if "_record_kind=" in f]
+    assert rows.count() == 85
+    got = stats.where("rows_parsed > 0").collect()
+    assert sum(r.rows_parsed for r in got) == 100 and sum(r.errors_seen for r in got) == 15
+    assert "Invalid record: 0,x" in {r.first_error for r in got}
