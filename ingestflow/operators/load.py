@@ -218,7 +218,9 @@ def claim_run(spark: SparkSession, folder: str, history: DataFrame | None = None
         fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         fs.mkdirs(path.getParent())
         try:
-            if fs.createNewFile(path):
+            # Hadoop's local file system looks first and creates then; Java's own call is one step.
+            own = jvm.java.io.File(path.toUri().getPath()) if fs.getUri().getScheme() == "file" else None
+            if own.createNewFile() if own is not None else fs.createNewFile(path):
                 return number
         except Py4JJavaError as e:
             if "AlreadyExists" not in str(e.java_exception.getClass().getName()):
