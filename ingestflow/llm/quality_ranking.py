@@ -119,10 +119,15 @@ class Model:
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """0 to 1; ``THRESHOLD`` at the threshold."""
-        raw = self.standard(x) @ self.weights - self.threshold
+        raw = weighted(self.standard(x), self.weights) - self.threshold
         return logistic(raw + (math.log(THRESHOLD / (1 - THRESHOLD)) if self.weights.any() else 0.0))
 
 
+def weighted(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Each row's weighted sum; a matrix product's last bits depend on the row's place in the batch."""
+    return (z * weights).sum(axis=1)
+
+
 def logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
@@ -168,7 +173,7 @@ def fit(x: np.ndarray, good: np.ndarray, bad_share: float, seed: int = 12) -> Mo
     of_good, of_bad = np.flatnonzero(good), np.flatnonzero(~good)
     w = fit_pairs(z[rng.choice(of_good, PAIRS)], z[rng.choice(of_bad, PAIRS)])
     weights = np.where(good, (1 - bad_share) / good.sum(), bad_share / (~good).sum())
-    return Model(model.centre, model.scale, w, quantile(z @ w, weights, bad_share))
+    return Model(model.centre, model.scale, w, quantile(weighted(z, w), weights, bad_share))
 
 
 def learns(id_col: str = "doc_id") -> Column:
